@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, media, mixing, warc
-from .common import read, write_table
+from . import chat, media, mixing, toxicity, warc
+from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    picked = docs.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return toxicity.score_documents(picked, model).drop("text")
+
+
 @query
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
