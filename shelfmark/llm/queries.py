@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, media, mixing, toxicity, warc
+from . import chat, langid, media, mixing, toxicity, warc
 from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "hash")
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    picked = docs.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return langid.identify(picked, langid.train(docs)).drop("text")
+
+
 @query
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.text_images(read(spark, sf_dir, "documents"))
