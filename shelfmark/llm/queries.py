@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, media, mixing, toxicity, warc
+from . import chat, langid, media, mixing, packing, toxicity, warc
 from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,13 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.image_digest(stored)
 
 
+@query
+def op6_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_table(warc.archive_pages(read(spark, sf_dir, "pages")), "warc")
