@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, media, mixing, packing, toxicity, warc
+from . import chat, langid, media, mixing, packing, topk, toxicity, warc
 from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,23 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(picked, langid.train(docs)).drop("text")
 
 
+@query
+def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantize(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+ORACLES["op4_threshold_topk"] = """
+WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings WHERE embedding IS NOT NULL),
+bad AS (SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x)),
+v AS (SELECT vec_id, d, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 @query
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.text_images(read(spark, sf_dir, "documents"))
