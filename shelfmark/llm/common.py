@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into numpy arrays at a time.
 CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 20_000
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -74,6 +75,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     first = 0
     while first < n:
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        end = min(end, first + CHUNK_ROWS, n)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
 

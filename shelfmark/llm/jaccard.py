@@ -3,10 +3,11 @@
 1. One pass over texts gives each document its set's size and key; equal sets are one node from here on. The same
    pass reports shingles that a good share of a task's documents hold; those above a share of all documents are
    called heavy, a list of bounded length.
-2. A second pass deals shingles into buckets, packed as byte blocks of five bytes each. A bucket counts in how many
-   nodes each shingle occurs and passes on those of two or more. A node whose shared shingles are fewer than the
-   threshold times its size can link with nothing and leaves here; most do. Heavy shingles skip the buckets, so no
-   bucket holds a list as long as a share of all documents.
+2. A second pass deals shingles into buckets, packed as byte blocks of seven bytes each. A bucket counts in how many
+   documents each shingle occurs and passes those of two or more back to their batch of documents. A document whose
+   shared shingles are fewer than the threshold times its size can link with nothing and leaves here; most do. Heavy
+   shingles skip the buckets, so no bucket holds a list as long as a share of all documents. Batches are numbered by
+   task, so the input must come in the same order if a task runs again, as rows of files do.
 3. Shingles are ordered by document frequency. A node's l-prefix is its first n - ceil(t n) + l shingles; two nodes
    that link share at least min(l) of them. Each node takes the l whose estimated cost, postings to read plus
    candidates to verify (at most the postings over l), is least: frequent prefixes grow longer and ask for more matches.
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,24 +105,28 @@ def profile(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
     return picked.mapInArrow(run, f"doc_id {kind}, n long, node long, token long, count long")
 
 
-def _pack(label: int, nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, tokens: np.ndarray, extra: np.ndarray | None = None) -> bytes:
-    """A byte block: label, runs (node, set size, shingles here), shingles of five bytes, and a byte more each."""
-    parts = [np.array([label, len(nodes)], "<u4"), nodes.astype("<u8"), sizes.astype("<u4"), counts.astype("<u4"), (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), (tokens >> _32).astype(np.uint8)]
-    if extra is not None:
-        parts.append(extra.astype(np.uint8))
-    return b"".join(p.tobytes() for p in parts)
+#: Kinds of byte blocks: shingles dealt to a bucket, a batch's documents, counted shingles, heavy shingles.
+_DEALT, _DOCUMENTS, _COUNTED, _HEAVY = range(4)
 
 
-def _unpack(block: bytes, extra: bool) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-    label, m = np.frombuffer(block, "<u4", 2)
-    m, at = int(m), 8
-    nodes = np.frombuffer(block, "<u8", m, at)
-    sizes = np.frombuffer(block, "<u4", m, at + 8 * m)
-    counts = np.frombuffer(block, "<u4", m, at + 12 * m)
-    at += 16 * m
-    n = int(counts.sum())
-    tokens = np.frombuffer(block, "<u4", n, at).astype(np.uint64) | (np.frombuffer(block, np.uint8, n, at + 4 * n).astype(np.uint64) << _32)
-    return int(label), nodes, sizes, counts, tokens, np.frombuffer(block, np.uint8, n, at + 5 * n) if extra else None
+def _pack(kind: int, label: int, *columns: tuple[np.ndarray, str]) -> bytes:
+    """A byte block: kind, label, rows, and columns of fixed types, one after the other."""
+    head = np.array([kind, label, len(columns[0][0])], "<i8").tobytes()
+    return head + b"".join(np.ascontiguousarray(values, dtype).tobytes() for values, dtype in columns)
+
+
+def _unpack(block: bytes, *types: str) -> list[np.ndarray]:
+    n = int(np.frombuffer(block, "<i8", 1, 16)[0])
+    out, at = [], 24
+    for t in types:
+        out.append(np.frombuffer(block, t, n, at))
+        at += n * np.dtype(t).itemsize
+    return out
+
+
+def _head(block: bytes) -> tuple[int, int]:
+    kind, label = np.frombuffer(block, "<i8", 2)
+    return int(kind), int(label)
 
 
 def _runs(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,14 +136,17 @@ def _runs(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _deal(docs: DataFrame, width: int, text_col: str, buckets: int, heavy: np.ndarray) -> DataFrame:
-    """Blocks of shingles by bucket; heavy shingles in blocks whose key is the bucket of their node, behind the others."""
+    """Rows (key, block). Documents go in batches of some hundred thousand shingles with a number of their own; within a
+    batch a document is two bytes. Keys below `buckets` are buckets of shingles; a batch's documents and heavy
+    shingles go straight to the key of the batch, behind them."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, known = Shingler(width), shared.value
+        number = TaskContext.get().partitionId() << 24
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush(number: int) -> pa.RecordBatch:
             tokens = np.concatenate([t for t, _ in held])
             sizes = np.concatenate([s for _, s in held])
             nodes = set_key(tokens, sizes)
@@ -145,83 +154,72 @@ def _deal(docs: DataFrame, width: int, text_col: str, buckets: int, heavy: np.nd
             fresh = np.zeros(len(nodes), bool)
             fresh[first] = True
             fresh &= sizes > 0
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            own = fresh[doc]
-            tokens, doc = tokens[own], doc[own]
-            keys, blocks = [], []
+            own = np.repeat(fresh, sizes)
+            tokens, nodes, sizes = tokens[own], nodes[fresh], sizes[fresh]
+            doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+            keys, blocks = [buckets + number], [_pack(_DOCUMENTS, number, (nodes, "<u8"), (sizes, "<u4"))]
             if len(known) and len(tokens):
                 place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                 is_heavy = known[place] == tokens
-                t, d = tokens[is_heavy], doc[is_heavy]
-                order = np.argsort(_bucket(nodes[d], buckets), kind="stable")
-                t, d = t[order], d[order]
-                # One block for each pair of the node's and the shingle's bucket would be many small ones: a block holds
-                # the shingles of one node bucket, with the shingle's bucket beside each in blocks of its own label.
-                part = _bucket(nodes[d], buckets).astype(np.int64) * buckets + _bucket(t, buckets).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                t, d, part = t[order], d[order], part[order]
-                for a, n in zip(*_runs(part)):
-                    start, count = _runs(d[a : a + n])
-                    who = d[a : a + n][start]
-                    keys.append(buckets + int(part[a]) // buckets)
-                    blocks.append(_pack(int(part[a]) % buckets, nodes[who], sizes[who], count, t[a : a + n] & _LOW, np.full(n, 255)))
+                if is_heavy.any():
+                    keys.append(buckets + number)
+                    blocks.append(_pack(_HEAVY, number, (_identity(tokens[is_heavy], buckets), "<u8"), (doc[is_heavy], "<u2")))
                 tokens, doc = tokens[~is_heavy], doc[~is_heavy]
             bucket = _bucket(tokens, buckets).astype(np.uint16 if buckets < 65536 else np.int64)
             order = np.argsort(bucket, kind="stable")
             tokens, doc, bucket = tokens[order], doc[order], bucket[order]
+            low, high = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), ((tokens >> _32) & np.uint64(255)).astype(np.uint8)
             for a, n in zip(*_runs(bucket)):
-                start, count = _runs(doc[a : a + n])
-                who = doc[a : a + n][start]
                 keys.append(int(bucket[a]))
-                blocks.append(_pack(int(bucket[a]), nodes[who], sizes[who], count, tokens[a : a + n] & _LOW))
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blocks, pa.binary())], names=["key", "block"])
+                blocks.append(_pack(_DEALT, number, (low[a : a + n], "<u4"), (doc[a : a + n], "<u2"), (high[a : a + n], "u1")))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blocks, pa.binary())], names=["key", "block"])
 
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
                 held.append(shingler.sets(data, offsets))
-                if sum(len(t) for t, _ in held) > BUFFER_TOKENS:
-                    yield flush()
-                    held = []
+                if sum(len(t) for t, _ in held) > BUFFER_TOKENS or sum(len(s) for _, s in held) > 30_000:
+                    yield flush(number)
+                    held, number = [], number + 1
         if held:
-            yield flush()
+            yield flush(number)
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key int, block binary")
+    # Chunks have 20,000 texts at most, so a batch stays below the 65,536 that two bytes tell apart.
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "key long, block binary")
 
 
-_BLOCKS = pa.schema([("key", pa.int32()), ("block", pa.binary())])
+_BLOCKS = pa.schema([("key", pa.int64()), ("block", pa.binary())])
 
 
 def _count_bucket(buckets: int):
-    """Of one bucket: the shingles that two or more nodes hold, in blocks by the node's bucket, with a frequency class."""
+    """Of one bucket: the shingles that two or more documents hold, in blocks by batch, with a frequency class."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        number = key[0].as_py()
-        if number >= buckets:
-            return pa.table([pa.array(np.full(len(table), number - buckets, np.int32)), table["block"]], schema=_BLOCKS)
-        got = [_unpack(b.as_py(), False) for b in table["block"]]
-        nodes, sizes, counts, tokens = (np.concatenate([g[i] for g in got]) for i in (1, 2, 3, 4))
-        distinct, first, node_of_run = np.unique(nodes, return_index=True, return_inverse=True)
-        fresh = np.zeros(len(nodes), bool)
-        fresh[first] = True
-        keep = np.repeat(fresh, counts)
-        tokens, node = tokens[keep], np.repeat(node_of_run, counts)[keep].astype(np.int32)
+        bucket = key[0].as_py()
+        if bucket >= buckets:
+            return table.select(["key", "block"]).cast(_BLOCKS)
+        raw = [b.as_py() for b in table["block"]]
+        got = [_unpack(b, "<u4", "<u2", "u1") for b in raw]
+        batch = np.array([_head(b)[1] for b in raw])
+        lengths = [len(g[0]) for g in got]
+        tokens = np.concatenate([g[0] for g in got]).astype(np.uint64) | (np.concatenate([g[2] for g in got]).astype(np.uint64) << _32)
         order = np.argsort(tokens)
-        tokens, node = tokens[order], node[order]
-        _, df = _runs(tokens)
+        _, df = _runs(tokens[order])
         df = np.repeat(df, df)
-        keep = df >= 2
-        tokens, node, df = tokens[keep], node[keep], df[keep]
-        order = np.argsort(node, kind="stable")
-        tokens, node, df = tokens[order], node[order], df[order]
+        common = df >= 2
+        place, df = order[common], df[common]
+        back = np.argsort(place)
+        place, df = place[back], df[back]
         grade = np.minimum(254, np.rint(8 * np.log2(np.maximum(df, 1)))).astype(np.uint8)
+        cuts = np.searchsorted(place, np.append(0, np.cumsum(lengths)))
+        doc = np.concatenate([g[1] for g in got])[place]
+        tokens = tokens[place]
+        low, high = tokens.astype("<u4"), (tokens >> _32).astype(np.uint8)
         keys, blocks = [], []
-        part = _bucket(distinct, buckets).astype(np.int64)[node]
-        for a, n in zip(*_runs(part)):
-            start, count = _runs(node[a : a + n])
-            who = node[a : a + n][start]
-            keys.append(int(part[a]))
-            blocks.append(_pack(number, distinct[who], sizes[first[who]], count, tokens[a : a + n], grade[a : a + n]))
-        return pa.table([pa.array(keys, pa.int32()), pa.array(blocks, pa.binary())], schema=_BLOCKS)
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if b > a:
+                keys.append(buckets + int(batch[k]))
+                blocks.append(_pack(_COUNTED, bucket, (low[a:b], "<u4"), (doc[a:b], "<u2"), (high[a:b], "u1"), (grade[a:b], "u1")))
+        return pa.table([pa.array(keys, pa.int64()), pa.array(blocks, pa.binary())], schema=_BLOCKS)
 
     return run
 
@@ -249,31 +247,40 @@ def _gather_nodes(numerator: int, denominator: int):
     """Nodes that may link: node, n, matches, their shared shingles (sorted) and their prefix."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        got = [_unpack(b.as_py(), True) for b in table["block"]]
-        nodes, sizes, counts = (np.concatenate([g[i] for g in got]) for i in (1, 2, 3))
-        tokens = np.concatenate([g[4] | np.uint64(g[0] << 40) for g in got])
-        grades = np.concatenate([g[5] for g in got])
-        distinct, first, node_of_run = np.unique(nodes, return_index=True, return_inverse=True)
-        node = np.repeat(node_of_run, counts)
-        n_of = sizes[first].astype(np.int64)
-        if len(tokens):  # heavy shingles of a node may come from several tasks
-            order = np.lexsort((tokens, grades, node))
-            tokens, grades, node = tokens[order], grades[order], node[order]
-            fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (node[1:] != node[:-1]))
-            tokens, grades, node = tokens[fresh], grades[fresh], node[fresh]
+        ids, docs, classes, nodes, sizes = [], [], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for block in table["block"]:
+            block = block.as_py()
+            kind, label = _head(block)
+            if kind == _DOCUMENTS:
+                nodes, sizes = _unpack(block, "<u8", "<u4")
+            elif kind == _HEAVY:
+                token, doc = _unpack(block, "<u8", "<u2")
+                ids.append(token)
+                docs.append(doc)
+                classes.append(np.full(len(doc), 255, np.uint8))
+            else:
+                low, doc, high, grade = _unpack(block, "<u4", "<u2", "u1", "u1")
+                ids.append(low.astype(np.uint64) | (high.astype(np.uint64) << _32) | np.uint64(label << 40))
+                docs.append(doc)
+                classes.append(grade)
+        tokens, node, grades = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((ids, np.uint64), (docs, np.uint16), (classes, np.uint8)))
+        # Only documents that share enough need an order.
+        need_of = -(-numerator * sizes.astype(np.int64) // denominator)
+        enough = np.bincount(node, minlength=len(sizes)) >= need_of if len(sizes) else np.zeros(0, bool)
+        keep = enough[node] if len(node) else np.zeros(0, bool)
+        tokens, node, grades = tokens[keep], node[keep], grades[keep]
+        order = np.lexsort((tokens, grades, node))
+        tokens, grades, node = tokens[order], grades[order], node[order]
         start, count = _runs(node)
         rows = []
         for a, c in zip(start, count):
             k = node[a]
-            n = int(n_of[k])
-            need = -(-numerator * n // denominator)
-            if c < need:
-                continue
+            n, need = int(sizes[k]), int(need_of[k])
             own, grade = tokens[a : a + c], grades[a : a + c]
             unique = n - c
             m = choose_matches(grade.astype(np.float64), unique, n, need)
             length = max(0, n - need + m - unique)
-            rows.append((distinct[k], n, m, np.sort(own).tobytes(), own[:length].view(np.int64)))
+            rows.append((nodes[k], n, m, np.sort(own).tobytes(), own[:length].view(np.int64)))
         node_ids = np.array([r[0] for r in rows], np.uint64).view(np.int64)
         return pa.table(
             [pa.array(node_ids, pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary()), pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
@@ -387,11 +394,11 @@ def jaccard_join(docs: DataFrame, width: int = 5, numerator: int = 8, denominato
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
 
     blocks = _deal(docs, width, text_col, buckets, heavy)
-    shared = blocks.groupBy("key").applyInArrow(_count_bucket(buckets), "key int, block binary")
+    shared = blocks.groupBy("key").applyInArrow(_count_bucket(buckets), "key long, block binary")
     nodes = write_table(shared.groupBy("key").applyInArrow(_gather_nodes(numerator, denominator), "node long, n long, matches int, tokens binary, prefix array<long>"), "join-nodes")
 
     postings = nodes.select("node", F.explode("prefix").alias("token"))
-    centres = postings.groupBy("token").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("df")).filter("df > 1")
+    centres = postings.groupBy("token").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last")
     stars = postings.join(centres, "token").filter("node <> centre").select("node", "centre").distinct()
     components = write_table(connected_components(stars, "node", "centre"), "candidate-components")
 
@@ -400,10 +407,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, numerator: int = 8, denominato
     sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     small = F.col("size") <= BLOCK_NODES
     parts = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    members = nodes.join(components, "node").join(sizes, "component").join(classes.select("node", "copies"), "node").withColumn("parts", parts)
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    spread = members.withColumns({"own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    groups = max(1, nodes.count() // 2000)
+    about = components.join(sizes, "component").join(classes.select("node", "copies"), "node").withColumn("parts", parts)
+    about = write_table(about.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "candidate-nodes")
+    # Copies in several batches are one node; its rows are equal.
+    members = nodes.dropDuplicates(["node"]).join(about, "node")
+    spread = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    groups = max(1, about.count() // 1000)
     keyed = spread.select(
         "node", "n", "matches", "tokens", "prefix", "component", "copies",
         F.when(small, F.pmod(F.xxhash64("component"), F.lit(groups))).otherwise(F.col("component")).alias("k"),
