@@ -12,7 +12,7 @@ one row a source: its size, its target and its ranges.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last; rows that repeat with
 equal id and text share a hash and are taken or left together; an empty table gives an empty result; columns of
-the input other than the three that are named are not read.
+the input that clash with the result's are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ LEVEL_BITS = 12
 #: A source is searched anew behind a passed-over document at most so often.
 ROUNDS = 8
 MAX_REPEATS = 3
+#: Tables of one row a source are broadcast up to so many rows, and joined by shuffle beyond.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, cap: float = MAX_REPEATS) -> dict[str | None, float]:
@@ -68,7 +70,7 @@ def _find(hashed: DataFrame, budgets: dict[int, int], tolerance: float) -> dict[
             rows = [(k, lo >> bits, bits, max(0, bits - LEVEL_BITS), start[k], cap[k]) for k, (lo, bits, _) in open_.items()]
             state = spark.createDataFrame(rows, "k int, bucket long, bits int, next int, start long, cap long")
             inside = (
-                hashed.join(F.broadcast(state) if len(rows) < 100_000 else state, "k")
+                hashed.join(F.broadcast(state) if len(rows) < BROADCAST_SOURCES else state, "k")
                 .filter("shiftright(h, bits) = bucket and h >= start and size <= cap and size > 0")
                 .groupBy("k", F.expr("shiftright(h, next)").alias("b"))
                 .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"))
@@ -76,7 +78,7 @@ def _find(hashed: DataFrame, budgets: dict[int, int], tolerance: float) -> dict[
             running = inside.withColumn("upto", F.expr("sum(words) over (partition by k order by b)"))
             budget = spark.createDataFrame([(k, b) for k, (_, _, b) in open_.items()], "k int, budget long")
             over = (
-                running.join(F.broadcast(budget) if len(rows) < 100_000 else budget, "k")
+                running.join(F.broadcast(budget) if len(rows) < BROADCAST_SOURCES else budget, "k")
                 .groupBy("k")
                 .agg(
                     F.coalesce(F.max(F.expr("if(upto <= budget, upto, 0)")), F.lit(0)).alias("taken"),
@@ -111,6 +113,44 @@ def _find(hashed: DataFrame, budgets: dict[int, int], tolerance: float) -> dict[
     return {k: [r for r in rs if r[0] < r[1]] for k, rs in ranges.items()}
 
 
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """All columns, then _source, size and hash."""
+    return docs.withColumns(
+        {
+            "_source": F.col(source_col).cast("string"),
+            "size": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"),
+            "hash": _hash48(id_col, text_col),
+        }
+    )
+
+
+def plan(hashed: DataFrame, weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, tolerance: float = 0.0005) -> DataFrame:
+    """One row a source: _source, source_size, target, whole (repeats of every document), ranges (of hashes taken once
+    more). hashed has _source, size and h, and is read once for each round and level, so it should be a written table."""
+    spark = hashed.sparkSession
+    sizes = [(r["_source"], r["n"]) for r in hashed.groupBy("_source").agg(F.sum("size").alias("n")).collect()]
+    goal = targets(sizes, weights, total)
+    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
+    repeats, budgets = {}, {}
+    for k, (name, n) in enumerate(order):
+        whole = min(MAX_REPEATS, int(goal[name] // n)) if n else 0
+        repeats[name] = whole
+        budgets[k] = 0 if whole == MAX_REPEATS else max(0, round(goal[name] - whole * n))
+    numbers = spark.createDataFrame([(name, k) for k, (name, _) in enumerate(order)], "_name string, k int")
+    numbers = F.broadcast(numbers) if len(order) < BROADCAST_SOURCES else numbers
+    numbered = hashed.join(numbers, F.col("_source").eqNullSafe(F.col("_name"))).select("k", "size", "h")
+    found = _find(numbered, budgets, tolerance)
+    rows = [(name, n, goal[name], repeats[name], [{"lo": a, "hi": b, "cap": c} for a, b, c in found.get(k, [])]) for k, (name, n) in enumerate(order)]
+    return spark.createDataFrame(rows, "_name string, source_size long, target double, whole int, ranges array<struct<lo: long, hi: long, cap: long>>")
+
+
+def apply(measured: DataFrame, planned: DataFrame, sources: int) -> DataFrame:
+    """Adds source_size, target and taken (words, repeats counted) to documents with _source, size and hash."""
+    joined = measured.join(F.broadcast(planned) if sources < BROADCAST_SOURCES else planned, F.col("_source").eqNullSafe(F.col("_name")))
+    chosen = F.exists("ranges", lambda r: (F.col("hash") >= r["lo"]) & (F.col("hash") < r["hi"]) & (F.col("size") <= r["cap"]))
+    return joined.withColumn("taken", F.col("size") * (F.col("whole") + chosen.cast("int"))).drop("_name", "_source", "ranges", "whole")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -119,49 +159,18 @@ def mix(
     weights: tuple[float, ...] = (1, 2, 3),
     total: float | None = None,
     tolerance: float = 0.0005,
+    texts: bool = False,
 ) -> DataFrame:
     """One row a document: doc_id, source, size, source_size, target, hash, taken (words, repeats counted).
 
-    Two passes over texts at most: one counts words and writes (id, source, size, hash), which all later steps read.
+    One pass over texts counts words and writes (id, source, size, hash), which all later steps read. With texts the
+    result has all columns of the input instead of the id and the source, at the price of a second pass over it.
     """
-    spark = docs.sparkSession
-    hashed = write_table(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            _hash48(id_col, text_col).alias("h"),
-        ),
-        "mix-sizes",
-    )
-    sizes = [(r["source"], r["n"]) for r in hashed.groupBy("source").agg(F.sum("size").alias("n")).collect()]
-    goal = targets(sizes, weights, total)
-    number = {name: i for i, (name, _) in enumerate(sorted(sizes, key=lambda s: (s[0] is None, s[0] or "")))}
-    repeats, budgets = {}, {}
-    for name, n in sizes:
-        whole = min(MAX_REPEATS, int(goal[name] // n)) if n else 0
-        repeats[name] = whole
-        budgets[number[name]] = 0 if whole == MAX_REPEATS else max(0, round(goal[name] - whole * n))
-    rows = [(name, number[name], n, goal[name], repeats[name]) for name, n in sizes]
-    table = spark.createDataFrame(rows, "source string, k int, source_size long, target double, whole int")
-    small = len(rows) < 100_000
-    numbered = hashed.join(F.broadcast(table) if small else table, hashed["source"].eqNullSafe(table["source"])).drop(table["source"])
-    found = _find(numbered.select("k", "size", "h"), budgets, tolerance)
-    picked = spark.createDataFrame(
-        [(k, [{"lo": a, "hi": b, "cap": c} for a, b, c in rs]) for k, rs in found.items()],
-        "k int, ranges array<struct<lo: long, hi: long, cap: long>>",
-    )
-    joined = numbered.join(F.broadcast(picked) if small else picked, "k", "left")
-    chosen = F.coalesce(
-        F.exists("ranges", lambda r: (F.col("h") >= r["lo"]) & (F.col("h") < r["hi"]) & (F.col("size") <= r["cap"])),
-        F.lit(False),
-    )
-    return joined.select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.col("h").alias("hash"),
-        (F.col("size") * (F.col("whole") + chosen.cast("int"))).alias("taken"),
-    )
+    new = ("size", "hash", "source_size", "target", "taken")
+    measured = _measured(docs.drop(*[c for c in new if c in docs.columns]), id_col, text_col, source_col)
+    written = write_table(measured.select(F.col(id_col).alias("doc_id"), "_source", "size", "hash"), "mix-sizes")
+    planned = plan(written.select("_source", "size", F.col("hash").alias("h")), weights, total, tolerance)
+    sources = planned.count()
+    if texts:
+        return apply(measured, planned, sources)
+    return apply(written.withColumn("source", F.col("_source")), planned, sources)
