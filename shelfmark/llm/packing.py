@@ -32,32 +32,94 @@ END_ID = 1
 GROUP = 8192
 SLACK = 16
 ROUNDS = 3
-_CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps; it forgets all of them beyond.
+_CACHE_WORDS = 1_000_000
+#: Stands between words that are encoded together; a word that holds it is encoded alone.
+_MARK = b"\x01"
+
+
+class _Words:
+    """A tokenizer and the ids, as bytes, of words it has seen."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        mark = self._alone(_MARK)
+        self.mark = int.from_bytes(mark, "little") if len(mark) == 4 else None  # else no word is encoded with others
+        self.stops = {c: self._alone(c) for c in (b".", b",")}
+        # Cutting at white space, folding case and parting stops must not change this tokenizer's ids.
+        probe = b"The QUICK, brown\n\tfox.  Jumped \x01 over, a1, (b) c-d. E"
+        whole = self._alone(probe)
+        self.learn(set(probe.split()))
+        self.by_word = self.mark is not None and whole == b"".join(self.known[w] for w in probe.split())
+
+    def _alone(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Many words in one call, parted by a mark that is always one token of its own."""
+        known = self.known
+        for first in range(0, len(words), 4000):
+            part = words[first : first + 4000]
+            text = (b" " + _MARK + b" ").join(part).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) != len(part) - 1:
+                for w in part:
+                    known[w] = self._alone(w)
+                continue
+            raw = ids.tobytes()
+            known.update(zip(part, [raw[x:y] for x, y in zip([0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(raw)])]))
+
+    def learn(self, words: set[bytes]) -> None:
+        """Ids of words. The tokenizer folds case and parts letters from a full stop or comma behind them, so a word
+        with one is its own ids and the stop's."""
+        known, stops = self.known, self.stops
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > _CACHE_WORDS:
+            known.clear()
+            new = list(words)
+        cores = {w: _core(w) for w in new}
+        missing = [c for c in set(cores.values()) if c not in known]
+        plain = [c for c in missing if _MARK not in c]
+        self._encode(plain)
+        for c in missing:
+            if c not in known:
+                known[c] = self._alone(c)
+        for w, c in cores.items():
+            if w not in known:
+                known[w] = known[c] + (stops[w[-1:]] if len(c) < len(w) else b"")
+
+
+def _core(word: bytes) -> bytes:
+    """The word in lower case, without a full stop or comma right behind an ASCII letter."""
+    if word.isascii():
+        word = word.lower()
+    if len(word) > 1 and word[-1] in b".," and word[-2:-1].isalpha():
+        return word[:-1]
+    return word
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    """The tokenizer, and ids (as bytes) of the words it has seen; one of each in a worker."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
+def _words(path: str) -> _Words:
+    """One in each worker."""
+    return _Words(path)
 
 
 def tokenize(texts: list[bytes], path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text. The tokenizer drops white space and never joins across it, so texts are
-    cut there and each distinct word is encoded once."""
-    tokenizer, known = _tokenizer(path)
+    cut there and each distinct word is encoded once. A tokenizer for which that does not hold encodes whole texts."""
+    table = _words(path)
+    if not table.by_word:
+        return [table._alone(t) for t in texts]
     words = [t.split() for t in texts]
-    new = [w for w in set(itertools.chain.from_iterable(words)) if w not in known]
-    if len(known) + len(new) > _CACHE_WORDS:
-        known.clear()
-        new = list(set(itertools.chain.from_iterable(words)))
-    for word, encoding in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-        known[word] = np.array(encoding.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, ws)) for ws in words]
+    table.learn(set(itertools.chain.from_iterable(words)))
+    return [b"".join(map(table.known.__getitem__, ws)) for ws in words]
 
 
 def pieces(
