@@ -1,3 +1,108 @@
-from . import Registry
+"""Entity resolution and vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import geo, keys, text, vectors
+from ..operators import entities as ops
+from . import Registry, table
 
 register = Registry()
+
+
+@register("""WITH RECURSIVE k AS (SELECT c_custkey, c_custkey % 97 AS phone, c_custkey // 40 AS addr FROM customer),
+e AS (SELECT a.c_custkey AS a, b.m AS b FROM k a JOIN (SELECT phone, min(c_custkey) AS m FROM k WHERE phone > 60 GROUP BY 1) b ON a.phone = b.phone
+  UNION SELECT a.c_custkey, b.m FROM k a JOIN (SELECT addr, min(c_custkey) AS m FROM k WHERE addr % 3 = 0 GROUP BY 1) b ON a.addr = b.addr),
+u AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+r(n, c) AS (SELECT a, a FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.n WHERE r.c < u.b)
+SELECT n AS node, min(c) AS component FROM r GROUP BY 1""")
+def connected_components(spark, sf_dir):
+    k = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 97).alias("phone"), F.expr("c_custkey div 40").alias("addr"))
+    strong = {"p": F.when(F.col("phone") > 60, F.col("phone")), "a": F.when(F.col("addr") % 3 == 0, F.col("addr"))}
+    return ops.components(ops.strong_key_edges(k, "c_custkey", strong), "a", "b")
+
+
+@register("""WITH p AS (SELECT p_partkey, p_name, p_type, p_brand, p_size FROM part), j AS (
+  SELECT a.p_partkey AS a, b.p_partkey AS b, jaro_winkler_similarity(a.p_name, b.p_name) AS s FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey)
+SELECT a, b, round(s, 4) AS similarity, CASE WHEN s >= 0.95 THEN 'high' WHEN s >= 0.9 THEN 'medium' ELSE 'low' END AS confidence FROM j WHERE s >= 0.6""")
+def blocked_fuzzy_pairs(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    pairs = ops.blocked_pairs(part, "p_partkey", [F.col("p_brand"), F.col("p_type"), F.col("p_size")], ["p_name"])
+    scored = pairs.withColumn("s", text.jaro_winkler("p_name_a", "p_name_b")).filter("s >= 0.6")
+    return scored.select("a", "b", F.round("s", 4).alias("similarity"), F.when(F.col("s") >= 0.95, "high").when(F.col("s") >= 0.9, "medium").otherwise("low").alias("confidence"))
+
+
+@register("""WITH d AS (SELECT l.doc_id, toxic AS t, CASE WHEN regexp_matches(lower(text), '(idiot|moron|stupid|loser|trash)') THEN 1 ELSE 0 END AS g FROM labels l JOIN documents USING (doc_id)),
+c AS (SELECT count(*) FILTER (t = 1 AND g = 1) AS tp, count(*) FILTER (t <> 1 AND g = 1) AS fp, count(*) FILTER (t = 1 AND g <> 1) AS fn, count(*) FILTER (t <> 1 AND g <> 1) AS tn FROM d)
+SELECT *, round(tp / nullif(tp + fp, 0)::DOUBLE, 4) AS precision, round(tp / nullif(tp + fn, 0)::DOUBLE, 4) AS recall, round(2.0 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 4) AS f1 FROM c""")
+def confusion_counts(spark, sf_dir):
+    d = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return ops.confusion(d.withColumn("g", F.lower("text").rlike("(idiot|moron|stupid|loser|trash)").cast("int")), "toxic", "g")
+
+
+@register("""WITH r AS (SELECT p_brand || p_type AS gold, p_brand || p_size AS got FROM part), t AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM r GROUP BY gold, got)),
+g AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM r GROUP BY gold)), a AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM r GROUP BY got))
+SELECT CAST(t.s AS BIGINT) AS tp, round(t.s / a.s, 4) AS precision, round(t.s / g.s, 4) AS recall FROM t, g, a""")
+def pair_precision_recall(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.concat("p_brand", "p_type").alias("gold"), F.concat("p_brand", "p_size").alias("got"))
+    return ops.pair_quality(part, "gold", "got")
+
+
+@register("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), j AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS s FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id)
+SELECT a, b, round(s, 4) AS cosine, CASE WHEN s >= 0.5 THEN 'same' ELSE 'review' END AS verdict FROM j WHERE s >= 0.35""")
+def cosine_pairs(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    pairs = ops.blocked_pairs(e.withColumnRenamed("embedding", "v"), "vec_id", [F.col("label")], ["v"])
+    s = pairs.withColumn("s", vectors.cosine(F.col("v_a"), F.col("v_b"))).filter("s >= 0.35")
+    return s.select("a", "b", F.round("s", 4).alias("cosine"), F.when(F.col("s") >= 0.5, "same").otherwise("review").alias("verdict"))
+
+
+@register("""WITH h AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)) ELSE 0 END for i in range(1, 33)])::UBIGINT AS h FROM embeddings)
+SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS bits FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 6""")
+def hamming_pairs(spark, sf_dir):
+    bits = F.transform(F.sequence(F.lit(31), F.lit(0), F.lit(-1)), lambda i: F.when(F.element_at("embedding", i + 1) > 0, "1").otherwise("0"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.lower(F.conv(F.array_join(bits, ""), 2, 16)).alias("h"))
+    pairs = ops.blocked_pairs(e, "vec_id", [F.col("label")], ["h"]).withColumn("bits", vectors.hamming_hex(F.col("h_a"), F.col("h_b")))
+    return pairs.filter("bits <= 6").select("a", "b", "bits")
+
+
+@register("""WITH p AS (SELECT p_partkey, p_name, p_brand, array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> ''))), ' ') AS sig FROM part)
+SELECT p_brand, sig, min(p_partkey) AS kept, count(*) AS n, count(DISTINCT p_name) AS names FROM p GROUP BY ALL HAVING count(*) > 1""")
+def signature_merge(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("sig", text.signature(F.col("p_name")))
+    return p.groupBy("p_brand", "sig").agg(F.min("p_partkey").alias("kept"), F.count(F.lit(1)).alias("n"), F.count_distinct("p_name").alias("names")).filter("n > 1")
+
+
+@register("""WITH t AS (SELECT p_partkey, p_brand, list_sort(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))) AS t FROM part)
+SELECT a.p_partkey AS a, b.p_partkey AS b, round(len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t)))::DOUBLE, 4) AS jaccard FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey
+WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t)))::DOUBLE >= 0.9""")
+def token_overlap_pairs(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", text.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("t"))
+    pairs = ops.blocked_pairs(p, "p_partkey", [F.col("p_brand")], ["t"]).withColumn("jaccard", text.jaccard(F.col("t_a"), F.col("t_b")))
+    return pairs.filter("jaccard >= 0.9").select("a", "b", F.round("jaccard", 4).alias("jaccard"))
+
+
+@register("""WITH p AS (SELECT s_suppkey AS id, 25 + (s_suppkey * 37 % 2000) / 100.0::DOUBLE AS lat, -120 + (s_suppkey * 91 % 4000) / 100.0::DOUBLE AS lng FROM supplier)
+SELECT a.id AS a, b.id AS b, round(sqrt(pow((a.lat - b.lat) * 69.0, 2) + pow((a.lng - b.lng) * 54.6, 2)), 4) AS miles FROM p a JOIN p b ON floor(a.lat / 2) = floor(b.lat / 2) AND floor(a.lng / 2) = floor(b.lng / 2) AND a.id < b.id
+WHERE sqrt(pow((a.lat - b.lat) * 69.0, 2) + pow((a.lng - b.lng) * 54.6, 2)) < 80""")
+def geo_cell_candidates(spark, sf_dir):
+    p = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (25 + (F.col("s_suppkey") * 37 % 2000) / 100.0).alias("lat"), (-120 + (F.col("s_suppkey") * 91 % 4000) / 100.0).alias("lng"))
+    pairs = ops.blocked_pairs(p, "id", [geo.cell(F.col("lat"), F.col("lng"), 2.0)], ["lat", "lng"])
+    d = pairs.withColumn("miles", geo.planar_miles(F.col("lat_a"), F.col("lng_a"), F.col("lat_b"), F.col("lng_b")))
+    return d.filter("miles < 80").select("a", "b", F.round("miles", 4).alias("miles"))
+
+
+@register("SELECT CAST(substr(md5(CAST(c_custkey AS VARCHAR) || '|' || c_mktsegment), 1, 2) AS VARCHAR) AS b, count(*) AS n, min(c_custkey) AS least FROM customer GROUP BY 1")
+def md5_buckets(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.groupBy(keys.bucket([F.col("c_custkey"), F.col("c_mktsegment")]).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("least"))
+
+
+def divergence_clusters(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 60).alias("item"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return e.groupBy("item").applyInPandas(ops.greedy_clusters(0.3), "item long, id long, cluster int")
+
+
+register()(divergence_clusters)
