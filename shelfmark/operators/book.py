@@ -49,7 +49,7 @@ def year_over_year(mart: DataFrame, keys: list[str], period: str, value: str) ->
     """Each row beside the row of the same keys a year before; period is YYYYMM."""
     before = mart.select(*keys, (F.col(period) + 100).alias(period), F.col(value).alias("prior"))
     joined = mart.join(before, [*keys, period], "left")
-    return joined.withColumn("yoy_pct", F.round(100.0 * F.try_divide(F.col(value) - F.col("prior"), F.nullif("prior", F.lit(0.0))), 2))
+    return joined.withColumn("yoy_pct", F.round(100.0 * F.try_divide(F.col(value) - F.col("prior"), F.nullif("prior", F.lit(0.0))), 2) + 0.0)  # no negative zero
 
 
 def largest_remainder(shares: DataFrame, by: list[str], share: str, total: str) -> DataFrame:

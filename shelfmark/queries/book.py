@@ -39,7 +39,7 @@ SELECT brand AS name, round(100.0 * (n - t) / nullif(t, 0), 1) AS value FROM g W
 
 
 @register("""WITH m AS (SELECT o_orderpriority AS market, o_orderstatus AS status, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, round(sum(o_totalprice), 2) AS revenue, count(*) AS n FROM orders GROUP BY ALL)
-SELECT a.market, a.status, a.period, a.revenue, a.n, b.revenue AS prior, round(100.0 * (a.revenue - b.revenue) / nullif(b.revenue, 0), 2) AS yoy_pct
+SELECT a.market, a.status, a.period, a.revenue, a.n, b.revenue AS prior, round(100.0 * (a.revenue - b.revenue) / nullif(b.revenue, 0), 2) + 0.0 AS yoy_pct
 FROM m a LEFT JOIN m b ON b.market = a.market AND b.status = a.status AND b.period = a.period - 100""")
 def mart_yoy_selfjoin(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
