@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_fold, text_chunks
 
-SAMPLE_DOCS = {0: 4000, 1: 2000}
+SAMPLE_DOCS = {0: 3000, 1: 1500}
 LANDMARKS = 256
 #: Witness windows that share one letter run, at most.
 PER_SEED = 40
@@ -54,6 +55,8 @@ CLASSES = 40
 SPAN = {3: 5, 4: 6}
 SHARE = {3: 0.25, 4: 1.0}
 TAIL = max(SPAN.values()) - 1
+#: Lengths of letter runs, a word's start counting as a letter, by which first witnesses are found.
+RUNS = range(4, 8)
 _DROP = 255
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 
@@ -160,16 +163,16 @@ def _features(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _kernel(windows: list[bytes], landmarks: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Kernel values of windows (rows) to landmarks, given as known subsequences and their dense weights."""
     known, dense = landmarks
-    out = np.zeros((len(windows), dense.shape[1]))
-    for first in range(0, len(windows), 1000):
-        part = windows[first : first + 1000]
+    out = np.zeros((len(windows), dense.shape[1]), np.float32)
+    for first in range(0, len(windows), 500):
+        part = windows[first : first + 500]
         which, codes, weights = _features(part)
         place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
         hit = known[place] == codes
         which, place, weights = which[hit], place[hit], weights[hit]
         matrix = np.zeros((len(part), len(known)), np.float32)
         np.add.at(matrix, (which, place), weights)
-        out[first : first + 1000] = matrix @ dense
+        out[first : first + 500] = matrix @ dense
     return out
 
 
@@ -183,15 +186,20 @@ def _landmark_features(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> np.ndarray:
     """Squared-hinge support vector machine in the primal, by Newton steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    ridge = np.append(np.ones(x.shape[1] - 1), 1e-3)
+    n = x.shape[1] + 1
+    w = np.zeros(n)
+    ridge = np.append(np.ones(n - 1), 1e-3)
     for _ in range(steps):
-        margin = 1 - y * (x @ w)
-        live = margin > 0
-        xs, cs = x[live], cost[live]
-        grad = ridge * w - xs.T @ (cs * y[live] * margin[live])
-        step = np.linalg.solve((xs * cs[:, None]).T @ xs + np.diag(ridge), grad)
+        grad, hess = ridge * w, np.diag(ridge)
+        for first in range(0, len(x), 2000):  # in slices: the matrix is the largest thing here
+            part = slice(first, first + 2000)
+            xs = np.hstack([x[part].astype(np.float64), np.ones((len(y[part]), 1))])
+            margin = 1 - y[part] * (xs @ w)
+            live = margin > 0
+            xs, cs = xs[live], cost[part][live]
+            grad -= xs.T @ (cs * y[part][live] * margin[live])
+            hess += (xs * cs[:, None]).T @ xs
+        step = np.linalg.solve(hess, grad)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -246,10 +254,10 @@ def _words(classes: np.ndarray, begin: np.ndarray) -> list[list[bytes]]:
     return [[w for w in raw[a:b].split(b"\0") if w] for a, b in zip(begin, ends)]
 
 
-def _runs(word: bytes) -> set[bytes]:
-    """Runs of four to seven letters of a word; one at its start also with that start."""
+def _runs(word: bytes, n: int) -> set[bytes]:
+    """Runs of n letters of a word; one at its start also with that start."""
     anchored = b"\0" + word
-    return {anchored[k : k + n] for n in range(4, 8) for k in range(len(anchored) - n + 1)}
+    return {anchored[k : k + n] for k in range(len(anchored) - n + 1)}
 
 
 def _best_window(word: bytes, sums: np.ndarray) -> bytes:
@@ -279,23 +287,41 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
             sentence_docs.setdefault(s.encode(), i)
     toxic_words: dict[bytes, set[int]] = defaultdict(set)
     clean_words: Counter = Counter()
-    classes, begin = encode(list(sentence_docs))
-    for words, doc in zip(_words(classes, begin), sentence_docs.values()):
-        if y[doc]:
-            for w in words:
-                toxic_words[w].add(doc)
-        else:
-            clean_words.update(words)
-    # Letter runs that toxic documents hold and clean ones never do, in more documents than chance explains.
-    grams: dict[bytes, set[int]] = defaultdict(set)
+    sentences = list(sentence_docs.items())
+    del sentence_docs
+    for first in range(0, len(sentences), 5000):
+        part = sentences[first : first + 5000]
+        for words, (_, doc) in zip(_words(*encode([s for s, _ in part])), part):
+            if y[doc]:
+                for w in words:
+                    toxic_words[w].add(doc)
+            else:
+                clean_words.update(words)
+    del sentences
+    # Letter runs that toxic documents hold and clean ones never do, in more documents than chance explains. Lengths
+    # are taken one by one and only counted first, to keep the table of runs small.
+    by_doc: dict[int, list[bytes]] = defaultdict(list)
     for w, docs in toxic_words.items():
-        for g in _runs(w):
-            grams[g] |= docs
-    for w in clean_words:
-        for g in _runs(w):
-            grams.pop(g, None)
+        for d in docs:
+            by_doc[d].append(w)
+    grams: dict[bytes, set[int]] = {}
+    distinct = 0
+    for n in RUNS:
+        held: Counter = Counter()
+        for ws in by_doc.values():
+            held.update(set().union(*[_runs(w, n) for w in ws]))
+        for w in clean_words:
+            for g in _runs(w, n):
+                held.pop(g, None)
+        distinct += len(held)
+        often = {g for g, count in held.items() if count >= 2}
+        del held
+        grams |= {g: set() for g in often}
+        for w, docs in toxic_words.items():
+            for g in _runs(w, n) & often:
+                grams[g] |= docs
     share = max(0.05, float(y.mean()))
-    least = max(3, math.ceil(math.log(10 * (len(grams) + 1)) / -math.log(share)))
+    least = max(3, math.ceil(math.log(10 * (distinct + 1)) / -math.log(share)))
     seeds = {g: len(docs) for g, docs in grams.items() if len(docs) >= least}
     covered = set().union(*[grams[g] for g in seeds]) if seeds else set()
     rest = {g: left for g, docs in grams.items() if len(docs) >= 2 and g not in seeds and (left := docs - covered)}
@@ -308,7 +334,7 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         rest = {k: left for k, d in rest.items() if (left := d - gone)}
     by_seed: dict[bytes, set[bytes]] = defaultdict(set)
     for w in toxic_words:
-        held = [g for g in _runs(w) if g in seeds]
+        held = [g for n in RUNS for g in _runs(w, n) if g in seeds]
         if held:
             best = max(held, key=lambda g: (seeds[g], len(g), g))
             at = max(0, (b"\0" + w).index(best) - 2)
@@ -331,7 +357,7 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         values, vectors = np.linalg.eigh(gram.astype(np.float64))
         keep = values > 1e-6 * values.max()
         whiten = vectors[:, keep] / np.sqrt(values[keep])
-        x = _kernel(positive + negatives, (known, dense)) @ whiten
+        x = _kernel(positive + negatives, (known, dense)) @ whiten.astype(np.float32)
         target = np.append(np.ones(len(positive)), -np.ones(len(negatives)))
         cost = np.where(target > 0, COST[1], COST[-1])
         w = _svm(x, target, cost)
@@ -346,7 +372,7 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         tables = model.tables()
         # Hard negatives: the highest windows of clean words.
         words = sorted(clean_words)
-        sums = document_sums(words_as_texts(words), tables)
+        sums = np.concatenate([document_sums(words_as_texts(words[i : i + 20_000]), tables) for i in range(0, len(words), 20_000)])
         hard = [words[i] for i in np.argsort(-sums, kind="stable")[:1500]]
         before = len(negative)
         for word in hard:
@@ -354,7 +380,7 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
             negative.add(_best_window(word, window_sums(c, tables)))
         if len(negative) == before:
             break
-    best = np.concatenate([document_sums(texts[i : i + 200], tables) for i in range(0, len(texts), 200)])
+    best = np.concatenate([document_sums(texts[i : i + 100], tables) for i in range(0, len(texts), 100)])
     seen = np.isfinite(best)
     model.slope, model.shift = _logistic(best[seen], y[seen].astype(float), toxic_share)
     # Where classes are parted, the middle lies far from clean texts; insults with inserted letters fall between.
@@ -376,24 +402,39 @@ def words_as_texts(words: list[bytes]) -> list[bytes]:
     return raw.split(b"\0")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int, int] = SAMPLE_DOCS) -> tuple[list[bytes], list[int], float]:
-    """Whole texts and labels of about so many documents a class outside the held-out fold, chosen by a hash of the
-    id, and the share of label 1 in all of that fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int, int] = SAMPLE_DOCS) -> tuple[DataFrame, float] | None:
+    """Whole texts and labels (text, y) of about so many documents a class outside the held-out fold, chosen by a hash
+    of the id, and the share of label 1 in all of that fold; None without labels."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold("doc_id") != 0))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    if not counts:
+        return None
     steps = 1 << 20
     rate = {y: min(steps, math.ceil(steps * sample[y] / n)) for y, n in counts.items()}
-    if not rate:
-        return [], [], 0.0
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(steps))
     picked = known.filter(draw < F.coalesce(*[F.when(F.col("y") == y, F.lit(r)) for y, r in rate.items()]))
     # A few thousand rows of two numbers: safe to broadcast.
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "y").limit(2 * sum(sample.values())).toArrow()
-    return [t.encode() for t in rows["text"].to_pylist()], rows["y"].to_pylist(), counts.get(1, 0) / sum(counts.values())
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    return rows.select(F.coalesce("text", F.lit("")).alias("text"), "y"), counts.get(1, 0) / sum(counts.values())
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int, int] = SAMPLE_DOCS) -> ToxicityModel:
-    return fit(*labelled_sample(docs, labels, label, sample))
+    """Fits in one task on the bounded sample, so that its working memory is an executor's, and brings the model back."""
+    drawn = labelled_sample(docs, labels, label, sample)
+    if drawn is None:
+        return ToxicityModel({}, {}, constant=0.0)
+    rows, share = drawn
+    most = 2 * sum(sample.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y = [], []
+        for batch in batches:
+            texts += batch.column(0).cast(pa.binary()).to_pylist()
+            y += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, y, share))], pa.binary())], names=["model"])
+
+    fitted = rows.limit(most).repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(fitted[0]["model"]) if fitted else ToxicityModel({}, {}, constant=share)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
