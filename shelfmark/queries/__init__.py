@@ -31,10 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def everything() -> Registry:
-    from . import book, dq, entities, joins, masters, matching, observations, offers, text, windows
+    from . import book, dq, entities, joins, landing, masters, matching, observations, offers, text, windows
 
     out = Registry()
-    for module in (observations, book, joins, windows, masters, entities, matching, offers, dq, text):
+    for module in (observations, book, joins, windows, masters, entities, matching, offers, landing, dq, text):
         out.queries |= module.register.queries
         out.sql |= module.register.sql
     return out
