@@ -39,12 +39,13 @@ def asof_tax_band(spark, sf_dir):
     return ops.asof_band(l, F.broadcast(b), ["k"], "day", "effective", "l_quantity", "low", "high")
 
 
-@register("""WITH batch AS (SELECT o_orderkey, 'Z' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 10 = 3 UNION ALL SELECT o_orderkey + 100000000, 'N', o_totalprice FROM orders WHERE o_orderkey % 50 = 0)
+@register("""WITH batch AS (SELECT o_orderkey, 'Z' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT o_orderkey + 100000000, 'N', o_totalprice FROM orders WHERE o_totalprice > 400000)
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch) UNION ALL SELECT * FROM batch""")
 def merge_upsert_antijoin(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    changed = orders.filter("o_orderkey % 10 = 3").select("o_orderkey", F.lit("Z").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
-    fresh = orders.filter("o_orderkey % 50 = 0").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice")
+    whole = table(spark, sf_dir, "orders")
+    orders = whole.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    changed = whole.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", F.lit("Z").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    fresh = orders.filter("o_totalprice > 400000").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice")
     return ops.upsert(orders, changed.unionByName(fresh), ["o_orderkey"])
 
 
@@ -70,14 +71,14 @@ def crosswalk_best_method(spark, sf_dir):
     return ops.best_method([(1, by_name), (2, by_id)], ["s_suppkey"], "c_custkey")
 
 
-@register("""WITH p AS (SELECT p_partkey, p_brand, p_name, p_size FROM part), a AS (SELECT p_brand, p_name, p_size, min(p_partkey) AS t FROM p WHERE p_partkey % 3 = 0 GROUP BY ALL),
-b AS (SELECT p_brand, p_name, min(p_partkey) AS t FROM p WHERE p_partkey % 2 = 0 GROUP BY ALL)
+@register("""WITH p AS (SELECT p_partkey, p_brand, p_name, p_size FROM part), a AS (SELECT p_brand, p_name, p_size, min(p_partkey) AS t FROM p WHERE p_size > 30 GROUP BY ALL),
+b AS (SELECT p_brand, p_name, min(p_partkey) AS t FROM p WHERE p_size <= 20 GROUP BY ALL)
 SELECT p.p_partkey, p.p_brand, p.p_name, p.p_size, CASE WHEN a.t IS NOT NULL THEN 'exact' WHEN b.t IS NOT NULL THEN 'name' ELSE 'unmatched' END AS tier, CAST(coalesce(a.t, b.t) AS VARCHAR) AS t
 FROM p LEFT JOIN a USING (p_brand, p_name, p_size) LEFT JOIN b ON b.p_brand = p.p_brand AND b.p_name = p.p_name""")
 def tiered_match_cascade(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
-    exact = p.filter("p_partkey % 3 = 0").groupBy("p_brand", "p_name", "p_size").agg(F.min("p_partkey").alias("t"))
-    name = p.filter("p_partkey % 2 = 0").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("t"))
+    exact = p.filter("p_size > 30").groupBy("p_brand", "p_name", "p_size").agg(F.min("p_partkey").alias("t"))
+    name = p.filter("p_size <= 20").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("t"))
     return ops.cascade(p, [("exact", exact, ["p_brand", "p_name", "p_size"]), ("name", name, ["p_brand", "p_name"])], "t")
 
 

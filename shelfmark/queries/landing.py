@@ -49,10 +49,10 @@ def merge_lists(spark, sf_dir):
     return ops.merge_lists(table(spark, sf_dir, "part").select("p_brand", F.concat("p_type", F.lit(","), "p_name", F.lit(", ")).alias("l")), ["p_brand"], "l")
 
 
-@register("""WITH g AS (SELECT l_suppkey AS s_suppkey, bool_or(lower(p_name) LIKE '%widget%') AS widgets, bool_or(regexp_matches(lower(p_name), '^blue ring')) AS rings FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey % 2 = 0 GROUP BY 1)
+@register("""WITH g AS (SELECT l_suppkey AS s_suppkey, bool_or(lower(p_name) LIKE '%widget%') AS widgets, bool_or(regexp_matches(lower(p_name), '^blue ring')) AS rings FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'A' AND l_quantity > 48 GROUP BY 1)
 SELECT s_suppkey, coalesce(widgets, false) AS widgets, coalesce(rings, false) AS rings FROM supplier LEFT JOIN g USING (s_suppkey)""")
 def carried_flags(spark, sf_dir):
-    goods = table(spark, sf_dir, "lineitem").filter("l_suppkey % 2 = 0").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("s_suppkey"), "p_name")
+    goods = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A' and l_quantity > 48").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("s_suppkey"), "p_name")
     return ops.carried_flags(table(spark, sf_dir, "supplier").select("s_suppkey"), goods, "s_suppkey", "p_name", {"widgets": "widget", "rings": "^blue ring"})
 
 

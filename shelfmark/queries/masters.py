@@ -86,13 +86,13 @@ def freshest_pick(spark, sf_dir):
     return ops.freshest(e, ["user_id"], "a", ["props", "value"], "s")
 
 
-@register("""WITH k AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_partkey < 12), s AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_size > 5)
+@register("""WITH k AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_type = 'SMALL' AND p_size < 3), s AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_size > 5)
 SELECT brand, 'B' || upper(substr(md5(brand), 1, 10)) AS id, '2024-01-01' AS first_seen, CASE WHEN brand IN (SELECT brand FROM s) THEN '2024-02-01' ELSE '2024-01-01' END AS last_seen FROM k
 UNION ALL SELECT brand, 'B' || upper(substr(md5(brand), 1, 10)), '2024-02-01', '2024-02-01' FROM s WHERE brand NOT IN (SELECT brand FROM k)""")
 def id_registry(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), "p_partkey", "p_size")
+    part = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), "p_type", "p_size")
     start = spark.createDataFrame([], "brand string, id string, first_seen string, last_seen string")
-    known = ops.register_ids(start, part.filter("p_partkey < 12"), "brand", "B", "2024-01-01")
+    known = ops.register_ids(start, part.filter("p_type = 'SMALL' and p_size < 3"), "brand", "B", "2024-01-01")
     return ops.register_ids(known, part.filter("p_size > 5"), "brand", "B", "2024-02-01")
 
 

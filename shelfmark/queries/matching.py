@@ -11,7 +11,7 @@ from . import Registry, table
 register = Registry()
 
 
-@register("""WITH m AS (SELECT DISTINCT p_brand, p_name, p_type, dense_rank() OVER (ORDER BY p_name) AS cluster FROM part WHERE p_partkey % 2 = 0), f AS (SELECT p_partkey AS id, p_brand, replace(p_name, 'e', '') AS p_name FROM part WHERE p_partkey % 50 = 1),
+@register("""WITH m AS (SELECT DISTINCT p_brand, p_name, p_type, dense_rank() OVER (ORDER BY p_name) AS cluster FROM part), f AS (SELECT p_partkey AS id, p_brand, replace(p_name, 'e', '') AS p_name FROM part),
 s AS (SELECT f.id, m.cluster, jaro_winkler_similarity(f.p_name, m.p_name) AS s FROM f JOIN (SELECT DISTINCT p_brand, p_name, cluster FROM m) m USING (p_brand)), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cluster) AS rn FROM s WHERE s >= 0.9)
 SELECT f.id, f.p_brand, f.p_name, r.cluster, round(r.s, 4) AS similarity FROM f LEFT JOIN r ON r.id = f.id AND rn = 1""")
 def incremental_assignment(spark, sf_dir):
@@ -19,8 +19,8 @@ def incremental_assignment(spark, sf_dir):
 
     part = table(spark, sf_dir, "part")
     # Distinct names are a short list; their ranks name the clusters.
-    m = part.filter("p_partkey % 2 = 0").select("p_brand", "p_name").distinct().withColumn("cluster", F.dense_rank().over(Window.orderBy("p_name")).cast("long"))
-    fresh = part.filter("p_partkey % 50 = 1").select(F.col("p_partkey").alias("id"), "p_brand", F.replace("p_name", F.lit("e"), F.lit("")).alias("p_name"))
+    m = part.select("p_brand", "p_name").distinct().withColumn("cluster", F.dense_rank().over(Window.orderBy("p_name")).cast("long"))
+    fresh = part.select(F.col("p_partkey").alias("id"), "p_brand", F.replace("p_name", F.lit("e"), F.lit("")).alias("p_name"))
     return ops.assign_to_clusters(fresh, m, "p_brand", "p_name")
 
 
@@ -31,15 +31,15 @@ def merge_candidates(spark, sf_dir):
     return ops.merge_candidates(p, ["p_brand", "p_name"], "code")
 
 
-@register("""WITH c AS (SELECT p_partkey, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 10 = 0), m AS (SELECT p_brand AS brand, p_size AS size, max(CAST(l_shipdate AS DATE)) AS seen FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_partkey % 10 <> 0 AND p_brand <> 'Brand#2' GROUP BY ALL),
+@register("""WITH c AS (SELECT p_partkey, p_brand AS brand, p_size AS size FROM part), m AS (SELECT p_brand AS brand, p_size AS size, max(CAST(l_shipdate AS DATE)) AS seen FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand <> 'Brand#2' AND p_type <> 'SMALL' GROUP BY ALL),
 j AS (SELECT c.*, m.seen AS e, (SELECT max(seen) FROM m x WHERE x.brand = c.brand) AS l FROM c LEFT JOIN m USING (brand, size)),
 s AS (SELECT p_partkey, brand, size, round(CASE WHEN e IS NOT NULL THEN 0.9 WHEN l IS NOT NULL THEN 0.65 ELSE 0.0 END * coalesce(pow(0.5, greatest(date_diff('day', coalesce(e, l), DATE '2001-12-31'), 0) / 180.0), 0.0), 4)::DOUBLE AS score FROM j)
 SELECT *, CASE WHEN score >= 0.6 THEN 1 WHEN score > 0 THEN 2 ELSE 3 END AS tier FROM s""")
 def market_tiering(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    c = part.filter("p_partkey % 10 = 0").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    c = part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
     sold = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.to_date("l_shipdate").alias("seen"))
-    m = part.filter("p_partkey % 10 <> 0 and p_brand <> 'Brand#2'").join(sold, "p_partkey").select(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), "seen")
+    m = part.filter("p_brand <> 'Brand#2' and p_type <> 'SMALL'").join(sold, "p_partkey").select(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), "seen")
     return ops.corroborate(c, m, "brand", "size", F.lit("2001-12-31").cast("date"), "seen").select("p_partkey", "brand", "size", "score", "tier")
 
 
@@ -50,27 +50,28 @@ def longest_dictionary_match(spark, sf_dir):
     return ops.longest_dictionary_match(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", d, "term")
 
 
-@register("""WITH f AS (SELECT o_custkey % 40 AS account, o_orderpriority AS owner, count(*) AS n FROM orders WHERE o_custkey % 40 < 20 OR o_orderpriority = '5-LOW' OR o_orderkey % 9 = 0 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY n DESC, owner DESC) AS rn FROM f)
+@register("""WITH f AS (SELECT c_nationkey AS account, CASE WHEN c_nationkey < 12 AND o_totalprice > 60000 THEN '5-LOW' ELSE o_orderpriority END AS owner, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY n DESC, owner DESC) AS rn FROM f)
 SELECT account, CASE WHEN max(n) FILTER (rn = 1) >= 20 AND max(n) FILTER (rn = 1) >= 0.6 * sum(n) AND max(n) FILTER (rn = 1) >= 3 * coalesce(max(n) FILTER (rn > 1), 0) THEN max(owner) FILTER (rn = 1) END AS scope, max(n) FILTER (rn = 1) AS votes, CAST(sum(n) AS BIGINT) AS "all", coalesce(max(n) FILTER (rn > 1), 0) AS next FROM r GROUP BY 1""")
 def distributor_scope(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_custkey % 40 < 20 or o_orderpriority = '5-LOW' or o_orderkey % 9 = 0")
-    return ops.scope(o.select((F.col("o_custkey") % 40).alias("account"), F.col("o_orderpriority").alias("owner")), "account", "owner")
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    owner = F.when((F.col("c_nationkey") < 12) & (F.col("o_totalprice") > 60000), "5-LOW").otherwise(F.col("o_orderpriority"))
+    return ops.scope(o.select(F.col("c_nationkey").alias("account"), owner.alias("owner")), "account", "owner")
 
 
-@register("""WITH o AS (SELECT c_acctbal % 50 > 25 AS x, substr(c_name, 16, 3) AS k, c_custkey FROM customer WHERE c_custkey % 3 <> 0), g AS (SELECT k, count(DISTINCT c_custkey) AS n, min(c_custkey) AS o FROM o GROUP BY 1)
+@register("""WITH o AS (SELECT c_acctbal % 50 > 25 AS x, substr(c_name, 16, 3) AS k, c_custkey FROM customer WHERE c_acctbal > 0), g AS (SELECT k, count(DISTINCT c_custkey) AS n, min(c_custkey) AS o FROM o GROUP BY 1)
 SELECT s_suppkey, substr(s_name, 16, 3) AS k, CASE WHEN n = 1 THEN 'located' WHEN n > 1 THEN 'ambiguous' ELSE 'unlocated' END AS status, CASE WHEN n = 1 THEN o END AS outlet FROM supplier LEFT JOIN g ON g.k = substr(s_name, 16, 3)""")
 def venue_resolution(spark, sf_dir):
-    outlets = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(F.substring("c_name", 16, 3).alias("k"), "c_custkey")
+    outlets = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.substring("c_name", 16, 3).alias("k"), "c_custkey")
     return ops.venue_resolution(table(spark, sf_dir, "supplier").select("s_suppkey", F.substring("s_name", 16, 3).alias("k")), outlets, "k", "c_custkey")
 
 
-@register("""WITH a AS (SELECT p_brand, p_size, min(p_partkey) AS sku FROM part WHERE p_partkey % 4 = 0 GROUP BY ALL), b AS (SELECT p_name, min(p_partkey) AS sku FROM part WHERE p_partkey % 2 = 1 GROUP BY ALL)
+@register("""WITH a AS (SELECT p_brand, p_size, min(p_partkey) AS sku FROM part WHERE p_type = 'SMALL' GROUP BY ALL), b AS (SELECT p_name, min(p_partkey) AS sku FROM part WHERE p_size > 25 GROUP BY ALL)
 SELECT p.p_partkey, p.p_brand, p.p_size, p.p_name, coalesce(a.sku, b.sku) AS sku, CASE WHEN a.sku IS NOT NULL THEN 'first' WHEN b.sku IS NOT NULL THEN 'second' END AS via FROM part p LEFT JOIN a USING (p_brand, p_size) LEFT JOIN b USING (p_name)""")
 def facts_dual_lookup(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name")
-    a = p.filter("p_partkey % 4 = 0").groupBy("p_brand", "p_size").agg(F.min("p_partkey").alias("sku"))
-    b = p.filter("p_partkey % 2 = 1").groupBy("p_name").agg(F.min("p_partkey").alias("sku"))
-    return ops.dual_lookup(p, a, ["p_brand", "p_size"], b, ["p_name"], "sku")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
+    a = p.filter("p_type = 'SMALL'").groupBy("p_brand", "p_size").agg(F.min("p_partkey").alias("sku"))
+    b = p.filter("p_size > 25").groupBy("p_name").agg(F.min("p_partkey").alias("sku"))
+    return ops.dual_lookup(p.drop("p_type"), a, ["p_brand", "p_size"], b, ["p_name"], "sku")
 
 
 @register("SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders JOIN (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS m FROM orders GROUP BY 1) USING (o_custkey) WHERE CAST(o_orderdate AS DATE) = m")

@@ -94,13 +94,13 @@ def run_ledger(spark, sf_dir):
     return ops.run_ledger(r, "event_type", "day", "ok", "n")
 
 
-@register("""WITH i AS (SELECT l_suppkey AS k, sum(l_quantity) AS implied FROM lineitem GROUP BY 1), a AS (SELECT l_suppkey AS k, sum(l_extendedprice) / 100 AS actual FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1),
+@register("""WITH i AS (SELECT l_suppkey AS k, sum(l_quantity) AS implied FROM lineitem GROUP BY 1), a AS (SELECT l_suppkey AS k, sum(l_extendedprice) / 100 AS actual FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
 j AS (SELECT * FROM i JOIN a USING (k)), s AS (SELECT sum(actual) / sum(implied) AS scale, count(*) AS cells FROM j)
 SELECT round(any_value(scale), 6) AS scale, any_value(cells) AS cells, round(avg(abs(actual - scale * implied) / actual), 6) AS mape FROM j, s""")
 def velocity_calibration(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
     implied = l.groupBy(F.col("l_suppkey").alias("k")).agg(F.sum("l_quantity").alias("implied"))
-    anchor = l.filter("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("k")).agg((F.sum("l_extendedprice") / 100).alias("actual"))
+    anchor = l.filter("l_linestatus = 'O'").groupBy(F.col("l_suppkey").alias("k")).agg((F.sum("l_extendedprice") / 100).alias("actual"))
     return ops.calibrate(implied, anchor, ["k"])
 
 
