@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, langid, media, mixing, packing, topk, toxicity, warc
+from . import chat, htmltext, jaccard, langid, media, mixing, packing, topk, toxicity, warc
 from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op6_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 @query
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_table(warc.archive_pages(read(spark, sf_dir, "pages")), "warc")
