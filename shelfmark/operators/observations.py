@@ -18,6 +18,12 @@ COUNT_COVERAGE, COUNT_LEVELS = 0.5, 15
 Z95 = 1.96
 
 
+def _distinct(c: Column | str) -> Column:
+    """Distinct values as the size of a set, for groups whose sets are bounded by a dimension (a catalog, a calendar):
+    several exact distinct counts in one aggregate would each add a copy of every row before the shuffle."""
+    return F.size(F.collect_set(c)).cast("long")
+
+
 def _lagged(obs: DataFrame, *columns: str) -> DataFrame:
     w = Window.partitionBy(*CELL).orderBy("d")
     return obs.withColumns({f"p_{c}": F.lag(c).over(w) for c in columns})
@@ -33,11 +39,11 @@ def quality_cells(obs: DataFrame) -> DataFrame:
         .groupBy(*CELL)
         .agg(
             F.count(F.lit(1)).alias("n_obs"),
-            F.count_distinct("d").alias("n_days"),
+            _distinct("d").alias("n_days"),
             F.min("d").alias("first_date"),
             F.max("d").alias("last_date"),
             F.count("qty").alias("n_qty"),
-            F.count_distinct("qty").alias("distinct_qty"),
+            _distinct("qty").alias("distinct_qty"),
             F.count_if(moved).alias("qty_moves"),
             F.count_if(F.coalesce(F.col("price") != F.col("p_price"), F.lit(False))).alias("price_moves"),
             F.count_if(jitter).alias("jitter_moves"),
@@ -236,14 +242,14 @@ def store_rollup(obs: DataFrame, *keys: str) -> DataFrame:
     quartiles = F.percentile("price", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     r = obs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_obs"),
-        F.count_distinct("product_id").alias("items"),
-        F.count_distinct("brand").alias("brands"),
-        F.count_distinct("d").alias("days"),
+        _distinct("product_id").alias("items"),
+        _distinct("brand").alias("brands"),
+        _distinct("d").alias("days"),
         F.min("d").alias("first_seen"),
         F.max("d").alias("last_seen"),
         quartiles.alias("q"),
         F.count_if(F.col("on_promo")).alias("promos"),
-        F.count_distinct(F.when(F.col("on_promo"), F.col("product_id"))).alias("promo_items"),
+        _distinct(F.when(F.col("on_promo"), F.col("product_id"))).alias("promo_items"),
         F.count_if(F.col("qty") > 0).alias("stocked"),
     )
     return r.select(
