@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import attach
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,6 +29,7 @@ class Registry:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    attach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -19,7 +19,7 @@ def document_profile(spark, sf_dir):
 @register("""SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, octet_length(encode(html)) AS bytes, (length(html) - length(replace(html, '<p>', ''))) // 3 AS paragraphs FROM pages""")
 def page_fields(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.octet_length("html").alias("bytes"), F.floor((F.length("html") - F.length(F.replace("html", F.lit("<p>"), F.lit("")))) / 3).alias("paragraphs"))
+    return p.select("page_id", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.octet_length("html").cast("long").alias("bytes"), F.floor((F.length("html") - F.length(F.replace("html", F.lit("<p>"), F.lit("")))) / 3).alias("paragraphs"))
 
 
 @register("""SELECT conv_id, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS path, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars FROM conversations GROUP BY 1""")
@@ -32,7 +32,7 @@ def conversation_lineage(spark, sf_dir):
 @register("""SELECT p_brand, len(list_distinct(list(p_type))) AS types, array_to_string(list_sort(list_distinct(list(p_type))), ',') AS type_list, list_contains(list(p_type), 'SMALL') AS has_small FROM part GROUP BY 1""")
 def array_functions(spark, sf_dir):
     s = F.sort_array(F.collect_set("p_type"))
-    return table(spark, sf_dir, "part").groupBy("p_brand").agg(F.size(s).alias("types"), F.array_join(s, ",").alias("type_list"), F.array_contains(s, "SMALL").alias("has_small"))
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(F.size(s).cast("long").alias("types"), F.array_join(s, ",").alias("type_list"), F.array_contains(s, "SMALL").alias("has_small"))
 
 
 @register("""WITH u AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) SELECT w, count(*) AS n, count(DISTINCT p_partkey) AS parts FROM u GROUP BY 1""")

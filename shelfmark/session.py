@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+ROOT = str(Path(__file__).resolve().parent.parent)
+
+
+def attach(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package, wherever the driver was started. On a cluster whose
+    machines do not have it at this path it goes with --py-files."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, *paths) if p)
+
 
 def get_spark(app: str = "shelfmark", master: str | None = None, **conf: str) -> SparkSession:
     """Session in UTC with adaptive execution; cluster settings are left to spark-submit."""
@@ -19,4 +33,6 @@ def get_spark(app: str = "shelfmark", master: str | None = None, **conf: str) ->
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    attach(spark)
+    return spark

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import attach
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -21,6 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def write_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
+    attach(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
