@@ -36,12 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks, write_table
+from .common import arrow_group, arrow_task, small_batches, text_chunks, write_table
 from .graph import connected_components
 from .shingles import Shingler, set_key
 
 #: Shingles a bucket should hold, and a task gathers before it packs blocks.
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 1_000_000
 BUFFER_TOKENS = 1_000_000
 #: Share of documents from which a shingle is heavy.
 HEAVY = 1 / 200
@@ -67,6 +67,7 @@ def profile(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
 
+    @arrow_task("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         held, docs_held = [], 0
@@ -141,6 +142,7 @@ def _deal(docs: DataFrame, width: int, text_col: str, buckets: int, heavy: np.nd
     shingles go straight to the key of the batch, behind them."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
+    @arrow_task("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, known = Shingler(width), shared.value
         number = TaskContext.get().partitionId() << 24
@@ -193,6 +195,7 @@ _BLOCKS = pa.schema([("key", pa.int64()), ("block", pa.binary())])
 def _count_bucket(buckets: int):
     """Of one bucket: the shingles that two or more documents hold, in blocks by batch, with a frequency class."""
 
+    @arrow_group("jaccard")
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         if bucket >= buckets:
@@ -246,6 +249,7 @@ def choose_matches(grades: np.ndarray, unique: int, n: int, need: int) -> int:
 def _gather_nodes(numerator: int, denominator: int):
     """Nodes that may link: node, n, matches, their shared shingles (sorted) and their prefix."""
 
+    @arrow_group("jaccard")
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, docs, classes, nodes, sizes = [], [], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for block in table["block"]:
@@ -385,6 +389,7 @@ def _verify_group(numerator: int, denominator: int):
 
 def jaccard_join(docs: DataFrame, width: int = 5, numerator: int = 8, denominator: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, n_links (documents that it links with, copies included)."""
+    small_batches(docs.sparkSession)
     seen = write_table(profile(docs, width, id_col, text_col), "shingle-profile")
     known = write_table(seen.filter("n is not null").select("doc_id", "n", "node"), "shingle-nodes")
     count, tokens = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()

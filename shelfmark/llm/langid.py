@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, text_chunks
+from .common import arrow_task, crc_fold, small_batches, text_chunks
 
 SAMPLE_DOCS = 600
 ORDER = 3
@@ -118,6 +118,7 @@ def build(languages: list[str], language: np.ndarray, grams: np.ndarray, counts:
 
 def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> LanguageModel | None:
     """Counts contexts in about sample_docs documents a language outside the held-out fold; None if there are none."""
+    small_batches(docs.sparkSession)
     known = docs.select("doc_id", F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(
         F.col("lang").isNotNull() & (crc_fold("doc_id") != 0)
     )
@@ -131,6 +132,7 @@ def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOC
     number = F.create_map(*[F.lit(x) for i, k in enumerate(languages) for x in (k, i)])
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < table[F.col("lang")]).select(number[F.col("lang")].alias("k"), "text")
 
+    @arrow_task("langid")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             which = batch.column(0).to_numpy(zero_copy_only=False)
@@ -149,6 +151,7 @@ def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOC
 def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """All columns, then lang_pred, score and bits_per_byte."""
     new = ("lang_pred", "score", "bits_per_byte")
+    small_batches(docs.sparkSession)
     kept = docs.drop(*[c for c in new if c in docs.columns])
     letters = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
     if model is None:
@@ -157,6 +160,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @arrow_task("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         tags = pa.array([*m.languages, UNKNOWN])

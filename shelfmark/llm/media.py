@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import small_batches, text_chunks
 
 PAD = 576
 WIDTH = 24
@@ -212,6 +212,7 @@ def text_images(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 media = [encode_pgm(np.frombuffer(pad(data[a:b].tobytes()), np.uint8).reshape(-1, WIDTH)) for a, b in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(np.diff(offsets)), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, f"doc_id {dict(picked.dtypes)['doc_id']}, n_bytes long, media binary")
 

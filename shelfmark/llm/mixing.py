@@ -60,7 +60,6 @@ def _find(hashed: DataFrame, budgets: dict[int, int], tolerance: float) -> dict[
     ranges: dict[int, list[tuple[int, int, int]]] = {k: [] for k in budgets}
     left = dict(budgets)
     start = {k: 0 for k, b in budgets.items() if b > 0}
-    top = 1 << HASH_BITS
     for _ in range(ROUNDS):
         # A search: where it stands, the bucket's first hash and its width in bits, and the size that fits.
         open_ = {k: [start[k], HASH_BITS, left[k]] for k in start}

@@ -14,6 +14,7 @@ once each; an empty table gives an empty result; columns of the input other than
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks, write_table
+from .common import arrow_task, small_batches, text_chunks, write_table
 
 LENGTH = 4096
 END_ID = 1
@@ -32,8 +33,8 @@ END_ID = 1
 GROUP = 8192
 SLACK = 16
 ROUNDS = 3
-#: Words whose ids a worker keeps; it forgets all of them beyond.
-_CACHE_WORDS = 1_000_000
+#: Words whose ids a worker keeps, about 170 bytes each; it forgets all of them beyond.
+CACHE_WORDS = 800_000
 #: Stands between words that are encoded together; a word that holds it is encoded alone.
 _MARK = b"\x01"
 
@@ -41,7 +42,7 @@ _MARK = b"\x01"
 class _Words:
     """A tokenizer and the ids, as bytes, of words it has seen."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,14 +50,14 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.most = most
         mark = self._alone(_MARK)
         self.mark = int.from_bytes(mark, "little") if len(mark) == 4 else None  # else no word is encoded with others
-        self.stops = {c: self._alone(c) for c in (b".", b",")}
         # Cutting at white space, folding case and parting stops must not change this tokenizer's ids.
         probe = b"The QUICK, brown\n\tfox.  Jumped \x01 over, a1, (b) c-d. E"
         whole = self._alone(probe)
-        self.learn(set(probe.split()))
-        self.by_word = self.mark is not None and whole == b"".join(self.known[w] for w in probe.split())
+        self.learn(set(_cut(probe)))
+        self.by_word = self.mark is not None and whole == b"".join(self.known[w] for w in _cut(probe))
 
     def _alone(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
@@ -77,63 +78,57 @@ class _Words:
             known.update(zip(part, [raw[x:y] for x, y in zip([0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(raw)])]))
 
     def learn(self, words: set[bytes]) -> None:
-        """Ids of words. The tokenizer folds case and parts letters from a full stop or comma behind them, so a word
-        with one is its own ids and the stop's."""
-        known, stops = self.known, self.stops
+        known = self.known
         new = [w for w in words if w not in known]
-        if len(known) + len(new) > _CACHE_WORDS:
+        if len(known) + len(new) > self.most:
             known.clear()
             new = list(words)
-        cores = {w: _core(w) for w in new}
-        missing = [c for c in set(cores.values()) if c not in known]
-        plain = [c for c in missing if _MARK not in c]
-        self._encode(plain)
-        for c in missing:
-            if c not in known:
-                known[c] = self._alone(c)
-        for w, c in cores.items():
+        self._encode([w for w in new if _MARK not in w])
+        for w in new:
             if w not in known:
-                known[w] = known[c] + (stops[w[-1:]] if len(c) < len(w) else b"")
+                known[w] = self._alone(w)
+
+
+#: A full stop or comma right behind a letter and before white space or the end.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\s]|\Z)")
 
 
-def _core(word: bytes) -> bytes:
-    """The word in lower case, without a full stop or comma right behind an ASCII letter."""
-    if word.isascii():
-        word = word.lower()
-    if len(word) > 1 and word[-1] in b".," and word[-2:-1].isalpha():
-        return word[:-1]
-    return word
+def _cut(text: bytes) -> list[bytes]:
+    """Words of a text, in lower case. Such a stop is a word of its own to the tokenizer too."""
+    return _STOP.sub(rb" \1", text.lower()).split()
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
+def _words(path: str, most: int) -> _Words:
     """One in each worker."""
-    return _Words(path)
+    return _Words(path, most)
 
 
-def tokenize(texts: list[bytes], path: str) -> list[bytes]:
+def tokenize(texts: list[bytes], path: str, cache_words: int = CACHE_WORDS) -> list[bytes]:
     """Little-endian 32-bit ids of each text. The tokenizer drops white space and never joins across it, so texts are
     cut there and each distinct word is encoded once. A tokenizer for which that does not hold encodes whole texts."""
-    table = _words(path)
+    table = _words(path, cache_words)
     if not table.by_word:
         return [table._alone(t) for t in texts]
-    words = [t.split() for t in texts]
+    words = [_cut(t) for t in texts]
     table.learn(set(itertools.chain.from_iterable(words)))
     return [b"".join(map(table.known.__getitem__, ws)) for ws in words]
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, keep_ids: bool = False
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, keep_ids: bool = False, cache_words: int = CACHE_WORDS
 ) -> DataFrame:
     """A row a piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian 32-bit)."""
     end = np.array([end_id], "<u4").tobytes()
+    small_batches(docs.sparkSession)
 
+    @arrow_task("packing", _words.cache_clear)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in text_chunks(batch.column(1), 1 << 20):
                 raw = data.tobytes()
                 rows, cuts = [], []
-                for k, ids in enumerate(tokenize([raw[a:b] for a, b in zip(offsets, offsets[1:])], tokenizer)):
+                for k, ids in enumerate(tokenize([raw[a:b] for a, b in zip(offsets, offsets[1:])], tokenizer, cache_words)):
                     ids += end
                     for at in range(0, len(ids), 4 * length):
                         part = ids[at : at + 4 * length]
@@ -246,6 +241,6 @@ def pack(parts: DataFrame, size: int = LENGTH, group: int = GROUP, slack: int =
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Tokenizes, cuts and packs: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(write_table(pieces(docs, tokenizer, id_col, text_col, length, end_id), "pieces"), length)
+    return pack(write_table(pieces(docs, tokenizer, id_col, text_col, length, end_id, cache_words=cache_words), "pieces"), length)

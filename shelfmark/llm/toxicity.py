@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, text_chunks
+from .common import arrow_task, crc_fold, small_batches, text_chunks
 
 SAMPLE_DOCS = {0: 3000, 1: 1500}
 LANDMARKS = 256
@@ -420,12 +420,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sa
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int, int] = SAMPLE_DOCS) -> ToxicityModel:
     """Fits in one task on the bounded sample, so that its working memory is an executor's, and brings the model back."""
+    small_batches(docs.sparkSession)
     drawn = labelled_sample(docs, labels, label, sample)
     if drawn is None:
         return ToxicityModel({}, {}, constant=0.0)
     rows, share = drawn
     most = 2 * sum(sample.values())
 
+    @arrow_task("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, y = [], []
         for batch in batches:
@@ -439,11 +441,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """All columns, then score and predicted; every whole text is read once, a few megabytes at a time."""
+    small_batches(docs.sparkSession)
     kept = docs.drop(*[c for c in ("score", "predicted") if c in docs.columns])
     names = kept.columns
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @arrow_task("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value.tables()
         for batch in batches:
