@@ -17,6 +17,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document stays if the language model gives its best language at least this share.
 LANGUAGE_SCORE = 0.5
 TOKENIZER = "word_bpe_49k.json"
+#: Workers have run other stages before and keep some of their memory, so the last stage keeps fewer words.
+CACHE_WORDS = 250_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +53,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their sequences; a document that the mixture repeats is packed as often."""
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cache_words=CACHE_WORDS)
 
 
 STAGES = [
