@@ -1,13 +1,10 @@
-"""What the operators share: working tables in the shared folder, text buffers, hashing."""
+"""What the operators share: working tables, text buffers, workers' memory, hashing."""
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import functools
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import attach
+from ..sources.working import shared_dir, write_table
 
 #: Pattern of a word, as the contracts give it: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,40 +23,6 @@ CHUNK_ROWS = 20_000
 #: Rows of an Arrow batch of texts; a session that asks for fewer keeps its number.
 ROWS_PER_BATCH = 2000
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="shelfmark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: a cut of the lineage that survives lost executors.
-
-    The folder is removed when the driver's Python ends, not before: results are lazy and may still read it.
-    """
-    spark = df.sparkSession
-    attach(spark)
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@atexit.register
-def _remove() -> None:
-    for spark, path in _written:
-        try:
-            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-        except Exception:  # noqa: BLE001  the session may be gone at exit
-            return
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     attach(spark)
@@ -166,3 +130,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+__all__ = ["CHUNK_BYTES", "WORD", "arrow_group", "arrow_task", "crc_fold", "mix64", "read", "shared_dir", "small_batches", "text_chunks", "write_table"]
