@@ -34,7 +34,7 @@ GROUP = 8192
 SLACK = 16
 ROUNDS = 3
 #: Words whose ids a worker keeps, about 170 bytes each; it forgets all of them beyond.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_200_000
 #: Stands between words that are encoded together; a word that holds it is encoded alone.
 _MARK = b"\x01"
 
