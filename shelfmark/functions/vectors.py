@@ -18,3 +18,9 @@ def cosine(a: Column, b: Column) -> Column:
 def hamming_hex(a: Column, b: Column) -> Column:
     """Differing bits of two hashes of up to 64 bits, as hex."""
     return F.bit_count(F.conv(a, 16, -10).cast("long").bitwiseXOR(F.conv(b, 16, -10).cast("long")))
+
+
+def sign_bits(v: Column) -> Column:
+    """The signs of a vector's first 64 components as a long, the first component in the lowest bit; null for null."""
+    bit = lambda i: F.when(F.get(v, i) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    return F.when(v.isNotNull(), F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseOR(bit(i))))

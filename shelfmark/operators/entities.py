@@ -42,6 +42,79 @@ def blocked_pairs(rows: DataFrame, id_col: str, block: list[Column], keep: list[
     return left.join(right, "block").filter("a < b")
 
 
+def all_pairs(rows: DataFrame, id_col: str, value: Column, group: str, meet, schema: str, block: int = 2048, shape: Column | None = None) -> DataFrame:
+    """a, b (the smaller id first), across (whether their groups differ) and what `meet` gives, of every two rows that
+    it keeps. Rows are dealt into blocks, and each pair of blocks is a task of its own, so that each two rows meet once
+    and none is skipped for its group or its number of likes. Only rows of one shape (say, a vector's length) meet.
+    meet takes the values of both sides and gives places on the left, places on the right and the measure."""
+    import numpy as np
+    import pandas as pd
+
+    name = schema.split()[0]
+    blocks = max(1, -(-rows.count() // block))
+    dealt = rows.select(F.col(id_col).cast("long").alias("id"), F.col(group).cast("string").alias("g"), value.alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("own"))
+    every = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        ids, groups, own = frame["id"].to_numpy(np.int64), frame["g"].to_numpy(object), frame["own"].to_numpy()
+        left, right = np.flatnonzero(own == key[0]), np.flatnonzero(own == key[1])
+        x, y, s = meet(frame["v"].iloc[left], frame["v"].iloc[right])
+        x, y = left[x], right[y]
+        ok = ids[x] != ids[y] if key[0] != key[1] else ids[x] < ids[y]
+        x, y, s = x[ok], y[ok], s[ok]
+        return pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y]), "across": (groups[x] != groups[y]).astype(bool), name: s})
+
+    by = every.groupBy(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.lit(0) if shape is None else shape).alias("shape"))
+    return by.applyInPandas(run, f"a long, b long, across boolean, {schema}")
+
+
+def cosine_at_least(rows: DataFrame, id_col: str, vector: str, group: str, least: float, block: int = 2048) -> DataFrame:
+    """a, b, across, s of every two vectors with a cosine s of `least` or more. A matrix product finds them with room for
+    its rounding; their cosines are then summed in order, as `vectors.cosine` does. Vectors that are null, zero or
+    hold a null or non-finite component take no part; vectors of different lengths do not meet."""
+    import numpy as np
+
+    def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a))
+        for d in range(a.shape[1]):
+            out += a[:, d] * b[:, d]
+        return out
+
+    def meet(left, right) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        if len(left) and len(right):
+            a, b = (np.stack(v.to_numpy()).astype(float) for v in (left, right))
+            na, nb = np.sqrt(dots(a, a)), np.sqrt(dots(b, b))
+            ub = (b / nb[:, None]).T
+            for at in range(0, len(a), 256):
+                x, y = np.nonzero((a[at : at + 256] / na[at : at + 256, None]) @ ub >= least - 1e-9)
+                for k in range(0, len(x), 1 << 16):
+                    u, v = x[k : k + (1 << 16)] + at, y[k : k + (1 << 16)]
+                    s = dots(a[u], b[v]) / (na[u] * nb[v])
+                    found.append((u[s >= least], v[s >= least], s[s >= least]))
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    v = F.transform(F.col(vector), lambda x: x.cast("double"))
+    fine = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))) & F.exists(v, lambda x: x != 0)
+    return all_pairs(rows.filter(F.col(id_col).isNotNull() & fine), id_col, F.col(vector), group, meet, "s double", block, F.size("v"))
+
+
+def hamming_at_most(rows: DataFrame, id_col: str, bits: Column, group: str, most: int, block: int = 2048) -> DataFrame:
+    """a, b, across, bits of every two hashes (long, up to 64 bits) that differ in `most` bits or fewer."""
+    import numpy as np
+
+    def meet(left, right) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32))]
+        a, b = (v.to_numpy(np.int64).view(np.uint64) for v in (left, right))
+        for at in range(0, len(a), 256):
+            n = np.bitwise_count(a[at : at + 256, None] ^ b[None])
+            x, y = np.nonzero(n <= most)
+            found.append((x + at, y, n[x, y].astype(np.int32)))
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    return all_pairs(rows.filter(F.col(id_col).isNotNull() & bits.isNotNull()), id_col, bits, group, meet, "bits int", block)
+
+
 def strong_key_edges(rows: DataFrame, id_col: str, keys: dict[str, Column]) -> DataFrame:
     """Edges from each row to the least row that shares one of its strong keys: stars, not pairs."""
     pairs = F.array_compact(F.array(*[F.when(text.present(k), F.concat(F.lit(f"{n}:"), k.cast("string"))) for n, k in keys.items()]))

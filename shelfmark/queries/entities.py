@@ -68,6 +68,20 @@ def hamming_pairs(spark, sf_dir):
     return pairs.filter("bits <= 6").select("a", "b", "bits")
 
 
+@register("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), j AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label IS DISTINCT FROM b.label AS across, list_cosine_similarity(a.v, b.v) AS s FROM e a JOIN e b ON a.vec_id < b.vec_id)
+SELECT a, b, across, round(s, 4) AS cosine, CASE WHEN s >= 0.5 THEN 'same' ELSE 'review' END AS verdict FROM j WHERE s >= 0.35 AND NOT isnan(s)""")
+def cosine_pairs_all(spark, sf_dir):
+    s = ops.cosine_at_least(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.35)
+    return s.select("a", "b", "across", F.round("s", 4).alias("cosine"), F.when(F.col("s") >= 0.5, "same").otherwise("review").alias("verdict"))
+
+
+@register("""WITH h AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)) ELSE 0 END for i in range(1, 65)])::UBIGINT AS h FROM embeddings)
+SELECT a.vec_id AS a, b.vec_id AS b, a.label IS DISTINCT FROM b.label AS across, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS bits FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 16""")
+def hamming_pairs_all(spark, sf_dir):
+    return ops.hamming_at_most(table(spark, sf_dir, "embeddings"), "vec_id", vectors.sign_bits(F.col("embedding")), "label", 16)
+
+
 @register("""WITH p AS (SELECT p_partkey, p_name, p_brand, array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> ''))), ' ') AS sig FROM part)
 SELECT p_brand, sig, min(p_partkey) AS kept, count(*) AS n, count(DISTINCT p_name) AS names FROM p GROUP BY ALL HAVING count(*) > 1""")
 def signature_merge(spark, sf_dir):

@@ -83,3 +83,20 @@ def test_polygon_borders_go_to_the_lowest_code(spark):
     polygons = spark.createDataFrame([("02", square(1.0)), ("01", square(0.0))], "code string, ring array<struct<x: double, y: double>>")
     points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.0, 0.5), (3, 5.0, 5.0)], "id int, x double, y double")
     assert {r["id"]: r["code"] for r in joins.point_in_polygon(points, polygons, 0.5).collect()} == {1: "01", 2: "01", 3: None}
+
+
+def test_every_pair_meets_across_groups_and_blocks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.normal(size=(8, 64)), 3, 0) + rng.normal(scale=0.3, size=(24, 64))
+    rows = [(i, [float(x) for x in v[i]], "abc"[i % 3]) for i in range(24)]
+    df = spark.createDataFrame([*rows, (90, None, "a"), (91, [0.0] * 64, "a"), (92, [float("nan")] * 64, "b"), (93, [1.0], "c")], "id long, v array<double>, g string")
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    pairs = [(i, j) for i in range(24) for j in range(i + 1, 24)]
+    for block in (5, 1000):
+        got = {(r["a"], r["b"]): r for r in entities.cosine_at_least(df, "id", "v", "g", 0.5, block).collect()}
+        assert sorted(got) == [(i, j) for i, j in pairs if u[i] @ u[j] >= 0.5] and sum(r["across"] for r in got.values()) == len(got) > 20
+        near = entities.hamming_at_most(df.filter("id < 24"), "id", vectors.sign_bits(F.col("v")), "g", 12, block)
+        want = {(i, j): int(((v[i] > 0) != (v[j] > 0)).sum()) for i, j in pairs}
+        assert {(r["a"], r["b"]): r["bits"] for r in near.collect()} == {k: n for k, n in want.items() if n <= 12} != {}
