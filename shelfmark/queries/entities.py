@@ -23,6 +23,17 @@ def connected_components(spark, sf_dir):
     return ops.components(ops.strong_key_edges(k, "c_custkey", strong), "a", "b")
 
 
+@register("""WITH RECURSIVE k AS (SELECT c_custkey, c_custkey % 97 AS phone, c_custkey // 40 AS addr FROM customer),
+e AS (SELECT a.c_custkey AS a, b.m AS b FROM k a JOIN (SELECT phone, min(c_custkey) AS m FROM k GROUP BY 1) b ON a.phone = b.phone
+  UNION SELECT a.c_custkey, b.m FROM k a JOIN (SELECT addr, min(c_custkey) AS m FROM k GROUP BY 1) b ON a.addr = b.addr),
+u AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+r(n, c) AS (SELECT a, a FROM u GROUP BY a HAVING min(b) > a UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.n WHERE r.c < u.b)
+SELECT n AS node, min(c) AS component FROM r GROUP BY 1""")
+def connected_components_all(spark, sf_dir):
+    k = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 97).alias("phone"), F.expr("c_custkey div 40").alias("addr"))
+    return ops.components(ops.strong_key_edges(k, "c_custkey", {"p": F.col("phone"), "a": F.col("addr")}), "a", "b")
+
+
 @register("""WITH p AS (SELECT p_partkey, p_name, p_type, p_brand, p_size FROM part), j AS (
   SELECT a.p_partkey AS a, b.p_partkey AS b, jaro_winkler_similarity(a.p_name, b.p_name) AS s FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey)
 SELECT a, b, round(s, 4) AS similarity, CASE WHEN s >= 0.95 THEN 'high' WHEN s >= 0.9 THEN 'medium' ELSE 'low' END AS confidence FROM j WHERE s >= 0.6""")

@@ -56,6 +56,13 @@ def carried_flags(spark, sf_dir):
     return ops.carried_flags(table(spark, sf_dir, "supplier").select("s_suppkey"), goods, "s_suppkey", "p_name", {"widgets": "widget", "rings": "^blue ring"})
 
 
+@register("""WITH g AS (SELECT l_suppkey AS s_suppkey, bool_or(lower(p_name) LIKE '%widget%') AS widgets, bool_or(regexp_matches(lower(p_name), '^blue ring')) AS rings FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1)
+SELECT s_suppkey, coalesce(widgets, false) AS widgets, coalesce(rings, false) AS rings FROM supplier LEFT JOIN g USING (s_suppkey)""")
+def carried_flags_all(spark, sf_dir):
+    goods = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("s_suppkey"), "p_name")
+    return ops.carried_flags(table(spark, sf_dir, "supplier").select("s_suppkey"), goods, "s_suppkey", "p_name", {"widgets": "widget", "rings": "^blue ring"})
+
+
 @register("SELECT regexp_extract(p_name, '([a-z]+)$', 1) AS image, count(DISTINCT p_partkey) AS products FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) >= 8")
 def placeholder_images(spark, sf_dir):
     return ops.repeated_images(table(spark, sf_dir, "part").select(F.regexp_extract("p_name", "([a-z]+)$", 1).alias("image"), "p_partkey"), "image", "p_partkey")

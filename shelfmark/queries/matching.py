@@ -94,6 +94,14 @@ def census_pack_merge(spark, sf_dir):
     return ops.merge_packs([a, b], "k")
 
 
+@register("""WITH a AS (SELECT c_nationkey AS k, count(*) AS customers, max(c_acctbal) AS top FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS suppliers, max(s_acctbal) AS top FROM supplier GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS k, customers, coalesce(a.top, b.top) AS top, suppliers FROM a FULL JOIN b ON a.k = b.k""")
+def census_pack_merge_all(spark, sf_dir):
+    a = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("customers"), F.max("c_acctbal").alias("top"))
+    b = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("suppliers"), F.max("s_acctbal").alias("top"))
+    return ops.merge_packs([a, b], "k")
+
+
 @register("""WITH r AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS bal FROM customer), k AS (SELECT o_custkey AS c_custkey, max(o_totalprice) AS bal FROM orders GROUP BY 1) SELECT r.c_custkey, coalesce(r.bal, k.bal) AS bal FROM r LEFT JOIN k USING (c_custkey)""")
 def cache_fill(spark, sf_dir):
     r = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, None).otherwise(F.col("c_acctbal")).alias("bal"))

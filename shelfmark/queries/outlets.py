@@ -58,6 +58,14 @@ def metro_counts(spark, sf_dir):
     return ops.metro_counts(o, n, "k", "n_regionkey", "f")
 
 
+@register("""WITH o AS (SELECT s_nationkey, CASE WHEN s_acctbal < 1000 THEN NULL ELSE s_acctbal > 5000 END AS f FROM supplier)
+SELECT coalesce(CAST(n_regionkey AS VARCHAR), '(unknown)') AS metro, count(*) AS doors, count(*) FILTER (f) AS yes, count(*) FILTER (NOT f) AS no, count(*) FILTER (f IS NULL) AS unknown FROM o LEFT JOIN nation ON n_nationkey = s_nationkey GROUP BY 1""")
+def metro_counts_all(spark, sf_dir):
+    o = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.when(F.col("s_acctbal") >= 1000, F.col("s_acctbal") > 5000).alias("f"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), "n_regionkey")
+    return ops.metro_counts(o, n, "k", "n_regionkey", "f")
+
+
 @register("""WITH l AS (SELECT l_suppkey, l_partkey, max(CAST(l_shipdate AS DATE)) AS day FROM lineitem GROUP BY ALL), v AS (SELECT l_partkey, sum(l_quantity) AS sold FROM lineitem GROUP BY 1)
 SELECT l.l_partkey, l.l_suppkey, l.day, s_nationkey, v.sold, p_brand FROM l LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN v USING (l_partkey) LEFT JOIN part ON p_partkey = l_partkey""")
 def offers_assembly(spark, sf_dir):

@@ -100,3 +100,23 @@ def test_every_pair_meets_across_groups_and_blocks(spark):
         near = entities.hamming_at_most(df.filter("id < 24"), "id", vectors.sign_bits(F.col("v")), "g", 12, block)
         want = {(i, j): int(((v[i] > 0) != (v[j] > 0)).sum()) for i, j in pairs}
         assert {(r["a"], r["b"]): r["bits"] for r in near.collect()} == {k: n for k, n in want.items() if n <= 12} != {}
+
+
+def test_whole_tables_take_part(spark, tmp_path):
+    from shelfmark.queries import everything
+
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("part", [(1, "red widget"), (2, "blue ring"), (3, "bolt")], "p_partkey long, p_name string")
+    # Supplier 3 has no row, 4 a row without a part; 1 has its widget in a row of another flag and a small quantity.
+    put("lineitem", [(1, 1, "N", 1.0), (1, 3, "A", 50.0), (2, 2, "R", 2.0), (4, 9, "A", 50.0)], "l_suppkey long, l_partkey long, l_returnflag string, l_quantity double")
+    put("supplier", [(1, 2, 6000.0), (2, 22, 2000.0), (3, 99, 500.0), (4, None, 7000.0)], "s_suppkey long, s_nationkey int, s_acctbal double")
+    put("nation", [(2, 7), (22, 8)], "n_nationkey int, n_regionkey int")
+    # 1 and 98 share phone 1 (below 60), 40 and 41 address 1 (not a multiple of 3), 98 and 99 address 2; 200 is alone.
+    put("customer", [(1, 22, 5.0), (98, 22, 9.0), (99, 3, 1.0), (40, 2, 4.0), (41, 2, 3.0), (200, None, 8.0)], "c_custkey long, c_nationkey int, c_acctbal double")
+    get = lambda name: sorted((tuple(r) for r in everything().queries[name](spark, str(tmp_path)).collect()), key=str)
+    assert get("carried_flags_all") == [(1, True, False), (2, False, True), (3, False, False), (4, False, False)]
+    assert get("metro_counts_all") == sorted([("7", 1, 1, 0, 0), ("8", 1, 0, 1, 0), ("(unknown)", 2, 1, 0, 1)], key=str)
+    assert get("connected_components_all") == [(1, 1), (40, 40), (41, 40), (98, 1), (99, 1)]
+    packs = get("census_pack_merge_all")
+    assert {r for r in packs if r[0] is not None} == {(22, 2, 9.0, 1), (2, 2, 4.0, 1), (3, 1, 1.0, None), (99, None, 500.0, 1)}
+    assert sorted((r[1:] for r in packs if r[0] is None), key=str) == [(1, 8.0, None), (None, 7000.0, 1)]
