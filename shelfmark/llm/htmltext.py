@@ -4,7 +4,8 @@ The builder takes any text. It knows void and raw-text elements, end tags that a
 option, rows and cells, headings), rows and sections that a cell implies, ends tags only within their scope, and moves
 text that stands between cells in front of the table. Hidden are head, script, style and the like, fallback content
 of media, the attribute hidden, inputs of type hidden, closed details but for the summary, options that are not
-selected, display:none and visibility:hidden, inline or by simple selectors of the page's own style sheets.
+selected, display:none and visibility:hidden, inline or by simple selectors of the page's own style sheets. Of several
+rules the one that wins in browsers counts; sheets and @-blocks for print or some screens only are not read.
 
 All other text is emitted: white space is folded except in pre and textarea, blocks begin lines, paragraphs and their
 like are parted by one blank line, br breaks, list items carry bullets or numbers and are indented by depth, and table
@@ -54,6 +55,9 @@ IMPLIED_END = {
 }
 IMPLIED_END["tbody"] = IMPLIED_END["tfoot"] = IMPLIED_END["thead"]
 
+#: Media that hold on every screen.
+ALWAYS = frozenset(("all", "screen", "only all", "only screen", "not print"))
+
 #: Open elements at a time; deeper ones become siblings, as in browsers, so that looking for an open tag stays short.
 MAX_DEPTH = 512
 
@@ -67,10 +71,9 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|[{};]|[^{};\"']++|[\"']", re.S)
+_AT = re.compile(r"\s*@([\w-]+)(.*)", re.S)
 _SIMPLE = re.compile(r"^([a-zA-Z][\w-]*|\*)?(?:\.([\w-]+)|#([\w-]+))?$")
-_HIDES = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.I)
-_SHOWS = re.compile(r"(?:^|[;\s])visibility\s*:\s*visible", re.I)
 
 
 class Node:
@@ -201,7 +204,7 @@ class Builder:
                 stop, after = (close.start(), close.end()) if close else (n, n)
                 if stop > at:
                     self.open[-1].children.append(page[at:stop])
-                    if name == "style":
+                    if name == "style" and on_screen(self.open[-1].attributes().get("media", "")):
                         self.sheets.append(page[at:stop])
                 self.open.pop()
                 at = after
@@ -211,15 +214,86 @@ class Builder:
         return self.root
 
 
-def hiding_rules(sheets: list[str]) -> set[tuple[str, str, str]]:
-    """(tag, class, id) of simple selectors that hide; rules inside media queries are not read."""
-    out = set()
+def on_screen(media: str) -> bool:
+    """Whether a list of media holds on every screen, whatever its size."""
+    return not media.strip() or any(" ".join(m.lower().split()) in ALWAYS for m in media.split(","))
+
+
+def flat_rules(sheet: str) -> Iterator[tuple[str, str, bool]]:
+    """(selectors, declarations, within a layer) of the rules that hold on every screen. Braces are balanced: blocks of
+    @layer, and of @media that always hold, are entered; all other @-blocks and nested rules are left out whole."""
+    entered: list[bool] = []  # the open blocks that are read: whether they are layers
+    head: list[str] = []
+    body: list[str] | None = None
+    skipped = 0
+    for part in _CSS.findall(re.sub(r"/\*.*?(?:\*/|\Z)", " ", sheet, flags=re.S)):
+        if skipped:
+            skipped += (part == "{") - (part == "}")
+        elif body is not None and part == "}":
+            yield "".join(head), "".join(body), any(entered)
+            head, body = [], None
+        elif body is not None:
+            skipped = int(part == "{")
+            body.append(";" if skipped else part)
+        elif part == "{":
+            at = _AT.match("".join(head))
+            if at is None:
+                body = []
+                continue
+            if at[1].lower() == "layer" or at[1].lower() == "media" and on_screen(at[2]):
+                entered.append(at[1].lower() == "layer")
+            else:
+                skipped = 1
+            head = []
+        elif part in ";}":
+            if part == "}" and entered:
+                entered.pop()
+            head = []
+        else:
+            head.append(part)
+    if body is not None:  # the end of a sheet ends its rules
+        yield "".join(head), "".join(body), any(entered)
+
+
+def declared(body: str) -> dict[str, tuple[bool, bool | None]]:
+    """display and visibility, as declared last: (important, hidden: True, False or as the parent)."""
+    out: dict[str, tuple[bool, bool | None]] = {}
+    for part in body.split(";"):
+        name, _, value = part.partition(":")
+        name = name.strip().lower()
+        if name not in ("display", "visibility"):
+            continue
+        value, mark, _ = value.lower().partition("!")
+        value, important = value.strip(), bool(mark)
+        if name in out and out[name][0] and not important:
+            continue
+        if name == "display" and value and not value.startswith("-"):
+            out[name] = important, value == "none"
+        elif name == "visibility" and value in ("visible", "hidden", "collapse", "inherit"):
+            out[name] = important, None if value == "inherit" else value != "visible"
+    return out
+
+
+#: By (tag, class, id), what rules say of display and visibility: the order in which they win, and hidden or not.
+Rules = dict[tuple[str, str, str], dict[str, tuple[tuple, bool | None]]]
+
+
+def display_rules(sheets: list[str]) -> Rules:
+    """The rules of simple selectors on display and visibility, by importance, layer, selector and place, as in browsers."""
+    out: Rules = {}
+    count = 0
     for sheet in sheets:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDES.search(body):
-                for s in selectors.split(","):
-                    if (m := _SIMPLE.match(s.strip())) and any(m.groups()):
-                        out.add((m[1].lower() if m[1] and m[1] != "*" else "", m[2] or "", m[3] or ""))
+        for selectors, body, layered in flat_rules(sheet):
+            said = declared(body) if "display" in body.lower() or "visibility" in body.lower() else {}
+            for s in selectors.split(",") if said else ():
+                if (m := _SIMPLE.match(s.strip())) and any(m.groups()):
+                    key = (m[1].lower() if m[1] and m[1] != "*" else "", m[2] or "", m[3] or "")
+                    own = out.setdefault(key, {})
+                    for name, (important, hidden) in said.items():
+                        count += 1
+                        rank = (important, layered == important, bool(key[2]), bool(key[1]), bool(key[0]), count)
+                        if name not in own or own[name][0] < rank:
+                            own[name] = rank, hidden
     return out
 
 
@@ -323,7 +397,7 @@ MAX_SPAN = 1000
 class Renderer:
     """Walks a tree without recursion and writes what is visible."""
 
-    def __init__(self, rules: set[tuple[str, str, str]]):
+    def __init__(self, rules: Rules):
         self.rules = rules
         self.writers = [Writer()]
         self.tables: list[Table] = []
@@ -340,20 +414,20 @@ class Renderer:
         a = node.attributes()
         if "hidden" in a and a["hidden"] != "until-found" or tag == "input" and a.get("type", "").lower() == "hidden" or tag == "dialog" and "open" not in a:
             return True, None
-        style, visible = a.get("style", ""), None
-        if style:
-            if m := _HIDES.search(style):
-                if not m[1]:
-                    return True, None
-                visible = False
-            elif _SHOWS.search(style):
-                visible = True
+        found: dict[str, tuple[tuple, bool | None]] = {}
         if self.rules:
-            classes, ident = a.get("class", "").split(), a.get("id", "")
-            for t, c, i in self.rules:
-                if (not t or t == tag) and (not c or c in classes) and (not i or i == ident):
-                    return True, None
-        return False, visible
+            kinds = [(c, "") for c in ("", *a.get("class", "").split())] + [("", i) for i in (a.get("id"),) if i]
+            for key in ((t, c, i) for c, i in kinds for t in ("", tag)):
+                for name, what in self.rules.get(key, {}).items():
+                    if name not in found or found[name][0] < what[0]:
+                        found[name] = what
+        for name, (important, hidden) in declared(a["style"]).items() if a.get("style") else ():
+            if name not in found or important or not found[name][0][0]:
+                found[name] = (important,), hidden
+        if "display" in found and found["display"][1]:
+            return True, None
+        hidden = found["visibility"][1] if "visibility" in found else None
+        return False, None if hidden is None else not hidden
 
     def render(self, root: Node) -> str:
         # What is left to do: (node or text, visible) to enter, or (node, None) to leave.
@@ -466,7 +540,7 @@ def render(page: str) -> str:
     """The page's visible text."""
     builder = Builder()
     root = builder.build(page.replace("\0", "�"))
-    return Renderer(hiding_rules(builder.sheets) if builder.sheets else set()).render(root)
+    return Renderer(display_rules(builder.sheets)).render(root)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -161,3 +161,22 @@ def test_columns_and_edges(spark):
     got = {r["page_id"]: r for r in extract(df).collect()}
     assert got[1]["text"] == "a" and got[2]["text"] == "" and got[2]["n_lines"] == 0 and got[None]["other"] == 4 and got[4]["n_chars"] == 199_999
     assert extract(df).columns == ["page_id", "other", "text", "n_chars", "n_lines"] and extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "sheet,want",
+    [
+        ("<style>@media print { body { display: none } .a{display:none} } .b{display:none}</style>", "A"),
+        ("<style media=print>.a{display:none}</style><style media='Screen, print'>.b{display:none}</style>", "A"),
+        ("<style>@media (max-width: 9px) { @supports (x:y) { .a{display:none} } .b{display:none} }</style>", "A B"),
+        ("<style>@media screen { .a{display:none} } @font-face{src:'}'} @layer x { .b{display:none} }</style>", ""),
+        ("<style>.a, .b{display:none} /* } */ .a{display:block}</style>", "A"),
+        ("<style>.a{display:none}</style><style>span{display:inline}</style>", "B"),
+        ("<style>.a{display:none !important} .a{display:block} .b{display:none} #b{display:inline}</style>", "B"),
+        ("<style>.a{visibility:hidden} .a{visibility:visible} .b{color:red; &.c{display:none} visibility:hidden}</style>", "A"),
+        ("<style>@media print{.a{display:none}</style><style>.b{display:none</style>", "A"),
+        ("<style>.a{display:inline} @layer x{.a{display:none}}</style>", "A B"),
+    ],
+)
+def test_rules_that_hold_on_screens(sheet, want):
+    assert render(f"{sheet}<body><span class=a>A</span> <span class='b c' id=b>B</span></body>") == want
