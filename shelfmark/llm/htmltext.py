@@ -128,6 +128,9 @@ class Builder:
         top = self.open[-1]
         if not blank and (top.tag in SECTIONS or top.tag in ("table", "tr")):
             at = self._find(frozenset(("table",)), frozenset())
+            if not at:  # no table is open, or it gave way to its rows at the greatest depth
+                top.children.append(text)
+                return
             table = self.open[at]
             before = table.parent.children
             before.insert(len(before) - 1 - before[::-1].index(table), text)

@@ -180,3 +180,8 @@ def test_columns_and_edges(spark):
 )
 def test_rules_that_hold_on_screens(sheet, want):
     assert render(f"{sheet}<body><span class=a>A</span> <span class='b c' id=b>B</span></body>") == want
+
+
+@pytest.mark.parametrize("page", ["<div><tr>hello</tr></div>", *(f"<{t}>hello" for t in ("thead", "tbody", "tfoot", "tr")), "<div>" * 510 + "<table><tr>hello", "<div>" * 600 + "<table><tbody>hello<tr>hello<td>hello"])
+def test_rows_without_an_open_table_keep_their_text(page):
+    assert render(page).split() == ["hello"] * page.count("hello")
