@@ -42,10 +42,12 @@ def corroborate(clusters: DataFrame, market: DataFrame, brand: str, size: str, n
 
 
 def longest_dictionary_match(rows: DataFrame, name: str, dictionary: DataFrame, term: str) -> DataFrame:
-    """The longest dictionary term that stands in a name as whole words. Names are cut into runs of up to four words,
-    which meet the dictionary by equality; the dictionary is never scanned for each name."""
+    """The longest dictionary term that stands in a name as whole words. Names are cut into runs of as many words as
+    terms have, which meet the dictionary by equality; the dictionary is never scanned for each name."""
+    counts = dictionary.filter(F.col(term).isNotNull()).select(F.size(F.split(term, " "))).distinct().collect()
+    lengths = F.array(*[F.lit(n) for n in sorted(r[0] for r in counts) or [1]])
     words = F.split(F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", " ")), " ")
-    runs = F.array_distinct(F.flatten(F.transform(words, lambda w, i: F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.array_join(F.slice(words, i + 1, n), " ")))))
+    runs = F.array_distinct(F.flatten(F.transform(words, lambda w, i: F.transform(lengths, lambda n: F.array_join(F.slice(words, i + 1, n), " ")))))
     j = rows.withColumn("_k", F.monotonically_increasing_id()).withColumn("_run", F.explode_outer(runs))
     d = dictionary.select(F.lower(term).alias("_run"), F.col(term).alias("_term")).distinct()
     hit = j.join(d, "_run", "left").groupBy("_k", *rows.columns).agg(F.max(F.when(F.col("_term").isNotNull(), F.struct(F.length("_term").alias("l"), F.col("_term").alias("t")))).alias("b"))

@@ -120,3 +120,14 @@ def test_whole_tables_take_part(spark, tmp_path):
     packs = get("census_pack_merge_all")
     assert {r for r in packs if r[0] is not None} == {(22, 2, 9.0, 1), (2, 2, 4.0, 1), (3, 1, 1.0, None), (99, None, 500.0, 1)}
     assert sorted((r[1:] for r in packs if r[0] is None), key=str) == [(1, 8.0, None), (None, 7000.0, 1)]
+
+
+def test_dictionary_terms_of_any_number_of_words(spark):
+    from shelfmark.operators import matching
+
+    terms = ["Old", "Old Tom", "the very old tom gin house of york", "gin house of york town hall", None]
+    names = ["The Very OLD Tom Gin House of York, 70cl", "old tom gin", "very old", "none", ""]
+    d, rows = spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r["name"]: r["match"] for r in matching.longest_dictionary_match(rows, "name", d, "term").collect()}
+    assert got == dict(zip(names, [terms[2], "Old Tom", "Old", None, None]))
+    assert {r["match"] for r in matching.longest_dictionary_match(rows, "name", d.limit(0), "term").collect()} == {None}
