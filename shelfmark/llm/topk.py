@@ -10,8 +10,8 @@ smaller id. Blocks' results meet in a window by query that keeps k rows a task b
 Of equal vectors only the k + 1 smallest ids can be among any query's k best, so the rest leave before blocks are
 made, however many there are; a query of that vector still runs.
 
-Defined cases: vectors that are null, empty or hold a null or non-finite component, or one that overflows, and rows
-without an id take no part; vectors of different lengths do not meet; rows that repeat id and vector count once; a
+Defined cases: vectors that are null, empty or hold a null or non-finite component, or one whose integer overflows a
+long, and rows without an id take no part; a pair whose score overflows a long is an error, never left out; vectors of different lengths do not meet; rows that repeat id and vector count once; a
 candidate with the query's id is never its result; fewer candidates than k give fewer rows; an empty table gives an
 empty result; other columns are not read.
 """
@@ -33,7 +33,7 @@ FIRST_STEP = 64
 def quantize(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
     """vec_id, v (array of long) of the vectors that take part, without repeated rows."""
     v = F.transform(F.col(vec_col), lambda x: F.lit(scale) * x.cast("double"))
-    fine = F.forall("w", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(2.0**31)), F.lit(False)))
+    fine = F.forall("w", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(2.0**63)), F.lit(False)))
     return (
         vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("w"))
         .filter(F.col("vec_id").isNotNull() & (F.size("w") > 0) & fine)
@@ -51,14 +51,19 @@ class SortedBlock:
         self.order = np.argsort(self.ints, axis=0, kind="stable").T.copy()  # ascending, one row a dimension
         self.values = np.take_along_axis(self.ints.T, self.order, 1)
         self.largest = int(np.abs(self.ints).max(initial=0))
+        self.wide: tuple[np.ndarray, np.ndarray] | None = None  # the vectors and values as integers of any size
         self.floats = self.ints.astype(np.float64)
 
     def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Places and scores of the k best, and the depth that was read."""
         n = len(self.ids)
         # Floating products are exact while sums stay below 2 ** 53.
-        exact = self.largest * int(np.abs(query).sum()) < 1 << 53
-        data, q = (self.floats, query.astype(np.float64)) if exact else (self.ints.astype(object), query.astype(object))
+        most = self.largest * sum(map(abs, query.tolist()))
+        exact = most < 1 << 53
+        if not exact and self.wide is None:
+            self.wide = self.ints.astype(object), self.values.astype(object)
+        data, q = (self.floats, query.astype(np.float64)) if exact else (self.wide[0], query.astype(object))
+        values, factors = (self.values, query) if most < 1 << 63 else (self.wide[1], q)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         unseen = self.ids != own_id
         best, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -74,6 +79,8 @@ class SortedBlock:
             if len(new):
                 unseen[new] = False
                 got = (data @ q)[new] if len(new) * 2 > n else data[new] @ q
+                if most >= 1 << 63 and max(map(abs, got)) >= 1 << 63:
+                    raise OverflowError(f"vector {own_id}: a score overflows a long")
                 got = got.astype(np.int64)
                 if len(score) == k:
                     near = got >= score[-1]
@@ -82,7 +89,7 @@ class SortedBlock:
                 top = np.lexsort((self.ids[best], -score))[:k]
                 best, score = best[top], score[top]
             if end < n and len(score) == k:
-                bound = int(query[up] @ self.values[up, n - end] + query[down] @ self.values[down, end - 1])
+                bound = int(factors[up] @ values[up, n - end] + factors[down] @ values[down, end - 1])
                 if score[-1] > bound:
                     return best, score, end
             depth, step = end, step * 2

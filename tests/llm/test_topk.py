@@ -48,3 +48,28 @@ def test_edges(spark):
     got = sorted(map(tuple, topk.top_k(v, v.filter("vec_id % 50 = 0")).collect()))
     assert got == [(0, 1, 50, 327680), (50, 1, 0, 327680)]
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_large_components_take_part(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([-1.0, 1.0]) * rng.choice([8388608.0, 1.1e7, 0.5, 2.0]), rng.uniform(-2, 2)]) for i in range(100)] + [(100, [2.0**40, 1.0]), (101, [-(2.0**40), 1.0])]
+    small = [(i, v) for i, v in rows if i >= 100 or abs(v[0]) < 3]
+    for data in (rows[:100], small):
+        v = topk.quantize(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+        ints = [(i, [math.floor(256 * x) for x in e]) for i, e in data]
+        asks = [x for x in ints if x[0] % 10 < 3 and x[0] < 100]  # the last two overflow with each other only
+        score = lambda a, b: sum(x * y for x, y in zip(a, b))
+        want = sorted((q, r + 1, i, s) for q, a in asks for r, (s, i) in enumerate(sorted(((score(a, b), i) for i, b in ints if i != q), key=lambda t: (-t[0], t[1]))[:5]))
+        got = topk.top_k(v, v.filter(F.col("vec_id").isin([q for q, _ in asks])), 5, block=16, group=3)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_a_score_that_overflows_is_reported():
+    block = topk.SortedBlock(np.array([1, 2]), np.array([[2**48], [3]]))
+    assert list(block.search(np.array([2**14]), 9, 1)[1]) == [2**62]
+    try:
+        block.search(np.array([2**48]), 9, 1)
+    except OverflowError as e:
+        assert "vector 9" in str(e)
+    else:
+        raise AssertionError
