@@ -1,23 +1,25 @@
 """Exact Jaccard join of word-shingle sets by adaptive multi-match prefixes.
 
-1. One pass over texts gives each document its set's size and key; equal sets are one node from here on. The same
-   pass reports shingles that a good share of a task's documents hold; those above a share of all documents are
-   called heavy, a list of bounded length.
-2. A second pass deals shingles into buckets, packed as byte blocks of seven bytes each. A bucket counts in how many
-   documents each shingle occurs and passes those of two or more back to their batch of documents. A document whose
-   shared shingles are fewer than the threshold times its size can link with nothing and leaves here; most do. Heavy
-   shingles skip the buckets, so no bucket holds a list as long as a share of all documents. Batches are numbered by
-   task, so the input must come in the same order if a task runs again, as rows of files do.
+1. One pass over texts gives each document its set's size and key; equal sets are one node from here on.
+2. A second pass gathers documents in batches and deals their shingles into buckets, packed as byte blocks. A shingle
+   that several documents of a batch hold goes out once, with their number, so that no bucket gets more of one shingle
+   than there are batches, however frequent it is. A bucket counts in how many documents each shingle occurs and tells
+   the batches of those of two or more. A document whose shared shingles are fewer than the threshold times its size
+   can link with nothing and leaves here; most do. Batches are numbered by task, so the input must come in the same
+   order if a task runs again, as rows of files do.
 3. Shingles are ordered by document frequency. A node's l-prefix is its first n - ceil(t n) + l shingles; two nodes
    that link share at least min(l) of them. Each node takes the l whose estimated cost, postings to read plus
    candidates to verify (at most the postings over l), is least: frequent prefixes grow longer and ask for more matches.
-4. Nodes that share a prefix shingle are tied in stars around the shingle's least node; components of the stars are
-   verified as groups: candidates are pairs with enough shared prefix shingles and fitting sizes, their exact overlap
-   is counted on whole sets. Large groups are cut into blocks, one task a pair of blocks. A task gives back a spanning
-   forest and each node's number of links, never pairs.
+4. Two nodes that link also share a shingle of their 1-prefixes, the rarest ones. Nodes are tied by these alone, in
+   stars around the shingle's least node, so a longer prefix ties nothing more. Components of the stars are verified
+   as groups: candidates are pairs with min(l) shared l-prefix shingles and fitting sizes, their exact overlap is
+   counted on whole sets. A group beyond a task's size is cut, whichever copies less, into blocks, one task a pair of
+   blocks, or by the 1-prefix shingles that tie it, where a pair belongs to its least common one; a loose chain thus
+   costs as much as its ties. A task gives back a spanning forest and each node's number of links, never pairs.
 5. Components of the forests, with the least doc_id of each, come back to documents.
 
 Results are exact but for collisions of hashes: 64 bits for equal sets, 40 bits and the bucket's number for shingles.
+Shuffles have as many partitions as there are buckets, so tasks read some megabytes at any size of the corpus.
 
 Defined cases: a null or empty text, or one without words, has an empty set, links with nothing and is its own
 component; a text of fewer words than the width has one shingle, its whole sequence; equal texts are linked; rows
@@ -33,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_group, arrow_task, small_batches, text_chunks, write_table
@@ -43,11 +45,11 @@ from .shingles import Shingler, set_key
 #: Shingles a bucket should hold, and a task gathers before it packs blocks.
 BUCKET_TOKENS = 1_000_000
 BUFFER_TOKENS = 1_000_000
-#: Share of documents from which a shingle is heavy.
-HEAVY = 1 / 200
-MAX_MATCHES = 8
-#: Nodes in a block of a large group; cells of a dense matrix at a time.
+#: Buckets have numbers of 24 bits; beyond 16 million million shingles they grow.
+MOST_BUCKETS = 1 << 24
+#: Nodes and shingles of a block of a large group; cells of a dense matrix at a time.
 BLOCK_NODES = 1000
+BLOCK_TOKENS = 2_000_000
 CELLS = 4_000_000
 _LOW = np.uint64((1 << 40) - 1)
 _32 = np.uint64(32)
@@ -63,65 +65,40 @@ def _identity(tokens: np.ndarray, n: int) -> np.ndarray:
 
 
 def profile(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows of two kinds: a document's doc_id, n and node; a frequent shingle's token and count in a task."""
+    """doc_id, n and node (the set's key) of each document."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
 
     @arrow_task("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        held, docs_held = [], 0
-        id_type = None
-
-        def frequent() -> pa.RecordBatch | None:
-            tokens = np.concatenate(held)
-            least = max(20, int(docs_held * HEAVY))
-            slot = (tokens >> np.uint64(44)).astype(np.int64)
-            tokens = tokens[np.bincount(slot, minlength=1 << 20)[slot] >= least]
-            token, count = np.unique(tokens, return_counts=True)
-            token, count = token[count >= least], count[count >= least]
-            n = len(token)
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(token.view(np.int64)), pa.array(count.astype(np.int64))],
-                names=["doc_id", "n", "node", "token", "count"],
-            )
-
         for batch in batches:
-            id_type = batch.column(0).type
             for first, end, data, offsets in text_chunks(batch.column(1)):
                 tokens, sizes = shingler.sets(data, offsets)
-                n = end - first
-                held.append(tokens)
-                docs_held += n
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(sizes), pa.array(set_key(tokens, sizes).view(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                    names=["doc_id", "n", "node", "token", "count"],
-                )
-                if sum(map(len, held)) > 4 * BUFFER_TOKENS:
-                    yield frequent()
-                    held, docs_held = [], 0
-        if held:
-            yield frequent()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(sizes), pa.array(set_key(tokens, sizes).view(np.int64))], names=["doc_id", "n", "node"])
 
-    return picked.mapInArrow(run, f"doc_id {kind}, n long, node long, token long, count long")
+    return picked.mapInArrow(run, f"doc_id {kind}, n long, node long")
 
 
-#: Kinds of byte blocks: shingles dealt to a bucket, a batch's documents, counted shingles, heavy shingles.
-_DEALT, _DOCUMENTS, _COUNTED, _HEAVY = range(4)
+#: Kinds of byte blocks: shingles dealt to a bucket, a batch's documents, its lists of shingles that several of its
+#: documents hold, counted shingles.
+_DEALT, _DOCUMENTS, _LISTS, _COUNTED = range(4)
+_Part = list[tuple[np.ndarray, str]]
 
 
-def _pack(kind: int, label: int, *columns: tuple[np.ndarray, str]) -> bytes:
-    """A byte block: kind, label, rows, and columns of fixed types, one after the other."""
-    head = np.array([kind, label, len(columns[0][0])], "<i8").tobytes()
-    return head + b"".join(np.ascontiguousarray(values, dtype).tobytes() for values, dtype in columns)
+def _pack(kind: int, label: int, one: _Part, two: _Part = ()) -> bytes:
+    """A byte block: kind, label, rows of two tables, and their columns of fixed types, one after the other."""
+    head = np.array([kind, label, len(one[0][0]), len(two[0][0]) if two else 0], "<i8").tobytes()
+    return head + b"".join(np.ascontiguousarray(values, dtype).tobytes() for values, dtype in (*one, *two))
 
 
-def _unpack(block: bytes, *types: str) -> list[np.ndarray]:
-    n = int(np.frombuffer(block, "<i8", 1, 16)[0])
-    out, at = [], 24
-    for t in types:
-        out.append(np.frombuffer(block, t, n, at))
-        at += n * np.dtype(t).itemsize
+def _unpack(block: bytes, one: tuple[str, ...], two: tuple[str, ...] = ()) -> list[np.ndarray]:
+    n, m = np.frombuffer(block, "<i8", 2, 16).tolist()
+    out, at = [], 32
+    for rows, types in ((n, one), (m, two)):
+        for t in types:
+            out.append(np.frombuffer(block, t, rows, at))
+            at += rows * np.dtype(t).itemsize
     return out
 
 
@@ -136,15 +113,14 @@ def _runs(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(which)))
 
 
-def _deal(docs: DataFrame, width: int, text_col: str, buckets: int, heavy: np.ndarray) -> DataFrame:
-    """Rows (key, block). Documents go in batches of some hundred thousand shingles with a number of their own; within a
-    batch a document is two bytes. Keys below `buckets` are buckets of shingles; a batch's documents and heavy
-    shingles go straight to the key of the batch, behind them."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+def _deal(docs: DataFrame, width: int, text_col: str, buckets: int) -> DataFrame:
+    """Rows (key, block). Documents go in batches of about a million shingles with a number of their own; within a batch
+    a document is two bytes. Keys below `buckets` are buckets of shingles; a batch's documents and lists go straight
+    to the key of the batch, behind them."""
 
     @arrow_task("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, known = Shingler(width), shared.value
+        shingler = Shingler(width)
         number = TaskContext.get().partitionId() << 24
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -159,21 +135,26 @@ def _deal(docs: DataFrame, width: int, text_col: str, buckets: int, heavy: np.nd
             own = np.repeat(fresh, sizes)
             tokens, nodes, sizes = tokens[own], nodes[fresh], sizes[fresh]
             doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-            keys, blocks = [buckets + number], [_pack(_DOCUMENTS, number, (nodes, "<u8"), (sizes, "<u4"))]
-            if len(known) and len(tokens):
-                place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                is_heavy = known[place] == tokens
-                if is_heavy.any():
-                    keys.append(buckets + number)
-                    blocks.append(_pack(_HEAVY, number, (_identity(tokens[is_heavy], buckets), "<u8"), (doc[is_heavy], "<u2")))
-                tokens, doc = tokens[~is_heavy], doc[~is_heavy]
-            bucket = _bucket(tokens, buckets).astype(np.uint16 if buckets < 65536 else np.int64)
-            order = np.argsort(bucket, kind="stable")
-            tokens, doc, bucket = tokens[order], doc[order], bucket[order]
+            order = np.argsort(tokens)
+            tokens, doc = tokens[order], doc[order]
+            start, count = _runs(tokens)
+            one, several = start[count == 1], start[count > 1]
+            often = count[count > 1]
+            keys, blocks = [buckets + number], [_pack(_DOCUMENTS, number, [(nodes, "<u8"), (sizes, "<u4")])]
+            if len(several):
+                keys.append(buckets + number)
+                listed = np.repeat(count > 1, count)
+                blocks.append(_pack(_LISTS, number, [(_identity(tokens[several], buckets), "<u8"), (often, "<u4")], [(doc[listed], "<u2")]))
             low, high = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), ((tokens >> _32) & np.uint64(255)).astype(np.uint8)
-            for a, n in zip(*_runs(bucket)):
-                keys.append(int(bucket[a]))
-                blocks.append(_pack(_DEALT, number, (low[a : a + n], "<u4"), (doc[a : a + n], "<u2"), (high[a : a + n], "u1")))
+            # A bucket's number grows with the shingle, so the sorted shingles lie bucket by bucket.
+            bucket = _bucket(tokens, buckets).astype(np.int64)
+            first, _ = _runs(bucket)
+            cut_one, cut_several = (np.append(np.searchsorted(x, first), len(x)) for x in (one, several))
+            for k, at in enumerate(first.tolist()):
+                x, y = one[cut_one[k] : cut_one[k + 1]], several[cut_several[k] : cut_several[k + 1]]
+                keys.append(int(bucket[at]))
+                n = often[cut_several[k] : cut_several[k + 1]]
+                blocks.append(_pack(_DEALT, number, [(low[x], "<u4"), (doc[x], "<u2"), (high[x], "u1")], [(low[y], "<u4"), (n, "<u2"), (high[y], "u1")]))
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blocks, pa.binary())], names=["key", "block"])
 
         for batch in batches:
@@ -201,27 +182,28 @@ def _count_bucket(buckets: int):
         if bucket >= buckets:
             return table.select(["key", "block"]).cast(_BLOCKS)
         raw = [b.as_py() for b in table["block"]]
-        got = [_unpack(b, "<u4", "<u2", "u1") for b in raw]
-        batch = np.array([_head(b)[1] for b in raw])
-        lengths = [len(g[0]) for g in got]
-        tokens = np.concatenate([g[0] for g in got]).astype(np.uint64) | (np.concatenate([g[2] for g in got]).astype(np.uint64) << _32)
+        got = [_unpack(b, ("<u4", "<u2", "u1"), ("<u4", "<u2", "u1")) for b in raw]
+        parts = []  # of single documents, of several: low, documents or their number, high, rows of each block
+        for k in (0, 3):
+            parts.append([np.concatenate([g[k + i] for g in got]) for i in range(3)] + [np.array([len(g[k]) for g in got])])
+        (low, doc, high, rows), (low2, often, high2, rows2) = parts
+        tokens = np.concatenate([low, low2]).astype(np.uint64) | (np.concatenate([high, high2]).astype(np.uint64) << _32)
+        weight = np.concatenate([np.ones(len(low), np.int64), often.astype(np.int64)])
         order = np.argsort(tokens)
-        _, df = _runs(tokens[order])
-        df = np.repeat(df, df)
-        common = df >= 2
-        place, df = order[common], df[common]
-        back = np.argsort(place)
-        place, df = place[back], df[back]
-        grade = np.minimum(254, np.rint(8 * np.log2(np.maximum(df, 1)))).astype(np.uint8)
-        cuts = np.searchsorted(place, np.append(0, np.cumsum(lengths)))
-        doc = np.concatenate([g[1] for g in got])[place]
-        tokens = tokens[place]
-        low, high = tokens.astype("<u4"), (tokens >> _32).astype(np.uint8)
+        start, count = _runs(tokens[order])
+        df = np.empty(len(tokens), np.int64)
+        df[order] = np.repeat(np.add.reduceat(weight[order], start), count) if len(start) else 0
+        grade = np.minimum(255, np.rint(8 * np.log2(np.maximum(df, 1)))).astype(np.uint8)
+        common = np.flatnonzero(df[: len(low)] >= 2)
+        cuts = np.searchsorted(common, np.append(0, np.cumsum(rows)))
+        cuts2 = np.append(0, np.cumsum(rows2))
+        grade2 = grade[len(low) :]
         keys, blocks = [], []
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if b > a:
-                keys.append(buckets + int(batch[k]))
-                blocks.append(_pack(_COUNTED, bucket, (low[a:b], "<u4"), (doc[a:b], "<u2"), (high[a:b], "u1"), (grade[a:b], "u1")))
+        for k, block in enumerate(raw):
+            x, y = common[cuts[k] : cuts[k + 1]], slice(cuts2[k], cuts2[k + 1])
+            if len(x) or cuts2[k + 1] > cuts2[k]:
+                keys.append(buckets + _head(block)[1])
+                blocks.append(_pack(_COUNTED, bucket, [(low[x], "<u4"), (doc[x], "<u2"), (high[x], "u1"), (grade[x], "u1")], [(low2[y], "<u4"), (high2[y], "u1"), (grade2[y], "u1")]))
         return pa.table([pa.array(keys, pa.int64()), pa.array(blocks, pa.binary())], schema=_BLOCKS)
 
     return run
@@ -231,42 +213,49 @@ def choose_matches(grades: np.ndarray, unique: int, n: int, need: int) -> int:
     """How many shared prefix shingles a node asks for: the least estimated cost of reading and verifying.
 
     grades: classes of its shared shingles in prefix order; unique: how many shingles it shares with nobody."""
-    cost = np.cumsum(np.exp2(grades / 8) - 1)
-    best, matches = np.inf, 1
-    for m in range(1, min(MAX_MATCHES, need) + 1):
-        length = n - need + m - unique
-        if length <= 0:
-            return m
-        if length > len(cost):
-            break
-        postings = cost[length - 1]
-        estimate = postings + postings / m * n / 16
-        if estimate < best:
-            best, matches = estimate, m
-    return matches
+    matches = np.arange(1, need + 1)
+    length = n - need + matches - unique
+    if length[0] <= 0:  # more shingles of its own than a link leaves room for
+        return 1
+    matches, length = matches[length <= len(grades)], length[length <= len(grades)]
+    if not len(matches):
+        return 1
+    postings = np.cumsum(np.exp2(grades / 8) - 1)[length - 1]
+    return int(matches[np.argmin(postings + postings / matches * n / 16)])
+
+
+def _full(low: np.ndarray, high: np.ndarray, bucket: int) -> np.ndarray:
+    return low.astype(np.uint64) | (high.astype(np.uint64) << _32) | np.uint64(bucket << 40)
 
 
 def _gather_nodes(numerator: int, denominator: int):
-    """Nodes that may link: node, n, matches, their shared shingles (sorted) and their prefix."""
+    """Nodes that may link: node, n, matches, their shared shingles (sorted), their prefix and their 1-prefix."""
 
     @arrow_group("jaccard")
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, docs, classes, nodes, sizes = [], [], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        told, told_grade = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+        listed, often, members = (np.zeros(0, t) for t in (np.uint64, np.int64, np.uint16))
         for block in table["block"]:
             block = block.as_py()
             kind, label = _head(block)
             if kind == _DOCUMENTS:
-                nodes, sizes = _unpack(block, "<u8", "<u4")
-            elif kind == _HEAVY:
-                token, doc = _unpack(block, "<u8", "<u2")
-                ids.append(token)
-                docs.append(doc)
-                classes.append(np.full(len(doc), 255, np.uint8))
+                nodes, sizes = _unpack(block, ("<u8", "<u4"))
+            elif kind == _LISTS:
+                listed, often, members = _unpack(block, ("<u8", "<u4"), ("<u2",))
             else:
-                low, doc, high, grade = _unpack(block, "<u4", "<u2", "u1", "u1")
-                ids.append(low.astype(np.uint64) | (high.astype(np.uint64) << _32) | np.uint64(label << 40))
+                low, doc, high, grade, low2, high2, grade2 = _unpack(block, ("<u4", "<u2", "u1", "u1"), ("<u4", "u1", "u1"))
+                ids.append(_full(low, high, label))
                 docs.append(doc)
                 classes.append(grade)
+                told.append(_full(low2, high2, label))
+                told_grade.append(grade2)
+        if len(listed):
+            known, grade = np.concatenate(told), np.concatenate(told_grade)
+            order = np.argsort(known)
+            ids.append(np.repeat(listed, often))
+            docs.append(members)
+            classes.append(np.repeat(grade[order][np.searchsorted(known[order], listed)], often))
         tokens, node, grades = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((ids, np.uint64), (docs, np.uint16), (classes, np.uint8)))
         # Only documents that share enough need an order.
         need_of = -(-numerator * sizes.astype(np.int64) // denominator)
@@ -283,13 +272,12 @@ def _gather_nodes(numerator: int, denominator: int):
             own, grade = tokens[a : a + c], grades[a : a + c]
             unique = n - c
             m = choose_matches(grade.astype(np.float64), unique, n, need)
-            length = max(0, n - need + m - unique)
-            rows.append((nodes[k], n, m, np.sort(own).tobytes(), own[:length].view(np.int64)))
+            least = n - need + 1 - unique
+            rows.append((nodes[k], n, m, np.sort(own).tobytes(), own[: max(0, least + m - 1)].view(np.int64), np.sort(own[: max(0, least)].view(np.int64))))
         node_ids = np.array([r[0] for r in rows], np.uint64).view(np.int64)
-        return pa.table(
-            [pa.array(node_ids, pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary()), pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
-            names=["node", "n", "matches", "tokens", "prefix"],
-        )
+        longs = pa.list_(pa.int64())
+        columns = [pa.array(node_ids, pa.int64()), *[pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.binary()), (4, longs), (5, longs))]]
+        return pa.table(columns, names=["node", "n", "matches", "tokens", "prefix", "lead"])
 
     return run
 
@@ -311,8 +299,11 @@ def _matrix(rows: list[np.ndarray], columns: list[np.ndarray] | None = None) ->
     return out
 
 
-def verify(n: np.ndarray, matches: np.ndarray, prefixes: list[np.ndarray], sets: list[np.ndarray], side: np.ndarray, numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (places) that link. side: 0 and 1 where only pairs across count, all 0 where all do."""
+def verify(
+    n: np.ndarray, matches: np.ndarray, prefixes: list[np.ndarray], sets: list[np.ndarray], side: np.ndarray, numerator: int, denominator: int, leads: list[np.ndarray] | None = None, token: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (places) that link. side: 0 and 1 where only pairs across count, all 0 where all do. With leads, sorted
+    1-prefixes that all hold token, only pairs of which it is the least common one."""
     two = bool(side.any())
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if two else left
@@ -328,6 +319,10 @@ def verify(n: np.ndarray, matches: np.ndarray, prefixes: list[np.ndarray], sets:
     if not len(i):
         return i, j
     a, b = left[i], right[j]
+    if leads is not None:
+        before = [x[: np.searchsorted(x, token)] for x in leads]
+        mine = np.array([not len(before[x]) or not len(before[y]) or not _overlap(before[x], before[y]) for x, y in zip(a, b)])
+        i, j, a, b = i[mine], j[mine], a[mine], b[mine]
     if len(i) <= 4 * (len(left) + len(right)):
         overlap = np.array([_overlap(sets[x], sets[y]) for x, y in zip(a, b)])
     else:
@@ -366,12 +361,13 @@ def _forest(count: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.nda
 def _verify_group(numerator: int, denominator: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"node": [], "root": [], "links": []}
-        for _, g in frame.groupby("component", sort=False):
+        for (by_token, cluster), g in frame.groupby(["by_token", "cluster"], sort=False):
             ids = g["node"].to_numpy(np.int64)
             copies = g["copies"].to_numpy(np.int64)
             prefixes = [np.asarray(p, np.int64) for p in g["prefix"]]
             sets = [np.frombuffer(t, np.uint64) for t in g["tokens"]]
-            a, b = verify(g["n"].to_numpy(np.int64), g["matches"].to_numpy(np.int64), prefixes, sets, g["side"].to_numpy(), numerator, denominator)
+            leads = [np.asarray(p, np.int64) for p in g["lead"]] if by_token else None
+            a, b = verify(g["n"].to_numpy(np.int64), g["matches"].to_numpy(np.int64), prefixes, sets, g["side"].to_numpy(), numerator, denominator, leads, cluster)
             if not len(a):
                 continue
             links = np.zeros(len(ids), np.int64)
@@ -387,44 +383,72 @@ def _verify_group(numerator: int, denominator: int):
     return run
 
 
+def _parts(rows: str, tokens: str) -> Column:
+    """Blocks that so many nodes and shingles make."""
+    return F.greatest(F.ceil(F.col(rows) / BLOCK_NODES), F.ceil(F.col(tokens) / BLOCK_TOKENS)).cast("int")
+
+
+def deal_groups(nodes: DataFrame, components: DataFrame) -> DataFrame:
+    """node, cluster, by_token, parts: the groups in which nodes meet, and into how many blocks each is cut.
+
+    nodes: node, n, lead; components: node, component. A component of one block is a group. A larger one is cut into
+    blocks that all meet, or by its leading shingles, if that copies fewer nodes."""
+    about = components.join(nodes.select("node", "n"), "node")
+    sizes = about.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")).withColumn("parts", _parts("rows", "tokens"))
+    about = write_table(about.join(sizes.select("component", "parts", "rows"), "component"), "candidate-nodes")
+    large = about.filter("parts > 1")
+    whole = about.select("node", F.col("component").alias("cluster"), F.lit(False).alias("by_token"), "parts")
+    if large.isEmpty():
+        return whole
+    led = write_table(nodes.select("node", "n", F.explode("lead").alias("token")).join(large.select("node", "component"), "node"), "candidate-leads")
+    tokens = led.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")).filter("rows > 1").withColumn("parts", _parts("rows", "tokens"))
+    tokens = write_table(tokens, "candidate-tokens")
+    cost = tokens.groupBy("component").agg(F.sum(F.col("rows") * F.col("parts")).alias("cost"))
+    cut = write_table(cost.join(sizes, "component").filter(F.col("cost") < F.col("rows") * F.col("parts")).select("component"), "cut-components")
+    cut_tokens = tokens.join(cut, "component", "left_semi").select("token", "parts")
+    by_token = led.select("node", "token").join(cut_tokens, "token").select("node", F.col("token").alias("cluster"), F.lit(True).alias("by_token"), "parts")
+    return whole.join(cut.withColumnRenamed("component", "cluster"), "cluster", "left_anti").select("node", "cluster", "by_token", "parts").unionByName(by_token)
+
+
 def jaccard_join(docs: DataFrame, width: int = 5, numerator: int = 8, denominator: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, n_links (documents that it links with, copies included)."""
     small_batches(docs.sparkSession)
-    seen = write_table(profile(docs, width, id_col, text_col), "shingle-profile")
-    known = write_table(seen.filter("n is not null").select("doc_id", "n", "node"), "shingle-nodes")
-    count, tokens = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    frequent = seen.filter("token is not null").groupBy("token").agg(F.sum("count").alias("count")).filter(F.col("count") >= max(20, count * HEAVY / 2))
-    # At most the mean set size over half of HEAVY: some hundred thousand numbers, at any size of the corpus.
-    heavy = np.sort(np.array([r["token"] for r in frequent.select("token").collect()], np.int64).view(np.uint64))
-    buckets = max(1, -(-tokens // BUCKET_TOKENS))
-
-    blocks = _deal(docs, width, text_col, buckets, heavy)
-    shared = blocks.groupBy("key").applyInArrow(_count_bucket(buckets), "key long, block binary")
-    nodes = write_table(shared.groupBy("key").applyInArrow(_gather_nodes(numerator, denominator), "node long, n long, matches int, tokens binary, prefix array<long>"), "join-nodes")
-
-    postings = nodes.select("node", F.explode("prefix").alias("token"))
+    known = write_table(profile(docs, width, id_col, text_col), "shingle-nodes")
+    buckets = min(MOST_BUCKETS, max(1, -(-known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // BUCKET_TOKENS)))
+
+    # Spark would deal all keys to as many tasks at any size of the corpus; a task a bucket keeps their input alike.
+    blocks = _deal(docs, width, text_col, buckets).repartition(buckets, "key")
+    shared = blocks.groupBy("key").applyInArrow(_count_bucket(buckets), "key long, block binary").repartition(buckets, "key")
+    found_nodes = shared.groupBy("key").applyInArrow(_gather_nodes(numerator, denominator), "node long, n long, matches int, tokens binary, prefix array<long>, lead array<long>")
+    # Copies in several batches are one node; its rows are equal.
+    nodes = write_table(found_nodes.dropDuplicates(["node"]), "join-nodes")
+
+    postings = nodes.select("node", F.explode("lead").alias("token"))
     centres = postings.groupBy("token").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last")
     stars = postings.join(centres, "token").filter("node <> centre").select("node", "centre").distinct()
     components = write_table(connected_components(stars, "node", "centre"), "candidate-components")
 
     classes = known.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     classes = write_table(classes, "set-classes")
-    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    small = F.col("size") <= BLOCK_NODES
-    parts = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    about = components.join(sizes, "component").join(classes.select("node", "copies"), "node").withColumn("parts", parts)
-    about = write_table(about.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "candidate-nodes")
-    # Copies in several batches are one node; its rows are equal.
-    members = nodes.dropDuplicates(["node"]).join(about, "node")
-    spread = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    groups = max(1, about.count() // 1000)
+    dealt = write_table(deal_groups(nodes, components), "candidate-groups")
+    spread = (
+        dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .join(nodes, "node")
+        .join(classes.select("node", "copies"), "node")
+    )
+    rows, tokens = dealt.join(nodes.select("node", "n"), "node").agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n") * F.col("parts")), F.lit(0))).first()
+    groups = max(1, rows // BLOCK_NODES, tokens // BLOCK_TOKENS)
+    small = F.col("parts") == 1
     keyed = spread.select(
-        "node", "n", "matches", "tokens", "prefix", "component", "copies",
-        F.when(small, F.pmod(F.xxhash64("component"), F.lit(groups))).otherwise(F.col("component")).alias("k"),
+        "node", "n", "matches", "tokens", "prefix", "lead", "cluster", "by_token", "copies",
+        F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(groups))).otherwise(F.col("cluster")).alias("k"),
         small.alias("many"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
     )
-    found = write_table(keyed.groupBy("many", "k", "i", "j").applyInPandas(_verify_group(numerator, denominator), "node long, root long, links long"), "links")
+    meet = ["many", "k", "i", "j", "by_token"]
+    keyed = keyed.repartition(groups, *meet)
+    found = write_table(keyed.groupBy(*meet).applyInPandas(_verify_group(numerator, denominator), "node long, root long, links long"), "links")
     roots = connected_components(found, "node", "root")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
 

@@ -74,14 +74,34 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.jaccard_join(df, 3, 85, 100).collect()), key=str) == brute(rows, 3, 85, 100)
 
 
-def test_heavy_shingles(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "HEAVY", 0.05)
+def test_shingles_that_many_documents_of_a_batch_hold(spark):
     rng = random.Random(2)
     rows = near_copies(rng, 3, 60, 40, 3)
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     assert sorted(map(tuple, jaccard.jaccard_join(df, 2, 8, 10).collect()), key=str) == brute(rows, 2, 8, 10)
 
 
+def test_a_loose_chain_is_cut_by_its_ties(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", 10)
+    kinds = []
+    deal = jaccard.deal_groups
+    monkeypatch.setattr(jaccard, "deal_groups", lambda *a: kinds.append(deal(*a)) or kinds[-1])
+    rows = [(i, " ".join(f"w{k}" for k in range(i, i + 61))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, jaccard.jaccard_join(df, 1, 9, 10).collect()), key=str) == brute(rows, 1, 9, 10)
+    assert {r["by_token"] for r in kinds[0].select("by_token").distinct().collect()} == {True}
+
+
+def test_copies_of_a_long_chain_are_linear(spark):
+    n = 100_000
+    nodes = spark.range(n).selectExpr("id as node", "50L as n", "array(id, id + 1, id + 2) as lead")
+    dealt = jaccard.deal_groups(nodes, spark.range(n).selectExpr("id as node", "0L as component"))
+    assert dealt.selectExpr("sum(parts)").first()[0] <= 3 * n
+    dense = spark.range(3000).selectExpr("id as node", "50L as n", "array(1L, 2L, 3L, 4L) as lead")
+    dealt = jaccard.deal_groups(dense, spark.range(3000).selectExpr("id as node", "0L as component"))
+    assert dealt.selectExpr("sum(parts)").first()[0] == 3 * 3000
+
+
 def test_edges(spark):
     got = jaccard.jaccard_join(edge_docs(spark, {"n": 1, "node": 2, "component": "x"}), 3, 90, 100).collect()
     assert sorted(map(tuple, got), key=str) == brute([(i, t) for i, t, *_ in EDGES], 3, 90, 100)
