@@ -4,22 +4,24 @@ Each language has a tree of byte contexts of up to three bytes, with the counts
 code length under a language is the sum over its bytes of the exact cost in the longest context that the tree holds:
 a byte that followed there costs by its count, another pays the escape (method C: distinct followers against all)
 and is looked up in the context shortened by a byte, down to a uniform choice of 256. There is no exclusion and no
-updating, so a byte's cost depends on it and its three predecessors alone. All costs are therefore worked out once,
-into a table by context and byte, and scoring reads one entry a byte and language. The language of the shortest code
-wins; the score is its share of 2^-length over all languages.
+updating, so a byte's cost depends on it and its three predecessors alone. The trees hold the contexts that were seen
+and nothing else; a worker works out the cost of a run of four bytes when a text first has it, and from then on reads
+one entry a byte and language. The language of the shortest code wins; the score is its share of 2^-length over all
+languages.
 
-The fit reads about SAMPLE_DOCS whole labelled documents a language at most, chosen by a hash of the id; their
-contexts are counted on the executors. Scoring reads every whole text.
+The fit reads about SAMPLE_DOCS whole labelled documents a language at most, fewer if they make more than about
+SAMPLE_BYTES, chosen by a hash of the id; their contexts are counted on the executors, and the driver takes the counts
+of distinct runs: at most SAMPLE_BYTES a language, some ten thousand in prose. Scoring reads every whole text.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; without labelled texts every document is
-`und`; equal code lengths go to the language that sorts first; a null or held-out language is not learned; an empty
+`und`; equal code lengths go to the language that sorts first; a null or held-out language, or one whose labelled texts
+are all null or empty, is not learned; an empty
 table gives an empty result; columns of the input are kept and, if they clash with the result's, replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,12 @@ from .common import arrow_task, crc_fold, small_batches, text_chunks
 
 SAMPLE_DOCS = 600
 ORDER = 3
+SAMPLE_BYTES = 4 << 20
 #: Costs are stored in units of 1/1024 bit.
 UNIT = 1024
+_EMPTY = 65535
+#: Cells of two bytes that a worker's tables keep, of all languages.
+MOST_CELLS = 40_000_000
 UNKNOWN = "und"
 _START = b"\n" * ORDER
 
@@ -58,76 +64,127 @@ def _grams(joined: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
     return four[np.cumsum(inside[:-1])[3:] > 0]
 
 
-@dataclass
+#: One order of a tree: contexts (sorted) and the bits of an escape from them; runs of a context and a byte that
+#: followed it (sorted), and the bits of that byte.
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
 class LanguageModel:
-    languages: list[str]
-    class_of: np.ndarray  # byte -> class
-    context_of: np.ndarray  # three classes -> row of costs
-    costs: np.ndarray  # language, row * classes + class -> units
+    """Trees of the contexts that were seen, of each language by order; nothing grows with the alphabet's powers but the
+    numbers of runs. A worker tables the costs of what it meets, see code_lengths."""
+
+    def __init__(self, languages: list[str], class_of: np.ndarray, trees: list[list[Tree]]):
+        self.languages, self.class_of, self.trees = languages, class_of, trees
+        self.size = int(class_of.max(initial=0)) + 1
+        self._forget()
+
+    def _forget(self) -> None:
+        self._row_of: np.ndarray | None = None
+        self._contexts = np.zeros(0, np.int64)
+        self._kept: dict[int, np.ndarray] = {}
+
+    def __getstate__(self) -> tuple:
+        return self.languages, self.class_of, self.trees
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def bits(self, k: int, runs: np.ndarray) -> np.ndarray:
+        """Cost under language k of the last class of each run of four."""
+        out = np.zeros(len(runs))
+        left = np.arange(len(runs))
+        for order in range(ORDER, -1, -1):
+            contexts, escape, followed, cost = self.trees[k][order]
+            run = runs[left] % self.size ** (order + 1)
+            at = np.minimum(np.searchsorted(followed, run), len(followed) - 1)
+            hit = followed[at] == run
+            out[left[hit]] += cost[at[hit]]
+            left, context = left[~hit], run[~hit] // self.size
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            known = contexts[at] == context
+            out[left[known]] += escape[at[known]]
+        out[left] += 8.0
+        return out
+
+    def _costs(self, k: int, entry: np.ndarray) -> np.ndarray:
+        """Units by entry (a context's row and a class); those that no text had before are worked out once."""
+        table = self._kept.get(k, np.zeros(0, np.uint16))
+        cells = len(self._contexts) * self.size
+        if len(table) < cells:
+            table = np.append(table, np.full(cells - len(table), _EMPTY, np.uint16))
+        got = table[entry]
+        missing = np.flatnonzero(got == _EMPTY)
+        if len(missing):
+            new = np.unique(entry[missing])
+            runs = self._contexts[new // self.size] * self.size + new % self.size
+            table[new] = np.minimum(np.rint(self.bits(k, runs) * UNIT), _EMPTY - 1).astype(np.uint16)
+            got[missing] = table[entry[missing]]
+        if cells * len(self.languages) <= MOST_CELLS:
+            self._kept[k] = table
+        return got
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text (rows) under each language."""
+        """Bits of each text (rows) under each language. Tables of costs stay for the next call while they are small;
+        beyond that one language's table is there at a time."""
         joined, begin, end = joined_bytes(data, offsets)
-        classes = int(self.class_of.max()) + 1
-        c = self.class_of[joined].astype(np.int32)
-        context = (c[:-3] * classes + c[1:-2]) * classes + c[2:-1]
-        entry = self.context_of[context] * classes + c[3:]
+        c = self.class_of[joined].astype(np.int64)
+        context = (c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]
+        if self._row_of is None or len(self._contexts) * self.size * len(self.languages) > MOST_CELLS:
+            self._forget()
+            self._row_of = np.full(self.size**3, -1, np.int32)
+        new = np.unique(context[self._row_of[context] < 0])
+        self._row_of[new] = np.arange(len(new)) + len(self._contexts)
+        self._contexts = np.append(self._contexts, new)
+        entry = self._row_of[context].astype(np.int64) * self.size + c[3:]
         cuts = np.stack([begin, end], 1).ravel() - ORDER  # texts and, between them, the line ends
         out = np.zeros((len(begin), len(self.languages)))
         for k in range(len(self.languages)):
-            cost = self.costs[k][entry]
-            sums = np.add.reduceat(np.append(cost, np.uint16(0)), cuts, dtype=np.int64)[::2]
+            sums = np.add.reduceat(np.append(self._costs(k, entry), np.uint16(0)), cuts, dtype=np.int64)[::2]
             out[:, k] = np.where(end > begin, sums, 0)
         return out / UNIT
 
 
 def build(languages: list[str], language: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> LanguageModel | None:
-    """The table of costs from counts of four-byte runs by language."""
+    """Trees from counts of four-byte runs by language; languages without a run are left out."""
     if not len(grams):
         return None
     sym = np.stack([(grams >> s) & 255 for s in (24, 16, 8, 0)], 1)
     seen = np.unique(sym)
-    class_of = np.zeros(256, np.uint8)
-    if len(seen) > 255:
-        seen = seen[:255]
+    class_of = np.zeros(256, np.uint16)
     class_of[seen] = np.arange(1, len(seen) + 1)
-    a, n = len(seen) + 1, len(languages)
+    a = len(seen) + 1
     s = class_of[sym].astype(np.int64)
-
-    def costed(rows: int, row: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Probabilities (language, context, class) of one order from its counts and the next shorter order's."""
-        c = np.zeros((n, rows, a), np.float32)
-        np.add.at(c, (language, row, s[:, 3]), counts)
-        total, distinct = c.sum(2, keepdims=True), (c > 0).sum(2, keepdims=True)
-        scale = np.maximum(total + distinct, 1)
-        return np.where(total > 0, np.where(c > 0, c / scale, distinct / scale * shorter), shorter)
-
-    zero = np.zeros(len(s), np.int64)
-    p0 = costed(1, zero, np.full((n, 1, a), 1 / 256, np.float32))
-    p1 = costed(a, s[:, 2], p0)
-    two = s[:, 1] * a + s[:, 2]
-    p2 = costed(a * a, two, np.tile(p1, (1, a, 1)))
-    three, row = np.unique(s[:, 0] * a * a + two, return_inverse=True)
-    p3 = costed(len(three), row, p2[:, three % (a * a)])
-    table = np.concatenate([p3, p2], 1)
-    costs = np.minimum(np.rint(-np.log2(np.maximum(table, 1e-18)) * UNIT), 65535).astype(np.uint16).reshape(n, -1)
-    context_of = (len(three) + np.tile(np.arange(a * a, dtype=np.int32), a)).astype(np.int32)
-    context_of[three] = np.arange(len(three))
-    return LanguageModel(languages, class_of, context_of, costs)
-
-
-def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> LanguageModel | None:
+    code = ((s[:, 0] * a + s[:, 1]) * a + s[:, 2]) * a + s[:, 3]
+    learned, trees = [], []
+    for k, name in enumerate(languages):
+        own, n = code[language == k], counts[language == k]
+        if not len(own):
+            continue
+        orders = []
+        for order in range(ORDER + 1):
+            runs, place = np.unique(own % a ** (order + 1), return_inverse=True)
+            times = np.bincount(place, n)
+            contexts, of = np.unique(runs // a, return_inverse=True)
+            total, distinct = np.bincount(of, times), np.bincount(of)
+            orders.append((contexts, np.log2((total + distinct) / distinct), runs, np.log2((total + distinct)[of] / times)))
+        learned.append(name)
+        trees.append(orders)
+    return LanguageModel(learned, class_of, trees)
+
+
+def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> LanguageModel | None:
     """Counts contexts in about sample_docs documents a language outside the held-out fold; None if there are none."""
     small_batches(docs.sparkSession)
     known = docs.select("doc_id", F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(
         F.col("lang").isNotNull() & (crc_fold("doc_id") != 0)
     )
-    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    totals = {r["lang"]: (r["n"], r["bytes"]) for r in sizes.collect()}
     if not totals:
         return None
     languages = sorted(totals)
     steps = 1 << 20
-    rate = {k: min(steps, -(-steps * sample_docs // v)) for k, v in totals.items()}
+    rate = {k: min(steps, -(-steps * sample_docs // n), -(-steps * sample_bytes // max(1, size))) for k, (n, size) in totals.items()}
     table = F.create_map(*[F.lit(x) for k in languages for x in (k, rate[k])])
     number = F.create_map(*[F.lit(x) for i, k in enumerate(languages) for x in (k, i)])
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < table[F.col("lang")]).select(number[F.col("lang")].alias("k"), "text")
@@ -143,7 +200,6 @@ def train(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOC
                     codes, n = np.unique(_grams(joined, begin[own], stop[own]), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes), pa.array(n)], names=["k", "gram", "n"])
 
-    # Runs of four bytes in a bounded sample: at most as many as it has bytes, in practice some ten thousand a language.
     got = drawn.mapInArrow(count, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n")).orderBy("k", "gram").toArrow()
     return build(languages, got["k"].to_numpy(), got["gram"].to_numpy(), got["n"].to_numpy())
 

@@ -4,7 +4,8 @@ A document is its ids and an end id; only longer ones are cut. Full pieces are s
 are packed in groups of some thousand: a bin is filled greedily, the longest piece that fits coming first, and then
 its smallest piece gives way to the two unpacked pieces that fill the widened gap best, if they fill it more
 tightly. Bins that stay loose, the last ones of a group, are opened again and packed in groups of their own, until
-one group is left. Which pieces share a group does not depend on their content, so no text, however frequent, makes
+one group is left or a turn leaves nine in ten of its pieces loose: of lengths that do not fill a bin no turn makes
+better ones. Which pieces share a group does not depend on their content, so no text, however frequent, makes
 a large group. Packing moves rows of a few numbers; ids stay where they were made.
 
 Defined cases: a null text is empty and a document of the end id alone; a null id is kept; repeated rows are packed
@@ -32,7 +33,8 @@ END_ID = 1
 #: Pieces packed together, and the gap beyond which a bin is opened again.
 GROUP = 8192
 SLACK = 16
-ROUNDS = 3
+#: Share of a turn's pieces that may stay loose for another turn to be worth it.
+STALLED = 0.9
 #: Words whose ids a worker keeps, about 170 bytes each; it forgets all of them beyond.
 CACHE_WORDS = 1_200_000
 #: Stands between words that are encoded together; a word that holds it is encoded alone.
@@ -201,19 +203,19 @@ def best_two_fit(lengths: np.ndarray, size: int = LENGTH) -> tuple[np.ndarray, n
     return used_bin, used_offset
 
 
-def _packer(size: int, slack: int, base: int, last: bool):
+def _packer(size: int, slack: int, base: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = best_two_fit(frame["length"].to_numpy(np.int64), size)
         filled = np.bincount(bins, frame["length"])
         frame["sequence_id"] = base + (int(key[0]) << 32) + bins
         frame["offset"] = offsets
-        frame["loose"] = (size - filled[bins] > slack) & (not last)
+        frame["loose"] = size - filled[bins] > slack
         return frame.drop(columns="_group")
 
     return run
 
 
-def pack(parts: DataFrame, size: int = LENGTH, group: int = GROUP, slack: int = SLACK, rounds: int = ROUNDS) -> DataFrame:
+def pack(parts: DataFrame, size: int = LENGTH, group: int = GROUP, slack: int = SLACK, stalled: float = STALLED) -> DataFrame:
     """Adds sequence_id and offset to pieces (any columns, with length from 1 to size)."""
     kept = parts.drop(*[c for c in ("sequence_id", "offset") if c in parts.columns])
     names = kept.columns
@@ -222,19 +224,20 @@ def pack(parts: DataFrame, size: int = LENGTH, group: int = GROUP, slack: int =
     done = [kept.filter(F.col("length") == size).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})]
     rest, base = kept.filter(F.col("length") < size), 0
     todo = rest.count()
-    for turn in range(rounds):
-        if not todo:
-            break
+    while todo:
         groups = max(1, round(todo / group))
-        last = groups == 1 or turn == rounds - 1
 
         # Row numbers are those of a written table's files, so a task that runs again deals the same groups.
         dealt = rest.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-        packed = write_table(dealt.groupBy("_group").applyInPandas(_packer(size, slack, base, last), f"{schema}, sequence_id long, offset long, loose boolean"), "packed")
+        packed = write_table(dealt.groupBy("_group").applyInPandas(_packer(size, slack, base), f"{schema}, sequence_id long, offset long, loose boolean"), "packed")
+        loose = packed.filter("loose").count() if groups > 1 else 0
+        if loose > stalled * todo or groups == 1:
+            done.append(packed.drop("loose"))
+            break
         done.append(packed.filter("not loose").drop("loose"))
         rest = packed.filter("loose").select(names)
         base += groups << 32
-        todo = 0 if last else rest.count()
+        todo = loose
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

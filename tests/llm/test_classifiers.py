@@ -90,6 +90,51 @@ def test_code_lengths_equal_the_plain_method():
             assert abs(plain_code_length(counts[name], t) - bits) < 0.002 * (len(t) + 1), (t, name)
 
 
+def test_languages_without_bytes_are_left_out(spark):
+    rows = [(i, "plain words of one tongue", "en", "s", 0) for i in range(20)] + [(100 + i, "" if i % 2 else None, "xx", "s", 0) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = langid.train(docs)
+    assert model.languages == ["en"]
+    cyrillic = spark.createDataFrame([(1, "Съешь же ещё этих мягких французских булок", None, "s", 0)], docs.schema)
+    assert langid.identify(cyrillic, model).first()["lang_pred"] == "en"
+
+
+def test_trees_of_many_languages_stay_small():
+    """Uniform runs of 200 byte values in 100 languages: trees are as large as the counts, whatever the alphabet."""
+    import pickle
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    n = 200_000
+    grams = sum(rng.integers(40, 240, n) << s for s in (24, 16, 8, 0))
+    tracemalloc.start()
+    model = langid.build([f"l{i:03}" for i in range(100)], rng.integers(0, 100, n), grams, np.ones(n, np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.languages) == 100 and peak < 100 << 20 and len(pickle.dumps(model)) < 50 << 20
+    text = rng.integers(40, 240, 3000).astype(np.uint8)
+    assert model.code_lengths(text, np.array([0, 1000, 3000])).shape == (2, 100)
+
+
+def test_worker_tables_do_not_change_costs(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(word(rng, k) for _ in range(30)).encode() for k in SYLLABLES for _ in range(4)]
+    grams, ks = [], []
+    for i, t in enumerate(texts):
+        data = b"\n\n\n" + t
+        grams += [int.from_bytes(data[j - 3 : j + 1], "big") for j in range(3, len(data))]
+        ks += [i // 4] * (len(data) - 3)
+    pairs, n = np.unique(np.stack([ks, grams]), axis=1, return_counts=True)
+    model = langid.build(sorted(SYLLABLES), pairs[0], pairs[1], n)
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = model.code_lengths(data, offsets)
+    assert (model.code_lengths(data, offsets) == whole).all()
+    monkeypatch.setattr(langid, "MOST_CELLS", 10)
+    model._forget()
+    parts = [model.code_lengths(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]
+    assert (np.concatenate(parts) == whole).all()
+
+
 def test_language_edges(spark):
     docs = edge_docs(spark, {"score": "x", "lang_pred": 1})
     got = {}

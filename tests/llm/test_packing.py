@@ -89,3 +89,14 @@ def test_groups_are_merged(spark):
     got = packing.pack(df, group=200).collect()
     assert sorted(r["id"] for r in got) == list(range(3000))
     assert check(got, 4096) <= 1.02 * -(-sum(r["length"] for r in got) // 4096) + 2
+
+
+def test_loose_bins_are_opened_until_one_group_is_left(spark):
+    rng = random.Random(7)
+    for low, high, most in ((1, 4096, 1.01), (1366, 2599, None)):
+        df = spark.createDataFrame([(i, rng.randint(low, high)) for i in range(4000)], "id int, length long").repartition(5)
+        got = packing.pack(df, group=200).collect()
+        assert sorted(r["id"] for r in got) == list(range(4000))
+        used = check(got, 4096)
+        best = best_fit_decreasing([r["length"] for r in got], 4096)
+        assert used <= (most or 1.03) * best + 2, (used, best)
