@@ -7,8 +7,9 @@ again, by the next bits of the hash, until it holds one hash. A document that is
 passed over and the search goes on behind it, among documents that fit, so that a long document at the threshold
 does not leave a source short. Documents are then filtered by their source's few hash ranges; nothing is sorted.
 
-Buckets are partial sums, so a source with a third of all rows shuffles no more than any other. The driver holds
-one row a source: its size, its target and its ranges.
+Buckets are partial sums, so a source with a third of all rows shuffles no more than any other. What is known of
+sources (size, weight, target, where its search stands, its ranges) are tables of one row a source that Spark holds,
+however many there are; the driver holds sums over all of them.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last; rows that repeat with
 equal id and text share a hash and are taken or left together; an empty table gives an empty result; columns of
@@ -17,99 +18,100 @@ the input that clash with the result's are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, write_table
 
 HASH_BITS = 48
 LEVEL_BITS = 12
-#: A source is searched anew behind a passed-over document at most so often.
-ROUNDS = 8
 MAX_REPEATS = 3
 #: Tables of one row a source are broadcast up to so many rows, and joined by shuffle beyond.
 BROADCAST_SOURCES = 100_000
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, cap: float = MAX_REPEATS) -> dict[str | None, float]:
-    """Shares of the total by weight. A target stops at cap times its source's size; the excess goes to the others, by weight."""
-    ordered = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    weight = {name: weights[i % len(weights)] for i, (name, _) in enumerate(ordered)}
-    size = dict(ordered)
-    total = float(sum(size.values()) if total is None else total)
-    out: dict[str | None, float] = {}
-    active = [name for name, _ in ordered]
-    while active:
-        left = total - sum(out.values())
-        share = left / sum(weight[n] for n in active)
-        over = [n for n in active if share * weight[n] > cap * size[n]]
-        if not over:
-            return out | {n: share * weight[n] for n in active}
-        out |= {n: float(cap * size[n]) for n in over}
-        active = [n for n in active if n not in out]
-    return out
+def _bounded(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows < BROADCAST_SOURCES else table
+
+
+def weighed(sizes: DataFrame, weights: tuple[float, ...]) -> DataFrame:
+    """Adds weight to (_source, source_size): by place in the order of sources, null last, weights repeating. Sources are
+    numbered within ranges of names and on from range to range, so that no task has all of them."""
+    by = [F.col("_source").isNull(), F.col("_source")]
+    ranged = write_table(sizes.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "mix-ranges")
+    before, offsets = 0, {}
+    for r in ranged.groupBy("_part").count().orderBy("_part").collect():  # as many rows as ranges
+        offsets[r["_part"]], before = before, before + r["count"]
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*by)) - 1
+    offset = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])[F.col("_part")] if offsets else F.lit(0)
+    table = F.array(*[F.lit(float(w)) for w in weights])
+    return ranged.withColumn("weight", F.get(table, F.pmod(offset + place, F.lit(len(weights))).cast("int"))).drop("_part")
+
+
+def water_level(sources: DataFrame, total: float | None, cap: float) -> float | None:
+    """Words a unit of weight, once what lies above cap times a source's size has gone to the others; None if all stop."""
+    over, level = -1, None
+    while True:
+        stops = F.lit(False) if level is None else F.col("weight") * level > cap * F.col("source_size")
+        r = sources.agg(
+            F.sum("source_size").alias("all"),
+            F.count_if(stops).alias("over"),
+            F.sum(F.when(stops, cap * F.col("source_size"))).alias("stopped"),
+            F.sum(F.when(~stops, F.col("weight"))).alias("open"),
+        ).first()
+        if not r["open"]:
+            return None
+        if r["over"] == over:
+            return level
+        over, level = r["over"], ((r["all"] if total is None else total) - (r["stopped"] or 0.0)) / r["open"]
 
 
 def _hash48(id_col: str, text_col: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 64 - HASH_BITS)
 
 
-def _find(hashed: DataFrame, budgets: dict[int, int], tolerance: float) -> dict[int, list[tuple[int, int, int]]]:
-    """Per source number the hash ranges (low, high, largest size) whose documents fill the budget from below."""
-    spark = hashed.sparkSession
-    ranges: dict[int, list[tuple[int, int, int]]] = {k: [] for k in budgets}
-    left = dict(budgets)
-    start = {k: 0 for k, b in budgets.items() if b > 0}
-    for _ in range(ROUNDS):
-        # A search: where it stands, the bucket's first hash and its width in bits, and the size that fits.
-        open_ = {k: [start[k], HASH_BITS, left[k]] for k in start}
-        cap = {k: left[k] for k in start}
-        stop: dict[int, tuple[int, int, int]] = {}
-        while open_:
-            rows = [(k, lo >> bits, bits, max(0, bits - LEVEL_BITS), start[k], cap[k]) for k, (lo, bits, _) in open_.items()]
-            state = spark.createDataFrame(rows, "k int, bucket long, bits int, next int, start long, cap long")
-            inside = (
-                hashed.join(F.broadcast(state) if len(rows) < BROADCAST_SOURCES else state, "k")
-                .filter("shiftright(h, bits) = bucket and h >= start and size <= cap and size > 0")
-                .groupBy("k", F.expr("shiftright(h, next)").alias("b"))
-                .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-            )
-            running = inside.withColumn("upto", F.expr("sum(words) over (partition by k order by b)"))
-            budget = spark.createDataFrame([(k, b) for k, (_, _, b) in open_.items()], "k int, budget long")
-            over = (
-                running.join(F.broadcast(budget) if len(rows) < BROADCAST_SOURCES else budget, "k")
-                .groupBy("k")
-                .agg(
-                    F.coalesce(F.max(F.expr("if(upto <= budget, upto, 0)")), F.lit(0)).alias("taken"),
-                    F.min(F.expr("if(upto > budget, struct(b, words, lo, hi), null)")).alias("at"),
-                )
-                .collect()
+def _find(hashed: DataFrame, sources: DataFrame, tolerance: float) -> DataFrame:
+    """_name and ranges (lo, hi, cap: hashes and largest size) whose documents fill each source's budget from below.
+
+    A row a source says where its search stands: it began at `start` with documents of at most `cap` words, has come to
+    the bucket of `bits` bits at `lo`, and has `left` to fill. Each turn sums the next finer buckets of all searches."""
+    state = sources.filter("budget > 0").selectExpr(
+        "_name", "budget", "0L as start", "budget as cap", "0L as lo", f"{HASH_BITS} as bits", "budget as left"
+    )
+    state = write_table(state, "mix-search")
+    searches = state.count()
+    found = sources.select("_name", *[F.lit(None).cast("long").alias(c) for c in ("lo", "hi", "cap")]).limit(0)
+    while searches:
+        finer = F.greatest(F.col("bits") - LEVEL_BITS, F.lit(0))
+        inside = (
+            hashed.join(_bounded(state, searches), F.col("_source").eqNullSafe(F.col("_name")))
+            .filter("shiftright(h, bits) = shiftright(lo, bits) and h >= start and size <= cap and size > 0")
+            .groupBy("_name", "left", F.call_function("shiftright", "h", finer).alias("b"))
+            .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+        )
+        running = inside.withColumn("upto", F.expr("sum(words) over (partition by _name order by b)"))
+        over = running.groupBy(F.col("_name").alias("_same")).agg(
+            F.coalesce(F.max(F.expr("if(upto <= left, upto, 0)")), F.lit(0)).alias("taken"),
+            F.min(F.expr("if(upto > left, struct(b, words, lo, hi), null)")).alias("at"),
+        )
+        turned = (
+            state.join(over, F.col("_name").eqNullSafe(F.col("_same")), "left")
+            .withColumns({"rest": F.col("left") - F.coalesce("taken", F.lit(0)), "one": F.expr("at is not null and at.lo = at.hi"), "finer": finer})
+            .selectExpr(
+                "_name", "budget", "start", "cap", "rest", "one", "finer", "at.b as b", "at.lo as first",
+                "case when at is null then shiftleft(shiftright(lo, bits) + 1, bits) when one then at.lo end as stop",
+                f"at is null or one and rest <= {tolerance!r} * budget as done",
             )
-            got = {r["k"]: r for r in over}
-            following = {}
-            for k, (lo, bits, budget_left) in open_.items():
-                r = got.get(k)
-                if r is None or r["at"] is None:
-                    # Everything from here to the bucket's end fits.
-                    stop[k] = ((lo >> bits) + 1 << bits, 0, budget_left - (r["taken"] if r else 0))
-                    continue
-                rest = budget_left - r["taken"]
-                if r["at"]["lo"] == r["at"]["hi"]:
-                    stop[k] = (r["at"]["lo"], r["at"]["words"], rest)
-                else:
-                    nbits = max(0, bits - LEVEL_BITS)
-                    following[k] = [r["at"]["b"] << nbits, nbits, rest]
-            open_ = following
-        for k, (at, words, rest) in stop.items():
-            ranges[k].append((start[k], at, cap[k]))
-            if not words or rest <= tolerance * budgets[k]:
-                del start[k]
-            else:
-                start[k] = at + 1
-            left[k] = rest
-        if not start:
-            break
-    return {k: [r for r in rs if r[0] < r[1]] for k, rs in ranges.items()}
+        )
+        turned = write_table(turned, "mix-search")
+        found = found.unionByName(turned.filter("start < stop").selectExpr("_name", "start as lo", "stop as hi", "cap"))
+        # A document that does not fit is passed over and the search goes on behind it, among those that do.
+        state = turned.filter("not done").selectExpr(
+            "_name", "budget", "if(one, first + 1, start) as start", "if(one, rest, cap) as cap",
+            "if(one, first + 1, shiftleft(b, finer)) as lo", f"if(one, {HASH_BITS}, finer) as bits", "rest as left",
+        )
+        searches = state.count()
+    return found.groupBy("_name").agg(F.collect_list(F.struct("lo", "hi", "cap")).alias("ranges"))
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -123,29 +125,30 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
     )
 
 
-def plan(hashed: DataFrame, weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, tolerance: float = 0.0005) -> DataFrame:
-    """One row a source: _source, source_size, target, whole (repeats of every document), ranges (of hashes taken once
-    more). hashed has _source, size and h, and is read once for each round and level, so it should be a written table."""
-    spark = hashed.sparkSession
-    sizes = [(r["_source"], r["n"]) for r in hashed.groupBy("_source").agg(F.sum("size").alias("n")).collect()]
-    goal = targets(sizes, weights, total)
-    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    repeats, budgets = {}, {}
-    for k, (name, n) in enumerate(order):
-        whole = min(MAX_REPEATS, int(goal[name] // n)) if n else 0
-        repeats[name] = whole
-        budgets[k] = 0 if whole == MAX_REPEATS else max(0, round(goal[name] - whole * n))
-    numbers = spark.createDataFrame([(name, k) for k, (name, _) in enumerate(order)], "_name string, k int")
-    numbers = F.broadcast(numbers) if len(order) < BROADCAST_SOURCES else numbers
-    numbered = hashed.join(numbers, F.col("_source").eqNullSafe(F.col("_name"))).select("k", "size", "h")
-    found = _find(numbered, budgets, tolerance)
-    rows = [(name, n, goal[name], repeats[name], [{"lo": a, "hi": b, "cap": c} for a, b, c in found.get(k, [])]) for k, (name, n) in enumerate(order)]
-    return spark.createDataFrame(rows, "_name string, source_size long, target double, whole int, ranges array<struct<lo: long, hi: long, cap: long>>")
+def plan(
+    hashed: DataFrame, weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, tolerance: float = 0.0005, cap: float = MAX_REPEATS
+) -> tuple[DataFrame, int]:
+    """One row a source: _name, source_size, target, whole (repeats of every document), ranges (of hashes taken once
+    more); and their number. hashed has _source, size and h, and is read once for each level of a search, so it should
+    be a written table."""
+    sizes = hashed.groupBy("_source").agg(F.sum("size").alias("source_size"))
+    sources = write_table(weighed(sizes, weights), "mix-sources")
+    level = water_level(sources, total, cap)
+    most = cap * F.col("source_size")
+    target = most if level is None else F.least(F.col("weight") * level, most)
+    whole = F.when(F.col("source_size") > 0, F.least(F.lit(MAX_REPEATS), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("int")
+    budget = F.when(F.col("whole") == MAX_REPEATS, 0).otherwise(F.greatest(F.lit(0), F.bround(F.col("target") - F.col("whole") * F.col("source_size")))).cast("long")
+    goals = sources.withColumn("target", target.cast("double")).withColumn("whole", whole).withColumn("budget", budget).withColumnRenamed("_source", "_name")
+    found = _find(hashed, goals, tolerance)
+    planned = goals.join(found.withColumnRenamed("_name", "_same"), F.col("_name").eqNullSafe(F.col("_same")), "left")
+    none = F.array().cast("array<struct<lo: bigint, hi: bigint, cap: bigint>>")
+    planned = write_table(planned.select("_name", "source_size", "target", "whole", F.coalesce("ranges", none).alias("ranges")), "mix-plan")
+    return planned, planned.count()
 
 
 def apply(measured: DataFrame, planned: DataFrame, sources: int) -> DataFrame:
     """Adds source_size, target and taken (words, repeats counted) to documents with _source, size and hash."""
-    joined = measured.join(F.broadcast(planned) if sources < BROADCAST_SOURCES else planned, F.col("_source").eqNullSafe(F.col("_name")))
+    joined = measured.join(_bounded(planned, sources), F.col("_source").eqNullSafe(F.col("_name")))
     chosen = F.exists("ranges", lambda r: (F.col("hash") >= r["lo"]) & (F.col("hash") < r["hi"]) & (F.col("size") <= r["cap"]))
     return joined.withColumn("taken", F.col("size") * (F.col("whole") + chosen.cast("int"))).drop("_name", "_source", "ranges", "whole")
 
@@ -168,8 +171,7 @@ def mix(
     new = ("size", "hash", "source_size", "target", "taken")
     measured = _measured(docs.drop(*[c for c in new if c in docs.columns]), id_col, text_col, source_col)
     written = write_table(measured.select(F.col(id_col).alias("doc_id"), "_source", "size", "hash"), "mix-sizes")
-    planned = plan(written.select("_source", "size", F.col("hash").alias("h")), weights, total, tolerance)
-    sources = planned.count()
+    planned, sources = plan(written.select("_source", "size", F.col("hash").alias("h")), weights, total, tolerance)
     if texts:
         return apply(measured, planned, sources)
     return apply(written.withColumn("source", F.col("_source")), planned, sources)

@@ -7,11 +7,37 @@ from shelfmark.llm import mixing
 from .fixtures import edge_docs, no_docs
 
 
-def test_targets_fill_like_water():
-    t = mixing.targets([("a", 100), ("b", 10), ("c", 1000)])
-    assert t["b"] == 30.0 and abs(sum(t.values()) - 1110) < 1e-6
-    assert abs(t["c"] / t["a"] - 3) < 1e-9
-    assert mixing.targets([(None, 5), ("z", 5)])["z"] == 10 / 3 and mixing.targets([]) == {} and mixing.targets([("a", 0)]) == {"a": 0.0}
+def targets(sizes, weights=(1, 2, 3), cap=3):
+    """Shares by weight; what lies above the cap goes to the others, one round after the other."""
+    ordered = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
+    weight = {name: weights[i % len(weights)] for i, (name, _) in enumerate(ordered)}
+    size, out = dict(ordered), {}
+    active = list(size)
+    while active:
+        share = (sum(size.values()) - sum(out.values())) / sum(weight[n] for n in active)
+        over = [n for n in active if share * weight[n] > cap * size[n]]
+        if not over:
+            return out | {n: share * weight[n] for n in active}
+        out |= {n: float(cap * size[n]) for n in over}
+        active = [n for n in active if n not in out]
+    return out
+
+
+def test_targets_fill_like_water(spark):
+    rng = random.Random(4)
+    for sizes in ([("a", 100), ("b", 10), ("c", 1000)], [(None, 5), ("z", 5)], [("a", 0)], [(f"s{i}", int(10 ** rng.uniform(0, 5))) for i in range(500)] + [(None, 77), ("", 3)]):
+        planned, n = mixing.plan(spark.createDataFrame([(s, w, i) for i, (s, w) in enumerate(sizes)], "_source string, size long, h long").repartition(3))
+        want = targets(sizes)
+        assert n == len(sizes)
+        for r in planned.collect():
+            assert abs(r["target"] - want[r["_name"]]) <= 1e-6 * (1 + want[r["_name"]])
+
+
+def test_very_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1000)
+    docs = spark.range(60_000).selectExpr("id as doc_id", "concat('w ', repeat('x ', cast(id % 7 as int))) as text", "concat('s', id % 20000) as source")
+    r = mixing.mix(docs).selectExpr("count(*)", "count(distinct source)", "sum(taken) / sum(size)", "max(taken - 3 * size)").first()
+    assert r[0] == 60_000 and r[1] == 20_000 and r[3] <= 0 and 0.5 < r[2] <= 1.0
 
 
 def brute(rows):
@@ -29,7 +55,7 @@ def test_taken_comes_near_the_target(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long").repartition(7)
     got = mixing.mix(df).collect()
     assert len(got) == len(rows)
-    size, goal = brute([r[:3] for r in rows]), mixing.targets(list(brute([r[:3] for r in rows]).items()))
+    size, goal = brute([r[:3] for r in rows]), targets(list(brute([r[:3] for r in rows]).items()))
     taken = defaultdict(int)
     for r in got:
         assert r["taken"] <= 3 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0)

@@ -11,6 +11,7 @@ from shelfmark.llm.queries import ORACLES, QUERIES
 from ..test_queries import rows_of, tables  # noqa: F401
 from .fixtures import edge_docs, no_docs
 from .test_jaccard import brute
+from .test_mixing import targets
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -45,7 +46,7 @@ def test_mixture_repeats_documents(spark, sf_dir):
     words = defaultdict(int)
     for i, n in got.items():
         words[rows[i][2]] += n * (1 + i % 5)
-    goal = mixing.targets([(s, sum(1 + i % 5 for i, _, x in rows if x == s)) for s in "ab"])
+    goal = targets([(s, sum(1 + i % 5 for i, _, x in rows if x == s)) for s in "ab"])
     assert all(abs(words[s] - goal[s]) <= 5 for s in "ab")
 
 
