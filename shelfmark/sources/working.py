@@ -10,36 +10,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import attach
 
-_written: list[tuple[SparkSession, str]] = []
+#: By identity of the table that was given out; the table is kept, so that no other takes its place.
+_written: dict[int, tuple[SparkSession, str, DataFrame]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set, as in tests."""
+    """The cluster's shared folder; one of our own only where none is set and all runs on this machine, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="shelfmark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
+def write_table(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: a cut of the lineage that survives lost executors.
 
-    The folder is removed when the driver's Python ends, not before: results are lazy and may still read it.
+    The folder is removed by `forget`, or when the driver's Python ends: results are lazy and may still read it.
     """
     spark = df.sparkSession
     attach(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[id(table)] = (spark, path, table)
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Removes a working table that nothing will read again."""
+    spark, path, _ = _written.pop(id(table))
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @atexit.register
 def _remove() -> None:
-    for spark, path in _written:
+    for _, _, table in list(_written.values()):
         try:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            forget(table)
         except Exception:  # noqa: BLE001  the session may be gone at exit
             return
