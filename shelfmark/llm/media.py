@@ -1,11 +1,11 @@
 """Media columns: Netpbm and BMP images decoded to arrays, resized by area, hashed and written as NPY tiles.
 
 Decoders take P1 to P6 (plain and raw, one or two bytes a sample) and uncompressed BMP of 1, 4, 8, 24 and 32 bits,
-bottom-up or top-down. `area_resize` averages over areas by an integral image, with fractions of pixels at the
+bottom-up or top-down, 32 bits also with masks of whole bytes. `area_resize` averages over areas by an integral image, with fractions of pixels at the
 edges. `difference_hash` compares neighbours of the 9 by 8 tile. `encode_npy` writes the tile in NPY format 1.0.
 
-Defined cases: a null image gives null columns and the error "null"; bytes that are no image, are cut short or
-declare no pixels give null columns and a message, and never end the job. Equal bytes give equal values. Other
+Defined cases: a null image gives null columns and the error "null"; bytes that are no image, are cut short,
+declare no pixels or hold samples above their largest value give null columns and a message, and never end the job. Equal bytes give equal values. Other
 columns are kept; of names that clash, the input's is replaced.
 """
 
@@ -63,7 +63,7 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         flat = np.frombuffer(data[at - 1 :], np.uint8)
         flat = flat[(flat == 48) | (flat == 49)][:n] - 48
     elif kind in (2, 3):
-        flat = np.array(data[at - 1 :].split()[:n], np.int64)
+        flat = np.array(data[at - 1 :].split(None, n)[:n], np.int64)
     elif kind == 4:
         stride = (width + 7) // 8
         rows = np.frombuffer(data, np.uint8, min(stride * height, len(data) - at), at)
@@ -77,11 +77,24 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         flat = np.frombuffer(data, wide, n, at)
     if flat.size < n:
         raise ValueError("netpbm: samples are cut short")
+    if flat.max() > top or flat.min() < 0:
+        raise ValueError("netpbm: a sample lies beyond the largest value")
     if bitmap:
         flat = (1 - flat) * 255
     return flat.astype(np.uint16 if top > 255 else np.uint8).reshape(height, width, channels)
 
 
+def _masked(data: bytes, header: int, bits: int) -> list[int]:
+    """Which byte of a pixel holds red, green, blue and, in headers that name it, alpha. Masks of other shapes are not read."""
+    if bits != 32 or len(data) < 66:
+        raise ValueError("bmp: masks need 32 bits")
+    masks = struct.unpack_from("<IIII", data, 54) if header >= 56 and len(data) >= 70 else (*struct.unpack_from("<III", data, 54), 0)
+    whole = {0xFF << (8 * k): k for k in range(4)}
+    if any(m not in whole for m in masks[:3]) or masks[3] and masks[3] not in whole or len({*masks}) < 4:
+        raise ValueError("bmp: these masks are not read")
+    return [whole[m] for m in masks if m]
+
+
 def decode_bmp(data: bytes) -> np.ndarray:
     """(height, width, channels) of uint8; palettes are applied, blue-green-red becomes red-green-blue."""
     if len(data) < 54:
@@ -95,7 +108,10 @@ def decode_bmp(data: bytes) -> np.ndarray:
         raise ValueError("bmp: samples are cut short")
     raw = np.frombuffer(data, np.uint8, stride * rows, place).reshape(rows, stride)
     if bits >= 24:
-        image = raw[:, : width * bits // 8].reshape(rows, width, bits // 8)[:, :, [2, 1, 0, 3][: bits // 8]]
+        order = [2, 1, 0, 3][: bits // 8] if packing == 0 else _masked(data, header, bits)
+        image = raw[:, : width * bits // 8].reshape(rows, width, bits // 8)[:, :, order]
+    elif packing == 3:
+        raise ValueError("bmp: masks without colours of their own")
     else:
         n = colours or 1 << bits
         palette = np.frombuffer(data, np.uint8, 4 * n, 14 + header).reshape(n, 4)[:, 2::-1]
@@ -122,6 +138,17 @@ def encode_pgm(samples: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (samples.shape[1], samples.shape[0]) + samples.tobytes()
 
 
+def encode_bmp(samples: np.ndarray) -> bytes:
+    """Grey bitmap of 8 bits with a palette, bottom-up, of a (height, width) array of uint8."""
+    height, width = samples.shape
+    rows = np.zeros((height, -(-width // 4) * 4), np.uint8)
+    rows[:, :width] = samples[::-1]
+    palette = np.repeat(np.arange(256, dtype=np.uint8), 4).reshape(256, 4)
+    palette[:, 3] = 0
+    place = 54 + palette.size
+    return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", place + rows.size, 0, 0, place, 40, width, height, 1, 8, 0, rows.size, 0, 0, 256, 0) + palette.tobytes() + rows.tobytes()
+
+
 def _edges(integral: np.ndarray, n: int) -> np.ndarray:
     """The integral along its first axis at n + 1 even cuts, between pixels by linear interpolation."""
     size = integral.shape[0] - 1
@@ -160,26 +187,39 @@ def encode_npy(array: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def features(data: bytes, height: int = 16, width: int = 16) -> dict:
-    """The columns of one image."""
+def features(data: bytes, height: int = 16, width: int = 16, digests: bool = False) -> dict:
+    """The columns of one image, decoded once."""
     image = decode(data)
     tile = np.clip(np.rint(area_resize(image, height, width)), 0, 65535).astype(image.dtype)
-    return {
+    out = {
         "height": image.shape[0],
         "width": image.shape[1],
         "channels": image.shape[2],
         "tile": encode_npy(tile),
         "dhash": difference_hash(np.rint(area_resize(grey(image), 8, 9) * 256)),
     }
+    if digests:
+        payload = image.tobytes()
+        out |= {
+            "payload_bytes": len(payload),
+            "payload_sha256": hashlib.sha256(payload).hexdigest(),
+            "tail_crc32": zlib.crc32(payload[-32:]),
+            "media_bytes": len(data),
+            "media_sha256": hashlib.sha256(data).hexdigest(),
+        }
+    return out
 
 
 _FEATURES = {"height": pa.int32(), "width": pa.int32(), "channels": pa.int32(), "tile": pa.binary(), "dhash": pa.string(), "error": pa.string()}
-_FEATURES_DDL = "height int, width int, channels int, tile binary, dhash string, error string"
+_DIGESTS = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string()}
+_NAMES = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
 
 
-def media_columns(images: DataFrame, column: str = "media", height: int = 16, width: int = 16) -> DataFrame:
-    """Adds height, width, channels, tile (NPY), dhash and error; one image in memory at a time."""
-    kept = images.drop(*[c for c in _FEATURES if c in images.columns and c != column])
+def media_columns(images: DataFrame, column: str = "media", height: int = 16, width: int = 16, digests: bool = False) -> DataFrame:
+    """Adds height, width, channels, tile (NPY), dhash and error, and with digests what the samples and the stored bytes
+    come to; one image in memory at a time."""
+    made = _FEATURES | (_DIGESTS if digests else {})
+    kept = images.drop(*[c for c in made if c in images.columns and c != column])
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,14 +228,15 @@ def media_columns(images: DataFrame, column: str = "media", height: int = 16, wi
             for value in batch.column(names.index(column)):
                 try:
                     data = value.as_py()
-                    rows.append({"error": "null"} if data is None else features(data, height, width))
+                    rows.append({"error": "null"} if data is None else features(data, height, width, digests))
                 except (ValueError, struct.error, OverflowError) as problem:
                     rows.append({"error": str(problem)})
-            made = [pa.array([r.get(k) for r in rows], t) for k, t in _FEATURES.items()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, *_FEATURES])
+            arrays = [pa.array([r.get(k) for r in rows], t) for k, t in made.items()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*names, *made])
 
+    small_batches(images.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{schema}, {_FEATURES_DDL}")
+    return kept.mapInArrow(run, ", ".join([schema, *[f"{k} {_NAMES[t]}" for k, t in made.items()]]))
 
 
 def pad(payload: bytes, unit: int = PAD) -> bytes:
@@ -203,13 +244,19 @@ def pad(payload: bytes, unit: int = PAD) -> bytes:
     return payload + b"\xff" * ((-len(payload)) % unit if payload else unit)
 
 
+def encode_text(payload: bytes) -> bytes:
+    """A padded payload as a grey image 24 samples wide: a grey map, or a bitmap where its checksum is odd."""
+    samples = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
+    return encode_bmp(samples) if zlib.crc32(payload) & 1 else encode_pgm(samples)
+
+
 def text_images(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every whole text as a grey map 24 samples wide: doc_id, n_bytes, media. A null text is empty."""
+    """Every whole text as an image: doc_id, n_bytes, media. A null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_chunks(batch.column(1)):
-                media = [encode_pgm(np.frombuffer(pad(data[a:b].tobytes()), np.uint8).reshape(-1, WIDTH)) for a, b in zip(offsets, offsets[1:])]
+                media = [encode_text(pad(data[a:b].tobytes())) for a, b in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(np.diff(offsets)), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     small_batches(docs.sparkSession)
@@ -218,20 +265,8 @@ def text_images(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def image_digest(images: DataFrame) -> DataFrame:
-    """Reads stored images back: payload and media digests and the feature, as the contract asks."""
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "npy_sha256"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for value in batch.column(2):
-                media = value.as_py()
-                payload = decode(media).tobytes()
-                f = features(media)
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), f["dhash"], hashlib.sha256(f["tile"]).hexdigest()))
-            columns = list(zip(*rows)) or [()] * len(names)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(columns, types)]], names=["doc_id", "n_bytes", *names])
-
-    kind = dict(images.dtypes)["doc_id"]
-    return images.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, npy_sha256 string")
+    """What stored images (doc_id, n_bytes, media) come to when they are read back, as the contract asks: digests of the
+    samples and of the stored bytes, the difference hash as feature, and the tile. A null or damaged image keeps its row,
+    with null columns and the error."""
+    seen = media_columns(images.select("doc_id", "n_bytes", "media"), digests=True)
+    return seen.select("doc_id", "n_bytes", *_DIGESTS, F.col("dhash").alias("feature"), "tile", "error")

@@ -59,7 +59,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 @query
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = media.text_images(read(spark, sf_dir, "documents"))
+    stored = write_table(media.text_images(read(spark, sf_dir, "documents")), "media", compression="zstd")
     return media.image_digest(stored)
 
 
@@ -78,7 +78,7 @@ def op7_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_table(warc.archive_pages(read(spark, sf_dir, "pages")), "warc")
-    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
 
 
 ORACLES["op8_warc_zstd"] = """
@@ -87,7 +87,8 @@ d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM p),
 m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS kept FROM d)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
        CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+       CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to,
+       CAST(NULL AS VARCHAR) AS error
 FROM m
 """
 

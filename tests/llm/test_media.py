@@ -40,7 +40,7 @@ def test_decoders_read_what_was_written():
         assert (media.decode(bmp(rgb, 24, down)) == rgb).all() and (media.decode(bmp(grey, 8, down))[:, :, 0] == grey).all()
 
 
-@pytest.mark.parametrize("data", [b"", b"P", b"P5", b"P5 3 3 255\n12", b"P9 1 1 1\n1", b"BM" + b"\0" * 60, b"P6 0 5 255\n", b"\x89PNG"])
+@pytest.mark.parametrize("data", [b"", b"P", b"P5", b"P5 3 3 255\n12", b"P9 1 1 1\n1", b"BM" + b"\0" * 60, b"P6 0 5 255\n", b"\x89PNG", b"P2 2 1 255 300 4", b"P2 2 1 255 -5 4", b"P5 2 1 99\n\xff\x01"])
 def test_broken_images_are_value_errors(data):
     with pytest.raises(ValueError):
         media.decode(data)
@@ -89,3 +89,38 @@ def test_media_columns_keep_rows(spark):
     df = spark.createDataFrame([(1, ok, "x"), (2, None, "x"), (3, bytearray(b"junk"), "x")], "id int, media binary, dhash string")
     got = {r["id"]: r for r in media.media_columns(df).collect()}
     assert got[1]["height"] == 3 and got[1]["error"] is None and got[2]["error"] == "null" and got[3]["tile"] is None and got[3]["dhash"] is None
+
+
+def test_masks_of_bitmaps():
+    rng = np.random.default_rng(3)
+    rgba = rng.integers(0, 256, (3, 5, 4), dtype=np.uint8)
+    for place in ((0, 1, 2, 3), (2, 1, 0, 3), (3, 2, 1, 0)):
+        stored = np.zeros_like(rgba)
+        for channel, at in enumerate(place):
+            stored[:, :, at] = rgba[:, :, channel]
+        masks = struct.pack("<IIII", *[0xFF << (8 * k) for k in place])
+        body = stored[::-1].tobytes()
+        data = b"BM" + struct.pack("<IHHI", 70 + len(body), 0, 0, 70) + struct.pack("<IiiHHIIiiII", 56, 5, 3, 1, 32, 3, len(body), 0, 0, 0, 0) + masks + body
+        assert (media.decode(data) == rgba).all()
+    with pytest.raises(ValueError):
+        media.decode(data[:54] + struct.pack("<IIII", 0x1F, 0x3E0, 0x7C00, 0) + data[70:])
+
+
+def test_texts_are_stored_in_both_formats(spark):
+    docs = spark.range(40).selectExpr("id as doc_id", "concat('text ', repeat('ab', cast(id as int))) as text")
+    stored = {r["doc_id"]: bytes(r["media"]) for r in media.text_images(docs).collect()}
+    assert {m[:2] for m in stored.values()} == {b"BM", b"P5"}
+    for r in media.image_digest(media.text_images(docs)).collect():
+        payload = media.pad(f"text {'ab' * r['doc_id']}".encode())
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["media_sha256"] == hashlib.sha256(stored[r["doc_id"]]).hexdigest()
+        image = np.frombuffer(payload, np.uint8).reshape(-1, 24)
+        tile = np.load(io.BytesIO(bytes(r["tile"])))[:, :, 0]
+        assert np.abs(tile - brute_resize(image, 16, 16)).max() <= 0.5 + 1e-6
+        small = np.rint(brute_resize(image, 8, 9) * 256)
+        assert r["feature"] == "".join(f"{sum(int(x < y) << (7 - k) for k, (x, y) in enumerate(zip(row, row[1:]))):02x}" for row in small)
+
+
+def test_damaged_images_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, 3, None), (2, 3, bytearray(b"BMjunk")), (3, 0, bytearray(media.encode_text(media.pad(b""))))], "doc_id long, n_bytes long, media binary")
+    got = {r["doc_id"]: r for r in media.image_digest(df).collect()}
+    assert got[1]["error"] == "null" and got[2]["error"] and got[2]["payload_bytes"] is None and got[3]["payload_bytes"] == 576 and got[3]["error"] is None
