@@ -123,18 +123,23 @@ def format_chats(
 
 
 def parse_chats(formatted: DataFrame, template: Template = CHATML, conv: str = "conv_id") -> DataFrame:
-    """Reads formatted texts and loss flags back: adds turns (role, text, loss), in order."""
+    """Reads formatted texts back by their segments: adds turns (role, text, loss), in order.
+
+    A turn ends where the template's end stands, which no escaped text holds; within it the segments' lengths cut head,
+    text and end, and the text's flag is that of its own segment. Lengths that do not fit the text are an error."""
     pieces = F.split("formatted", r"\Q" + template.end + r"\E")
+    before, behind = len(template.start), len(template.after_role)
 
     def back(piece: Column, i: Column) -> Column:
-        body = F.substr(piece, F.lit(len(template.start) + 1))
-        role = F.substring_index(body, template.after_role, 1)
-        text = F.substr(body, F.length(role) + F.lit(len(template.after_role) + 1))
-        return F.struct(
+        head, text = F.get("segments", 3 * i), F.get("segments", 3 * i + 1)
+        role = F.substr(piece, F.lit(before + 1), head["length"].cast("int") - F.lit(before + behind))
+        turn = F.struct(
             _unescape_role(role, template).alias("role"),
-            unescape(text, template).alias("text"),
-            F.get("segments", 3 * i + 1)["loss"].alias("loss"),
+            unescape(F.substr(piece, head["length"].cast("int") + 1, text["length"].cast("int")), template).alias("text"),
+            text["loss"].alias("loss"),
         )
+        fits = (head["length"] + text["length"] == F.length(piece)) & (F.size("segments") == 3 * (F.size(pieces) - 1))
+        return F.when(fits, turn).otherwise(F.raise_error(F.lit("the segments do not fit the formatted text")))
 
     ts = F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), back)
     return formatted.withColumn("turns", ts)

@@ -1,4 +1,8 @@
-"""What the operators share: working tables, text buffers, workers' memory, hashing."""
+"""What the operators share: working tables, text buffers, workers' memory, hashing.
+
+Defined cases: `text_chunks` takes null for the empty text and gives nothing for an empty column, and a text above the
+limit is a chunk of its own; `crc_fold` takes a null id for the empty text.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import attach
-from ..sources.working import shared_dir, write_table
+from ..sources.working import forget, shared_dir, write_table
 
 #: Pattern of a word, as the contracts give it: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,4 +136,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-__all__ = ["CHUNK_BYTES", "WORD", "arrow_group", "arrow_task", "crc_fold", "mix64", "read", "shared_dir", "small_batches", "text_chunks", "write_table"]
+__all__ = ["CHUNK_BYTES", "WORD", "arrow_group", "arrow_task", "crc_fold", "forget", "mix64", "read", "shared_dir", "small_batches", "text_chunks", "write_table"]

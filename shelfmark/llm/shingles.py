@@ -1,4 +1,8 @@
-"""Sets of word shingles as sorted 64-bit hashes, worked out on whole buffers of text."""
+"""Sets of word shingles as sorted 64-bit hashes, worked out on whole buffers of text.
+
+Defined cases: an empty text, or one without words, has the empty set; repeated shingles count once; texts of any length
+are read whole; a buffer without texts gives no sets. Null texts are for the caller to make empty.
+"""
 
 from __future__ import annotations
 

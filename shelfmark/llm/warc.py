@@ -24,6 +24,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,14 +49,15 @@ def sha1_base32(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, digest_hex: str, refers_to: int | None) -> bytes:
-    """One record. Ids are URNs made from the page id, so that equal input gives equal bytes."""
+def build_record(page_id: int | None, url: str | None, payload: bytes, digest_hex: str, refers_to: int | None, place: str = "") -> bytes:
+    """One record. Ids are URNs made from the page id, or from the record's place where there is none, so that equal
+    input gives equal bytes."""
     digest = "sha1:" + base64.b32encode(bytes.fromhex(digest_hex)).decode()
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to is not None else http + payload
     headers = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}' if page_id is not None else f'place:{place}')}>"),
         ("WARC-Date", _DATE),
         ("WARC-Page-ID", "" if page_id is None else str(page_id)),
         ("Content-Type", "application/http; msgtype=response"),
@@ -207,7 +209,8 @@ def archive_pages(pages: DataFrame, least: int = 1000, archive_bytes: int = ARCH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: list[bytes] = []
-        size = 0
+        size = count = 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             data = build_archive(records)
@@ -217,7 +220,8 @@ def archive_pages(pages: DataFrame, least: int = 1000, archive_bytes: int = ARCH
         for batch in batches:
             for i in range(batch.num_rows):
                 page, url, payload, digest, refers = (c[i].as_py() for c in batch.columns)
-                record = build_record(page, url, bytes(payload), digest, refers)
+                record = build_record(page, url, bytes(payload), digest, refers, f"{task}/{count}")
+                count += 1
                 if records and size + len(record) > archive_bytes:
                     yield flush()
                     records, size = [], 0

@@ -1,5 +1,8 @@
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from shelfmark.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string"
@@ -45,3 +48,13 @@ def test_own_template(spark):
     df = spark.createDataFrame([(1, 1, "human", "hi [[x", ""), (1, 2, "bot", "yo", "")], SCHEMA)
     r = chat.parse_chats(chat.format_chats(df, t), t).first()
     assert r["valid"] and [(x["role"], x["text"], x["loss"]) for x in r["turns"]] == [("human", "hi [[x", False), ("bot", "yo", True)]
+
+
+def test_the_mask_decides_what_is_read(spark):
+    df = spark.createDataFrame([(1, 1, "user", "héllo <|", ""), (1, 2, "assistant", "a\n😀%", "")], SCHEMA)
+    f = chat.format_chats(df)
+    swapped = f.withColumn("segments", F.transform("segments", lambda s: F.struct(s["length"].alias("length"), (~s["loss"]).alias("loss"))))
+    assert chat.digest(chat.parse_chats(swapped)).first()["loss_sha256"] == hashlib.sha256("héllo <|".encode()).hexdigest()
+    moved = f.withColumn("segments", F.transform("segments", lambda s: F.struct((s["length"] + 1).alias("length"), s["loss"].alias("loss"))))
+    with pytest.raises(Exception, match="segments do not fit"):
+        chat.digest(chat.parse_chats(moved)).collect()
