@@ -9,7 +9,8 @@ rules the one that wins in browsers counts; sheets and @-blocks for print or som
 
 All other text is emitted: white space is folded except in pre and textarea, blocks begin lines, paragraphs and their
 like are parted by one blank line, br breaks, list items carry bullets or numbers and are indented by depth, and table
-cells are padded so that columns line up, lines within a cell included.
+cells are padded so that columns line up, lines within a cell and cells that span columns or rows included. A cell wider
+than PAD_WIDTH does not widen its column; what follows it in its line stands further right.
 
 Defined cases: null is the empty text; text without tags is one paragraph; broken markup, unclosed comments and
 quotes, unknown entities and deep nesting give text, never an error; equal pages give equal text; a quote that is never closed ends with its tag; an empty table gives
@@ -71,7 +72,7 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_CSS = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|[{};]|[^{};\"']++|[\"']", re.S)
+_CSS = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]|[^{};\"']++", re.S)
 _AT = re.compile(r"\s*@([\w-]+)(.*)", re.S)
 _SIMPLE = re.compile(r"^([a-zA-Z][\w-]*|\*)?(?:\.([\w-]+)|#([\w-]+))?$")
 
@@ -133,7 +134,10 @@ class Builder:
                 return
             table = self.open[at]
             before = table.parent.children
-            before.insert(len(before) - 1 - before[::-1].index(table), text)
+            place = len(before) - 1  # an open table is its parent's last child, or near it
+            while before[place] is not table:
+                place -= 1
+            before.insert(place, text)
             return
         top.children.append(text)
 
@@ -359,44 +363,73 @@ class Writer:
         return self.lines
 
 
+#: Columns of text up to which a cell widens its column; what is wider stands out, so that padding stays in proportion.
+PAD_WIDTH = 100
+MOST_BLANKS = 4 * PAD_WIDTH
+#: Rows that a cell reaches down at most; each row looks at the cells that reach into it.
+MAX_REACH = 300
+#: Fixed value of HTML: the most columns that a cell spans.
+MAX_SPAN = 1000
+
+
 class Table:
+    """Rows of (lines, columns, rows) of cells; the caption's lines."""
+
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
         self.caption: list[str] = []
 
+    def placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """Of each row (first column, columns, lines) of its cells. A cell takes the next columns that no cell of a row
+        above reaches down into."""
+        out = []
+        reaching: list[tuple[int, int, int]] = []  # first column, end, last row that is taken
+        for number, row in enumerate(self.rows):
+            above = sorted(r for r in reaching if r[2] >= number)
+            own = []
+            cells, column, at = [], 0, 0
+            for lines, columns, rows in row:
+                while at < len(above) and above[at][0] <= column:
+                    column = max(column, above[at][1])
+                    at += 1
+                cells.append((column, columns, lines))
+                if rows != 1:
+                    own.append((column, column + columns, number + rows - 1 if rows else len(self.rows)))
+                column += columns
+            reaching = above + own
+            out.append(cells)
+        return out
+
     def lines(self) -> list[str]:
         """Cells padded to their columns' widths; a cell over several columns takes their widths together."""
-        columns = max((sum(s for _, s in r) for r in self.rows), default=0)
-        widths = [0] * columns
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                if span == 1:
-                    widths[at] = max([widths[at], *map(_width, cell)])
-                at += span
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                if span > 1:
-                    have = sum(widths[at : at + span]) + 2 * (span - 1)
-                    widths[at + span - 1] += max(0, max(map(_width, cell), default=0) - have)
-                at += span
+        placed = self.placed()
+        widths = [0] * max((c + n for row in placed for c, n, _ in row), default=0)
+        for row in placed:
+            for column, columns, cell in row:
+                if columns == 1:
+                    widths[column] = max([widths[column], *(min(PAD_WIDTH, _width(x)) for x in cell)])
+        for row in placed:
+            for column, columns, cell in row:
+                if columns > 1:
+                    have = sum(widths[column : column + columns]) + 2 * (columns - 1)
+                    widths[column + columns - 1] += max(0, min(PAD_WIDTH, max(map(_width, cell), default=0)) - have)
+        begin = [0]
+        for w in widths:
+            begin.append(begin[-1] + w + 2)
         out = list(self.caption)
-        for row in self.rows:
-            for k in range(max((len(c) for c, _ in row), default=0)):
+        for row in placed:
+            for k in range(max((len(c) for _, _, c in row), default=0)):
                 parts, at = [], 0
-                for cell, span in row:
-                    room = sum(widths[at : at + span]) + 2 * (span - 1)
-                    text = cell[k] if k < len(cell) else ""
-                    parts.append(text + " " * max(0, room - _width(text)))
-                    at += span
-                out.append("  ".join(parts).rstrip(" "))
+                for column, _, cell in row:
+                    if k >= len(cell) or not cell[k]:
+                        continue
+                    lead = min(max(begin[column] - at, 2 if at else 0), MOST_BLANKS)
+                    parts.append(" " * lead + cell[k])
+                    at += lead + _width(cell[k])
+                out.append("".join(parts))
         return out
 
 
-MAX_SPAN = 1000
-
-
 class Renderer:
     """Walks a tree without recursion and writes what is visible."""
 
@@ -524,8 +557,9 @@ class Renderer:
             else:
                 if not self.tables[-1].rows:
                     self.tables[-1].rows.append([])
-                span = node.attributes().get("colspan", "1")
-                self.tables[-1].rows[-1].append((lines, min(MAX_SPAN, max(1, int(span))) if re.fullmatch("[0-9]{1,6}", span) else 1))
+                a = node.attributes() if node.attrs else {}
+                columns, rows = (int(x) if re.fullmatch("[0-9]{1,6}", x) else 1 for x in (a.get("colspan", "1"), a.get("rowspan", "1")))
+                self.tables[-1].rows[-1].append((lines, min(MAX_SPAN, max(1, columns)), min(MAX_REACH, rows)))
         elif tag in ("ul", "ol", "menu", "dir"):
             self.lists.pop()
             w.block(not any(x[0] is not None for x in self.lists))

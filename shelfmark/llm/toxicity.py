@@ -7,18 +7,22 @@ either string, so gaps and inserted letters cost weight but not the match. It is
 that begin in eight consecutive letters of a word.
 
 Training takes sentences of labelled documents. A clean document's sentences are clean; in a toxic document only
-some are toxic, so the machine picks witnesses (multiple-instance learning): first the windows around letter runs
-that several toxic and no clean documents hold, later those that it scores highest itself. Clean windows that score
-highest are added as hard negatives in each round. Landmarks are witnesses and clean windows; the machine is linear
+some are toxic, so witnesses are picked (multiple-instance learning): the windows around letter runs that several toxic
+documents hold and, but for one in CLEAN_RATIO at most, no clean ones; a label that is wrong here and there loses no
+insult. Witnesses stay; clean windows that score highest are added as hard negatives in each round. Landmarks are witnesses and clean windows; the machine is linear
 in the whitened kernel values to the landmarks. As those are linear in the subsequences, the weights fold into one
 table of subsequences, and a text's score is the highest window sum: a few table reads a letter, with no further
 look at landmarks, exactly the machine's decision value. Logistic calibration turns it into 0 to 1.
 
-The fit reads about SAMPLE_DOCS labelled documents a class at most, chosen by a hash of the id; scoring reads every text.
+The fit reads about SAMPLE_DOCS labelled documents a class at most, chosen by a hash of the id, and takes windows from
+them up to the numbers in Bounds; it is the same on every run. Scoring reads every text.
+
+Letters beyond a to z are told apart by the last six bits of their second byte, folded into 13 classes, and the byte
+before it is dropped: scripts share these classes, so a word of one script can look like one of another.
 
 Defined cases: a null or empty text, or one without letters, scores 0; without labels of both classes every text
-scores the share of label 1 (0 if there is none); labels other than 0 and 1 are not read; a repeated label counts
-once each; repeated rows get equal scores; an empty table gives an empty result; extra columns are kept by `score_documents` and, if
+scores the share of label 1 (0 if there is none); labels other than 0 and 1 are not read; repeated labels and rows
+count once in the fit, two labels of one document count both; repeated rows get equal scores; an empty table gives an empty result; extra columns are kept by `score_documents` and, if
 their names clash with its own, replaced.
 """
 
@@ -41,9 +45,8 @@ from pyspark.sql import functions as F
 from .common import arrow_task, crc_fold, small_batches, text_chunks
 
 SAMPLE_DOCS = {0: 3000, 1: 1500}
-LANDMARKS = 256
-#: Witness windows that share one letter run, at most.
-PER_SEED = 40
+#: Toxic documents a clean one that holds a letter run, for the run to be a witness's.
+CLEAN_RATIO = 20
 DECAY = 0.75
 #: Where between the highest clean text and the calibration's middle the score is one half.
 LEAN = 0.7
@@ -58,6 +61,21 @@ TAIL = max(SPAN.values()) - 1
 #: Lengths of letter runs, a word's start counting as a letter, by which first witnesses are found.
 RUNS = range(4, 8)
 _DROP = 255
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Numbers of windows that the fit takes at most: witnesses, those that share one letter run, stretched ones, clean
+    ones at first, clean ones added a round, and landmarks."""
+
+    witnesses: int = 2000
+    per_run: int = 40
+    stretched: int = 4000
+    clean: int = 6000
+    hard: int = 1500
+    landmarks: int = 256
+
+
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 
 
@@ -273,7 +291,7 @@ def _order(w: bytes) -> int:
     return zlib.crc32(w)
 
 
-def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None, rounds: int = 4) -> ToxicityModel:
+def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None, rounds: int = 4, bounds: Bounds = Bounds()) -> ToxicityModel:
     """Trains on whole texts with labels 0 and 1; toxic_share is the population's. Deterministic, whatever the order."""
     order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
     texts, y = [texts[i] for i in order], np.array([labels[i] for i in order])
@@ -286,7 +304,8 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         for s in _SENTENCE.findall(text.decode("utf-8", "replace")):
             sentence_docs.setdefault(s.encode(), i)
     toxic_words: dict[bytes, set[int]] = defaultdict(set)
-    clean_words: Counter = Counter()
+    clean_words: dict[bytes, int] = {}  # in how many clean documents
+    last_doc: dict[bytes, int] = {}
     sentences = list(sentence_docs.items())
     del sentence_docs
     for first in range(0, len(sentences), 5000):
@@ -296,9 +315,12 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
                 for w in words:
                     toxic_words[w].add(doc)
             else:
-                clean_words.update(words)
-    del sentences
-    # Letter runs that toxic documents hold and clean ones never do, in more documents than chance explains. Lengths
+                for w in words:
+                    if last_doc.get(w) != doc:  # a document's sentences follow each other
+                        last_doc[w] = doc
+                        clean_words[w] = clean_words.get(w, 0) + 1
+    del sentences, last_doc
+    # Letter runs that toxic documents hold and clean ones next to never do, in more documents than chance explains. Lengths
     # are taken one by one and only counted first, to keep the table of runs small.
     by_doc: dict[int, list[bytes]] = defaultdict(list)
     for w, docs in toxic_words.items():
@@ -310,9 +332,14 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         held: Counter = Counter()
         for ws in by_doc.values():
             held.update(set().union(*[_runs(w, n) for w in ws]))
-        for w in clean_words:
+        clean_held: Counter = Counter()
+        for w, count in clean_words.items():
             for g in _runs(w, n):
-                held.pop(g, None)
+                if g in held:
+                    clean_held[g] += count
+        for g, count in clean_held.items():
+            if held[g] < CLEAN_RATIO * count:
+                del held[g]
         distinct += len(held)
         often = {g for g, count in held.items() if count >= 2}
         del held
@@ -339,19 +366,19 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
             best = max(held, key=lambda g: (seeds[g], len(g), g))
             at = max(0, (b"\0" + w).index(best) - 2)
             by_seed[best].add(w[at : at + WINDOW + TAIL])
-    witness = sorted(set().union(*[_sample(list(ws), PER_SEED, _order) for ws in by_seed.values()])) if by_seed else []
+    witness = sorted(set().union(*[_sample(list(ws), bounds.per_run, _order) for ws in by_seed.values()])) if by_seed else []
     if not witness:
         return ToxicityModel({}, {}, constant=toxic_share)
-    witness = _sample(witness, 2000, _order)
+    witness = _sample(witness, bounds.witnesses, _order)
     clean = sorted(w[: WINDOW + TAIL] for w in clean_words if len(w) >= 3)
-    negative = set(_sample(clean, 6000, _order))
+    negative = set(_sample(clean, bounds.clean, _order))
     model = None
     for _ in range(rounds):
         # Insertions: what the machine must also tolerate.
         stretched = [w[:k] + bytes([1 + (w[0] * 7 + k * 5) % 26]) + w[k:] for w in witness for k in range(1, min(5, len(w)))]
-        positive = sorted(set(witness) | set(_sample(stretched, 4000, _order)))
+        positive = sorted(set(witness) | set(_sample(stretched, bounds.stretched, _order)))
         negatives = sorted(negative - set(positive))
-        marks = _sample(witness, LANDMARKS // 2, _order) + _sample(negatives, LANDMARKS // 2, _order)
+        marks = _sample(witness, bounds.landmarks // 2, _order) + _sample(negatives, bounds.landmarks // 2, _order)
         known, dense = _landmark_features(marks)
         gram = dense.T @ dense
         values, vectors = np.linalg.eigh(gram.astype(np.float64))
@@ -373,7 +400,7 @@ def fit(texts: list[bytes], labels: list[int], toxic_share: float | None = None,
         # Hard negatives: the highest windows of clean words.
         words = sorted(clean_words)
         sums = np.concatenate([document_sums(words_as_texts(words[i : i + 20_000]), tables) for i in range(0, len(words), 20_000)])
-        hard = [words[i] for i in np.argsort(-sums, kind="stable")[:1500]]
+        hard = [words[i] for i in np.argsort(-sums, kind="stable")[: bounds.hard]]
         before = len(negative)
         for word in hard:
             c = np.frombuffer(word + b"\0", np.uint8)
@@ -413,9 +440,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sa
     rate = {y: min(steps, math.ceil(steps * sample[y] / n)) for y, n in counts.items()}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(steps))
     picked = known.filter(draw < F.coalesce(*[F.when(F.col("y") == y, F.lit(r)) for y, r in rate.items()]))
-    # A few thousand rows of two numbers: safe to broadcast.
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
-    return rows.select(F.coalesce("text", F.lit("")).alias("text"), "y"), counts.get(1, 0) / sum(counts.values())
+    # Repeated rows and labels count once. The few thousand rows that the sample should have are those of least hashes,
+    # so the fit is the same on every run even where many rows share an id.
+    picked = picked.distinct()
+    most = 2 * sum(sample.values())
+    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most)  # two numbers a row: safe to broadcast
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id", "y", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    return rows.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "y", "h").limit(most).select("text", "y"), counts.get(1, 0) / sum(counts.values())
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int, int] = SAMPLE_DOCS) -> ToxicityModel:
@@ -425,7 +457,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict
     if drawn is None:
         return ToxicityModel({}, {}, constant=0.0)
     rows, share = drawn
-    most = 2 * sum(sample.values())
 
     @arrow_task("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,7 +466,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict
             y += batch.column(1).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, y, share))], pa.binary())], names=["model"])
 
-    fitted = rows.limit(most).repartition(1).mapInArrow(run, "model binary").collect()
+    fitted = rows.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(fitted[0]["model"]) if fitted else ToxicityModel({}, {}, constant=share)
 
 

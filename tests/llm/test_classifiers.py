@@ -210,6 +210,44 @@ def test_folded_weights_equal_the_kernel_machine():
     assert got == pytest.approx(want, rel=1e-4, abs=1e-5)
 
 
+def test_one_wrong_label_loses_no_insult(spark):
+    rows, labels = insulted(700)
+    wrong = next(i for i, text, *_ in rows if "wretch" in text and not held_out(i))
+    labels = [(i, q, 0 if i == wrong else t) for i, q, t in labels]
+    model = toxicity.train(*frames(spark, rows, labels))
+    docs = frames(spark, [(1, "you are a wretch", "en", "s", 0), (2, "thering onst", "en", "s", 0)], labels)[0]
+    assert [r["predicted"] for r in sorted(toxicity.score_documents(docs, model).collect())] == [1, 0]
+
+
+def test_fit_is_the_same_with_repeated_rows_in_any_order(spark):
+    rows, labels = insulted(300)
+    docs, known = frames(spark, rows, labels)
+    one = toxicity.train(docs, known)
+    two = toxicity.train(docs.unionByName(docs).repartition(5), known.unionByName(known).unionByName(known).repartition(3))
+    assert (one.slope, one.shift) == (two.slope, two.shift) and all((one.values[n] == two.values[n]).all() for n in one.values)
+
+
+def test_newton_steps_reach_the_dense_kernel_machine():
+    """The primal machine on whitened landmark values against the dual of the same kernel matrix, solved by coordinates."""
+    rng = np.random.default_rng(5)
+    windows = [bytes(rng.integers(1, 12, 8).astype(np.uint8)) for _ in range(40)]
+    y = np.where(rng.random(40) < 0.5, 1.0, -1.0)
+    known, dense = toxicity._landmark_features(windows)
+    gram = (dense.T @ dense).astype(np.float64)
+    values, vectors = np.linalg.eigh(gram)
+    keep = values > 1e-6 * values.max()
+    x = gram @ (vectors[:, keep] / np.sqrt(values[keep]))
+    w = toxicity._svm(x, y, np.ones(40), 60)
+    # Squared hinge, ridge 1 on weights and 1e-3 on the bias: the dual's kernel is the gram matrix + 1000 and a half on its diagonal.
+    q = (gram + 1e3 + np.eye(40)) * y[:, None] * y[None, :]
+    alpha = np.zeros(40)
+    for _ in range(20_000):
+        for i in range(40):
+            alpha[i] = max(0.0, alpha[i] - (q[i] @ alpha - 1) / q[i, i])
+    want = (gram + 1e3) @ (alpha * y)
+    assert np.abs(x @ w[:-1] + w[-1] - want).max() < 1e-3
+
+
 def test_toxicity_edges(spark):
     rows, labels = insulted(300)
     model = toxicity.train(*frames(spark, rows, labels))

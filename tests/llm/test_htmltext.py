@@ -1,4 +1,5 @@
 import random
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -185,3 +186,115 @@ def test_rules_that_hold_on_screens(sheet, want):
 @pytest.mark.parametrize("page", ["<div><tr>hello</tr></div>", *(f"<{t}>hello" for t in ("thead", "tbody", "tfoot", "tr")), "<div>" * 510 + "<table><tr>hello", "<div>" * 600 + "<table><tbody>hello<tr>hello<td>hello"])
 def test_rows_without_an_open_table_keep_their_text(page):
     assert render(page).split() == ["hello"] * page.count("hello")
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+        ("<table><tr><td>a<td rowspan=3>bb<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i<td>j</table>", "a  bb  c\nd      e\nf      g\nh  i   j"),
+        ("<table><tr><td rowspan=2 colspan=2>x<td>1<tr><td>2<tr><td>p<td>q<td>3</table>", "x     1\n      2\np  q  3"),
+        ("<table><tr><td rowspan=0>x<td>1<tr><td>2<tr><td>3</table>", "x  1\n   2\n   3"),
+        ("<style>.a{display:none} .a{display:block}</style><p class=a>yes", "yes"),
+        ("<style>@media print{.n{display:none}}</style><p class=n>shown", "shown"),
+        ("<style>.h{visibility:hidden}.v{visibility:visible}</style><div class=h>no<p class=v>seen</div>", "seen"),
+    ],
+)
+def test_row_spans_and_rules(page, want):
+    assert render(page) == want
+
+
+def plain_layout(rows, gap=2):
+    """Cells on a grid, one character a place, by definition: a cell takes the first free columns of its row."""
+    grid, cells, height = {}, [], len(rows)
+    for r, row in enumerate(rows):
+        c = 0
+        for text, columns, down in row:
+            while (r, c) in grid:
+                c += 1
+            cells.append((r, c, columns, text))
+            for y in range(r, min(height, r + down)):
+                for x in range(c, c + columns):
+                    grid[y, x] = 1
+            c += columns
+    width = [0] * (max((c + n for _, c, n, _ in cells), default=0))
+    for _, c, n, text in cells:
+        if n == 1:
+            width[c] = max(width[c], len(text))
+    for _, c, n, text in cells:
+        if n > 1:
+            width[c + n - 1] += max(0, len(text) - sum(width[c : c + n]) - gap * (n - 1))
+    lines = []
+    for r in range(height):
+        line = [" "] * (sum(width) + gap * len(width) + 1)
+        for y, c, _, text in cells:
+            if y == r:
+                at = sum(width[:c]) + gap * c
+                line[at : at + len(text)] = text
+        lines.append("".join(line).rstrip())
+    return "\n".join(lines).strip("\n")
+
+
+def test_small_tables_against_a_grid():
+    rng = random.Random(11)
+    for _ in range(300):
+        rows, taken = [], {}
+        for r in range(rng.randint(1, 5)):
+            row, c = [], 0
+            for _ in range(rng.randint(1, 4)):
+                while (r, c) in taken:
+                    c += 1
+                columns = 1 if (r, c + 1) in taken else rng.choice((1, 1, 1, 2))
+                down = rng.choice((1, 1, 2, 3))
+                row.append(("".join(rng.choice("abc") for _ in range(rng.randint(1, 6))), columns, down))
+                for y in range(r, r + down):
+                    for x in range(c, c + columns):
+                        taken[y, x] = 1
+                c += columns
+            rows.append(row)
+        page = "<table>" + "".join("<tr>" + "".join(f"<td colspan={n} rowspan={d}>{t}" for t, n, d in row) for row in rows) + "</table>"
+        assert render(page) == plain_layout(rows), page
+
+
+def plain_list(items, depth=0, ordered=False):
+    out = []
+    for k, (text, inner, kind) in enumerate(items):
+        mark = f"{k + 1}. " if ordered else "- "
+        out.append(" " * depth + mark + text)
+        out += plain_list(inner, depth + len(mark), kind)
+    return out
+
+
+def test_small_lists_against_plain_indents():
+    rng = random.Random(12)
+
+    def make(depth):
+        return [("".join(rng.choice("xyz") for _ in range(3)), make(depth + 1) if depth < 3 and rng.random() < 0.4 else [], rng.random() < 0.5) for _ in range(rng.randint(1, 4))]
+
+    def markup(items, ordered):
+        tag = "ol" if ordered else "ul"
+        return f"<{tag}>" + "".join(f"<li>{t}{markup(i, k) if i else ''}" for t, i, k in items) + f"</{tag}>"
+
+    for _ in range(200):
+        items, ordered = make(0), rng.random() < 0.5
+        assert render(markup(items, ordered)) == "\n".join(plain_list(items, 0, ordered))
+
+
+MB = 1 << 20
+HOSTILE = {
+    "no braces": "<style>" + "a b, " * (MB // 5) + "</style>x",
+    "open braces": "<style>" + "a{" * (MB // 2) + "</style>x",
+    "quotes": "<style>" + '\\"' * (MB // 2) + "</style>x",
+    "comments": "<style>" + "/*" * (MB // 2) + "</style>x",
+    "long cell": "<table><tr><td>" + "y" * (MB // 2) + "<td>z" + "<tr><td>a<td>b" * (MB // 28) + "</table>",
+    "row spans": "<table>" + "<tr><td rowspan=999>a" * (MB // 21) + "</table>",
+    "column spans": "<table>" + "<tr><td colspan=1000>a<td>b" * (MB // 27) + "</table>",
+    "text in tables": "<div>" + "<p>x" * 50_000 + "<table>" + "t<tr>" * 100_000 + "</table></div>",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HOSTILE))
+def test_hostile_pages_of_a_megabyte(kind):
+    began = time.process_time()
+    text = render(HOSTILE[kind])
+    assert time.process_time() - began < 10 and len(text) < 20 * MB, (kind, time.process_time() - began, len(text))

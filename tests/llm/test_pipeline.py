@@ -70,3 +70,12 @@ def test_clean_documents_stay(spark, sf_dir):
     clean = labels.filter("toxic = 0").select("doc_id")
     after = corpus_pipeline.toxic(spark, all_docs, sf_dir)
     assert after.join(clean, "doc_id", "left_semi").count() >= 0.97 * all_docs.join(clean, "doc_id", "left_semi").count()
+
+
+def test_rows_that_share_an_id_lose_no_text(spark, sf_dir):
+    rows = [(1, "first text of this very id with words", "b"), (1, "first text of this very id with words", "a"), (1, "another text altogether under the same id", "a")]
+    rows += [(None, "nameless words that repeat again and again", "a")] * 2 + [(None, None, "a"), (2, None, None), (2, None, None)]
+    got = corpus_pipeline.near_duplicates(spark, docs(spark, [(i, t, s) for i, t, s in rows if t]).unionByName(spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows if not t], "doc_id long, text string, lang string, source string, n_chars long")), sf_dir)
+    assert sorted(((r["doc_id"], r["text"], r["source"]) for r in got.collect()), key=str) == sorted(
+        [(1, rows[0][1], "a"), (1, rows[2][1], "a"), (None, rows[3][1], "a"), (None, None, "a"), (2, None, None)], key=str
+    )
