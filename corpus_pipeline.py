@@ -35,16 +35,21 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are connected by links of five-word shingles and a similarity of 0.8 or more, that with the
-    smallest id stays; documents without words or ids stay. Rows that repeat an id that stays count once."""
+    smallest id stays; documents without words stay. Ids name documents: where rows share an id that stays, each of
+    their different texts stays once. Rows without an id stay, each of their texts once. Of rows that are equal in id
+    and text that with the least other columns stays."""
     joined = jaccard.jaccard_join(docs, 5, 8, 10)
     kept = joined.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     # Ids of kept documents grow with the corpus, so nothing here is broadcast by hand; texts move once.
-    alone = docs.filter(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(alone.select(*COLUMNS))
+    stay = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").unionByName(docs.select(*COLUMNS).filter(F.col("doc_id").isNull()))
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = stay.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("least"))
+    return once.select("doc_id", "text", "least.*").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources come to their targets: a document goes out as often as the mixture takes it, up to three times."""
+    """Sources come to their targets: a document goes out as often as the mixture takes it, up to three times. Documents
+    without words go out once; a null source is a source; no documents give none."""
     mixed = mixing.mix(docs, texts=True)
     times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
     repeated = mixed.withColumn("_times", times).filter("_times > 0")
@@ -52,7 +57,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their sequences; a document that the mixture repeats is packed as often."""
+    """Pieces with their sequences; a document that the mixture repeats is packed as often. A null or empty text is a piece
+    of the end id alone, a null id is kept, and no documents give no pieces."""
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cache_words=CACHE_WORDS)
 
 
