@@ -1,0 +1,343 @@
+"""Curation of a product master: gold pairs, identity overlays, gates, queues, profiles, verdicts and reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.gs1 import check_digit
+from ..functions.names import all_capitals, brand_key
+from ..functions.text import digits, present
+from ..sources.working import write_table
+
+
+def numbered(rows: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
+    """Rows numbered from 1 in a full order: within ranges of it, and on from range to range, so that no task sorts all."""
+    ranged = write_table(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
+    before, offsets = 0, []
+    for r in ranged.groupBy("_range").count().orderBy("_range").collect():  # as many rows as ranges
+        offsets += [F.lit(r["_range"]), F.lit(before)]
+        before += r["count"]
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, (place + (F.create_map(*offsets)[F.col("_range")] if offsets else 0)).cast("long")).drop("_range")
+
+
+def capped_pairs(rows: DataFrame, code: str, most: int, columns: list[str], *order: Column) -> DataFrame:
+    """Pairs of rows that share a code, each with the next `most` rows in order. One window and no join, so a code that
+    many rows share gives rows times `most` pairs and no more."""
+    w = Window.partitionBy(code).orderBy(*order)
+    one = F.struct(*columns)
+    following = F.array_compact(F.array(*[F.lead(one, k).over(w) for k in range(1, most + 1)]))
+    pairs = rows.select(code, *columns, following.alias("_next")).select(code, *columns, F.explode("_next").alias("_b"))
+    return pairs.select(code, *[F.col(c).alias(f"a_{c}") for c in columns], *[F.col(f"_b.{c}").alias(f"b_{c}") for c in columns])
+
+
+def zipped(left: DataFrame, right: DataFrame, left_order: Column, right_order: Column) -> DataFrame:
+    """Rows of two tables side by side by their place in an order; columns of the two must not clash."""
+    return numbered(left, left_order).join(numbered(right, right_order), "rn")
+
+
+def overlay(rows: DataFrame, identities: DataFrame, on: list[str], canon: str, own: str) -> DataFrame:
+    """Adds identity: the canonical id, marked so that it meets no key, where there is one, and the row's key elsewhere."""
+    return rows.join(identities.select(*on, canon), on, "left").withColumn("identity", F.coalesce(F.concat(F.lit("c:"), F.col(canon).cast("string")), F.col(own)))
+
+
+def ordered_sources(rows: DataFrame, by: list[str], source: str) -> DataFrame:
+    found = rows.groupBy(*by).agg(F.array_sort(F.collect_set(source)).alias("_s"))
+    return found.select(*by, F.size("_s").cast("long").alias("n_sources"), F.array_join("_s", ",").alias("source_list"))
+
+
+def gate_counts(staged: DataFrame, column: str) -> DataFrame:
+    kept = F.count_if(present(column))
+    return staged.agg(F.count(F.lit(1)).alias("staged"), kept.alias("qualified"), (F.count(F.lit(1)) - kept).alias("excluded"))
+
+
+def category_clusters(rows: DataFrame, key: Column, source: str, name: str) -> DataFrame:
+    found = rows.withColumn("category_key", key).filter(present("category_key")).groupBy("category_key").agg(
+        F.count(F.lit(1)).alias("members"), F.array_sort(F.collect_set(source)).alias("_s"), F.min(name).alias("sample_name")
+    )
+    return found.select("category_key", "members", F.size("_s").cast("long").alias("n_sources"), F.array_join("_s", ",").alias("sources"), "sample_name", (F.size("_s") >= 2).alias("corroborated"))
+
+
+def within(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose values of several columns stand together in another table."""
+    return rows.join(wanted.select(*on).distinct(), on, "left_semi")
+
+
+def block_report(rows: DataFrame, block: str) -> DataFrame:
+    return rows.groupBy(block).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("records"), F.count(F.lit(1)).alias("blocks"), F.min("n").alias("min_per_block"), F.max("n").alias("max_per_block"),
+        F.median("n").alias("median_per_block"), F.count_if(F.col("n") > 1).alias("multi_record_blocks"),
+    )
+
+
+def costs(runs: DataFrame, rates: DataFrame, source: str, seconds: str, added: str, kind: str, per_month: float = 1.0) -> DataFrame:
+    """Hours, rows and money a month of each source, at its kind's rates (usd_per_hr, calls, usd_per_call)."""
+    used = runs.groupBy(source, kind).agg(F.count(F.lit(1)).alias("runs"), (F.sum(seconds) / 3600).alias("hours"), F.sum(F.greatest(F.col(added), F.lit(0))).alias("rows_added"))
+    compute, infra = F.col("hours") * F.col("usd_per_hr") * per_month, F.col("calls") * F.col("runs") * F.col("usd_per_call") * per_month
+    return used.join(rates, kind).select(
+        source, kind, "runs", F.round("hours", 2).alias("machine_hours"), "rows_added",
+        F.round(compute, 2).alias("compute_usd_mo"), F.round(infra, 2).alias("infra_usd_mo"), F.round(compute + infra, 2).alias("total_usd_mo"),
+    )
+
+
+def breadth(rows: DataFrame, shelf: list[str], city: str, top: int = 5) -> DataFrame:
+    """Distinct shelves of each city, the most first, and of all cities on every row."""
+    shelves = rows.filter(present(city)).select(*shelf, city).distinct()
+    per_city = shelves.groupBy(city).agg(F.count(F.lit(1)).alias("shelves"))
+    whole = rows.select(*shelf).distinct().agg(F.count(F.lit(1)).alias("all_shelves"))  # one row
+    return per_city.orderBy(F.desc("shelves"), city).limit(top).join(F.broadcast(whole))
+
+
+def shares(rows: DataFrame, by: str, kind: str, least: int = 1) -> DataFrame:
+    n = rows.filter(present(kind)).groupBy(by, kind).agg(F.count(F.lit(1)).alias("items"))
+    total = F.sum("items").over(Window.partitionBy(by))
+    return n.withColumn("_total", total).filter(F.col("_total") >= least).select(by, kind, "items", F.round(100 * F.col("items") / F.col("_total"), 2).alias("share_pct"))
+
+
+def price_percentiles(own: DataFrame, observed: DataFrame, item: str, price: str, least: int = 3) -> DataFrame:
+    """Of each own price the share of the item's observed prices below it. Prices are counted by value first, so an item
+    with very many observations moves one row a price."""
+    counted = observed.filter(F.col(price).isNotNull()).groupBy(item, F.col(price).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    met = own.join(counted, item).groupBy(*own.columns).agg(F.sum("_n").alias("reference_points"), F.sum(F.when(F.col("_p") < F.col(price), F.col("_n")).otherwise(0)).alias("_below"))
+    return met.filter(F.col("reference_points") >= least).withColumn("percentile", F.round(100 * F.col("_below") / F.col("reference_points"), 2)).drop("_below")
+
+
+def queues(rows: DataFrame, sources: str, weight: str, key: str, cap: int) -> DataFrame:
+    """The rows of two or more sources as master, those of one as queue, each the cap heaviest, with their place."""
+    placed = rows.withColumn("view", F.when(F.col(sources) >= 2, "master").when(F.col(sources) == 1, "queue")).filter("view is not null")
+    w = Window.partitionBy("view").orderBy(F.desc(sources), F.desc(weight), key)
+    return placed.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= cap)
+
+
+def wide_profile(long_rows: DataFrame, keys: list[str], metric: str, value: str, metrics: list[str]) -> DataFrame:
+    return long_rows.groupBy(*keys).pivot(metric, metrics).agg(F.sum(value))
+
+
+def movers_feed(rows: DataFrame, dim: str, member: str, value: str, before: str, top: int) -> DataFrame:
+    """Members by value within a dimension, with their share of it, and the heaviest moves: change times root of share."""
+    w = Window.partitionBy(dim)
+    shared = rows.withColumns({"share": F.col(value) / F.sum(value).over(w), "change": F.try_divide(F.col(value) - F.col(before), F.col(before))})
+    scored = shared.withColumn("score", F.abs("change") * F.sqrt("share")).withColumn("place", F.row_number().over(w.orderBy(F.desc(value), member)))
+    return scored.withColumn("move_place", F.row_number().over(w.orderBy(F.desc_nulls_last("score"), member))).filter((F.col("place") <= top) | (F.col("move_place") <= top))
+
+
+def floored_areas(rows: DataFrame, area: str, store: str, price: str, metro: str, least: int = 3) -> DataFrame:
+    """Areas with enough priced stores, their median price and what it is of their metro's median over such areas."""
+    per = rows.filter(F.col(price).isNotNull()).groupBy(metro, area).agg(F.count_distinct(store).alias("stores"), F.median(price).alias("area_median")).filter(F.col("stores") >= least)
+    return per.withColumn("metro_median", F.median("area_median").over(Window.partitionBy(metro))).withColumn("index", F.round(100 * F.col("area_median") / F.col("metro_median"), 2))
+
+
+def signature_merge(rows: DataFrame, signature: list[str], identity: str, code: str) -> DataFrame:
+    """identity, merged (the least identity) of rows of one signature, unless two codes of theirs conflict."""
+    w = rows.groupBy(*signature).agg(F.min(identity).alias("merged"), F.count_distinct(identity).alias("_ids"), F.count_distinct(code).alias("_codes"))
+    agreed = w.filter((F.col("_ids") > 1) & (F.col("_codes") <= 1)).drop("_ids", "_codes")
+    return rows.join(agreed, signature).select(identity, "merged").distinct()
+
+
+def stratified(rows: DataFrame, stratum: str, key: Column, n: int) -> DataFrame:
+    """n rows of each stratum, those of the least hash of their key: the same on every run, whatever the order."""
+    w = Window.partitionBy(stratum).orderBy(F.md5(key.cast("string")))
+    return rows.withColumn("pick", F.row_number().over(w)).filter(F.col("pick") <= n)
+
+
+def agreement(a: Column, b: Column) -> Column:
+    """1 if both are there and equal, -1 if both are there and differ, 0 otherwise."""
+    return F.when(~(present(a) & present(b)), 0).when(a.cast("string") == b.cast("string"), 1).otherwise(-1)
+
+
+def cross_match(pairs: DataFrame, cosine: str, name_overlap: str, gates: list[str], size: str) -> DataFrame:
+    """Verdict and confidence of pairs of alike images: a conflict of any gate says look_alike, whatever the images say.
+    Agreements are 1, 0 or -1; size only adds to the confidence."""
+    c, n = F.col(cosine), F.col(name_overlap)
+    conflict = F.least(*[F.col(g) for g in gates]) < 0 if len(gates) > 1 else F.col(gates[0]) < 0
+    same = (c >= 0.9) & (n >= 0.5)
+    verdict = F.when(conflict, "look_alike").when(same, "same_item").when((c >= 0.9) | (n >= 0.4), "review").otherwise("weak")
+    sure = F.least(F.lit(1.0), c * 0.55 + n * 0.35 + F.when(F.col(size) == 1, 0.06).otherwise(0.0) + 0.08)
+    confidence = F.when(conflict, c * 0.3).when(same, sure).when((c >= 0.9) | (n >= 0.4), c * 0.5 + n * 0.3).otherwise(c * 0.4)
+    return pairs.withColumns({"verdict": verdict, "confidence": F.round(confidence, 3)})
+
+
+def brand_displays(rows: DataFrame, brand: str) -> DataFrame:
+    """brand_key, display, spellings, rows: of a key's spellings one that is not all capitals, then the most frequent,
+    then the shortest; one in capitals is written with capital initials."""
+    counted = rows.filter(present(brand)).groupBy(brand).agg(F.count(F.lit(1)).alias("n")).withColumn("brand_key", brand_key(F.col(brand))).filter("brand_key <> ''")
+    best = F.min(F.struct(all_capitals(F.col(brand)).alias("caps"), (-F.col("n")).alias("m"), F.length(brand).alias("l"), F.col(brand).alias("b")))
+    found = counted.groupBy("brand_key").agg(best.alias("best"), F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("rows"))
+    return found.select("brand_key", F.when(F.col("best.caps"), F.initcap(F.lower("best.b"))).otherwise(F.col("best.b")).alias("display"), "spellings", "rows")
+
+
+def significant_code(code: Column) -> Column:
+    """A GTIN without leading zeros and check digit; null for codes of other lengths, of one digit throughout, that count
+    up, or of number systems that stores give out themselves."""
+    d = digits(code)
+    frame = F.substring(F.lpad(d, 14, "0"), -12, 12)
+    own = frame.rlike("^[245]") | ((F.length(d) == 13) & d.startswith("2"))
+    bare = F.regexp_replace(d, "^0+", "")
+    body, last = F.substr(bare, F.lit(1), F.greatest(F.length(bare) - 1, F.lit(0))), F.substring(bare, -1, 1).try_cast("int")
+    core = F.when((F.length(bare) >= 9) & (check_digit(body) == last), body).otherwise(bare)
+    fine = F.length(d).between(8, 14) & ~d.rlike(r"^(\d)\1*$") & ~d.rlike("^0*123456789[0-9]*$") & ~own & (F.length(core) >= 5)
+    return F.when(fine, core)
+
+
+_BASE36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def unique_codes(rows: DataFrame, code: str, key: str, width: int) -> DataFrame:
+    """Codes made unique: the first of equal ones stays, the others' last `width` characters count up in base 36."""
+    n = F.row_number().over(Window.partitionBy(code).orderBy(key)) - 2
+    figures = F.concat(*[F.substring(F.lit(_BASE36), (F.floor(n / 36**k) % 36 + 1).cast("int"), 1) for k in reversed(range(width))])
+    head = F.substr(F.col(code), F.lit(1), F.length(code) - width)
+    return rows.withColumn("unique_code", F.when(n < 0, F.col(code)).otherwise(F.concat(head, figures)))
+
+
+#: Detectors of an uploaded product table: the fields each needs, its severity, whether it is inference, and its condition.
+SEVERITY = {"blocks_match": 3.0, "corrupts_analysis": 2.0, "cosmetic": 1.0}
+
+
+def detectors() -> dict[str, tuple[list[str], str, Column]]:
+    upc, name, brand, size = (F.col(c).cast("string") for c in ("upc", "product_name", "brand", "size"))
+    abv, price, list_price = (F.col(c).try_cast("double") for c in ("abv", "price", "list_price"))
+    d = digits(upc)
+    return {
+        "upc_is_gtin": (["upc"], "blocks_match", F.length(d) == 14),
+        "upc_zero_strip": (["upc"], "blocks_match", F.length(d) == 11),
+        "upc_bad_check": (["upc"], "blocks_match", F.length(d).isin(12, 13, 14) & (check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) != F.substring(d, -1, 1).try_cast("int"))),
+        "upc_placeholder": (["upc"], "blocks_match", d.rlike(r"^(\d)\1*$")),
+        "upc_scientific": (["upc"], "blocks_match", upc.rlike(r"(?i)^\d(\.\d+)?e\+?\d+$")),
+        "abv_range": (["abv"], "corrupts_analysis", (abv < 0) | (abv > 96)),
+        "abv_is_proof": (["abv"], "corrupts_analysis", abv.between(76, 96)),
+        "price_below_zero": (["price"], "corrupts_analysis", price <= 0),
+        "price_above_list": (["price", "list_price"], "corrupts_analysis", price > list_price),
+        "size_without_unit": (["size"], "corrupts_analysis", F.trim(size).rlike(r"^\d+(\.\d+)?$")),
+        "damaged_encoding": (["product_name"], "cosmetic", name.rlike("Ã|â€|Â")),
+        "vintage_in_name": (["product_name"], "corrupts_analysis", name.rlike(r"\b(19|20)\d\d\b")),
+        "brand_repeated": (["brand", "product_name"], "cosmetic", F.lower(name).startswith(F.concat(F.lower(brand), F.lit(" ")))),
+        "name_in_capitals": (["product_name"], "cosmetic", all_capitals(name)),
+    }
+
+
+def inspect(rows: DataFrame, precision: dict[str, float | None], bar: float = 0.9, share: float = 0.05, least: int = 20, systematic: tuple[str, ...] = ()) -> DataFrame:
+    """detector, hits, eligible, state and rank of every detector whose fields the table has, in one pass over it.
+
+    A detector is silent without a measured precision at the bar, withheld where it fires on more than a share of its
+    eligible rows (a convention, not errors), and shown otherwise, ranked by severity and by how few rows it names."""
+    have = set(rows.columns)
+    usable = {k: v for k, v in detectors().items() if set(v[0]) <= have}
+    every = lambda fields: F.lit(True) if not fields else present(fields[0]) & every(fields[1:])
+    counts = [F.struct(F.lit(k).alias("detector"), F.count_if(c & every(f)).alias("hits"), F.count_if(every(f)).alias("eligible"), F.lit(SEVERITY[s]).alias("severity"),
+                       F.lit(precision.get(k)).cast("double").alias("precision"), F.lit(k in systematic).alias("systematic")) for k, (f, s, c) in usable.items()]
+    r = rows.agg(F.array(*counts).alias("r")).select(F.explode("r").alias("r")).select("r.*").filter("hits > 0")
+    part = F.col("hits") / F.greatest(F.col("eligible"), F.lit(1))
+    withheld = ~F.col("systematic") & (F.col("hits") > least) & (part > share)
+    state = F.when(withheld, "withheld").when(F.coalesce(F.col("precision") >= bar, F.lit(False)), "shown").otherwise("silent")
+    rank = F.when(F.col("state") == "shown", F.round(F.col("severity") * F.greatest(F.lit(0.2), 1 - part), 6))
+    return r.withColumn("state", state).withColumn("rank", rank).select("detector", "hits", "eligible", "state", "rank")
+
+
+#: Headers that name a field, the longest synonym first.
+HEADERS = {
+    "upc": ("upc", "upc code", "barcode", "gtin", "ean"), "size_raw": ("size", "item size", "volume"), "abv": ("abv", "alcohol"), "price": ("price", "retail price", "unit cost"),
+    "vintage": ("vintage", "year"), "product_name": ("name", "product name", "item description", "description"), "brand": ("brand", "brand name"), "qty": ("qty", "quantity", "cases"),
+}
+
+
+def _named(header: str) -> tuple[str | None, float]:
+    words = " ".join("".join(ch if ch.isalnum() else " " for ch in header.lower()).split())
+    for synonym, field in sorted(((s, f) for f, ss in HEADERS.items() for s in ss), key=lambda x: -len(x[0])):
+        if words == synonym:
+            return field, 0.9
+        if f" {synonym} " in f" {words} ":
+            return field, 0.7
+    return None, 0.0
+
+
+def map_headers(rows: DataFrame) -> DataFrame:
+    """header, field, how, share of values that speak for it, of each column of an upload.
+
+    Values speak first: codes that carry their check digit, sizes with units, marked prices, years, mail addresses. A
+    header's name counts where values are silent. One pass counts the evidence of all columns."""
+    named = {c: _named(c) for c in rows.columns}
+    tests = {
+        "upc": lambda s: F.length(digits(s)).isin(8, 12, 13, 14) & s.rlike(r"^[\d\s-]+$") & (check_digit(F.substr(digits(s), F.lit(1), F.length(digits(s)) - 1)) == F.substring(digits(s), -1, 1).try_cast("int")),
+        "size_raw": lambda s: s.rlike(r"(?i)\d\s*(ml|l|oz|cl)\b"),
+        "price": lambda s: s.rlike(r"^[$€£]\s*\d"),
+        "vintage": lambda s: s.rlike(r"^(19|20)\d\d$"),
+        "pii": lambda s: s.rlike(r"^[^@\s]+@[^@\s]+\.[a-zA-Z]+$"),
+    }
+    needs = {"upc": 0.6, "size_raw": 0.7, "price": 0.7, "vintage": 0.9, "pii": 0.5}
+    cells = []
+    for c in rows.columns:
+        s = F.trim(F.col(f"`{c}`").cast("string"))
+        filled = F.count_if(present(s))
+        cells.append(F.struct(F.lit(c).alias("header"), F.lit(named[c][0]).cast("string").alias("named"), F.lit(named[c][1]).alias("sure"),
+                              F.struct(*[F.try_divide(F.count_if(t(s)).cast("double"), filled.cast("double")).alias(k) for k, t in tests.items()]).alias("e")))
+    r = rows.agg(F.array(*cells).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    proof, share = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for k in reversed(tests):
+        proof = F.when(F.col(f"e.{k}") >= needs[k], k).otherwise(proof)
+        share = F.when(F.col(f"e.{k}") >= needs[k], F.round(F.col(f"e.{k}"), 3)).otherwise(share)
+    return r.select("header", F.coalesce(proof, F.col("named")).alias("field"), F.when(proof.isNotNull(), "values").when(F.col("named").isNotNull(), "header").alias("how"), F.coalesce(share, F.nullif("sure", F.lit(0.0))).alias("share"))
+
+
+def liveness(runs: DataFrame, status: str, beat: str, now: Column, quiet_seconds: int = 900) -> DataFrame:
+    """Runs that claim to go on but have been quiet too long are lost; what they claimed is kept."""
+    age = F.unix_timestamp(now) - F.unix_timestamp(beat)
+    lost = F.col(status).isin("queued", "starting", "running") & (age > quiet_seconds)
+    return runs.withColumns({"heartbeat_age_s": age, "reported_status": F.when(lost, F.col(status)), "status": F.when(lost, "lost").otherwise(F.col(status))})
+
+
+def extend_dictionary(known: DataFrame, facets: DataFrame, classes: dict[str, str]) -> DataFrame:
+    """A dictionary (kind, match, value, mode) with a harvested vocabulary (axis, value) added; known entries stay."""
+    v, axis = F.trim("value"), F.lower("axis")
+    table = F.create_map(*[F.lit(x) for kv in classes.items() for x in kv])
+    fresh = (
+        facets.select(axis.alias("axis"), v.alias("value"))
+        .filter(present("value") & ~F.lower("value").startswith("shop all") & ~F.lower("value").isin("featured", "all", "n/a"))
+        .select(
+            F.when(F.col("axis") == "varietal", "varietal").when((F.col("axis") == "type") & table[F.lower("value")].isNotNull(), "class").alias("kind"),
+            F.lower("value").alias("match"),
+            F.when(F.col("axis") == "varietal", F.col("value")).otherwise(table[F.lower("value")]).alias("value"),
+            F.lit("contains").alias("mode"),
+        )
+        .filter("kind is not null")
+        .groupBy("kind", "match").agg(F.min("value").alias("value"), F.min("mode").alias("mode"))
+    )
+    return known.unionByName(fresh.join(known, ["kind", "match"], "left_anti").select(*known.columns))
+
+
+def table_scores(tables: dict[str, DataFrame], least: int = 1) -> DataFrame:
+    """table, rows, empty_columns, duplicate_rows, clean of each table; columns without a value and equal rows speak against it."""
+    out = None
+    for name, df in tables.items():
+        empty = sum((F.when(F.count(F.col(c)) == 0, 1).otherwise(0) for c in df.columns), F.lit(0))
+        whole = df.agg(F.count(F.lit(1)).alias("rows"), empty.cast("int").alias("empty_columns"))
+        same = df.groupBy(*[F.col(c) if not t.startswith(("array", "map")) else F.to_json(F.struct(c)).alias(c) for c, t in df.dtypes]).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"))
+        one = whole.join(F.broadcast(same)).select(F.lit(name).alias("table"), "rows", "empty_columns", "duplicate_rows")  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out.filter(F.col("rows") >= least).withColumn("clean", (F.col("empty_columns") == 0) & (F.col("duplicate_rows") == 0))
+
+
+def queue_priority(unseen: Column, merged: Column, differs: Column, sources: Column) -> Column:
+    """0: a cause of difference that was hardly seen; 1: merged despite a difference; 2: widely carried; 3: the rest."""
+    return F.when(unseen, 0).when(merged & differs, 1).when(sources >= 4, 2).otherwise(3)
+
+
+def details(rows: DataFrame, labels: DataFrame, on: str, facts: dict[str, str], once: list[str], order: Column) -> DataFrame:
+    """Rows with facts from their labels where those have them, one row of each group of equal `once` columns."""
+    told = labels.select(on, *[F.col(c).alias(f"_{c}") for c in facts.values()])
+    met = rows.join(told, on, "left").withColumns({c: F.when(present(f"_{l}"), F.col(f"_{l}")).otherwise(F.col(c)) for c, l in facts.items()})
+    return met.withColumn("_n", F.row_number().over(Window.partitionBy(*once).orderBy(order))).filter("_n = 1").drop("_n", *[f"_{c}" for c in facts.values()])
+
+
+def digest64(c: Column) -> Column:
+    """64 bits of a text's md5, as 16 hex digits."""
+    return F.substring(F.md5(c.cast("string")), 1, 16)
+
+
+def grid(rows: DataFrame, contains: str, columns: list[str], sort: str, numeric: bool, descending: bool = False) -> DataFrame:
+    """A viewer's rows: those that hold a text in any cell, with their place in the order of one column."""
+    cells = F.lower(F.concat_ws("\x1f", *[F.col(c).cast("string") for c in rows.columns]))
+    key = F.col(sort).try_cast("double") if numeric else F.lower(F.col(sort).cast("string"))
+    order = F.desc_nulls_last(key) if descending else F.asc_nulls_last(key)
+    return numbered(rows.filter(F.contains(cells, F.lit(contains.lower()))), order, *[F.col(c) for c in columns], name="place").select("place", *columns)

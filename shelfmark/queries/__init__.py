@@ -34,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def everything() -> Registry:
-    from . import book, dq, entities, joins, landing, masters, matching, observations, offers, outlets, text, windows
+    from . import book, curation, dq, entities, joins, landing, masters, matching, observations, offers, outlets, text, windows
 
     out = Registry()
-    for module in (observations, book, joins, windows, masters, entities, matching, outlets, offers, landing, dq, text):
+    for module in (curation, observations, book, joins, windows, masters, entities, matching, outlets, offers, landing, dq, text):
         out.queries |= module.register.queries
         out.sql |= module.register.sql
     return out
