@@ -1,8 +1,9 @@
 """Tables by name under one root, in three layouts: single, dated parts, hash buckets with a manifest.
 
 A bucketed table's rows lie in folders `_b=<hex>` by the md5 of their key. A merge rewrites the buckets that its batch
-touches, under a new version, and then swaps the manifest that lists live folders; readers see one version or the next.
-The manifest is compared before it is swapped, so that two writers cannot both win.
+touches, under a new version, and then adds the manifest of that version, which lists live folders; readers see one
+version or the next. A version's manifest is a file of its own that must not be there yet, so of two writers of one
+version the second fails, and its folders are removed.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from .files import Store
 
 TYPES = {"string": StringType(), "float64": DoubleType(), "int64": LongType(), "bool": BooleanType()}
 CHANGELOG = 200
+KEPT_MANIFESTS = 20
 
 
 class Conflict(RuntimeError):
@@ -34,7 +36,7 @@ def declared(fields: dict[str, str]) -> StructType:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of a declared schema; missing ones are null, values that do not convert are null, others are left out."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    return df.select(*[((F.col(f.name) if isinstance(f.dataType, StructType) else F.col(f.name).try_cast(f.dataType)) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 class Catalog:
@@ -46,7 +48,13 @@ class Catalog:
 
     # ---- layouts
     def manifest(self, name: str) -> dict | None:
-        return self.store.read_json(self._path("_manifest", f"{name}.json"))
+        """The newest manifest; one that is still being written is passed over."""
+        for file in reversed(self.store.names(self._path("_manifest", name))):
+            try:
+                return self.store.read_json(self._path("_manifest", name, file))
+            except ValueError:
+                continue
+        return None
 
     def layout(self, name: str) -> str | None:
         if self.manifest(name):
@@ -70,8 +78,7 @@ class Catalog:
         raise FileNotFoundError(name)
 
     def names(self) -> list[str]:
-        listed = self.store.names(self._path("_manifest"))
-        return sorted({n for n in self.store.names(self.root) if not n.startswith("_")} | {n.removesuffix(".json") for n in listed if n.endswith(".json")})
+        return sorted({n for n in self.store.names(self.root) if not n.startswith("_")} | set(self.store.names(self._path("_manifest"))))
 
     def columns(self, name: str) -> list[tuple[str, str]]:
         return self.table(name).dtypes
@@ -152,10 +159,14 @@ class Catalog:
         self._swap(name, {"keys": keys, "digits": digits, "schema": schema.jsonValue(), "version": 0, "files": {}, "changelog": []}, None)
 
     def _swap(self, name: str, manifest: dict, expected: int | None) -> None:
-        now = self.manifest(name)
-        if (now or {}).get("version") != expected:
-            raise Conflict(f"{name}: version {(now or {}).get('version')} is not {expected}")
-        self.store.write_json(self._path("_manifest", f"{name}.json"), manifest)
+        """Adds the next version's manifest. It is refused if the newest is not the expected one, or if another writer
+        adds the same version first."""
+        now = (self.manifest(name) or {}).get("version")
+        place = self._path("_manifest", name)
+        if now != expected or not self.store.create_json(f"{place}/{manifest['version']:09d}.json", manifest):
+            raise Conflict(f"{name}: version {manifest['version']} does not follow {now}")
+        for old in self.store.names(place)[:-KEPT_MANIFESTS]:
+            self.store.delete(f"{place}/{old}")
 
     def _write_buckets(self, name: str, df: DataFrame, m: dict, version: int) -> dict[str, str]:
         """One file a bucket; returns bucket -> folder."""
@@ -179,7 +190,12 @@ class Catalog:
         new = m | {"version": m["version"] + 1, "files": files, "changelog": [*m["changelog"], entry][-CHANGELOG:]}
         if schema is not None:
             new["schema"] = schema.jsonValue()
-        self._swap(name, new, m["version"])
+        try:
+            self._swap(name, new, m["version"])
+        except Conflict:
+            for folder in {f.split("/")[0] for f in files.values()} - {f.split("/")[0] for f in m["files"].values()}:
+                self.store.delete(self._path(name, folder))
+            raise
 
     def merge(self, name: str, batch: DataFrame, keys: list[str] | None = None) -> None:
         """Rows of the batch replace rows of equal keys. New columns widen the schema; none is dropped or retyped."""
@@ -222,13 +238,13 @@ class Catalog:
         next_path = self._path(name, f".next-{uuid.uuid4().hex}")
         df.write.parquet(next_path)
         self.store.move(next_path, self._path(name, "data"))
-        self.store.delete(self._path("_manifest", f"{name}.json"))
+        self.store.delete(self._path("_manifest", name))
 
     def changes(self, name: str, since: int = 0) -> list[dict]:
         return [e for e in (self.manifest(name) or {"changelog": []})["changelog"] if e["version"] > since]
 
     # ---- fold
-    def fold(self, parts_table: str, target: str, keys: list[str], columns: list[str], limit: int | None = None) -> list[str]:
+    def fold(self, parts_table: str, target: str, keys: list[str], columns: list[str], limit: int | None = None, digits: int = 2) -> list[str]:
         """Folds parts that are not consumed yet into the target: per key and column the latest present value, by part
         name, kept with its part so that a late part never overwrites a newer value. The watermark is written last: a
         fold that ends early is done again and gives the same rows."""
@@ -242,14 +258,28 @@ class Catalog:
         stamped = parts.select(*keys, *[F.struct(F.col("part").alias("p"), F.col(c).alias("v")).alias(c) for c in columns])
         there = lambda c: present(F.col(f"{c}.v"))
         fresh = stamped.groupBy(*keys).agg(*[F.max(F.when(there(c), F.col(c))).alias(c) for c in columns])
-        state = f"_{target}_state"
-        if self.layout(state):
-            fresh = self.table(state).unionByName(fresh).groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
-        self.write(state, fresh)
-        self.write(target, self.table(state).select(*keys, *[F.col(f"{c}.v").alias(c) for c in columns]))
+        self.fold_state(target, keys, columns, fresh, digits)
         self.store.write_json(mark, sorted(consumed | set(todo)))
         return todo
 
+    def fold_state(self, target: str, keys: list[str], columns: list[str], fresh: DataFrame, digits: int = 2) -> None:
+        """Merges newer states (a struct p, v a column) into the state and the target. Both lie in 16 ** digits buckets,
+        of which only those that the fresh rows touch are read and written."""
+        state = f"_{target}_state"
+        if not self.manifest(state):
+            self.create_bucketed(state, keys, fresh.schema, digits)
+            plain = StructType([*fresh.select(*keys).schema.fields, *[StructField(c, fresh.schema[c].dataType["v"].dataType) for c in columns]])
+            self.create_bucketed(target, keys, plain, digits)
+        b = bucket([F.col(k) for k in keys], self.manifest(state)["digits"])
+        touched = sorted(r["b"] for r in fresh.select(b.alias("b")).distinct().collect())  # 256 values at most
+        olds = [self._path(state, f) for k, f in self.manifest(state)["files"].items() if k in touched]
+        if olds:
+            fresh = self.spark.read.schema(StructType.fromJson(self.manifest(state)["schema"])).parquet(*olds).unionByName(fresh)
+            fresh = fresh.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+        self.merge(state, fresh)
+        newest = [self._path(state, f) for k, f in self.manifest(state)["files"].items() if k in touched]
+        self.merge(target, self.spark.read.schema(StructType.fromJson(self.manifest(state)["schema"])).parquet(*newest).select(*keys, *[F.col(f"{c}.v").alias(c) for c in columns]))
+
     # ---- repair
     def audit_parts(self, name: str) -> dict[str, list[str]]:
         """Parts by their schema's signature; more than one signature means that types drifted."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -41,20 +42,39 @@ class Store:
         return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
     def read_json(self, path: str, default=None):
+        data = self.get_bytes(path)
+        return default if data is None else json.loads(data)
+
+    def create_json(self, path: str, value) -> bool:
+        """Writes a file that must not be there yet; False if it is. Exclusive where the file system creates files so."""
+        fs, p = self._at(path)
+        try:
+            stream = fs.create(p, False)
+        except Py4JJavaError as problem:
+            if "AlreadyExists" in problem.java_exception.getClass().getName():
+                return False
+            raise
+        stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
+        stream.close()
+        return True
+
+    def put_bytes(self, path: str, data: bytes) -> None:
+        fs, _ = self._at(path)
+        _, t = self._at(path + ".next")
+        stream = fs.create(t, True)
+        stream.write(bytearray(data))
+        stream.close()
+        self.move(path + ".next", path)
+
+    def get_bytes(self, path: str) -> bytes | None:
         if not self.exists(path):
-            return default
+            return None
         fs, p = self._at(path)
         stream = fs.open(p)
         try:
-            return json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
         finally:
             stream.close()
 
     def write_json(self, path: str, value) -> None:
-        fs, _ = self._at(path)
-        temp = path + ".next"
-        _, t = self._at(temp)
-        stream = fs.create(t, True)
-        stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
-        stream.close()
-        self.move(temp, path)
+        self.put_bytes(path, json.dumps(value, sort_keys=True).encode())

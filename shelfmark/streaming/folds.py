@@ -19,18 +19,15 @@ def parts_stream(spark: SparkSession, path: str, schema: StructType, per_batch:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path).withColumn("part", F.element_at(F.split("_metadata.file_path", "/"), -1))
 
 
-def fold_stream(stream: DataFrame, catalog: Catalog, target: str, keys: list[str], columns: list[str], checkpoint: str) -> StreamingQuery:
+def fold_stream(stream: DataFrame, catalog: Catalog, target: str, keys: list[str], columns: list[str], checkpoint: str, digits: int = 2) -> StreamingQuery:
     """Folds each micro-batch into the target's state: per key and column the value of the latest part in which it is
     present. The state is a maximum of (part, value), so that a batch that runs twice, or a late part, changes nothing."""
-    state = f"_{target}_state"
 
     def fold(batch: DataFrame, number: int) -> None:
         there = lambda c: F.when(present(c), F.struct(F.col("part").alias("p"), F.col(c).alias("v")))
         fresh = batch.groupBy(*keys).agg(*[F.max(there(c)).alias(c) for c in columns])
-        if catalog.layout(state):
-            fresh = catalog.table(state).unionByName(fresh).groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
-        catalog.write(state, fresh, allow_empty=True)
-        catalog.write(target, catalog.table(state).select(*keys, *[F.col(f"{c}.v").alias(c) for c in columns]), allow_empty=True)
+        if not fresh.isEmpty():
+            catalog.fold_state(target, keys, columns, fresh, digits)
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
