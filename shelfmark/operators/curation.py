@@ -8,18 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.gs1 import check_digit
 from ..functions.names import all_capitals, brand_key
 from ..functions.text import digits, present
-from ..sources.working import write_table
-
-
-def numbered(rows: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
-    """Rows numbered from 1 in a full order: within ranges of it, and on from range to range, so that no task sorts all."""
-    ranged = write_table(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
-    before, offsets = 0, []
-    for r in ranged.groupBy("_range").count().orderBy("_range").collect():  # as many rows as ranges
-        offsets += [F.lit(r["_range"]), F.lit(before)]
-        before += r["count"]
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn(name, (place + (F.create_map(*offsets)[F.col("_range")] if offsets else 0)).cast("long")).drop("_range")
+from .windows import numbered
 
 
 def capped_pairs(rows: DataFrame, code: str, most: int, columns: list[str], *order: Column) -> DataFrame:

@@ -29,17 +29,30 @@ def components(edges: DataFrame, a: str, b: str, limit: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def blocked_pairs(rows: DataFrame, id_col: str, block: list[Column], keep: list[str], most: int = 400, finer: Column | None = None) -> DataFrame:
-    """Pairs within blocks, the smaller id first. Blocks of more than `most` rows are cut by the finer key, and those
-    that are still too large give pairs of rows that follow each other in name order only."""
-    keyed = rows.select(id_col, *keep, F.concat_ws("|", *block).alias("block"))
-    if finer is not None:
-        size = F.count(F.lit(1)).over(Window.partitionBy("block"))
-        keyed = rows.select(id_col, *keep, F.concat_ws("|", *block).alias("block"), finer.alias("_f")).withColumn("_n", size)
-        keyed = keyed.withColumn("block", F.when(F.col("_n") > most, F.concat_ws("|", "block", "_f")).otherwise(F.col("block"))).drop("_n", "_f")
+def blocked_pairs(rows: DataFrame, id_col: str, block: list[Column], keep: list[str], most: int | None = None, finer: Column | None = None, following: int = 10) -> DataFrame:
+    """Pairs within blocks, the smaller id first. With a bound, blocks of more than `most` rows are cut by the finer key
+    (by default the first four letters of the first kept column), and in those that are still too large each row meets
+    the `following` rows behind it in the order of that column. Without one all pairs are given, so that blocks must be
+    small by their nature."""
+    keyed = rows.select(id_col, *keep, F.concat_ws("|", *block).alias("block"), *([] if most is None else [(F.substring(keep[0], 1, 4) if finer is None else finer).alias("_f")]))
+    large = None
+    if most is not None:
+        wide = keyed.groupBy("block").count().filter(F.col("count") > most).select("block", F.lit(True).alias("_wide"))
+        keyed = keyed.join(wide, "block", "left").withColumn("block", F.when(F.col("_wide"), F.concat_ws("|", "block", "_f")).otherwise(F.col("block"))).drop("_wide", "_f")
+        still = keyed.groupBy("block").count().filter(F.col("count") > most).select("block")
+        large, keyed = keyed.join(still, "block", "left_semi"), keyed.join(still, "block", "left_anti")
     left = keyed.select("block", F.col(id_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in keep])
     right = keyed.select("block", F.col(id_col).alias("b"), *[F.col(c).alias(f"{c}_b") for c in keep])
-    return left.join(right, "block").filter("a < b")
+    pairs = left.join(right, "block").filter("a < b")
+    if large is None:
+        return pairs
+    one = F.struct(F.col(id_col).alias("_id"), *keep)
+    w = Window.partitionBy("block").orderBy(keep[0], id_col)
+    ahead = large.select("block", one.alias("x"), F.array_compact(F.array(*[F.lead(one, k).over(w) for k in range(1, following + 1)])).alias("ys"))
+    met = ahead.select("block", "x", F.explode("ys").alias("y"))
+    first = F.col("x._id") < F.col("y._id")
+    side = lambda c, mine: F.when(first == mine, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}"))
+    return pairs.unionByName(met.select("block", side("_id", True).alias("a"), *[side(c, True).alias(f"{c}_a") for c in keep], side("_id", False).alias("b"), *[side(c, False).alias(f"{c}_b") for c in keep]))
 
 
 def all_pairs(rows: DataFrame, id_col: str, value: Column, group: str, meet, schema: str, block: int = 2048, shape: Column | None = None) -> DataFrame:

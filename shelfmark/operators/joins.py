@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.working import write_table
+
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], on: str, effective: str, carried: list[str]) -> DataFrame:
     """Each left row with the latest right row of the same keys that is not later: one sort, no pairs.
@@ -72,18 +76,37 @@ def cascade(rows: DataFrame, tiers: list[tuple[str, DataFrame, list[str]]], targ
     return out.withColumn("tier", F.coalesce("tier", F.lit("unmatched"))).withColumnRenamed("_t", target)
 
 
-def nearest(points: DataFrame, anchors: DataFrame, distance: Column, keys: list[str], name: str, cell: float | None = None) -> DataFrame:
-    """The nearest anchor of each point. Anchors are a reference table (places, metros): with a cell size both sides
-    meet in grid cells and their neighbours; without, anchors must be few enough to broadcast."""
-    if cell is None:
-        j = points.join(F.broadcast(anchors))
-    else:
-        at = lambda c: F.floor(F.col(c) / cell)
+#: Anchors up to this many are broadcast; more meet points in grid cells.
+BROADCAST_ANCHORS = 10_000
+#: Fewer miles than a degree of latitude has anywhere.
+DEGREE_MILES = 68.0
+
+
+def nearest(points: DataFrame, anchors: DataFrame, distance: Column, keys: list[str], name: str, cell: float = 0.5, most: int = BROADCAST_ANCHORS) -> DataFrame:
+    """The nearest anchor (name, a_lat, a_lng) of each point (keys, lat, lng) by a distance in miles; of equally near ones
+    the first by name. No point is lost: one without a place, or without any anchor, has none.
+
+    Few anchors are broadcast. More meet points in cells of a grid and their neighbours; a point whose best hit may not be
+    the nearest, as it lies further off than the neighbours reach for certain, goes on to cells twice as wide."""
+    best = F.min(F.struct(F.round(distance, 6).alias("miles"), F.col(name)))
+    if anchors.limit(most + 1).count() <= most:
+        found = points.join(F.broadcast(anchors), how="left").groupBy(*keys).agg(best.alias("b"))
+        return found.select(*keys, F.when(F.col("b.miles").isNotNull(), F.col(f"b.{name}")).alias(name), "b.miles")
+    left = write_table(points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()), "points")
+    done = [points.filter(F.col("lat").isNull() | F.col("lng").isNull()).select(*keys, F.lit(None).cast(anchors.schema[name].dataType).alias(name), F.lit(None).cast("double").alias("miles"))]
+    while not left.isEmpty():
+        whole = cell >= 360
+        at = lambda c: F.floor((F.col(c) + 360) / cell)
         steps = F.explode(F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
         near = anchors.withColumn("_s", steps).withColumns({"_cx": at("a_lat") + F.col("_s.dx"), "_cy": at("a_lng") + F.col("_s.dy")}).drop("_s")
-        j = points.withColumns({"_cx": at("lat"), "_cy": at("lng")}).join(near, ["_cx", "_cy"])
-    best = F.min(F.struct(F.round(distance, 6).alias("miles"), F.col(name)))
-    return j.groupBy(*keys).agg(best.alias("b")).select(*keys, f"b.{name}", "b.miles")
+        met = left.withColumns({"_cx": at("lat"), "_cy": at("lng")}).join(near, ["_cx", "_cy"], "left")
+        # A degree of longitude is shorter the nearer it lies to a pole; beyond the neighbours everything is this far off.
+        sure = F.lit(cell * DEGREE_MILES) * F.cos(F.radians(F.least(F.abs("lat") + cell, F.lit(90.0))))
+        hit = write_table(met.groupBy(*left.columns).agg(best.alias("b")).withColumn("_sure", F.lit(whole) | F.coalesce(F.col("b.miles") < sure, F.lit(False))), "nearest")
+        done.append(hit.filter("_sure").select(*keys, F.when(F.col("b.miles").isNotNull(), F.col(f"b.{name}")).alias(name), "b.miles"))
+        left = hit.filter("not _sure").select(*left.columns)
+        cell *= 2
+    return functools.reduce(DataFrame.unionByName, done)
 
 
 def _inside(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import numbered
+
 CELL = ("source", "store_id", "product_id")
 #: A move of so many units without a change of price or promotion is a recount, not a sale.
 JITTER = 2
@@ -85,7 +87,7 @@ def quality_sources(obs: DataFrame, cells: DataFrame) -> DataFrame:
 def stock_changes(obs: DataFrame, cards: DataFrame) -> DataFrame:
     """Consecutive observations of counting sources, told apart: sale, restock, recount, censored, out of stock."""
     counted = obs.filter("qty is not null").join(
-        F.broadcast(cards.filter("qual_tier = 'count'").select("source", "jitter_frac", F.coalesce("median_cadence_days", F.lit(999.0)).alias("cadence"))), "source"
+        cards.filter("qual_tier = 'count'").select("source", "jitter_frac", F.coalesce("median_cadence_days", F.lit(999.0)).alias("cadence")), "source"
     )
     pairs = _lagged(counted, "qty", "price", "on_promo", "d").filter("p_qty is not null")
     dq = F.col("qty") - F.col("p_qty")
@@ -155,9 +157,9 @@ def movers(fact: DataFrame, days: DataFrame, min_cells: int = 5, min_previous: f
     cell = fact.groupBy("brand", "store_id", "product_id", "week").agg(F.sum("implied_units").alias("units"), F.avg("confidence").alias("conf"))
     # Weeks are few: numbering them needs no more than a list of distinct weeks.
     weeks = cell.select("week").distinct().withColumn("wn", F.row_number().over(Window.orderBy("week")))
-    numbered = cell.join(F.broadcast(weeks), "week")
-    before = numbered.select("brand", "store_id", "product_id", (F.col("wn") + 1).alias("wn"), F.col("units").alias("prev"), F.col("week").alias("prev_week"))
-    matched = numbered.join(before, ["brand", "store_id", "product_id", "wn"])
+    w = Window.partitionBy("brand", "store_id", "product_id").orderBy("wn")
+    before = F.lag(F.struct("wn", F.col("units").alias("prev"), F.col("week").alias("prev_week"))).over(w)
+    matched = cell.join(weeks, "week").withColumn("_b", before).filter(F.col("_b.wn") == F.col("wn") - 1).select("brand", "week", "units", "conf", "_b.prev", "_b.prev_week")
     agg = (
         matched.groupBy("brand", "week", "prev_week")
         .agg(F.count(F.lit(1)).alias("matched_cells"), F.sum("units").alias("u"), F.sum("prev").alias("p"), F.avg("conf").alias("c"))
@@ -166,7 +168,7 @@ def movers(fact: DataFrame, days: DataFrame, min_cells: int = 5, min_previous: f
     best = days.agg(F.max("obs_days").alias("best"))
     now = days.select("week", F.col("obs_days").alias("cur_obs_days"))
     then = days.select(F.col("week").alias("prev_week"), F.col("obs_days").alias("prev_obs_days"))
-    joined = agg.join(F.broadcast(now), "week", "left").join(F.broadcast(then), "prev_week", "left").join(F.broadcast(best))
+    joined = agg.join(now, "week", "left").join(then, "prev_week", "left").join(F.broadcast(best))
     cur, prev = (F.coalesce(c, F.lit(0)) for c in ("cur_obs_days", "prev_obs_days"))
     return joined.select(
         "brand",
@@ -211,7 +213,7 @@ def projection(cells: DataFrame, universe: DataFrame, min_stores: int = 8, min_c
     c = cells.groupBy("market", "brand").agg(
         F.count(F.lit(1)).alias("k"), F.sum("store_units").alias("seen"), F.avg("store_units").alias("mean"), F.coalesce(F.stddev_samp("store_units"), F.lit(0.0)).alias("sd")
     )
-    j = c.join(F.broadcast(universe), "market", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    j = c.join(universe, "market", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     coverage = F.try_divide(k, n)
     enough = (F.col("n") > 0) & (F.col("k") >= min_stores) & (coverage >= min_coverage)
@@ -272,12 +274,15 @@ def metro_rollup(stores: DataFrame, *keys: str) -> DataFrame:
 
 
 def percentile_verdict(offers: DataFrame, pool: list[str], value: str = "price") -> DataFrame:
-    """Each offer's place in its pool, ties counting half: (below + ties / 2) / n. One sort a pool, no pairs."""
+    """Each offer's place in its pool, ties counting half: (below + ties / 2) / n. Offers are counted by pool and value
+    first, so a pool's window has a row a value, not a row an offer."""
+    counted = offers.groupBy(*pool, value).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*pool)
-    below = F.rank().over(w.orderBy(value)) - 1
-    ties = F.count(F.lit(1)).over(w.partitionBy(*pool, value))
-    place = (below + ties / 2) / F.count(F.lit(1)).over(w)
-    return offers.withColumn("percentile", F.round(place, 4)).withColumn(
+    upto = F.sum("_n").over(w.orderBy(value))
+    placed = counted.select(*[F.col(c).alias(f"_{c}") for c in (*pool, value)], ((upto - F.col("_n") / 2) / F.sum("_n").over(w)).alias("_place"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*pool, value)]
+    met = offers.join(placed, same).withColumn("percentile", F.round("_place", 4)).drop("_place", *[f"_{c}" for c in (*pool, value)])
+    return met.withColumn(
         "verdict", F.when(F.col("percentile") <= 0.25, "low").when(F.col("percentile") < 0.75, "typical").otherwise("high")
     )
 
@@ -318,13 +323,13 @@ def core_voids(obs: DataFrame, core: float, store: str = "store_id", product: st
     held = obs.select(store, product).distinct()
     width = held.groupBy(store).agg(F.count(F.lit(1)).alias("range"))
     total = width.agg(F.count(F.lit(1)).alias("stores"))
-    ranked = width.withColumn("rn", F.row_number().over(Window.orderBy("range", store))).join(F.broadcast(total))
+    ranked = numbered(width, F.col("range"), F.col(store)).join(F.broadcast(total))  # one row
     third = F.greatest(F.floor(F.col("stores") / 3), F.lit(1))
     sized = ranked.select(store, F.least(F.floor((F.col("rn") - 1) / third), F.lit(2)).cast("int").alias("size_class"))
     of_class = sized.groupBy("size_class").agg(F.count(F.lit(1)).alias("class_stores"))
     common = (
         held.join(sized, store).groupBy("size_class", product).agg(F.count(F.lit(1)).alias("holders"))
-        .join(F.broadcast(of_class), "size_class").filter(F.col("holders") >= core * F.col("class_stores"))
+        .join(of_class, "size_class").filter(F.col("holders") >= core * F.col("class_stores"))
     )
     wanted = sized.join(common, "size_class")
     return wanted.join(held, [store, product], "left_anti").select(store, product, "size_class", "holders")

@@ -85,7 +85,7 @@ def calibrate(implied: DataFrame, anchor: DataFrame, by: list[str]) -> DataFrame
 
 def demand(households: DataFrame, spend: DataFrame, by: str, brackets: int) -> DataFrame:
     """Households by bracket times mean spend, for places with every bracket; indexed to the mean of all."""
-    g = households.join(F.broadcast(spend), "bracket").groupBy(by).agg(F.sum(F.col("households") * F.col("spend")).alias("demand"), F.sum("households").alias("households"), F.count_distinct("bracket").alias("n")).filter(F.col("n") == brackets)
+    g = households.join(spend, "bracket").groupBy(by).agg(F.sum(F.col("households") * F.col("spend")).alias("demand"), F.sum("households").alias("households"), F.count_distinct("bracket").alias("n")).filter(F.col("n") == brackets)
     total = g.agg((F.sum("demand") / F.sum("households")).alias("us"))
     per = F.col("demand") / F.col("households")
     return g.join(F.broadcast(total)).select(by, F.round("demand", 2).alias("demand"), F.round(per, 4).alias("per_household"), F.round(100 * per / F.col("us"), 2).alias("index"))
@@ -94,7 +94,11 @@ def demand(households: DataFrame, spend: DataFrame, by: str, brackets: int) -> D
 def whitespace(places: DataFrame, area: str, demand_col: str, doors: str, floor: int = 1) -> DataFrame:
     """Demand a door against the upper median of its metro; the higher, the more is not served."""
     per = places.filter(F.col(doors) >= floor).withColumn("per_door", F.col(demand_col) / F.col(doors))
-    upper = per.groupBy(area).agg(F.sort_array(F.collect_list("per_door")).alias("_v")).select(area, F.get("_v", F.floor(F.size("_v") / 2).cast("int")).alias("typical"))
+    # The upper median is the value at which the running count first exceeds half; counts are by value, not by place.
+    counted = per.groupBy(area, "per_door").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(area)
+    placed = counted.withColumns({"_upto": F.sum("_n").over(w.orderBy("per_door")), "_all": F.sum("_n").over(w)})
+    upper = placed.filter(F.col("_upto") > F.floor(F.col("_all") / 2)).groupBy(area).agg(F.min("per_door").alias("typical"))
     return per.join(upper, area).withColumn("index", F.round(100 * F.col("per_door") / F.col("typical"), 2))
 
 

@@ -67,7 +67,7 @@ def split_by_value(rows: DataFrame, group: str, value: str, tolerance: float) ->
 
 def metro_counts(outlets: DataFrame, places: DataFrame, on: str, metro: str, flag: str) -> DataFrame:
     """Doors by metro in three buckets: yes, no and unknown, which is not no; outlets without a metro are counted too."""
-    j = outlets.join(F.broadcast(places), on, "left")
+    j = outlets.join(places, on, "left")
     return j.groupBy(F.coalesce(F.col(metro).cast("string"), F.lit("(unknown)")).alias("metro")).agg(
         F.count(F.lit(1)).alias("doors"), F.count_if(F.col(flag)).alias("yes"), F.count_if(~F.col(flag)).alias("no"), F.count_if(F.col(flag).isNull()).alias("unknown")
     )

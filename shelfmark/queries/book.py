@@ -63,7 +63,7 @@ def largest_remainder_allocation(spark, sf_dir):
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 def rollup_totals(spark, sf_dir):
     places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined = table(spark, sf_dir, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.rollup("r_name", "n_name").agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")).select(
         F.coalesce("r_name", F.lit("(all)")).alias("region"), F.coalesce("n_name", F.lit("(all)")).alias("nation"), "customers", "balance"
     )

@@ -131,3 +131,11 @@ def divergence_clusters(spark, sf_dir):
 
 
 register()(divergence_clusters)
+
+
+@register("""WITH p AS (SELECT p_partkey, p_name, p_brand AS block FROM part), s AS (SELECT block FROM p GROUP BY 1 HAVING count(*) > 20), f AS (SELECT p_partkey, p_name, CASE WHEN block IN (SELECT block FROM s) THEN block || '|' || p_name[1:4] ELSE block END AS block FROM p),
+l AS (SELECT block FROM f GROUP BY 1 HAVING count(*) > 20), n AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY p_name, p_partkey) AS rn FROM f)
+SELECT x.p_partkey AS a, y.p_partkey AS b, x.block FROM f x JOIN f y USING (block) WHERE x.p_partkey < y.p_partkey AND block NOT IN (SELECT block FROM l)
+UNION ALL SELECT least(x.p_partkey, y.p_partkey), greatest(x.p_partkey, y.p_partkey), x.block FROM n x JOIN n y USING (block) WHERE y.rn > x.rn AND y.rn <= x.rn + 10 AND block IN (SELECT block FROM l)""")
+def pairs_of_large_blocks(spark, sf_dir):
+    return ops.blocked_pairs(table(spark, sf_dir, "part"), "p_partkey", [F.col("p_brand")], ["p_name"], 20).select("a", "b", "block")

@@ -36,7 +36,7 @@ SELECT l_orderkey, l_linenumber, k, l_quantity, day, effective, CAST(low AS DOUB
 def asof_tax_band(spark, sf_dir):
     b = spark.sql(f"SELECT CAST(k AS BIGINT) AS k, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, effective, CAST(tax AS DOUBLE) AS tax FROM VALUES {BANDS} AS t(k, low, high, effective, tax)")
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 2).alias("k"), "l_quantity", F.to_date("l_shipdate").alias("day"))
-    return ops.asof_band(l, F.broadcast(b), ["k"], "day", "effective", "l_quantity", "low", "high")
+    return ops.asof_band(l, b, ["k"], "day", "effective", "l_quantity", "low", "high")
 
 
 @register("""WITH batch AS (SELECT o_orderkey, 'Z' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT o_orderkey + 100000000, 'N', o_totalprice FROM orders WHERE o_totalprice > 400000)
@@ -95,6 +95,14 @@ def places(spark, sf_dir):
 HAVERSINE = "2 * 3958.8 * asin(least(1.0, sqrt(pow(sin((radians(a_lat) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(a_lat)) * pow(sin(radians(a_lng - lng) / 2), 2))))"
 
 
+@register(f"""WITH {PLACES}, d AS (SELECT id, place, round({HAVERSINE}, 6) AS miles FROM pts, anchors)
+SELECT id, place, miles FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY miles, place) AS rn FROM d) WHERE rn = 1""")
+def nearest_place_by_cells(spark, sf_dir):
+    """The same without a broadcast, as if anchors were many."""
+    pts, anchors = places(spark, sf_dir)
+    return ops.nearest(pts, anchors, geo.haversine_miles(F.col("lat"), F.col("lng"), F.col("a_lat"), F.col("a_lng")), ["id"], "place", 4.0, 0)
+
+
 @register(f"""WITH {PLACES}, d AS (SELECT id, place, round({HAVERSINE}, 6) AS miles FROM pts, anchors)
 SELECT id, place, miles FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY miles, place) AS rn FROM d) WHERE rn = 1""")
 def nearest_place(spark, sf_dir):

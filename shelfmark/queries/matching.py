@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import products
 from ..operators import matching as ops
+from ..operators.windows import numbered
 from . import Registry, table
 
 register = Registry()
@@ -15,11 +16,9 @@ register = Registry()
 s AS (SELECT f.id, m.cluster, jaro_winkler_similarity(f.p_name, m.p_name) AS s FROM f JOIN (SELECT DISTINCT p_brand, p_name, cluster FROM m) m USING (p_brand)), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cluster) AS rn FROM s WHERE s >= 0.9)
 SELECT f.id, f.p_brand, f.p_name, r.cluster, round(r.s, 4) AS similarity FROM f LEFT JOIN r ON r.id = f.id AND rn = 1""")
 def incremental_assignment(spark, sf_dir):
-    from pyspark.sql import Window
-
     part = table(spark, sf_dir, "part")
-    # Distinct names are a short list; their ranks name the clusters.
-    m = part.select("p_brand", "p_name").distinct().withColumn("cluster", F.dense_rank().over(Window.orderBy("p_name")).cast("long"))
+    # Names' places in their order name the clusters.
+    m = part.select("p_brand", "p_name").distinct().join(numbered(part.select("p_name").distinct(), F.col("p_name"), name="cluster"), "p_name")
     fresh = part.select(F.col("p_partkey").alias("id"), "p_brand", F.replace("p_name", F.lit("e"), F.lit("")).alias("p_name"))
     return ops.assign_to_clusters(fresh, m, "p_brand", "p_name")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import observations as ops
+from ..sources.working import write_table
 from . import Registry, table
 
 register = Registry()
@@ -46,13 +47,13 @@ CARDS = """cards AS (
          round(median(cadence_days), 2) AS median_cadence_days
   FROM cells c JOIN (SELECT source, count(DISTINCT qty) AS levels FROM obs GROUP BY source) l ON l.source = c.source GROUP BY c.source),
 tiers AS (SELECT *, CASE WHEN diffable_frac < 0.05 THEN 'thin' WHEN qty_coverage >= 0.5 AND distinct_qty_global >= 15 THEN 'count' ELSE 'state' END AS qual_tier FROM cards)"""
-# The tables' cells hardly repeat, so the queries below let every source through with its own cadence.
+# The tables' cells hardly repeat, so the queries below set the tiers: R shows states only and is held back, others count.
 CHANGES = """changes AS (
   SELECT l.source, store_id, product_id, brand, d, qty - pq AS dq,
          qty <> pq AND abs(qty - pq) <= 2 AND price = pp AND on_promo = ppr AS is_noise,
          date_diff('day', pd, d) > greatest(8.0, 3.0 * coalesce(median_cadence_days, 999.0)) AS is_censored,
          pq > 0 AND qty = 0 AS oos_enter, coalesce(jitter_frac, 0.0) AS jitter_frac, coalesce(median_cadence_days, 999.0) AS cadence
-  FROM lagged l JOIN tiers USING (source) WHERE pq IS NOT NULL)"""
+  FROM lagged l JOIN tiers USING (source) WHERE pq IS NOT NULL AND l.source <> 'R')"""
 FACT = """fact AS (
   SELECT source, store_id, product_id, brand, CAST(date_trunc('week', d) AS DATE) AS week,
          sum(CASE WHEN dq < 0 AND NOT is_noise AND NOT is_censored THEN -dq ELSE 0 END) AS implied_units,
@@ -69,9 +70,10 @@ PARTS = {"cells": f"WITH {OBS}, {LAG}, {CELLS}", "tiers": f"WITH {OBS}, {LAG}, {
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observed(spark, sf_dir)
+    """Observations are written once: cells, cards and changes read them."""
+    obs = write_table(observed(spark, sf_dir), "observations")
     cards = ops.quality_sources(obs, ops.quality_cells(obs))
-    return ops.stock_changes(obs, cards.withColumn("qual_tier", F.lit("count")))
+    return ops.stock_changes(obs, cards.withColumn("qual_tier", F.when(F.col("source") == "R", "state").otherwise("count")))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +146,7 @@ SELECT market, brand, n AS universe_outlets, k AS obs_stores, round(k / n::DOUBL
   CASE WHEN enough THEN round(greatest(n * mean - 1.96 * err, 0)) END AS ci_low, CASE WHEN enough THEN round(n * mean + 1.96 * err) END AS ci_high,
   CASE WHEN enough THEN 'projected' ELSE 'suppressed: ' || concat_ws('; ', CASE WHEN k < 3 THEN 'fewer than 3 stores' END, CASE WHEN k / n::DOUBLE < 0.02 THEN 'low coverage' END) END AS status FROM e""")
 def survey_projection(spark, sf_dir):
-    stores = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("market"))
+    stores = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("market"))
     sold = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity").join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), "l_partkey")
     cells = sold.join(stores, "l_suppkey").groupBy("market", "brand", "l_suppkey").agg(F.sum("l_quantity").alias("store_units"))
     universe = stores.groupBy("market").agg((F.count(F.lit(1)) + 3).alias("n"))
@@ -204,4 +206,4 @@ def catman_voids(spark, sf_dir):
     sold = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws("/", "p_type", "p_size").alias("product_id"))
     stores = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("store_id"))
-    return ops.core_voids(sold.join(parts, "l_partkey").join(F.broadcast(stores), "l_suppkey"), 0.8)
+    return ops.core_voids(sold.join(parts, "l_partkey").join(stores, "l_suppkey"), 0.8)

@@ -117,7 +117,7 @@ def demand_model(spark, sf_dir):
 @register("""WITH d AS (SELECT c_nationkey AS place, n_regionkey AS area, sum(c_acctbal) AS demand, count(*) AS doors FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL), p AS (SELECT *, demand / doors AS per_door FROM d WHERE doors >= 1),
 u AS (SELECT area, list_sort(list(per_door))[count(*) // 2 + 1] AS typical FROM p GROUP BY 1) SELECT place, area, round(demand, 2) AS demand, doors, round(100 * per_door / typical, 2) AS "index" FROM p JOIN u USING (area)""")
 def whitespace_index(spark, sf_dir):
-    d = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("c_nationkey").alias("place"), F.col("n_regionkey").alias("area")).agg(F.sum("c_acctbal").alias("demand"), F.count(F.lit(1)).alias("doors"))
+    d = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("c_nationkey").alias("place"), F.col("n_regionkey").alias("area")).agg(F.sum("c_acctbal").alias("demand"), F.count(F.lit(1)).alias("doors"))
     return ops.whitespace(d, "area", "demand", "doors").select("place", "area", F.round("demand", 2).alias("demand"), "doors", "index")
 
 
@@ -145,7 +145,7 @@ def cluster_histogram(spark, sf_dir):
 
 @register("""SELECT n_name, count(*) FILTER (c_mktsegment = 'BUILDING') AS building, count(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS household, count(*) FILTER (c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD')) AS other FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
 def rolling_coverage(spark, sf_dir):
-    j = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     s = F.col("c_mktsegment")
     return j.groupBy("n_name").agg(F.count_if(s == "BUILDING").alias("building"), F.count_if(s == "HOUSEHOLD").alias("household"), F.count_if(~s.isin("BUILDING", "HOUSEHOLD")).alias("other"))
 
