@@ -14,7 +14,8 @@ MILES_PER_LNG = 54.6
 def haversine_miles(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     a, b = F.radians(lat1), F.radians(lat2)
     h = F.pow(F.sin((b - a) / 2), 2) + F.cos(a) * F.cos(b) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
-    return F.lit(2 * EARTH_MILES) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # least() passes over nulls, but an unknown place is no distance away.
+    return F.when(h.isNotNull(), F.lit(2 * EARTH_MILES) * F.asin(F.least(F.lit(1.0), F.sqrt(h))))
 
 
 def planar_miles(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:

@@ -88,10 +88,10 @@ def nearest(points: DataFrame, anchors: DataFrame, distance: Column, keys: list[
 
     Few anchors are broadcast. More meet points in cells of a grid and their neighbours; a point whose best hit may not be
     the nearest, as it lies further off than the neighbours reach for certain, goes on to cells twice as wide."""
-    best = F.min(F.struct(F.round(distance, 6).alias("miles"), F.col(name)))
+    best = F.min(F.when(distance.isNotNull(), F.struct(F.round(distance, 6).alias("miles"), F.col(name))))
     if anchors.limit(most + 1).count() <= most:
         found = points.join(F.broadcast(anchors), how="left").groupBy(*keys).agg(best.alias("b"))
-        return found.select(*keys, F.when(F.col("b.miles").isNotNull(), F.col(f"b.{name}")).alias(name), "b.miles")
+        return found.select(*keys, f"b.{name}", "b.miles")
     left = write_table(points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()), "points")
     done = [points.filter(F.col("lat").isNull() | F.col("lng").isNull()).select(*keys, F.lit(None).cast(anchors.schema[name].dataType).alias(name), F.lit(None).cast("double").alias("miles"))]
     while not left.isEmpty():
@@ -103,7 +103,7 @@ def nearest(points: DataFrame, anchors: DataFrame, distance: Column, keys: list[
         # A degree of longitude is shorter the nearer it lies to a pole; beyond the neighbours everything is this far off.
         sure = F.lit(cell * DEGREE_MILES) * F.cos(F.radians(F.least(F.abs("lat") + cell, F.lit(90.0))))
         hit = write_table(met.groupBy(*left.columns).agg(best.alias("b")).withColumn("_sure", F.lit(whole) | F.coalesce(F.col("b.miles") < sure, F.lit(False))), "nearest")
-        done.append(hit.filter("_sure").select(*keys, F.when(F.col("b.miles").isNotNull(), F.col(f"b.{name}")).alias(name), "b.miles"))
+        done.append(hit.filter("_sure").select(*keys, f"b.{name}", "b.miles"))
         left = hit.filter("not _sure").select(*left.columns)
         cell *= 2
     return functools.reduce(DataFrame.unionByName, done)

@@ -95,3 +95,20 @@ def misfires(findings: DataFrame, eligible: int, share: float = 0.05) -> DataFra
     """A check that fires on too many rows at one confidence says that the check is wrong: one finding instead of many."""
     g = findings.groupBy("check").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("confidence").alias("levels"))
     return g.withColumn("misfire", (F.col("hits") > share * eligible) & (F.col("levels") == 1))
+
+
+def identify_fuzzily(outlets: DataFrame, id_col: str, strong: dict[str, Column], cell: Column, name: str, least: float = 0.72, most: int = 250) -> DataFrame:
+    """Clusters by exact keys and by alike names in one grid cell. Cells of more than `most` rows (malls, coordinates of a
+    whole town) say nothing of identity and take no part in the second step."""
+    placed = outlets.select(id_col, name, cell.alias("_cell")).filter(F.col("_cell").isNotNull() & (F.col(name) != ""))
+    usable = placed.groupBy("_cell").count().filter(F.col("count").between(2, most)).select("_cell")
+    inside = placed.join(usable, "_cell", "left_semi")
+    left, right = (inside.select("_cell", F.col(id_col).alias(s), F.col(name).alias(f"_{s}")) for s in ("a", "b"))
+    # The ratio is at most twice the shorter length over both, so most pairs need no comparison.
+    short, both = F.least(F.length("_a"), F.length("_b")), F.length("_a") + F.length("_b")
+    met = left.join(right, "_cell").filter((F.col("a") < F.col("b")) & (2 * short >= least * both))
+    alike = met.withColumn("_s", text.sequence_ratio("_a", "_b")).filter(F.col("_s") >= least).select("a", "b")
+    exact = strong_key_edges(outlets, id_col, strong)
+    edges = alike.unionByName(exact.select(*[F.col(c).alias(n) for c, n in zip(exact.columns, ("a", "b"))]))
+    found = components(edges, "a", "b")
+    return outlets.join(found.withColumnRenamed("node", id_col), id_col, "left").withColumn("cluster", F.coalesce("component", F.col(id_col))).drop("component")

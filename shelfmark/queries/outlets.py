@@ -26,6 +26,13 @@ def outlet_identity(spark, sf_dir):
     return ops.identify(k, "id", {"p": F.when(F.col("phone") > 24, F.col("phone")), "a": F.col("addr")})
 
 
+@register()
+def outlet_identity_fuzzy(spark, sf_dir):
+    """Exact phones, and alike names in a cell; DuckDB has no Ratcliff-Obershelp ratio, a test holds it against brute force."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat("c_mktsegment", F.lit(" "), (F.col("c_custkey") % 13).cast("string")).alias("name"), F.floor(F.col("c_acctbal") / 40).alias("cell"), (F.col("c_custkey") % 400).alias("phone"))
+    return ops.identify_fuzzily(c, "id", {"p": F.when(F.col("phone") > 390, F.col("phone"))}, F.col("cell"), "name")
+
+
 @register("""WITH p AS (SELECT p_partkey, p_brand, p_name, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_type END AS kind, CAST(p_size // 10 AS VARCHAR) AS size FROM part), j AS (SELECT a.p_partkey AS a, b.p_partkey AS b, CASE WHEN a.kind = '' OR b.kind = '' THEN 0 WHEN a.kind = b.kind THEN 1 ELSE -1 END AS k,
   CASE WHEN a.size = b.size THEN 1 ELSE -1 END AS s FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_name = b.p_name AND a.p_partkey < b.p_partkey),
 v AS (SELECT CASE WHEN k = -1 OR s = -1 THEN 'apart' WHEN (k = 1)::INT + (s = 1)::INT >= 1 THEN 'same' ELSE 'unknown' END AS verdict FROM j) SELECT verdict, count(*) AS n FROM v GROUP BY 1""")

@@ -355,3 +355,16 @@ def dated_series(spark, sf_dir):
         one = reference.dated_observations(spark.createDataFrame([(payload,)], "payload string"), r["n_name"])
         out = one if out is None else out.unionByName(one)
     return out.select(F.col("series").alias("dataset"), F.col("date").alias("key"), "value")
+
+
+@register("SELECT 'single' AS layout, count(*) AS rows FROM nation UNION ALL SELECT 'bucketed', count(*) FROM supplier UNION ALL SELECT 'parts', count(*) FROM region")
+def catalog_expressions(spark, sf_dir):
+    """Tables of all layouts, read by the text of an expression."""
+    c = _catalog(spark)
+    c.write("nation", table(spark, sf_dir, "nation"))
+    c.write("supplier", table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
+    c.migrate("supplier", ["s_suppkey"], 1)
+    c.write_part("region", "all", table(spark, sf_dir, "region"))
+    layouts = {"nation": "single", "supplier": "bucketed", "region": "parts"}
+    counts = [f"SELECT '{k}' AS layout, count(*) AS rows FROM ({c.read_expr(n)})" if "SELECT" in c.read_expr(n) else f"SELECT '{k}' AS layout, count(*) AS rows FROM {c.read_expr(n)}" for n, k in layouts.items()]
+    return spark.sql(" UNION ALL ".join(counts))

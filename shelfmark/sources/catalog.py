@@ -9,6 +9,7 @@ version the second fails, and its folders are removed.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,26 @@ class Catalog:
     def sample(self, name: str, n: int = 20) -> DataFrame:
         return self.table(name).limit(n)
 
+    def cached_sample(self, name: str, n: int = 20) -> list[dict]:
+        """Rows for a preview, kept as a document beside the table until the table changes."""
+        place = self._path("_doc", f"sample-{name}-{n}.json")
+        m = self.manifest(name)
+        mark = m["version"] if m else self.parts(name) or self.store.changed(self._path(name, "data"))
+        held = self.store.read_json(place)
+        if held is None or held["mark"] != mark:
+            rows = [r["j"] for r in self.sample(name, n).select(F.to_json(F.struct("*")).alias("j")).collect()]
+            held = {"mark": mark, "rows": rows}
+            self.store.write_json(place, held)
+        return [json.loads(r) for r in held["rows"]]
+
+    def read_expr(self, name: str) -> str:
+        """The table as an expression that Spark SQL reads without a view: its folders, whatever the layout."""
+        m = self.manifest(name)
+        files = [self._path(name, f) for f in m["files"].values()] if m else [self._path(name, "_parts" if self.layout(name) == "parts" else "data")]
+        if not files:
+            raise FileNotFoundError(f"{name} is empty")
+        return " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in files) if len(files) > 1 else f"parquet.`{files[0]}`"
+
     # ---- single
     def write(self, name: str, df: DataFrame, fields: list[str] | None = None, allow_empty: bool = False) -> None:
         """Overwrites. Nothing over something is refused, and so is a bucketed table."""

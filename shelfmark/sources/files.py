@@ -37,6 +37,11 @@ class Store:
             raise OSError(f"cannot move {source} to {target}")
         fs.delete(aside, True)
 
+    def changed(self, path: str) -> int | None:
+        """When a file or folder was changed last, in milliseconds."""
+        fs, p = self._at(path)
+        return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)
         return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
