@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import observations as ops
-from ..sources.working import write_table
 from . import Registry, table
 
 register = Registry()
@@ -70,8 +69,8 @@ PARTS = {"cells": f"WITH {OBS}, {LAG}, {CELLS}", "tiers": f"WITH {OBS}, {LAG}, {
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations are written once: cells, cards and changes read them."""
-    obs = write_table(observed(spark, sf_dir), "observations")
+    """Cells, cards and changes read the same observations, whose exchange Spark plans once and reuses."""
+    obs = observed(spark, sf_dir)
     cards = ops.quality_sources(obs, ops.quality_cells(obs))
     return ops.stock_changes(obs, cards.withColumn("qual_tier", F.when(F.col("source") == "R", "state").otherwise("count")))
 
