@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, htmltext, jaccard, langid, media, mixing, packing, topk, toxicity, warc
+from . import bpe, chat, divergence, htmltext, importance, jaccard, langid, media, mixing, packing, topk, toxicity, warc
 from .common import crc_fold, read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,73 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(joined) AS turns_sha2
        sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars, CAST(n_violations AS BIGINT) AS n_violations
 FROM g
 """
+
+
+@query
+def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode(read(spark, sf_dir, "documents"), path, finish=bpe.Digests(path))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_divergence_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence_tries"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS MATERIALIZED (SELECT i, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+c AS MATERIALIZED (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS MATERIALIZED (
+  SELECT a.lang, a.source, coalesce(b.n, 0) AS n, coalesce(v.v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) a LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) b USING (lang, source) LEFT JOIN v USING (lang)),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 2)) // (g.n + 2 * g.v) AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+q AS MATERIALIZED (
+  SELECT lang, term, 1 + (1000000000 * (sum(n)::HUGEINT + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM p GROUP BY lang, term),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES["op12_importance_resampling"] = r"""
+WITH steps AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS (SELECT 'd' AS side, row_number() OVER () AS i, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+w AS (SELECT side, i, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+f AS MATERIALIZED (
+  SELECT side, i, unnest(list_concat(w,
+    CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) ELSE [] END,
+    CASE WHEN len(w) > 2 THEN list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2]) ELSE [] END)) AS f FROM w),
+h AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(f))), lambda k: ('0x' || substr(hex(encode(f)), CAST(2 * k + 1 AS INT), 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM f), steps),
+s AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM f JOIN h USING (f) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000.0::DOUBLE * ln((t::DOUBLE + 1) * ((SELECT sum(s) FROM s)::DOUBLE + 10000) / ((s::DOUBLE + 1) * ((SELECT sum(t) FROM s)::DOUBLE + 10000)))) AS BIGINT) AS gain FROM s),
+x AS (SELECT i, count(*) AS n, sum(gain) AS weight FROM f JOIN h USING (f) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY i),
+y AS (
+  SELECT w.doc_id, len(w.w) AS words, coalesce(x.n, 0) AS n_features, CAST(coalesce(x.weight, 0) AS BIGINT) AS weight,
+    ('0x' || substr(sha256('42:' || coalesce(CAST(w.doc_id AS VARCHAR), '')), 1, 8))::BIGINT AS h
+  FROM w LEFT JOIN x ON x.i = w.i WHERE side = 'd'),
+z AS (SELECT *, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((h::DOUBLE + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM y),
+r AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS k, count(*) FILTER (words >= 20) OVER () AS fit FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND k <= 5 * fit // 100 THEN k END AS rank FROM r
+"""
