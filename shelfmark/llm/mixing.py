@@ -5,15 +5,16 @@ its target, the documents whose hash lies below a threshold. Thresholds come fro
 source and hash bucket, the running sum finds the bucket in which the budget ends, and only that bucket is summed
 again, by the next bits of the hash, until it holds one hash. A document that is longer than what is left there is
 passed over and the search goes on behind it, among documents that fit, so that a long document at the threshold
-does not leave a source short. Documents are then filtered by their source's few hash ranges; nothing is sorted.
+does not leave a source short. Rows that repeat share a hash; where the budget ends among them, as many of them are taken
+as fit. Documents are then filtered by their source's few hash ranges; nothing is sorted but what differs among such rows.
 
 Buckets are partial sums, so a source with a third of all rows shuffles no more than any other. What is known of
 sources (size, weight, target, where its search stands, its ranges) are tables of one row a source that Spark holds,
 however many there are; the driver holds sums over all of them.
 
-Defined cases: a null text has no words; a null source is a source of its own, the last; rows that repeat with
-equal id and text share a hash and are taken or left together; an empty table gives an empty result; columns of
-the input that clash with the result's are replaced.
+Defined cases: a null text has no words; a null source is a source of its own, the last; of rows that repeat with
+equal id and text and differ in other columns those that come first in these columns' order are taken; an empty table
+gives an empty result; columns of the input that clash with the result's are replaced.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ LEVEL_BITS = 12
 MAX_REPEATS = 3
 #: Tables of one row a source are broadcast up to so many rows, and joined by shuffle beyond.
 BROADCAST_SOURCES = 100_000
+#: Rows that one list is unrolled to at a time, where rows repeat.
+UNROLL = 4096
 
 
 def _bounded(table: DataFrame, rows: int) -> DataFrame:
@@ -71,7 +74,8 @@ def _hash48(id_col: str, text_col: str) -> Column:
 
 
 def _find(hashed: DataFrame, sources: DataFrame, tolerance: float) -> DataFrame:
-    """_name and ranges (lo, hi, cap: hashes and largest size) whose documents fill each source's budget from below.
+    """_name, ranges (lo, hi, cap: hashes and largest size) whose documents fill each source's budget from below, and parts
+    (h, copies: of rows that share the hash so many are taken).
 
     A row a source says where its search stands: it began at `start` with documents of at most `cap` words, has come to
     the bucket of `bits` bits at `lo`, and has `left` to fill. Each turn sums the next finer buckets of all searches."""
@@ -81,37 +85,44 @@ def _find(hashed: DataFrame, sources: DataFrame, tolerance: float) -> DataFrame:
     state = write_table(state, "mix-search")
     searches = state.count()
     found = sources.select("_name", *[F.lit(None).cast("long").alias(c) for c in ("lo", "hi", "cap")]).limit(0)
+    parts = sources.select("_name", *[F.lit(None).cast("long").alias(c) for c in ("h", "copies")]).limit(0)
     while searches:
         finer = F.greatest(F.col("bits") - LEVEL_BITS, F.lit(0))
         inside = (
             hashed.join(_bounded(state, searches), F.col("_source").eqNullSafe(F.col("_name")))
             .filter("shiftright(h, bits) = shiftright(lo, bits) and h >= start and size <= cap and size > 0")
             .groupBy("_name", "left", F.call_function("shiftright", "h", finer).alias("b"))
-            .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+            .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("size").alias("most"))
         )
         running = inside.withColumn("upto", F.expr("sum(words) over (partition by _name order by b)"))
         over = running.groupBy(F.col("_name").alias("_same")).agg(
             F.coalesce(F.max(F.expr("if(upto <= left, upto, 0)")), F.lit(0)).alias("taken"),
-            F.min(F.expr("if(upto > left, struct(b, words, lo, hi), null)")).alias("at"),
+            F.min(F.expr("if(upto > left, struct(b, words, lo, hi, most), null)")).alias("at"),
         )
         turned = (
             state.join(over, F.col("_name").eqNullSafe(F.col("_same")), "left")
             .withColumns({"rest": F.col("left") - F.coalesce("taken", F.lit(0)), "one": F.expr("at is not null and at.lo = at.hi"), "finer": finer})
+            .withColumn("copies", F.expr("if(one, rest div at.most, 0)"))
+            .withColumn("rest", F.expr("rest - if(one, copies * at.most, 0)"))
             .selectExpr(
-                "_name", "budget", "start", "cap", "rest", "one", "finer", "at.b as b", "at.lo as first",
+                "_name", "budget", "start", "cap", "rest", "one", "finer", "copies", "at.b as b", "at.lo as first",
                 "case when at is null then shiftleft(shiftright(lo, bits) + 1, bits) when one then at.lo end as stop",
                 f"at is null or one and rest <= {tolerance!r} * budget as done",
             )
         )
         turned = write_table(turned, "mix-search")
         found = found.unionByName(turned.filter("start < stop").selectExpr("_name", "start as lo", "stop as hi", "cap"))
+        parts = parts.unionByName(turned.filter("copies > 0").selectExpr("_name", "first as h", "copies"))
         # A document that does not fit is passed over and the search goes on behind it, among those that do.
         state = turned.filter("not done").selectExpr(
             "_name", "budget", "if(one, first + 1, start) as start", "if(one, rest, cap) as cap",
             "if(one, first + 1, shiftleft(b, finer)) as lo", f"if(one, {HASH_BITS}, finer) as bits", "rest as left",
         )
         searches = state.count()
-    return found.groupBy("_name").agg(F.collect_list(F.struct("lo", "hi", "cap")).alias("ranges"))
+    ranges = found.groupBy("_name").agg(F.collect_list(F.struct("lo", "hi", "cap")).alias("ranges"))
+    some = parts.groupBy(F.col("_name").alias("_same")).agg(F.collect_list(F.struct("h", "copies")).alias("parts"))
+    both = ranges.join(some, F.col("_name").eqNullSafe(F.col("_same")), "full")
+    return both.select(F.when(F.col("ranges").isNull(), F.col("_same")).otherwise(F.col("_name")).alias("_name"), "ranges", "parts")
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -129,7 +140,7 @@ def plan(
     hashed: DataFrame, weights: tuple[float, ...] = (1, 2, 3), total: float | None = None, tolerance: float = 0.0005, cap: float = MAX_REPEATS
 ) -> tuple[DataFrame, int]:
     """One row a source: _name, source_size, target, whole (repeats of every document), ranges (of hashes taken once
-    more); and their number. hashed has _source, size and h, and is read once for each level of a search, so it should
+    more), parts (hashes of which some rows are taken once more); and their number. hashed has _source, size and h, and is read once for each level of a search, so it should
     be a written table."""
     sizes = hashed.groupBy("_source").agg(F.sum("size").alias("source_size"))
     sources = write_table(weighed(sizes, weights), "mix-sources")
@@ -142,15 +153,35 @@ def plan(
     found = _find(hashed, goals, tolerance)
     planned = goals.join(found.withColumnRenamed("_name", "_same"), F.col("_name").eqNullSafe(F.col("_same")), "left")
     none = F.array().cast("array<struct<lo: bigint, hi: bigint, cap: bigint>>")
-    planned = write_table(planned.select("_name", "source_size", "target", "whole", F.coalesce("ranges", none).alias("ranges")), "mix-plan")
+    no_parts = F.array().cast("array<struct<h: bigint, copies: bigint>>")
+    planned = write_table(planned.select("_name", "source_size", "target", "whole", F.coalesce("ranges", none).alias("ranges"), F.coalesce("parts", no_parts).alias("parts")), "mix-plan")
     return planned, planned.count()
 
 
+def _some(rows: DataFrame) -> DataFrame:
+    """Of rows that share a source and a hash the first _copies in the order of their columns get _more 1, the others 0.
+    Equal rows are counted, so the window holds only what differs."""
+    names = [c for c in rows.columns if c != "_copies"]
+    each = rows.groupBy(*names, "_copies").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_name", "hash").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumn("_left", F.col("_copies") - (upto - F.col("_n")))
+    runs = each.withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {UNROLL}"))))
+    places = F.sequence(F.col("_run") * UNROLL, F.least((F.col("_run") + 1) * UNROLL, F.col("_n")) - 1)
+    return runs.withColumn("_place", F.explode(places)).select(*names, (F.col("_place") < F.col("_left")).cast("int").alias("_more"))
+
+
 def apply(measured: DataFrame, planned: DataFrame, sources: int) -> DataFrame:
     """Adds source_size, target and taken (words, repeats counted) to documents with _source, size and hash."""
     joined = measured.join(_bounded(planned, sources), F.col("_source").eqNullSafe(F.col("_name")))
     chosen = F.exists("ranges", lambda r: (F.col("hash") >= r["lo"]) & (F.col("hash") < r["hi"]) & (F.col("size") <= r["cap"]))
-    return joined.withColumn("taken", F.col("size") * (F.col("whole") + chosen.cast("int"))).drop("_name", "_source", "ranges", "whole")
+    copies = F.get(F.filter("parts", lambda p: p["h"] == F.col("hash")), F.lit(0))["copies"]
+    told = joined.withColumns({"_more": chosen.cast("int"), "_copies": copies})
+    kept = [c for c in told.columns if c not in ("ranges", "parts", "_copies", "_more")]
+    out = told.filter("_copies is null").select(*kept, "_more")
+    if not planned.filter("size(parts) > 0").isEmpty():
+        # A hash at which a budget ended: it is in no range, as its rows were passed over.
+        out = out.unionByName(_some(told.filter("_copies is not null").select(*kept, "_copies")))
+    return out.withColumn("taken", F.col("size") * (F.col("whole") + F.col("_more"))).drop("_name", "_source", "_more", "whole")
 
 
 def mix(

@@ -84,6 +84,33 @@ def test_the_largest_hashes_that_fit_are_taken_by_threshold(spark):
         assert extra == want
 
 
+def test_repeated_rows_come_near_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "UNROLL", 7)
+    text = "w " * 100
+    rows = [(0, text, "a", "x")] * 25 + [(0, text, "a", "y")] * 25 + [(1 + i, text, "a", "x") for i in range(10)] + [(100 + i, "v " * 10, "b", None) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, other string").repartition(5)
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    goal = {s: w for s, w in targets([("a", 6000), ("b", 3000)]).items()}
+    for s in goal:
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - goal[s]) <= 100, s
+    assert all(r["taken"] <= 3 * r["size"] for r in got)
+    whole = mixing.mix(df, texts=True).collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in whole) == sorted((r["doc_id"], r["taken"]) for r in got)
+    again = mixing.mix(df.repartition(3), texts=True).collect()
+    assert sorted(map(str, again)) == sorted(map(str, whole))
+    # Of equal rows that differ in other columns the first are taken.
+    some = {o: sorted(r["taken"] for r in whole if r["doc_id"] == 0 and r["other"] == o) for o in ("x", "y")}
+    assert max(some["y"]) <= min(some["x"])
+
+
+def test_one_row_repeated_is_a_whole_source(spark):
+    rows = [(0, "w w w", "a")] * 1000 + [(i, "v", "b") for i in range(1, 3000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    goal = targets([("a", 3000), ("b", 2999)])
+    assert abs(sum(r["taken"] for r in got if r["source"] == "a") - goal["a"]) <= 6
+
+
 def test_edges(spark):
     got = mixing.mix(edge_docs(spark, {"size": "x", "taken": 1})).collect()
     assert len(got) == 12 and all(r["taken"] <= 3 * r["size"] for r in got)
