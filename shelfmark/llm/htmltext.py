@@ -62,14 +62,18 @@ ALWAYS = frozenset(("all", "screen", "only all", "only screen", "not print"))
 #: Open elements at a time; deeper ones become siblings, as in browsers, so that looking for an open tag stays short.
 MAX_DEPTH = 512
 
-_TAG = re.compile(
+_REST = (
     r"<!--(?:>|->|(?P<comment>.*?)(?:-->|--!>|\Z))"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"%s"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)"
-    r"|<[a-zA-Z/][^>]*+\Z",
-    re.S,
+    r"|<[a-zA-Z/][^>]*+\Z"
 )
+#: A quote opens a value only behind an equals sign, as browsers read it; elsewhere it is a letter like others.
+_QUOTED = r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?>[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
+_TAG = re.compile(_REST % _QUOTED, re.S)
+#: Once a tag's values took in all the rest of a page, no later one looks for the end of its quotes again.
+_PLAIN_TAG = re.compile(_REST % "", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _CSS = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]|[^{};\"']++", re.S)
@@ -189,22 +193,25 @@ class Builder:
             self.open.pop()
 
     def build(self, page: str) -> Node:
-        at, n = 0, len(page)
+        at, n, pattern = 0, len(page), _TAG
         while at < n:
-            m = _TAG.search(page, at)
+            m = pattern.search(page, at)
             if m is None:
                 self.text(page[at:])
                 break
             self.text(page[at : m.start()])
             at = m.end()
-            name = m["name"] or m["name2"]
+            found = m.groupdict()
+            if found["name2"]:
+                pattern = _PLAIN_TAG
+            name = found["name2"] or found.get("name")
             if not name:
                 continue
             name = name.lower()
-            if m["end"] or m["end2"]:
+            if found["end2"] or found.get("end"):
                 self.end(name)
                 continue
-            attrs = (m["attrs"] if m["name"] else m["attrs2"]) or ""
+            attrs = (found["attrs2"] if found["name2"] else found["attrs"]) or ""
             self.start(name, attrs)
             if name in RAW:
                 close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
@@ -403,19 +410,25 @@ class Table:
     def lines(self) -> list[str]:
         """Cells padded to their columns' widths; a cell over several columns takes their widths together."""
         placed = self.placed()
-        widths = [0] * max((c + n for row in placed for c, n, _ in row), default=0)
+        # Columns at which no cell begins or ends lie in one segment with their neighbours, so a wide span costs no more
+        # than another cell. A segment of k columns is as wide as they are, with the blanks between.
+        cuts = sorted({x for row in placed for c, n, _ in row for x in (c, c + n)} | {0})
+        place = {x: i for i, x in enumerate(cuts)}
+        widths = [0] * (len(cuts) - 1)
         for row in placed:
             for column, columns, cell in row:
                 if columns == 1:
-                    widths[column] = max([widths[column], *(min(PAD_WIDTH, _width(x)) for x in cell)])
+                    widths[place[column]] = max([widths[place[column]], *(min(PAD_WIDTH, _width(x)) for x in cell)])
         for row in placed:
             for column, columns, cell in row:
                 if columns > 1:
-                    have = sum(widths[column : column + columns]) + 2 * (columns - 1)
-                    widths[column + columns - 1] += max(0, min(PAD_WIDTH, max(map(_width, cell), default=0)) - have)
-        begin = [0]
-        for w in widths:
-            begin.append(begin[-1] + w + 2)
+                    first, end = place[column], place[column + columns]
+                    have = sum(widths[first:end]) + 2 * (columns - 1)
+                    widths[end - 1] += max(0, min(PAD_WIDTH, max(map(_width, cell), default=0)) - have)
+        begin, total = {0: 0}, 0
+        for i, w in enumerate(widths):
+            total += w + 2 * (cuts[i + 1] - cuts[i])
+            begin[cuts[i + 1]] = total
         out = list(self.caption)
         for row in placed:
             for k in range(max((len(c) for _, _, c in row), default=0)):

@@ -289,10 +289,32 @@ HOSTILE = {
     "long cell": "<table><tr><td>" + "y" * (MB // 2) + "<td>z" + "<tr><td>a<td>b" * (MB // 28) + "</table>",
     "row spans": "<table>" + "<tr><td rowspan=999>a" * (MB // 21) + "</table>",
     "column spans": "<table>" + "<tr><td colspan=1000>a<td>b" * (MB // 27) + "</table>",
+    "quoted ends": '<a ">"' * (MB // 6),
+    "valued ends": '<a b=">"' * (MB // 8),
+    "open values": "<a b='x>" * (MB // 8) + '"',
+    "wide cells": "<table><tr>" + "<td colspan=1000>" * (MB // 17),
+    "wide rows": "<table>" + "<tr><td colspan=1000>x<td>y" * (MB // 27),
     "text in tables": "<div>" + "<p>x" * 50_000 + "<table>" + "t<tr>" * 100_000 + "</table></div>",
 }
 
 
+def test_wide_cells_take_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    render(HOSTILE["wide cells"])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 300 * MB
+
+
+def test_quotes_count_behind_an_equals_sign():
+    assert render('<p title="a>b">x</p>').split() == ["x"]
+    assert render("<p title = 'a>b'>x</p>").split() == ["x"]
+    assert render('<p "a>b').split() == ["b"]
+    assert render('<p a="x>y<p b="z>w">v</p>').split() == ['w">v']
+
+
 @pytest.mark.parametrize("kind", sorted(HOSTILE))
 def test_hostile_pages_of_a_megabyte(kind):
     began = time.process_time()
