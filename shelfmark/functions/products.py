@@ -49,6 +49,75 @@ def classify(text: Column, classes: tuple[tuple[str, str], ...] = CLASSES) -> Co
     return chain.otherwise("other")
 
 
+#: Words of hemp and cannabis products.
+HEMP_WORDS = (
+    "hemp", "cbd", "thc", "thca", r"delta[\s-]?(?:8|9|10)", "d8", "d9", "hhc", "cbn", "cbg", "cbc", "cannabis", "cannabinoid",
+    "marijuana", "edible", r"full[\s-]?spectrum",
+)
+#: How products without alcohol are named; a share of nutrition (0 % sugar) is none.
+NON_ALCOHOLIC_WORDS = (
+    r"non[\s-]?alcoholic", r"alcohol[\s-]?free", r"de[\s-]?alcoholi[sz]ed", r"zero[\s-]?proof", r"non[\s-]?alc",
+    r"N\.?A\.?\s+beer", r"N\.?A\.?\s+(?:i\.?)?p\.?a",
+)
+NON_ALCOHOLIC_FIGURES = (r"\b0(?:\.\d)?\s*%(?!\s*(?:sugar|carb|fat|sodium|juice|added))", r"\b0\.0\b")
+#: Brands and lines without alcohol whose names do not say so.
+NON_ALCOHOLIC_BRANDS = (
+    "athletic", r"heineken\s*0\.?0?", "budweiser zero", "corona (?:cero|sunbrew)", r"guinness\s*0", "lagunitas ipna",
+    "best day brewing", "partake", "ghia", "seedlip", "ritual zero", "lyre'?s", "monday (?:gin|zero)", "gruvi", "surely",
+    r"st\.?\s*agrestis", "hop wtr", "for bitter for worse", "three spirit", "sipsmith freeglider",
+)
+#: Words of domestic and of imported goods.
+DOMESTIC_WORDS = (
+    r"u\.?s\.?a?", "united states", "america", "domestic", "california", "kentucky", "tennessee", "oregon", "washington",
+    "new york", "texas", "napa", "sonoma", "willamette", "bourbon",
+)
+IMPORT_WORDS = (
+    "france", "italy", "spain", "scotland", "ireland", "mexico", "germany", "japan", "canada", "chile", "argentina", "australia",
+    "portugal", "import(?:ed)?",
+)
+#: Containers by the words that tell them, the first counts; else it is a bottle.
+CONTAINERS = (("can", r"\bcans?\b|\bsltz\b|seltzer"), ("keg", r"\bkeg\b"), ("box", r"\bbox\b|bag.?in.?box|\bbib\b"), ("pouch", r"\bpouch\b"), ("pet", r"\bpet\b|plastic"))
+#: The largest volume in millilitres of each tier; what is larger is of the last.
+VOLUME_TIERS = (("single-serve", 355.0), ("standard", 1000.0), ("large", 1499.999999))
+LARGEST_TIER = "magnum+"
+
+
+def _any_word(text: Column, words: tuple[str, ...], *figures: str) -> Column:
+    return F.coalesce(text.rlike("(?i)" + "|".join([rf"\b(?:{'|'.join(words)})\b", *figures])), F.lit(False))
+
+
+def is_hemp(*texts: Column) -> Column:
+    return _any_word(F.concat_ws(" ", *texts), HEMP_WORDS)
+
+
+def is_non_alcoholic(*texts: Column) -> Column:
+    """By name, category and brand; a shop's category is the surest sign."""
+    joined = F.concat_ws(" ", *texts)
+    return _any_word(joined, NON_ALCOHOLIC_WORDS, *NON_ALCOHOLIC_FIGURES) | _any_word(joined, NON_ALCOHOLIC_BRANDS)
+
+
+def origin_class(*texts: Column) -> Column:
+    """domestic or import by what origin and name say; null where they say nothing."""
+    joined = F.concat_ws(" ", *texts)
+    return F.when(_any_word(joined, DOMESTIC_WORDS), "domestic").when(_any_word(joined, IMPORT_WORDS), "import")
+
+
+def volume_tier(ml: Column) -> Column:
+    tier = F.when(ml.isNull(), None)
+    for name, most in VOLUME_TIERS:
+        tier = tier.when(ml <= most, name)
+    return tier.otherwise(LARGEST_TIER)
+
+
+def container(name: Column, told: Column | None = None) -> Column:
+    """What is told of the container, else what the name says, else a bottle."""
+    n, kind = F.lower(F.coalesce(name, F.lit(""))), None
+    for what, pattern in CONTAINERS:
+        kind = F.when(n.rlike(pattern), what) if kind is None else kind.when(n.rlike(pattern), what)
+    said = kind.otherwise("bottle")
+    return said if told is None else F.coalesce(F.nullif(F.lower(F.trim(told.cast("string"))), F.lit("")), said)
+
+
 def unit_price(price: Column, ml: Column, pack: Column | None = None, per: float = 750.0) -> Column:
     """Price of 750 ml; null without a price or a size."""
     volume = ml * (F.lit(1) if pack is None else pack)
@@ -96,14 +165,36 @@ def uuid_of_token(token: Column) -> Column:
     return F.when(is_token, dashed).otherwise(F.lower(token))
 
 
+#: Number words that stand for figures in product names.
+SPOKEN_NUMBERS = {
+    "eight": "8", "ten": "10", "twelve": "12", "fifteen": "15", "eighteen": "18", "twenty": "20", "twentyone": "21",
+    "twentyfive": "25", "thirty": "30", "ocho": "8", "diez": "10", "doce": "12",
+}
+#: Words that say nothing of which product is meant.
+FILLER_WORDS = ("the", "a", "an", "of", "and", "by", "brand", "wine", "spirits", "co", "company", "inc", "ltd")
+#: Letters that sound alike, each class under its first.
+SOUNDS = ("aeiou", "kqc", "szx", "td", "jg", "vb")
+
+
+def spoken(text: Column) -> Column:
+    """A name as it is compared: lower case, letters and figures only, number words as figures, without filler words; an
+    unknown name is empty."""
+    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "[^a-z0-9]+", " ")), " ")
+    figures = F.create_map(*[F.lit(x) for pair in SPOKEN_NUMBERS.items() for x in pair])
+    told = F.transform(words, lambda w: F.coalesce(F.try_element_at(figures, w), w))
+    return F.array_join(F.filter(told, lambda w: ~w.isin(*FILLER_WORDS) & (w != "")), " ")
+
+
 def phonetic(text: Column) -> Column:
-    """A key of how words sound: number words are figures, like-sounding letters are one, vowels inside go."""
-    t = F.lower(text)
-    for word, figure in zip("zero one two three four five six seven eight nine ten".split(), range(11)):
-        t = F.regexp_replace(t, rf"\b{word}\b", str(figure))
-    for pattern, to in (("[^a-z0-9 ]", ""), ("ph", "f"), ("ck|q|c(?=[aouklrt])", "k"), ("c", "s"), ("z", "s"), ("gh", "g"), ("wh", "w"), ("y", "i"), ("([a-z])\\1+", "$1"), ("(?<=[a-z0-9])[aeiou]+", "")):
-        t = F.regexp_replace(t, pattern, to)
-    return F.trim(F.regexp_replace(t, " +", " "))
+    """How a name's words sound: alike letters are one and no letter is doubled, so that `rittenhouse` meets `ridenhouse`
+    and `chivas` meets `chibas`. Figures are identity and stay as they are."""
+    alike = "".join(c[1:] for c in SOUNDS), "".join(c[0] * (len(c) - 1) for c in SOUNDS)
+
+    def sound(word: Column) -> Column:
+        folded = F.translate(F.replace(word, F.lit("ph"), F.lit("f")), *alike)
+        return F.when(word.rlike("^[0-9]+$"), word).otherwise(F.regexp_replace(folded, r"(.)\1+", "$1"))
+
+    return F.array_join(F.transform(F.split(spoken(text), " "), sound), " ")
 
 
 def split_of(key: Column, parts: int = 20) -> Column:

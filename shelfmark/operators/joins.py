@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import functools
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -38,13 +36,23 @@ def asof_band(left: DataFrame, rates: DataFrame, by: list[str], on: str, effecti
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """The batch replaces rows of its keys; nulls in keys are equal."""
-    match = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in key]
-    keys = batch.select(*match).distinct()
-    cond = F.lit(True)
-    for k in key:
-        cond = cond & (F.coalesce(existing[k].cast("string"), F.lit("")) == keys[f"_{k}"])
-    return existing.join(keys, cond, "left_anti").unionByName(batch, allowMissingColumns=True)
+    """The batch replaces rows of its keys. A null in a key equals a null and nothing else, so that a row with an empty
+    key stays when a row without one comes in. Rows of the batch that share a key all come in, as in a plain append:
+    `last_of_key` leaves one."""
+    keys = batch.select(*[F.col(k).alias(f"_{k}") for k in key]).distinct()
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return existing.join(keys, same, "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
+def last_of_key(batch: DataFrame, key: list[str], *order: Column) -> DataFrame:
+    """One row of each key: that which comes last in the order, and of equal ones the greatest by its other columns. The
+    aggregate keeps one row a key in each task before it shuffles, so a key that repeats often moves no more than another."""
+    rest = [c for c in batch.columns if c not in key]
+    # Maps have no order; their text has.
+    ordered = [F.to_json(c).alias(c) if batch.schema[c].dataType.typeName() == "map" else F.col(c) for c in rest]
+    rank = F.struct(*[o.alias(f"_o{k}") for k, o in enumerate(order)], *ordered, F.lit(0).alias("_"))
+    kept = batch.groupBy(*key).agg(F.max_by(F.struct(*rest, F.lit(0).alias("_")), rank).alias("_last"))
+    return kept.select(*[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in batch.columns])
 
 
 def probe(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
@@ -109,42 +117,58 @@ def nearest(points: DataFrame, anchors: DataFrame, distance: Column, keys: list[
     return functools.reduce(DataFrame.unionByName, done)
 
 
-def _inside(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
-    """Even-odd rule; points on an edge count as inside."""
+def _inside(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Even-odd rule over all rings, so a hole is outside and an island in it inside; points on an edge count as inside."""
     out = np.zeros(len(x), bool)
     edge = np.zeros(len(x), bool)
-    a, b = ring, np.roll(ring, -1, 0)
-    for (x1, y1), (x2, y2) in zip(a, b):
-        cross = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
-        edge |= (cross == 0) & (x >= min(x1, x2)) & (x <= max(x1, x2)) & (y >= min(y1, y2)) & (y <= max(y1, y2))
-        if y1 != y2:
-            hit = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
-            out ^= hit
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, 0)):
+            cross = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+            edge |= (cross == 0) & (x >= min(x1, x2)) & (x <= max(x1, x2)) & (y >= min(y1, y2)) & (y <= max(y1, y2))
+            if y1 != y2:
+                hit = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+                out ^= hit
     return out | edge
 
 
+#: Points of a cell that one task holds against one polygon; more are dealt to several.
+CELL_POINTS = 100_000
+
+
 def point_in_polygon(points: DataFrame, polygons: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Each point with the lowest code of the polygons that hold it, or null. points: id, x, y; polygons: code, ring
-    (array of struct x, y). Polygons are cut into the grid cells that their boxes touch and meet points by cell."""
-    lo = lambda f, c: F.floor(f(F.transform("ring", lambda p: p[c])) / cell)
-    boxed = polygons.select(
+    """Each point with the lowest code of the polygons that hold it, or null. points: id, x, y; polygons: code and rings (an
+    array of rings, each an array of struct x, y, even-odd over all of them) or one ring. Polygons without rings hold nothing.
+
+    Polygons are cut into the grid cells that their boxes touch, and places into cells; a place that many points share is
+    looked at once. A cell's places meet its polygons in one task, as whole tables, so that a polygon is not repeated for each
+    of them, and a cell of very many places is dealt to several tasks, each with the cell's polygons."""
+    shapes = polygons.select("code", F.array("ring").alias("rings")) if "ring" in polygons.columns else polygons.select("code", "rings")
+    shapes = shapes.filter(F.exists("rings", lambda r: F.size(r) > 0))
+    every = F.flatten("rings")
+    lo = lambda f, c: F.floor(f(F.transform(every, lambda p: p[c])) / cell)
+    boxed = shapes.select(
         "code",
-        "ring",
+        "rings",
         F.explode(F.sequence(lo(F.array_min, "x"), lo(F.array_max, "x"))).alias("cx"),
         lo(F.array_min, "y").alias("y0"),
         lo(F.array_max, "y").alias("y1"),
-    ).select("code", "ring", "cx", F.explode(F.sequence("y0", "y1")).alias("cy"))
-    spots = points.select("id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = np.zeros(len(frame), bool)
-            for _, part in frame.groupby("code", sort=False):
-                ring = np.array([(p["x"], p["y"]) for p in part["ring"].iloc[0]])
-                where = frame.index.get_indexer(part.index)
-                keep[where] = _inside(part["x"].to_numpy(), part["y"].to_numpy(), ring)
-            yield frame.loc[keep, ["id", "code"]]
-
-    kind = dict(points.dtypes)["id"]
-    held = spots.join(boxed, ["cx", "cy"]).select("id", "x", "y", "code", "ring").mapInPandas(run, f"id {kind}, code string")
-    return points.join(held.groupBy("id").agg(F.min("code").alias("code")), "id", "left")
+    ).select("code", "rings", "cx", F.explode(F.sequence("y0", "y1")).alias("cy"))
+    at = lambda c: F.floor(F.col(c) / cell)
+    spots = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y").distinct().withColumns({"cx": at("x"), "cy": at("y")})
+    # Few cells hold very many places; the others have one part.
+    parts = spots.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / CELL_POINTS).cast("int").alias("parts"))
+    dealt = spots.join(parts, ["cx", "cy"]).withColumn("part", F.pmod(F.hash("x", "y"), "parts"))
+    shown = boxed.join(parts, ["cx", "cy"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def run(key: tuple, places: pd.DataFrame, shapes: pd.DataFrame) -> pd.DataFrame:
+        x, y = places["x"].to_numpy(), places["y"].to_numpy()
+        best = np.full(len(x), None, object)
+        for code, rings in shapes.sort_values("code", ascending=False)[["code", "rings"]].itertuples(index=False):
+            best[_inside(x, y, [np.array([(p["x"], p["y"]) for p in ring], float) for ring in rings if len(ring)])] = code
+        return pd.DataFrame({"x": x, "y": y, "code": best})
+
+    by = ["cx", "cy", "part"]
+    shown = shown.select(*by, "code", "rings").toDF(*by, "code", "rings")  # columns of their own
+    held = dealt.groupBy(*by).cogroup(shown.groupBy(*by)).applyInPandas(run, "x double, y double, code string").filter("code is not null")
+    kept = [c for c in points.columns if c != "code"]
+    return points.select(*kept).join(held, ["x", "y"], "left").select(*kept, "code")

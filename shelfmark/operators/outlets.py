@@ -41,14 +41,33 @@ def compare(pairs: DataFrame, fields: list[str]) -> DataFrame:
     return j.withColumn("verdict", F.when(F.col("differ") > 0, "apart").when(F.col("agree") >= max(1, len(fields) - 1), "same").otherwise("unknown"))
 
 
+#: Weights of spelling, shared words and sound; marks of a long shared word and of a name within the other.
+SCORE_WEIGHTS = (0.40, 0.25, 0.35)
+LONG_WORD, LONG_WORD_BASE, LONG_WORD_STEP, LONG_WORD_MOST = 5, 0.60, 0.03, 0.88
+WITHIN, WITHIN_OTHER_NUMBERS, NEVER_SURE = 0.90, 0.82, 0.999
+
+
 def item_score(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """0.40 of spelling, 0.25 of shared words, 0.35 of sound; different numbers veto."""
-    sound_a, sound_b = products.phonetic(F.col(a)), products.phonetic(F.col(b))
-    numbers = lambda c: F.array_sort(F.regexp_extract_all(F.col(c), F.lit("([0-9]+)"), F.lit(1)))
-    j = pairs.withColumns({"_lit": text.sequence_ratio(F.lower(a), F.lower(b)), "_tok": text.jaccard(text.tokens(F.col(a)), text.tokens(F.col(b))), "_pa": sound_a, "_pb": sound_b})
-    j = j.withColumn("_phon", text.sequence_ratio("_pa", "_pb"))
-    score = F.when(numbers(a) != numbers(b), 0.0).otherwise(F.round(0.40 * F.col("_lit") + 0.25 * F.col("_tok") + 0.35 * F.col("_phon"), 4))
-    return j.withColumn("score", score).drop("_lit", "_tok", "_pa", "_pb", "_phon")
+    """How likely two names mean one product, 0 to 1: spelling, shared words and sound are weighed. Names with figures
+    of which none is shared never meet; a long word in both, or a name whose words or letters are all in the second, lifts
+    the score. The comparison is of the first name (a query) against the second (what is known); an empty name scores 0."""
+    names = {"_q": products.spoken(F.col(a)), "_c": products.spoken(F.col(b))}
+    j = pairs.withColumns(names).withColumns({f"{n}w": F.array_distinct(F.filter(F.split(n, " "), lambda w: w != "")) for n in names})
+    figures = lambda n: F.filter(F.col(f"{n}w"), lambda w: w.rlike("^[0-9]+$"))
+    j = j.withColumns({"_qn": figures("_q"), "_cn": figures("_c"), "_both": F.array_intersect("_qw", "_cw")})
+    apart = (F.size("_qn") > 0) & (F.size("_cn") > 0) & ~F.arrays_overlap("_qn", "_cn")
+    plain = F.when((F.col("_q") == "") | (F.col("_c") == "") | apart, 0.0).when(F.col("_q") == F.col("_c"), 1.0)
+    # The ratios run in Python, so what is decided without them does not go there.
+    todo = plain.isNull()
+    spelling = text.sequence_ratio(F.when(todo, F.col("_q")), F.when(todo, F.col("_c")))
+    sound = text.sequence_ratio(F.when(todo, products.phonetic(F.col(a))), F.when(todo, products.phonetic(F.col(b))))
+    longest = F.array_max(F.transform(F.filter("_both", lambda w: ~w.rlike("^[0-9]+$")), F.length))
+    lifted = F.when(longest >= LONG_WORD, F.least(LONG_WORD_BASE + LONG_WORD_STEP * (longest - (LONG_WORD - 1)), F.lit(LONG_WORD_MOST)))
+    inside = F.contains("_c", "_q") | (F.size("_both") == F.size("_qw"))
+    held = F.when(inside, F.when(F.size(F.array_except("_qn", "_cn")) == 0, WITHIN).otherwise(WITHIN_OTHER_NUMBERS))
+    weighed = sum(w * s for w, s in zip(SCORE_WEIGHTS, (spelling, text.jaccard(F.col("_qw"), F.col("_cw")), sound)))
+    score = F.round(F.least(F.greatest(weighed, F.coalesce(lifted, F.lit(0.0)), F.coalesce(held, F.lit(0.0))), F.lit(NEVER_SURE)), 4)
+    return j.withColumn("score", F.coalesce(plain, score)).drop(*names, "_qw", "_cw", "_qn", "_cn", "_both")
 
 
 def apply_decisions(clusters: DataFrame, decisions: DataFrame) -> DataFrame:

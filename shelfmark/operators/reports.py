@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.text import present
+from . import checks as checks_of
 from .windows import numbered
 
 
@@ -106,9 +107,14 @@ def trailing(days: DataFrame, by: list[str], day: str, value: str, length: int)
     return days.withColumns({"trailing_sum": F.round(F.sum(value).over(w), 4), "trailing_mean": F.round(F.avg(value).over(w), 6)})
 
 
+#: Decades between two clusters of one measure that tell of mixed units, and how many values it takes to say so.
+SCALE_GAP, SCALE_ROWS = 1.7, 30
+
+
 def measure_checks(rows: DataFrame, column: str, percent: bool = False) -> DataFrame:
     """check, hits, share, failed of a column that should be a measure: values of another type, negatives, percentages above
-    100, one capping or sentinel value at an end (15 %), a band of 2 % below the largest (15 %), nulls (20 %), zeros (30 %)."""
+    100, one capping or sentinel value at an end (15 %), a band of 2 % below the largest (15 %), nulls (20 %), zeros (30 %), and
+    two clusters of values some fifty times apart (5 % in the smaller), as of mixed units or a lost decimal."""
     x = F.col(column).try_cast("double")
     filled = present(column)
     r = rows.agg(F.max(x).alias("hi"), F.min(x).alias("lo"))  # one row
@@ -126,6 +132,9 @@ def measure_checks(rows: DataFrame, column: str, percent: bool = False) -> DataF
     }
     cells = [F.struct(F.lit(k).alias("check"), hits.alias("hits"), of.alias("of"), F.lit(bar).alias("bar")) for k, (hits, of, bar) in checks.items()]
     out = v.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    gap = checks_of.scale_gap(rows.select(x.alias("x")), "x")
+    apart = (F.col("gap") >= SCALE_GAP) & (F.col("n") >= SCALE_ROWS)
+    out = out.unionByName(gap.select(F.lit("scale").alias("check"), F.when(apart, F.least("below", F.col("n") - F.col("below"))).otherwise(0).alias("hits"), F.col("n").alias("of"), F.lit(0.05).alias("bar")))
     share = F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("of").cast("double")), F.lit(0.0))
     return out.select("check", "hits", F.round(share, 4).alias("share"), ((F.col("hits") > 0) & (share >= F.col("bar"))).alias("failed"))
 

@@ -90,15 +90,24 @@ class Console:
         return df, bound
 
     def run(self, sql: str, limit: int | None = None, all_parts: bool = False) -> Result:
-        """At most cap rows, and whether there were more. A statement over time is interrupted."""
+        """At most cap rows, and whether there were more. Time runs from before tables are bound: what is over time is
+        interrupted, and a statement whose binding took all of it is not begun."""
         spark = self.catalog.spark
-        df, bound = self.plan(sql, all_parts)
         cap = min(limit or self.cap, self.cap)
         tag = f"console-{uuid.uuid4().hex}"
-        timer = threading.Timer(self.timeout, lambda: spark.interruptTag(tag))
+        over = threading.Event()
+
+        def stop() -> None:
+            over.set()
+            spark.interruptTag(tag)
+
+        timer = threading.Timer(self.timeout, stop)
         spark.addTag(tag)
         timer.start()
         try:
+            df, bound = self.plan(sql, all_parts)
+            if over.is_set():
+                raise TimeoutError(f"binding took {self.timeout} s")
             rows = [tuple(r) for r in df.limit(cap + 1).collect()]
         finally:
             timer.cancel()

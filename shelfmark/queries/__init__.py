@@ -34,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def everything() -> Registry:
-    from . import book, curation, dq, entities, joins, landing, masters, matching, observations, offers, outlets, reports, storage, text, windows
+    from . import book, checks, curation, dq, entities, identity, joins, landing, masters, matching, observations, offers, outlets, reports, storage, text, windows
 
     out = Registry()
-    for module in (curation, observations, book, joins, windows, masters, entities, matching, outlets, offers, landing, dq, text, reports, storage):
+    for module in (curation, checks, identity, observations, book, joins, windows, masters, entities, matching, outlets, offers, landing, dq, text, reports, storage):
         out.queries |= module.register.queries
         out.sql |= module.register.sql
     return out

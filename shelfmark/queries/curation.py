@@ -67,8 +67,8 @@ def outlet_keys(spark, sf_dir):
     return c.select("c_custkey", keys.address_key(street, F.lit("Orlando"), F.lit("FL")).alias("address_key"), keys.phone_key(phone).alias("phone_key"), keys.name_key(name).alias("name_key"))
 
 
-@register("""WITH r AS (SELECT l_suppkey AS code, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem)
-SELECT a.code, a.l_orderkey AS a_l_orderkey, a.l_linenumber AS a_l_linenumber, b.l_orderkey AS b_l_orderkey, b.l_linenumber AS b_l_linenumber FROM r a JOIN r b ON a.code = b.code AND a.rn < b.rn AND b.rn <= a.rn + 3""")
+@register("""WITH r AS (SELECT l_suppkey AS code, l_orderkey, l_linenumber, [lead({'o': l_orderkey, 'l': l_linenumber}, 1) OVER w, lead({'o': l_orderkey, 'l': l_linenumber}, 2) OVER w, lead({'o': l_orderkey, 'l': l_linenumber}, 3) OVER w] AS n FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber)),
+u AS (SELECT code, l_orderkey, l_linenumber, unnest(n) AS b FROM r) SELECT code, l_orderkey AS a_l_orderkey, l_linenumber AS a_l_linenumber, b.o AS b_l_orderkey, b.l AS b_l_linenumber FROM u WHERE b IS NOT NULL""")
 def capped_pairs(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "code")
     return ops.capped_pairs(rows, "code", 3, ["l_orderkey", "l_linenumber"], F.col("l_orderkey"), F.col("l_linenumber"))

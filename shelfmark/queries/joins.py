@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -124,3 +126,28 @@ def point_in_polygon(spark, sf_dir):
     corner = lambda dx, dy: F.struct((F.col("a_lng") + dx).alias("x"), (F.col("a_lat") + dy).alias("y"))
     squares = anchors.select(F.col("place").alias("code"), F.array(corner(-2, -1.5), corner(2, -1.5), corner(2, 1.5), corner(-2, 1.5)).alias("ring"))
     return ops.point_in_polygon(pts.select("id", F.col("lng").alias("x"), F.col("lat").alias("y")), squares)
+
+
+@register("""WITH c AS (SELECT c_custkey AS id, (c_custkey * 7919 % 50000) / 1000.0::DOUBLE + 0.00037 AS x, (c_custkey * 104729 % 50000) / 1000.0::DOUBLE + 0.00059 AS y FROM customer),
+n AS (SELECT n_nationkey, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_nationkey % 5 * 10.0 AS x0, n_nationkey // 5 * 10.0 AS y0 FROM nation),
+j AS (SELECT c.id, n.code FROM c JOIN n ON x > x0 AND x < x0 + 8 AND y > y0 AND y < y0 + 8 AND (NOT (x > x0 + 2 AND x < x0 + 6 AND y > y0 + 2 AND y < y0 + 6) OR (x > x0 + 3 AND x < x0 + 5 AND y > y0 + 3 AND y < y0 + 5))
+  OR x > x0 + 8.5 AND x < x0 + 9.5 AND y > y0 + 1 AND y < y0 + 9)
+SELECT c.id, min(j.code) AS code FROM c LEFT JOIN j USING (id) GROUP BY c.id""")
+def polygon_regions(spark, sf_dir):
+    """Regions with a hole, an island in it and a second part, written as polygon files and read back by ranges of records."""
+    from ..sources import shapes
+    from ..sources.working import shared_dir
+
+    def box(x0: float, y0: float, x1: float, y1: float):
+        at = lambda x, y: F.struct((F.col("x0") + x).alias("x"), (F.col("y0") + y).alias("y"))
+        return F.array(at(x0, y0), at(x0, y1), at(x1, y1), at(x1, y0), at(x0, y0))
+
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    n = n.select(F.concat(F.lit("N"), F.lpad(k.cast("string"), 2, "0")).alias("code"), (k % 5 * 10.0).alias("x0"), (F.floor(k / 5) * 10.0).alias("y0"))
+    regions = n.select("code", F.array(box(0.0, 0.0, 8.0, 8.0), box(2.0, 2.0, 6.0, 6.0), box(3.0, 3.0, 5.0, 5.0), box(8.5, 1.0, 9.5, 9.0)).alias("rings"))
+    place = f"{shared_dir(spark)}/regions-{uuid.uuid4().hex}"
+    shapes.write_polygons(regions.repartition(3, "code"), place, {"code": ("C", 8)})
+    key = F.col("c_custkey")
+    points = table(spark, sf_dir, "customer").select(key.alias("id"), ((key * 7919 % 50000) / 1000.0 + 0.00037).alias("x"), ((key * 104729 % 50000) / 1000.0 + 0.00059).alias("y"))
+    return ops.point_in_polygon(points, shapes.read_polygons(spark, place, 4), 2.0).select("id", "code")

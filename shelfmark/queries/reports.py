@@ -184,7 +184,8 @@ def trailing_quarter(spark, sf_dir):
 n AS (SELECT count(*) AS n, count(x) AS h, count(*) FILTER (t <> '') AS f, max(x) AS hi, min(x) AS lo FROM v),
 c AS (SELECT 'type' AS "check", count(*) FILTER (t <> '' AND x IS NULL) AS hits, any_value(f) AS o, 0.0 AS bar FROM v, n UNION ALL SELECT 'negative', count(*) FILTER (x < 0), any_value(h), 0 FROM v, n UNION ALL SELECT 'percent', count(*) FILTER (x > 100), any_value(h), 0 FROM v, n
 UNION ALL SELECT 'cap', count(*) FILTER (x = hi), any_value(h), 0.15 FROM v, n UNION ALL SELECT 'floor', count(*) FILTER (x = lo), any_value(h), 0.15 FROM v, n UNION ALL SELECT 'cap_band', count(*) FILTER (x >= hi - 0.02 * abs(hi) AND x < hi), any_value(h), 0.15 FROM v, n
-UNION ALL SELECT 'nulls', count(*) FILTER (t = ''), any_value(n.n), 0.2 FROM v, n UNION ALL SELECT 'zeros', count(*) FILTER (x = 0), any_value(h), 0.3 FROM v, n)
+UNION ALL SELECT 'nulls', count(*) FILTER (t = ''), any_value(n.n), 0.2 FROM v, n UNION ALL SELECT 'zeros', count(*) FILTER (x = 0), any_value(h), 0.3 FROM v, n
+UNION ALL SELECT 'scale', coalesce(max(CASE WHEN g >= 1.7 AND k >= 30 THEN least(i, k - i) ELSE 0 END), 0), max(k), 0.05 FROM (SELECT *, row_number() OVER (ORDER BY g DESC, i) AS w FROM (SELECT row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS k, lead(log10(x)) OVER (ORDER BY x) - log10(x) AS g FROM v WHERE x > 0)) WHERE w = 1)
 SELECT "check", hits, round(hits / o::DOUBLE, 4) AS share, hits > 0 AND hits / o::DOUBLE >= bar AS failed FROM c""")
 def dq_measure_checks(spark, sf_dir):
     k = F.col("c_custkey")

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from ..operators import offers
 from ..operators import quality
 from ..plans import compose, console, rules
-from ..sources import reference, uploads
+from ..sources import footers, reference, uploads
 from ..sources.catalog import Catalog, Conflict
 from ..sources.working import shared_dir
 from ..streaming import folds
@@ -368,3 +368,13 @@ def catalog_expressions(spark, sf_dir):
     layouts = {"nation": "single", "supplier": "bucketed", "region": "parts"}
     counts = [f"SELECT '{k}' AS layout, count(*) AS rows FROM ({c.read_expr(n)})" if "SELECT" in c.read_expr(n) else f"SELECT '{k}' AS layout, count(*) AS rows FROM {c.read_expr(n)}" for n, k in layouts.items()]
     return spark.sql(" UNION ALL ".join(counts))
+
+
+@register("""WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_partkey % 3 <> 0) AS a FROM lineitem)
+SELECT * FROM (VALUES ('l_orderkey', (SELECT n FROM c), 0::BIGINT, 0.0::DOUBLE), ('flag', (SELECT n FROM c), (SELECT a FROM c), (SELECT round(a / n::DOUBLE, 6) FROM c))) AS t("column", rows, nulls, null_share)""")
+def catalog_footers(spark, sf_dir):
+    """Counts and null shares of a table of many files from their footers."""
+    c = _catalog(spark)
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.col("l_returnflag")).alias("flag"))
+    c.write("lines", l.repartition(40))
+    return footers.column_profile(c.row_groups("lines")).select("column", "rows", "nulls", "null_share")

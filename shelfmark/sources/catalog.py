@@ -9,6 +9,7 @@ version the second fails, and its folders are removed.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import uuid
 
@@ -18,7 +19,9 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 
 from ..functions.keys import bucket
 from ..functions.text import present
+from ..operators.joins import last_of_key, upsert
 from ..operators.windows import fold_latest
+from . import footers
 from .files import Store
 
 TYPES = {"string": StringType(), "float64": DoubleType(), "int64": LongType(), "bool": BooleanType()}
@@ -40,6 +43,51 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[((F.col(f.name) if isinstance(f.dataType, StructType) else F.col(f.name).try_cast(f.dataType)) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
+class _Consumed:
+    """Which parts a fold has consumed: of each whole day how many parts it had and a digest of their names, and names only of
+    days that are not whole yet. What is kept grows with days, not with parts. A part that comes late into a whole day
+    opens the day, whose parts are folded again, which changes nothing but for the late one."""
+
+    def __init__(self, held: dict | list):
+        self.days: dict[str, str] = {} if isinstance(held, list) else held.get("days", {})
+        self.names = set(held if isinstance(held, list) else held.get("parts", []))
+
+    @staticmethod
+    def _day(part: str) -> str:
+        return part[:10] if len(part) > 9 and part[4] == part[7] == "-" else part
+
+    @classmethod
+    def _by_day(cls, parts: list[str]) -> dict[str, list[str]]:
+        out: dict[str, list[str]] = {}
+        for p in parts:
+            out.setdefault(cls._day(p), []).append(p)
+        return out
+
+    @staticmethod
+    def _digest(parts: list[str]) -> str:
+        return f"{len(parts)}:{hashlib.sha256(chr(10).join(sorted(parts)).encode()).hexdigest()[:32]}"
+
+    def open(self, parts: list[str]) -> list[str]:
+        todo = []
+        for day, some in self._by_day(parts).items():
+            if self.days.get(day) != self._digest(some):
+                todo += [p for p in some if p not in self.names]
+        return sorted(todo)
+
+    def after(self, parts: list[str], done: list[str]) -> dict:
+        names = self.names | set(done)
+        days, left = dict(self.days), []
+        for day, some in self._by_day(parts).items():
+            if days.get(day) == self._digest(some):
+                continue
+            days.pop(day, None)
+            if names.issuperset(some):
+                days[day] = self._digest(some)
+            else:
+                left += [p for p in some if p in names]
+        return {"days": days, "parts": sorted(left)}
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.store = spark, root.rstrip("/"), Store(spark)
@@ -84,9 +132,21 @@ class Catalog:
     def columns(self, name: str) -> list[tuple[str, str]]:
         return self.table(name).dtypes
 
+    def _folders(self, name: str) -> list[str]:
+        m = self.manifest(name)
+        return [self._path(name, f) for f in m["files"].values()] if m else [self._path(name, "_parts" if self.layout(name) == "parts" else "data")]
+
+    def row_groups(self, name: str) -> DataFrame:
+        """What the footers of the table's files tell: a row for each column of each row group."""
+        return footers.row_groups(self.spark, self._folders(name) if self.layout(name) else [])
+
     def row_count(self, name: str) -> int:
-        """0 where there is no table; a table that cannot be read raises, as unknown is not zero."""
-        return self.table(name).count() if self.layout(name) else 0
+        """0 where there is no table; a table that cannot be read raises, as unknown is not zero. Rows are counted from
+        footers; in a store that only Spark reads, by Spark."""
+        if not self.layout(name):
+            return 0
+        folders = self._folders(name)
+        return footers.row_count(self.spark, folders) if all(map(footers.reachable, folders)) else self.table(name).count()
 
     def attach(self, name: str, view: str = "t") -> DataFrame:
         df = self.table(name)
@@ -114,8 +174,7 @@ class Catalog:
 
     def read_expr(self, name: str) -> str:
         """The table as an expression that Spark SQL reads without a view: its folders, whatever the layout."""
-        m = self.manifest(name)
-        files = [self._path(name, f) for f in m["files"].values()] if m else [self._path(name, "_parts" if self.layout(name) == "parts" else "data")]
+        files = self._folders(name)
         if not files:
             raise FileNotFoundError(f"{name} is empty")
         return " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in files) if len(files) > 1 else f"parquet.`{files[0]}`"
@@ -190,10 +249,11 @@ class Catalog:
             self.store.delete(f"{place}/{old}")
 
     def _write_buckets(self, name: str, df: DataFrame, m: dict, version: int) -> dict[str, str]:
-        """One file a bucket; returns bucket -> folder."""
+        """One folder a bucket; returns bucket -> folder. A bucket is dealt to as many tasks, and has as many files, as its
+        size asks for: adaptive execution parts large ones and joins small ones to the session's advisory size."""
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
         placed = df.withColumn("_b", bucket([F.col(k) for k in m["keys"]], m["digits"]))
-        placed.repartition("_b").sortWithinPartitions("_b").write.partitionBy("_b").parquet(self._path(name, folder))
+        placed.hint("rebalance", F.col("_b")).write.partitionBy("_b").parquet(self._path(name, folder))
         return {p.removeprefix("_b="): f"{folder}/{p}" for p in self.store.names(self._path(name, folder)) if p.startswith("_b=")}
 
     def rebuild(self, name: str, df: DataFrame, allow_empty: bool = False) -> None:
@@ -219,11 +279,13 @@ class Catalog:
             raise
 
     def merge(self, name: str, batch: DataFrame, keys: list[str] | None = None) -> None:
-        """Rows of the batch replace rows of equal keys. New columns widen the schema; none is dropped or retyped."""
+        """Rows of the batch replace rows of equal keys. New columns widen the schema; none is dropped or retyped. Of rows of
+        the batch that share a key one comes in, the greatest by its other columns, so that keys stay unique; `last_of_key`
+        chooses by another order before."""
         m = self.manifest(name)
+        if keys or m:
+            batch = last_of_key(batch, m["keys"] if m else keys)
         if not m:
-            from ..operators.joins import upsert
-
             return self.write(name, upsert(self.table(name), batch, keys) if self.layout(name) else batch)
         schema = StructType.fromJson(m["schema"])
         known = {f.name for f in schema.fields}
@@ -235,8 +297,6 @@ class Catalog:
             olds = [self._path(name, m["files"][t]) for t in touched if t in m["files"]]
             rows = incoming.drop("_b")
             if olds:
-                from ..operators.joins import upsert
-
                 rows = upsert(conform(self.spark.read.schema(schema).parquet(*olds), wide), rows, m["keys"])
             files = self._write_buckets(name, rows, m, m["version"] + 1)
         finally:
@@ -270,17 +330,18 @@ class Catalog:
         name, kept with its part so that a late part never overwrites a newer value. The watermark is written last: a
         fold that ends early is done again and gives the same rows."""
         mark = self._path("_doc", f"fold-{parts_table}-{target}.json")
-        consumed = set(self.store.read_json(mark, []))
-        todo = [p for p in self.parts(parts_table) if p not in consumed][:limit]
+        known = _Consumed(self.store.read_json(mark, {}))
+        there = self.parts(parts_table)
+        todo = known.open(there)[:limit]
         if not todo:
             return []
         # A column's state is its value and the part it came from.
         parts = self.read_parts(parts_table, todo)
         stamped = parts.select(*keys, *[F.struct(F.col("part").alias("p"), F.col(c).alias("v")).alias(c) for c in columns])
-        there = lambda c: present(F.col(f"{c}.v"))
-        fresh = stamped.groupBy(*keys).agg(*[F.max(F.when(there(c), F.col(c))).alias(c) for c in columns])
+        held = lambda c: present(F.col(f"{c}.v"))
+        fresh = stamped.groupBy(*keys).agg(*[F.max(F.when(held(c), F.col(c))).alias(c) for c in columns])
         self.fold_state(target, keys, columns, fresh, digits)
-        self.store.write_json(mark, sorted(consumed | set(todo)))
+        self.store.write_json(mark, known.after(there, todo))
         return todo
 
     def fold_state(self, target: str, keys: list[str], columns: list[str], fresh: DataFrame, digits: int = 2) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -25,11 +26,18 @@ class Store:
         fs.delete(p, True)
 
     def move(self, source: str, target: str) -> None:
-        """Replaces the target. The old one is set aside until the new one stands."""
+        """Replaces the target: a file in one step where the store can, a folder by setting the old one aside until the new
+        one stands."""
         fs, s = self._at(source)
         _, t = self._at(target)
-        aside = self.spark._jvm.org.apache.hadoop.fs.Path(target + ".aside")
-        fs.delete(aside, True)
+        if fs.getFileStatus(s).isFile():
+            context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+            option = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+            options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = option
+            context.rename(s, t, options)
+            return
+        aside = self.spark._jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}.aside")
         if fs.exists(t) and not fs.rename(t, aside):
             raise OSError(f"cannot set {target} aside")
         if not fs.rename(s, t):
@@ -64,12 +72,13 @@ class Store:
         return True
 
     def put_bytes(self, path: str, data: bytes) -> None:
-        fs, _ = self._at(path)
-        _, t = self._at(path + ".next")
+        """Each writer has a name of its own for what it writes, so of two the last one stands whole."""
+        aside = f"{path}.{uuid.uuid4().hex}.next"
+        fs, t = self._at(aside)
         stream = fs.create(t, True)
         stream.write(bytearray(data))
         stream.close()
-        self.move(path + ".next", path)
+        self.move(aside, path)
 
     def get_bytes(self, path: str) -> bytes | None:
         if not self.exists(path):

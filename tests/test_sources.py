@@ -1,8 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.sources import uploads
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from shelfmark.sources import footers, uploads
 from shelfmark.sources.catalog import Catalog, Conflict, declared
+from shelfmark.sources.files import Store
 from shelfmark.sources.reference import dated_observations, labour_series
 
 FIELDS = {"sku": "string", "store": "string", "price": "float64", "stock": "int64"}
@@ -107,3 +110,55 @@ def test_reference_series(spark):
     assert [tuple(r) for r in labour_series(a).collect()] == [("S", 2020, "M01", 15.0)]
     b = spark.createDataFrame([('{"observations": [{"date": "2020-01-01", "value": "."}, {"date": "2020-02-01", "value": "2.5"}]}',)], ["payload"])
     assert [tuple(r) for r in dated_observations(b, "X").collect()] == [("X", "2020-01-01", None), ("X", "2020-02-01", 2.5)]
+
+
+def test_large_buckets_have_several_files(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/cat")
+    df = spark.range(300_000).selectExpr("id as k", "uuid() as payload")
+    c.create_bucketed("big", ["k"], df.schema, 1)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        c.merge("big", df)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    files = [f for f, _ in footers.files_of(spark, c._folders("big"))]
+    assert len(c.manifest("big")["files"]) == 16 and len(files) > 32
+    assert c.row_count("big") == c.table("big").count() == 300_000
+
+
+def test_a_merge_leaves_one_row_a_key(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/cat")
+    schema = StructType([StructField("k", StringType()), StructField("v", LongType())])
+    c.create_bucketed("t", ["k"], schema, 1)
+    c.merge("t", spark.createDataFrame([("", 1), (None, 2), ("a", 3), ("a", 9), ("a", 4)], schema))
+    assert {tuple(r) for r in c.table("t").collect()} == {("", 1), (None, 2), ("a", 9)}
+    c.merge("t", spark.createDataFrame([(None, 7)], schema))
+    assert {tuple(r) for r in c.table("t").collect()} == {("", 1), (None, 7), ("a", 9)}
+
+
+def test_the_watermark_is_bounded_by_days(spark, tmp_path):
+    c = Catalog(spark, f"file://{tmp_path}/cat")
+    schema = StructType([StructField("k", StringType()), StructField("v", StringType())])
+    mark = c._path("_doc", "fold-p-t.json")
+    for day in ("2024-01-01", "2024-01-02"):
+        for seq in range(4):
+            c.land("p", spark.createDataFrame([("a", f"{day}/{seq}"), (f"k{seq}", day)], schema), schema, day, 0, seq)
+    assert len(c.fold("p", "t", ["k"], ["v"], limit=6)) == 6
+    assert c.store.read_json(mark) == {"days": {"2024-01-01": c.store.read_json(mark)["days"]["2024-01-01"]}, "parts": ["2024-01-02_s00_b0000", "2024-01-02_s00_b0001"]}
+    assert len(c.fold("p", "t", ["k"], ["v"])) == 2 and c.fold("p", "t", ["k"], ["v"]) == []
+    assert c.store.read_json(mark)["parts"] == [] and len(c.store.read_json(mark)["days"]) == 2
+    # A late part opens its day; what is newer stays.
+    c.land("p", spark.createDataFrame([("a", "late"), ("z", "late")], schema), schema, "2024-01-01", 3, 0)
+    assert len(c.fold("p", "t", ["k"], ["v"])) == 5 and c.fold("p", "t", ["k"], ["v"]) == []
+    got = {r["k"]: r["v"] for r in c.table("t").collect()}
+    assert got["a"] == "2024-01-02/3" and got["z"] == "late" and len(got) == 6
+
+
+def test_two_writers_of_a_document_leave_one_whole(spark, tmp_path):
+    store = Store(spark)
+    place = f"file://{tmp_path}/doc.json"
+    store.write_json(place, {"a": 1})
+    store.write_json(place, {"b": 2})
+    assert store.read_json(place) == {"b": 2} and store.names(f"file://{tmp_path}") == ["doc.json"]
