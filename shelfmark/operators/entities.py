@@ -152,25 +152,3 @@ def pair_quality(rows: DataFrame, gold: str, assigned: str) -> DataFrame:
     both, g, a = (count(*k).withColumnRenamed("s", n) for k, n in (((gold, assigned), "tp"), ((gold,), "g"), ((assigned,), "a")))
     j = both.join(F.broadcast(g)).join(F.broadcast(a))
     return j.select(F.col("tp").cast("long").alias("tp"), F.round(F.try_divide("tp", "a"), 4).alias("precision"), F.round(F.try_divide("tp", "g"), 4).alias("recall"))
-
-
-def greedy_clusters(distance_at_most: float):
-    """Function for applyInPandas: order-stable greedy clustering of one item's few vectors by cosine."""
-    import numpy as np
-    import pandas as pd
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id")
-        leaders: list = []
-        out = []
-        for v in frame["v"]:
-            v = np.asarray(v, float)
-            v = v / (np.linalg.norm(v) or 1.0)
-            hit = next((i for i, leader in enumerate(leaders) if float(v @ leader) >= distance_at_most), None)
-            if hit is None:
-                leaders.append(v)
-                hit = len(leaders) - 1
-            out.append(hit)
-        return pd.DataFrame({"item": frame["item"].to_numpy(), "id": frame["id"].to_numpy(), "cluster": np.array(out, "int32")})
-
-    return run

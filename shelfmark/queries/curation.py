@@ -256,6 +256,19 @@ def signature_merge_veto(spark, sf_dir):
     return ops.signature_merge(rows, ["b", "t", "z"], "id", "code")
 
 
+@register("""WITH g AS (SELECT p_brand, p_type, p_size, min(p_partkey) AS a FROM part GROUP BY ALL), m AS (SELECT a, p_partkey AS b FROM part JOIN g USING (p_brand, p_type, p_size) WHERE p_partkey <> a),
+j AS (SELECT a, b, CASE WHEN b % 97 = 0 THEN 0 ELSE 1 END AS same FROM m WHERE b % 2 = 1), s AS (SELECT avg(same) AS precision, count(*) AS measured FROM j)
+SELECT rule, a, b, round(precision, 6) AS precision, measured FROM (SELECT 'good' AS rule, m.*, s.* FROM m, s WHERE precision >= 0.98 UNION ALL SELECT 'strict', m.*, s.* FROM m, s WHERE precision >= 0.9999)""")
+def gated_merges(spark, sf_dir):
+    """Merges land only if their measured precision is at the bar."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    least = p.groupBy("p_brand", "p_type", "p_size").agg(F.min("p_partkey").alias("a"))
+    merges = p.join(least, ["p_brand", "p_type", "p_size"]).filter("p_partkey <> a").select("a", F.col("p_partkey").alias("b"))
+    labelled = merges.filter("b % 2 = 1").withColumn("same", F.when(F.col("b") % 97 == 0, 0).otherwise(1))
+    landed = [ops.gated_merges(merges, labelled, bar).withColumn("rule", F.lit(rule)) for rule, bar in (("good", 0.98), ("strict", 0.9999))]
+    return landed[0].unionByName(landed[1]).select("rule", "a", "b", F.round("precision", 6).alias("precision"), "measured")
+
+
 @register("""WITH s AS (SELECT p_type AS stratum, p_partkey, p_size % 3 = 0 AS truth, row_number() OVER (PARTITION BY p_type ORDER BY md5(CAST(p_partkey AS VARCHAR))) AS pick FROM part)
 SELECT stratum, count(*) AS n, round(avg(CASE WHEN truth THEN 1.0 ELSE 0.0 END), 4) AS share FROM s WHERE pick <= 12 GROUP BY 1""")
 def gold_strata(spark, sf_dir):
@@ -380,12 +393,17 @@ def dictionary_extension(spark, sf_dir):
 
 _UPLOAD = {
     "UPC Code": "CASE p_partkey % 10 WHEN 0 THEN '12' WHEN 1 THEN NULL ELSE '085000019498' END", "Item Size": "p_size || ' ml'", "Retail": "'$' || p_retailprice", "Year": "CAST(1990 + p_size % 30 AS VARCHAR)",
-    "Contact": "'a' || p_partkey || '@b.com'", "Brand Name": "p_brand", "Notes": "p_type", "Qty Sold": "CAST(p_size AS VARCHAR)",
+    "Contact": "'a' || p_partkey || '@b.com'", "Brand Name": "p_brand", "Notes": "p_type", "Qty Sold": "CAST(p_size * 1000 + 500 AS VARCHAR)",
+    "ITM_DSC_2": "p_name", "Alc Pct": "CAST(12.5 + p_size % 3 AS VARCHAR)", "Buyer": "p_name", "Vend Nm": "p_brand", "Image": "p_name", "Blank": "' '", "Brand": "p_brand", "Cs Pack": "concat(1 + p_size % 24, ' pk')",
+    "Call": "concat('(212) 555-', 1000 + p_partkey % 9000)",
 }
 
 
-@register("""SELECT * FROM (VALUES ('UPC Code', 'upc', 'values', round((SELECT count(*) FILTER (p_partkey % 10 > 1) / count(*) FILTER (p_partkey % 10 <> 1)::DOUBLE FROM part), 3)), ('Item Size', 'size_raw', 'values', 1.0::DOUBLE), ('Retail', 'price', 'values', 1.0), ('Year', 'vintage', 'values', 1.0),
-('Contact', 'pii', 'values', 1.0), ('Brand Name', 'brand', 'header', 0.9), ('Notes', NULL, NULL, NULL), ('Qty Sold', 'qty', 'header', 0.7)) AS t(header, field, how, share)""")
+@register("""WITH u AS (SELECT round((SELECT count(*) FILTER (p_partkey % 10 > 1) / count(*) FILTER (p_partkey % 10 <> 1)::DOUBLE FROM part), 3) AS s)
+SELECT * FROM (VALUES ('UPC Code', 'mapped', 'upc', 'values', (SELECT s FROM u)), ('Item Size', 'mapped', 'size_raw', 'values', 1.0::DOUBLE), ('Retail', 'mapped', 'price', 'values', 1.0), ('Year', 'mapped', 'vintage', 'values', 1.0),
+('Contact', 'pii', NULL, NULL, NULL), ('Brand Name', 'mapped', 'brand', 'header', 0.9), ('Notes', 'mapped', 'description', 'header', 0.9), ('Qty Sold', 'proprietary', NULL, NULL, NULL), ('ITM_DSC_2', 'mapped', 'product_name', 'header', 0.9),
+('Alc Pct', 'mapped', 'abv', 'values', 1.0), ('Buyer', 'pii', NULL, NULL, NULL), ('Vend Nm', 'mapped', 'supplier', 'header', 0.9), ('Image', 'derivable', NULL, NULL, NULL), ('Blank', 'empty', NULL, NULL, NULL), ('Brand', 'proprietary', NULL, NULL, NULL),
+('Cs Pack', 'mapped', 'pack', 'values', 1.0), ('Call', 'pii', NULL, NULL, NULL)) AS t(header, bucket, field, how, share)""")
 def header_mapping(spark, sf_dir):
     return ops.map_headers(table(spark, sf_dir, "part").select(*[F.expr(x.replace("VARCHAR", "STRING")).alias(c) for c, x in _UPLOAD.items()]))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, keys, text, vectors
+from ..operators import assets, digests
 from ..operators import entities as ops
 from . import Registry, table
 
@@ -94,12 +95,42 @@ def md5_buckets(spark, sf_dir):
     return c.groupBy(keys.bucket([F.col("c_custkey"), F.col("c_mktsegment")]).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("least"))
 
 
-def divergence_clusters(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 60).alias("item"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
-    return e.groupBy("item").applyInPandas(ops.greedy_clusters(0.3), "item long, id long, cluster int")
+_LEADERS = """v AS (SELECT {item} AS item, vec_id AS id, {value} AS v, row_number() OVER (PARTITION BY {item} ORDER BY vec_id) AS n FROM embeddings),
+r AS (SELECT item, 1::BIGINT AS n, [v] AS leaders, [0] AS clusters FROM v WHERE n = 1
+  UNION ALL SELECT item, n, CASE WHEN fits THEN leaders ELSE list_append(leaders, v) END, list_append(clusters, CASE WHEN fits THEN list_position(near, best) - 1 ELSE len(leaders) END)
+  FROM (SELECT *, {best}(near) AS best, coalesce({best}(near) {bar}, false) AS fits FROM (SELECT v.item, v.n, v.v, leaders, clusters, list_transform(leaders, lambda l: {measure}) AS near FROM r JOIN v ON v.item = r.item AND v.n = r.n + 1))),
+f AS (SELECT item, arg_max(clusters, n) AS c FROM r GROUP BY item), a AS (SELECT v.item, v.id, CAST(f.c[v.n] AS INTEGER) AS cluster FROM v JOIN f USING (item))"""
+_BY_COSINE = _LEADERS.format(item="vec_id % 60", value="embedding::DOUBLE[]", best="list_max", bar=">= 0.3", measure="list_cosine_similarity(l, v.v)")
+_BY_BITS = _LEADERS.format(
+    item="vec_id % 40", value="list_sum([CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (64 - i)) ELSE 0 END for i in range(1, 65)])::UBIGINT", best="list_min", bar="<= 24", measure="CAST(bit_count(xor(l, v.v)) AS INTEGER)"
+)
 
 
-register()(divergence_clusters)
+@register(f"WITH RECURSIVE {_BY_COSINE} SELECT item, id, cluster FROM a")
+def divergence_clusters(spark, sf_dir):
+    """Vectors of an item, each by the nearest leader that is near enough."""
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 60).alias("item"), F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    return assets.greedy_clusters(e, "item", "id", "v", least=0.3)
+
+
+@register(f"""WITH RECURSIVE {_BY_BITS}, s AS (SELECT *, id % 7 AS source FROM a), w AS (SELECT item, count(DISTINCT source) AS total_sources, count(DISTINCT cluster) AS n_clusters FROM s GROUP BY item),
+p AS (SELECT item, cluster, count(DISTINCT source) AS n_sources FROM s GROUP BY ALL)
+SELECT item, cluster, CAST(row_number() OVER (PARTITION BY item ORDER BY n_sources DESC, CAST(cluster AS VARCHAR)) - 1 AS INTEGER) AS rank, n_clusters, n_sources, total_sources, round(n_sources / total_sources::DOUBLE, 3) AS share, CASE WHEN n_clusters = 1 THEN 'aligned' ELSE 'divergent_unconfirmed' END AS verdict
+FROM p JOIN w USING (item) WHERE total_sources >= 5 UNION ALL SELECT item, NULL, NULL, NULL, total_sources, total_sources, NULL, 'insufficient_data' FROM w WHERE total_sources < 5""")
+def asset_divergence(spark, sf_dir):
+    """Looks of an item by hashes of 64 bits, ranked by the sources that show them."""
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 40).alias("item"), F.col("vec_id").alias("id"), assets.sign_hash(F.col("embedding")).alias("h"))
+    found = assets.greedy_clusters(e, "item", "id", "h", hashes=True, most=24).withColumn("source", F.col("id") % 7)
+    return assets.divergence(found, "item", "cluster", "source", hashes=True, sources=5)
+
+
+@register("""WITH m AS (SELECT DISTINCT 'id-' || l_partkey AS k FROM lineitem WHERE l_quantity > 45) SELECT 'member' AS side, count(*) AS n FROM orders WHERE 'id-' || o_custkey IN (SELECT k FROM m) UNION ALL SELECT 'other', count(*) FROM orders WHERE 'id-' || o_custkey NOT IN (SELECT k FROM m)""")
+def digest_filter(spark, sf_dir):
+    """Membership by digests, with a filter before the shuffle, and its complement."""
+    ids = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.concat(F.lit("id-"), F.col("l_partkey").cast("string")).alias("k"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("id-"), F.col("o_custkey").cast("string")).alias("k"))
+    count = lambda side, df: df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"))
+    return count("member", digests.members(rows, ids, "k")).unionByName(count("other", digests.members(rows, ids, "k", anti=True)))
 
 
 @register("""WITH p AS (SELECT p_partkey, p_name, p_brand AS block FROM part), s AS (SELECT block FROM p GROUP BY 1 HAVING count(*) > 20), f AS (SELECT p_partkey, p_name, CASE WHEN block IN (SELECT block FROM s) THEN block || '|' || p_name[1:4] ELSE block END AS block FROM p),

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators import offers
-from ..operators import quality
+from ..operators import quality, rollups
 from ..plans import compose, console, rules
-from ..sources import footers, reference, uploads
+from ..sources import footers, places, reference, stores, uploads
 from ..sources.catalog import Catalog, Conflict
 from ..sources.working import shared_dir
 from ..streaming import folds
@@ -298,13 +298,14 @@ def reference_series(spark, sf_dir):
     return reference.labour_series(payload)
 
 
-@register("SELECT r_regionkey AS key, octet_length(encode(r_name)) AS bytes, sha256(r_name) AS digest FROM region")
+@register("SELECT p_partkey AS key, octet_length(encode(p_name || p_type)) AS bytes, sha256(p_name || p_type) AS digest FROM part")
 def blob_round_trip(spark, sf_dir):
-    c = _catalog(spark)
-    for r in table(spark, sf_dir, "region").collect():  # five rows
-        c.store.put_bytes(f"{c.root}/_blobs/{r['r_regionkey']}.bin", r["r_name"].encode())
-    blobs = spark.read.format("binaryFile").load(f"{c.root}/_blobs/*.bin")
-    return blobs.select(F.regexp_extract("path", r"(\d+)\.bin$", 1).cast("int").alias("key"), F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("digest"))
+    """A document a part, written by tasks and read back."""
+    place = f"{shared_dir(spark)}/blobs-{uuid.uuid4().hex}"
+    p = table(spark, sf_dir, "part").select(F.format_string("%d.bin", "p_partkey").alias("name"), F.concat("p_name", "p_type").cast("binary").alias("content"))
+    stores.put_all(p, place)
+    blobs = spark.read.format("binaryFile").load(f"{place}/*.bin")
+    return blobs.select(F.regexp_extract("path", r"(\d+)\.bin$", 1).cast("long").alias("key"), F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("digest"))
 
 
 @register("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS p_name, CASE WHEN p_partkey % 2 = 1 THEN p_size END AS p_size FROM part")
@@ -348,13 +349,11 @@ def presorted_catalog(spark, sf_dir):
 @register("SELECT n_name AS dataset, CAST(n_nationkey AS VARCHAR) AS key, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_nationkey + 0.5::DOUBLE END AS value FROM nation")
 def dated_series(spark, sf_dir):
     """A full stop stands for what is not published."""
-    out = None
-    for r in table(spark, sf_dir, "nation").collect():  # 25 rows, one payload each, as they come from the service
-        k = r["n_nationkey"]
-        payload = json.dumps({"observations": [{"date": str(k), "value": "." if k % 3 == 0 else str(k + 0.5)}]})
-        one = reference.dated_observations(spark.createDataFrame([(payload,)], "payload string"), r["n_name"])
-        out = one if out is None else out.unionByName(one)
-    return out.select(F.col("series").alias("dataset"), F.col("date").alias("key"), "value")
+    k = F.col("n_nationkey")
+    value = F.when(k % 3 == 0, ".").otherwise((k + 0.5).cast("string"))
+    payload = F.to_json(F.struct(F.array(F.struct(k.cast("string").alias("date"), value.alias("value"))).alias("observations")))
+    payloads = table(spark, sf_dir, "nation").select("n_name", payload.alias("payload"))
+    return reference.dated_observations(payloads, F.col("n_name")).select(F.col("series").alias("dataset"), F.col("date").alias("key"), "value")
 
 
 @register("SELECT 'single' AS layout, count(*) AS rows FROM nation UNION ALL SELECT 'bucketed', count(*) FROM supplier UNION ALL SELECT 'parts', count(*) FROM region")
@@ -378,3 +377,61 @@ def catalog_footers(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.col("l_returnflag")).alias("flag"))
     c.write("lines", l.repartition(40))
     return footers.column_profile(c.row_groups("lines")).select("column", "rows", "nulls", "null_share")
+
+
+_CENSUS = "CASE WHEN n_nationkey % 5 = 0 THEN '-888888888' WHEN n_nationkey % 7 = 0 THEN 'N' ELSE CAST(n_nationkey * 10 AS VARCHAR) END"
+
+
+@register(f"""WITH n AS (SELECT *, {_CENSUS} AS v, CASE WHEN n_nationkey % 4 = 0 THEN 'D' ELSE '' END AS f FROM nation), m AS (
+  SELECT n_regionkey AS year, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '001' AS geo, 'estab' AS metric, TRY_CAST(v AS DOUBLE) AS x, false AS flag FROM n
+  UNION ALL SELECT n_regionkey, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '001', 'emp', n_nationkey + 0.5::DOUBLE, f <> '' FROM n)
+SELECT year, geo, metric, CASE WHEN x > -1e8 THEN x END AS value, flag OR x IS NULL OR x <= -1e8 AS suppressed FROM m""")
+def census_figures(spark, sf_dir):
+    """Payloads of a census service, one a region: rows of text below a row of names, with flags and codes for what is suppressed."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    row = F.array(F.expr(_CENSUS.replace("VARCHAR", "STRING")), (k + 0.5).cast("string"), F.when(k % 4 == 0, "D").otherwise(""), F.lpad(k.cast("string"), 2, "0"), F.lit("001"))
+    header = F.array(*[F.lit(c) for c in ("ESTAB", "EMP", "EMP_F", "state", "county")])
+    payloads = n.groupBy(F.col("n_regionkey").alias("year")).agg(F.to_json(F.concat(F.array(header), F.collect_list(row))).alias("payload"))
+    return reference.census_rows(payloads, ["ESTAB", "EMP"], ["state", "county"], ["year"])
+
+
+@register("""SELECT n_regionkey AS region, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS geo, CAST(2000 + n_nationkey AS INTEGER) AS year, CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE n_nationkey * 1234.0::DOUBLE END AS value FROM nation WHERE n_regionkey <> 2 AND n_nationkey % 9 <> 1""")
+def account_figures(spark, sf_dir):
+    """Payloads of an accounts service; one region's says why it holds nothing, and counties are among the states."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    code = F.concat(F.lpad(k.cast("string"), 2, "0"), F.when(k % 9 == 1, "013").otherwise("000"))
+    value = F.when(k % 6 == 0, "(NA)").otherwise(F.format_number(k * 1234.0, 0))
+    data = F.struct(code.alias("GeoFips"), F.col("n_name").alias("GeoName"), (2000 + k).cast("string").alias("TimePeriod"), value.alias("DataValue"))
+    held = n.groupBy(F.col("n_regionkey").alias("region")).agg(F.collect_list(data).alias("Data"))
+    error = F.struct(F.lit("4").alias("APIErrorCode"), F.lit("not active").alias("APIErrorDescription"))
+    results = F.struct(F.when(F.col("region") == 2, error).alias("Error"), F.when(F.col("region") != 2, F.col("Data")).alias("Data"))
+    payloads = held.select("region", F.to_json(F.struct(F.struct(results.alias("Results")).alias("BEAAPI"))).alias("payload"))
+    return reference.account_rows(payloads, "state", ["region"])
+
+
+@register("""WITH c AS (SELECT c_custkey, 24 + (c_custkey * 7919 % 25000) / 1000.0::DOUBLE AS lat, -125 + (c_custkey * 104729 % 58000) / 1000.0::DOUBLE AS lng FROM customer) SELECT * FROM c WHERE lat BETWEEN 30 AND 33.5 AND lng BETWEEN -100 AND -92""")
+def places_in_box(spark, sf_dir):
+    """Places laid out by a curve, of which a box reads a few row groups."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(k, (24 + (k * 7919 % 25000) / 1000.0).alias("lat"), (-125 + (k * 104729 % 58000) / 1000.0).alias("lng"))
+    place = f"{shared_dir(spark)}/places-{uuid.uuid4().hex}"
+    places.write_places(c, place, files=8)
+    return places.read_places(spark, place, (30.0, -100.0, 33.5, -92.0))
+
+
+@register("""SELECT CAST(l_returnflag AS VARCHAR) AS flag, count(*) AS n, round(sum(l_quantity), 2) AS total, min(l_quantity) AS least, max(l_quantity) AS most, true AS ids_near, true AS quartiles_near FROM lineitem GROUP BY 1""")
+def kept_rollup(spark, sf_dir):
+    """A rollup kept by day and flag, merged over its days, beside the exact figures: distinct parts within 3 %, and quartiles
+    within 2 % of the ranks."""
+    c = _catalog(spark)
+    l = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("y"), F.year("l_shipdate").cast("string")).alias("day"), F.col("l_returnflag").alias("flag"), "l_partkey", F.col("l_quantity").cast("double").alias("q"))
+    rollups.keep_days(c, "kept", l, "day", ["flag"], "q", "l_partkey")
+    kept = rollups.merged(c.table("kept"), "flag")
+    ranks = [f"percentile(q, {p})" for p in (0.23, 0.27, 0.48, 0.52, 0.73, 0.77)]
+    exact = l.groupBy("flag").agg(F.count_distinct("l_partkey").alias("_ids"), *[F.expr(r).alias(f"_r{i}") for i, r in enumerate(ranks)])
+    within = [F.col(name).between(F.floor(f"_r{2 * i}"), F.ceil(f"_r{2 * i + 1}")) for i, name in enumerate(("p25", "median", "p75"))]
+    j = kept.join(exact, "flag")
+    near = F.abs(F.col("ids") - F.col("_ids")) <= 0.03 * F.col("_ids")
+    return j.select("flag", "n", F.round("total", 2).alias("total"), "least", "most", near.alias("ids_near"), (within[0] & within[1] & within[2]).alias("quartiles_near"))
