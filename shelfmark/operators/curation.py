@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from ..functions.gs1 import check_digit
 from ..functions.names import all_capitals, brand_key
 from ..functions.text import digits, present
+from .joins import ranged
 from .windows import numbered
 
 
 def capped_pairs(rows: DataFrame, code: str, most: int, columns: list[str], *order: Column) -> DataFrame:
-    """Pairs of rows that share a code, each with the next `most` rows in order. One window and no join, so a code that
-    many rows share gives rows times `most` pairs and no more."""
-    w = Window.partitionBy(code).orderBy(*order)
-    one = F.struct(*columns)
-    following = F.array_compact(F.array(*[F.lead(one, k).over(w) for k in range(1, most + 1)]))
-    pairs = rows.select(code, *columns, following.alias("_next")).select(code, *columns, F.explode("_next").alias("_b"))
+    """Pairs of rows that share a code, each with the next `most` rows in order; rows without a code make none. No join on
+    the code, so a code that many rows share gives rows times `most` pairs and no more.
+
+    Rows are dealt by ranges of code and order, so such a code lies in several tasks; each range also gets the first
+    `most` rows of the ranges behind it, which its last rows look at."""
+    named = {f"_o{k}": o for k, o in enumerate(order)}
+    table = ranged(rows.filter(F.col(code).isNotNull()).withColumns(named).select(code, *columns, *[c for c in named if c not in columns]), code, *named)
+    heads = table.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(code, *named))).filter(F.col("_n") <= most).drop("_n")
+    numbers = sorted(r[0] for r in table.select("_part").distinct().collect())  # as many as ranges
+    place = F.create_map(*[F.lit(x) for k, n in enumerate(numbers) for x in (n, k)]) if numbers else F.create_map(F.lit(0), F.lit(0))
+    behind = F.explode(F.sequence(F.lit(1), F.lit(most)))
+    ghosts = heads.withColumn("_part", place[F.col("_part")]).withColumn("_back", behind).filter("_back <= _part").withColumn("_part", F.col("_part") - F.col("_back")).drop("_back")
+    every = table.withColumns({"_part": place[F.col("_part")], "_own": F.lit(True)}).unionByName(ghosts.withColumn("_own", F.lit(False)))
+    w = Window.partitionBy("_part", code).orderBy(*named)
+    following = F.array_compact(F.array(*[F.lead(F.struct(*columns), k).over(w) for k in range(1, most + 1)]))
+    pairs = every.withColumn("_next", following).filter("_own").select(code, *columns, F.explode("_next").alias("_b"))
     return pairs.select(code, *[F.col(c).alias(f"a_{c}") for c in columns], *[F.col(f"_b.{c}").alias(f"b_{c}") for c in columns])
 
 

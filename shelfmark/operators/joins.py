@@ -13,26 +13,53 @@ from ..sources.working import write_table
 
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], on: str, effective: str, carried: list[str]) -> DataFrame:
-    """Each left row with the latest right row of the same keys that is not later: one sort, no pairs.
+    """Each left row with the latest right row of the same keys that is not later: one sort, no pairs. A left row without a
+    time has none, and neither has one with a null key.
 
-    Both sides are stacked and sorted by key and time, and the last right row is carried forward."""
+    Both sides are stacked, dealt by ranges of key and time, and the last right row is carried forward within each range.
+    A key of very many rows lies in several ranges; what a range's first key had at the end of the ranges before, one row a
+    range, is carried into it."""
+    kept = [f"r_{c}" for c in (effective, *carried)]
     empty = [F.lit(None).cast(right.schema[c].dataType).alias(f"r_{c}") for c in (effective, *carried)]
     l = left.withColumns({"_at": F.col(on), "_side": F.lit(1)}).select("*", *empty)
-    r = right.select(*by, F.col(effective).alias("_at"), F.lit(0).alias("_side"), *[F.col(c).alias(f"r_{c}") for c in (effective, *carried)])
-    w = Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = F.when(F.col("_side") == 0, F.struct(*[f"r_{c}" for c in (effective, *carried)]))
-    both = l.unionByName(r, allowMissingColumns=True).withColumn("_held", F.last(held, ignorenulls=True).over(w))
-    return both.filter("_side = 1").select(*left.columns, *[F.col(f"_held.r_{c}").alias(c) for c in (effective, *carried)])
+    r = right.dropna(subset=[*by, effective]).select(*by, F.col(effective).alias("_at"), F.lit(0).alias("_side"), *[F.col(c).alias(f"r_{c}") for c in (effective, *carried)])
+    stacked = ranged(l.unionByName(r, allowMissingColumns=True), *by, "_at", "_side")
+    w = Window.partitionBy("_part", *by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = F.when(F.col("_side") == 0, F.struct(*kept))
+    both = stacked.withColumn("_held", F.last(held, ignorenulls=True).over(w))
+    # A range's first key, and the last right row of its last key.
+    key = F.struct(*by)
+    ends = stacked.groupBy("_part").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    tails = stacked.filter("_side = 0").join(F.broadcast(ends.select("_part", "_last")), "_part").filter(key == F.col("_last"))
+    tails = tails.groupBy("_part", "_last").agg(F.max_by(F.struct(*kept), "_at").alias("_tail"))
+    before = ends.select("_part", "_first").join(tails.select(F.col("_part").alias("_q"), F.col("_last").alias("_first"), "_tail"), "_first").filter("_q < _part")
+    carry = before.groupBy("_part", "_first").agg(F.max_by("_tail", "_q").alias("_carry")).select("_part", *[F.col(f"_first.{c}").alias(c) for c in by], "_carry")  # a row a range
+    told = both.filter("_side = 1").join(F.broadcast(carry), ["_part", *by], "left").withColumn("_held", F.when(F.col("_at").isNotNull(), F.coalesce("_held", "_carry")))
+    return told.select(*left.columns, *[F.col(f"_held.r_{c}").alias(c) for c in (effective, *carried)])
+
+
+def ranged(rows: DataFrame, *by: str | Column) -> DataFrame:
+    """Rows in a written table, dealt by ranges of an order, each with the number of its range (_part), which grows with it."""
+    return write_table(rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def asof_band(left: DataFrame, rates: DataFrame, by: list[str], on: str, effective: str, value: str, low: str, high: str) -> DataFrame:
-    """As-of within a band: of the rates whose band holds the value, the latest that is not later. Rates are a
-    reference table of some thousand rows, so each left row meets the few of its keys."""
-    j = left.withColumn("_row", F.monotonically_increasing_id()).join(rates, by, "left")
-    fits = (F.col(effective) <= F.col(on)) & (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
+    """As-of within a band: of the rates whose band holds the value, the latest that is not later, and of equally late ones the
+    greatest by its other columns.
+
+    The ends of a key's bands cut its values into pieces, and a rate is repeated for each piece of its band; a row has one
+    piece, so key and piece are the keys of a plain as-of join, and no row meets all rates of its key. Rates are a reference
+    table: the pieces of one key are as many as its different ends."""
     extra = [c for c in rates.columns if c not in by]
-    best = F.max(F.when(fits, F.struct(effective, *[c for c in extra if c != effective])))
-    return j.groupBy("_row", *left.columns).agg(best.alias("_best")).select(*left.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])
+    known = rates.filter(F.col(low).isNotNull() & F.col(high).isNotNull())
+    cuts = known.groupBy(*by).agg(F.array_sort(F.array_union(F.collect_set(F.col(low).cast("double")), F.collect_set(F.col(high).cast("double")))).alias("_cuts"))
+    piece = lambda v: F.size(F.filter("_cuts", lambda c: c <= v))
+    pieces = F.explode(F.sequence(piece(F.col(low).cast("double")), piece(F.col(high).cast("double")) - 1))
+    banded = known.filter(F.col(low) < F.col(high)).join(cuts, by).withColumn("_piece", pieces)
+    best = F.max(F.struct(*[c for c in extra if c != effective], F.lit(0).alias("_")))
+    one = banded.groupBy(*by, "_piece", effective).agg(best.alias("_b")).select(*by, "_piece", effective, *[F.col(f"_b.{c}").alias(c) for c in extra if c != effective])
+    placed = left.join(cuts, by, "left").withColumn("_piece", F.when(F.col(value).isNotNull(), piece(F.col(value).cast("double"))))
+    return asof(placed.drop("_cuts"), one, [*by, "_piece"], on, effective, [c for c in extra if c != effective]).select(*left.columns, *extra)
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
@@ -85,7 +112,7 @@ def cascade(rows: DataFrame, tiers: list[tuple[str, DataFrame, list[str]]], targ
 
 
 #: Anchors up to this many are broadcast; more meet points in grid cells.
-BROADCAST_ANCHORS = 10_000
+BROADCAST_ANCHORS = 200
 #: Fewer miles than a degree of latitude has anywhere.
 DEGREE_MILES = 68.0
 

@@ -67,7 +67,7 @@ def test_a_small_box_reads_few_row_groups(spark, tmp_path):
     got = places.read_places(spark, place, box)
     want = df.filter(F.col("lat").between(35.0, 37.5) & F.col("lng").between(-100.0, -94.0))
     assert got.count() == want.count() > 1000 and "z" not in got.columns
-    assert "PushedFilters: [Or" in got._jdf.queryExecution().toString() or "GreaterThanOrEqual(z" in got._jdf.queryExecution().toString()
+    assert "(Or(" in got._jdf.queryExecution().toString()  # ranges reach the scan
 
 
 def test_clusters_join_the_nearest_leader(spark):

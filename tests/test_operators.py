@@ -131,3 +131,44 @@ def test_dictionary_terms_of_any_number_of_words(spark):
     got = {r["name"]: r["match"] for r in matching.longest_dictionary_match(rows, "name", d, "term").collect()}
     assert got == dict(zip(names, [terms[2], "Old Tom", "Old", None, None]))
     assert {r["match"] for r in matching.longest_dictionary_match(rows, "name", d.limit(0), "term").collect()} == {None}
+
+
+def test_asof_carries_over_ranges(spark):
+    """One key of many rows lies in several ranges; what it had before a range is carried in."""
+    import random
+
+    rng = random.Random(7)
+    left = [("k" if i % 10 else "j", rng.randrange(1000), i) for i in range(600)] + [("none", 5, -1), (None, 5, -2), ("k", None, -3)]
+    right = [("k", rng.randrange(0, 1000, 1), f"r{i}") for i in range(12)] + [("j", 500, "j"), ("k", None, "x"), (None, 1, "n")]
+    right = list({(k, t): (k, t, v) for k, t, v in right}.values())
+    l, r = spark.createDataFrame(left, "k string, at int, i int"), spark.createDataFrame(right, "k string, since int, v string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = {x["i"]: x["v"] for x in joins.asof(l, r, ["k"], "at", "since", ["v"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(got) == len(left)
+    for k, at, i in left:
+        known = [(t, v) for q, t, v in right if k is not None and q == k and t is not None and at is not None and t <= at]
+        assert got[i] == (max(known)[1] if known else None), (k, at, i)
+
+
+def test_capped_pairs_meet_over_ranges(spark):
+    from shelfmark.operators import curation
+
+    rows = [("hot", i) for i in range(300)] + [(f"c{i % 20}", i) for i in range(90)] + [(None, 1), (None, 2)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = curation.capped_pairs(spark.createDataFrame(rows, "code string, i int"), "code", 3, ["i"], F.col("i")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    by = {}
+    for c, i in rows:
+        if c:
+            by.setdefault(c, []).append(i)
+    want = [(c, a, b) for c, xs in by.items() for k, a in enumerate(sorted(xs)) for b in sorted(xs)[k + 1 : k + 4]]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert curation.capped_pairs(spark.createDataFrame([], "code string, i int"), "code", 3, ["i"], F.col("i")).count() == 0
