@@ -146,15 +146,24 @@ def agreement(a: Column, b: Column) -> Column:
     return F.when(~(present(a) & present(b)), 0).when(a.cast("string") == b.cast("string"), 1).otherwise(-1)
 
 
+#: Cosine and shared words from which two images show one item, and words from which they are looked at.
+SAME_COSINE, SAME_WORDS, REVIEW_WORDS = 0.9, 0.5, 0.4
+#: Weights of cosine and words in the confidence of the verdict same, review, weak and look alike; what equal
+#: sizes and the verdict same add.
+SAME_WEIGHTS, REVIEW_WEIGHTS, WEAK_WEIGHT, CONFLICT_WEIGHT = (0.55, 0.35), (0.5, 0.3), 0.4, 0.3
+SAME_SIZE, SAME_ITEM = 0.06, 0.08
+
+
 def cross_match(pairs: DataFrame, cosine: str, name_overlap: str, gates: list[str], size: str) -> DataFrame:
     """Verdict and confidence of pairs of alike images: a conflict of any gate says look_alike, whatever the images say.
     Agreements are 1, 0 or -1; size only adds to the confidence."""
     c, n = F.col(cosine), F.col(name_overlap)
     conflict = F.least(*[F.col(g) for g in gates]) < 0 if len(gates) > 1 else F.col(gates[0]) < 0
-    same = (c >= 0.9) & (n >= 0.5)
-    verdict = F.when(conflict, "look_alike").when(same, "same_item").when((c >= 0.9) | (n >= 0.4), "review").otherwise("weak")
-    sure = F.least(F.lit(1.0), c * 0.55 + n * 0.35 + F.when(F.col(size) == 1, 0.06).otherwise(0.0) + 0.08)
-    confidence = F.when(conflict, c * 0.3).when(same, sure).when((c >= 0.9) | (n >= 0.4), c * 0.5 + n * 0.3).otherwise(c * 0.4)
+    weigh = lambda w: c * w[0] + n * w[1]
+    same, review = (c >= SAME_COSINE) & (n >= SAME_WORDS), (c >= SAME_COSINE) | (n >= REVIEW_WORDS)
+    verdict = F.when(conflict, "look_alike").when(same, "same_item").when(review, "review").otherwise("weak")
+    sure = F.least(F.lit(1.0), weigh(SAME_WEIGHTS) + F.when(F.col(size) == 1, SAME_SIZE).otherwise(0.0) + SAME_ITEM)
+    confidence = F.when(conflict, c * CONFLICT_WEIGHT).when(same, sure).when(review, weigh(REVIEW_WEIGHTS)).otherwise(c * WEAK_WEIGHT)
     return pairs.withColumns({"verdict": verdict, "confidence": F.round(confidence, 3)})
 
 

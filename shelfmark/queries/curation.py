@@ -57,9 +57,9 @@ _OUTLET = "CASE c_custkey % 2 WHEN 0 THEN 'The Corner Store #' || c_custkey || '
 
 
 @register(f"""WITH o AS (SELECT c_custkey, {_STREET} AS street, {_PHONE} AS phone, {_OUTLET} AS name, c_acctbal / 100 AS lat, -c_acctbal / 77 AS lng FROM customer),
-k AS (SELECT *, regexp_extract(lower(street), '^\\s*(\\d+)', 1) AS num, regexp_extract(regexp_replace(lower(street), '\\b(?:n|s|e|w|north|south|east|west|st|street|ave|avenue|rd|road|blvd|boulevard|dr|drive|ln|lane|ste|suite|unit|hwy|pkwy|parkway)\\b', ' ', 'g'), '([a-z]+)', 1) AS core, right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) AS d FROM o)
+k AS (SELECT *, regexp_extract(lower(street), '^\\s*(\\d+)', 1) AS num, regexp_extract(regexp_replace(lower(street), '\\b(?:{"|".join(keys.STREET_WORDS)})\\b', ' ', 'g'), '([a-z]+)', 1) AS core, right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) AS d FROM o)
 SELECT c_custkey, 'ad:' || num || left(core, 8) || '|fl' AS address_key, CASE WHEN length(d) = 10 AND d[1] NOT IN ('0', '1') THEN 'ph:' || d END AS phone_key,
-  trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(name), '#\\s*\\w+|\\bno\\.?\\s*\\d+|\\b\\d{{2,}}\\b', ' ', 'g'), '\\b(?:inc|incorporated|llc|corp|corporation|co|company|ltd|the|and)\\b\\.?|&', ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS name_key FROM k""")
+  trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(name), '#\\s*\\w+|\\bno\\.?\\s*\\d+|\\b\\d{{2,}}\\b', ' ', 'g'), '\\b(?:{"|".join(keys.COMPANY_FORMS)})\\b\\.?|&', ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS name_key FROM k""")
 def outlet_keys(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     name = F.expr(_OUTLET.replace("VARCHAR", "STRING"))

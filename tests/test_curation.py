@@ -79,9 +79,9 @@ def test_brand_keys(spark, raw, key):
 
 
 def test_text_is_repaired_only_where_that_helps(spark):
-    raw = ["A\u00c3\u00b1ejo", "it\u00e2\u20ac\u2122s", "\u00c3lone", "Ros\u00e9", "D&#39;Aquino &amp; Fils", None]
+    raw = ["A\u00c3\u00b1ejo", "it\u00e2\u20ac\u2122s", "\u00c3lone", "Ros\u00e9", "D&#39;Aquino &amp; Fils", None, "\u00c3 alone, Ros\u00c3\u00a9", "\u00e2\u20ac\x9d"]
     got = [r[0] for r in spark.createDataFrame([(i, s) for i, s in enumerate(raw)], "i int, s string").orderBy("i").select(names.repaired("s")).collect()]
-    assert got == ["A\u00f1ejo", "it\u2019s", "\u00c3lone", "Ros\u00e9", "D'Aquino & Fils", None]
+    assert got == ["A\u00f1ejo", "it\u2019s", "\u00c3lone", "Ros\u00e9", "D'Aquino & Fils", None, "\u00c3 alone, Ros\u00e9", "\u201d"]
 
 
 def test_cross_match_verdicts(spark):
