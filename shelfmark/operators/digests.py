@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of the filter for each member, positions that each sets, and the largest filter, 8 MB.
@@ -21,11 +21,11 @@ def digest(id_: Column) -> Column:
 
 
 class Bloom:
-    """A filter of members' digests: bits, made by Spark in parts of 4 KB that are merged by number. It is sent with the plan,
-    and tests are column expressions."""
+    """A filter of members' digests: bits, made by Spark in parts of 4 KB that are merged by number. It is broadcast once and
+    no part of any plan, which the driver would keep, print and copy with all its bits; tasks look them up by batches."""
 
-    def __init__(self, bits: bytes, width: int):
-        self.bits, self.width = bits, width
+    def __init__(self, spark: SparkSession, bits: bytes, width: int):
+        self.bits, self.width = spark.sparkContext.broadcast(bits), width
 
     @staticmethod
     def _places(d: Column, width: int) -> list[Column]:
@@ -45,12 +45,18 @@ class Bloom:
         for r in parts.collect():  # 2 ** (width - 15) rows at most, 8 MB in all
             first = (r["n"] - 1) * (_BUCKET // 8)
             out[first : first + _BUCKET // 8] = bytes(r["bits"])
-        return cls(bytes(out), width)
+        return cls(digests.sparkSession, bytes(out), width)
 
     def may_hold(self, d: Column) -> Column:
-        held = F.lit(self.bits)
-        one = lambda at: F.getbit(F.conv(F.hex(F.substr(held, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long"), at.bitwiseAND(F.lit(7)).cast("int")) == 1
-        return functools.reduce(Column.__and__, [one(p) for p in self._places(d, self.width)])
+        sent = self.bits
+
+        @F.pandas_udf("boolean")
+        def held(*places: pd.Series) -> pd.Series:
+            bits = np.frombuffer(sent.value, np.uint8)
+            at = np.stack([p.to_numpy(np.int64) for p in places])
+            return pd.Series(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0))
+
+        return held(*self._places(d, self.width))
 
 
 def members(rows: DataFrame, ids: DataFrame, on: str, most: int = MOST_BITS, anti: bool = False) -> DataFrame:

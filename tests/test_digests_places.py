@@ -34,6 +34,12 @@ def test_the_filter_lets_few_others_through(spark):
     assert digests.Bloom.of(ids, "d", 1 << 28) is None
 
 
+def test_the_filter_is_no_part_of_the_plan(spark):
+    ids = spark.range(2000).select(digests.digest(F.concat(F.lit("m"), "id")).alias("d"))
+    plan = ids.filter(digests.Bloom.of(ids, "d", 2000).may_hold(F.col("d")))._jdf.queryExecution().optimizedPlan()
+    assert len(plan.toString()) < 3_000  # a filter of 4 KB stood in it four times
+
+
 def test_the_curve_interleaves(spark):
     rng = random.Random(2)
     points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)] + [(-90.0, -180.0), (90.0, 180.0), (0.0, 0.0)]
