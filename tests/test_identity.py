@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions import products, text
-from shelfmark.operators import alike, identity, joins, outlets
+from shelfmark.operators import alike, entities, identity, joins, outlets
 from shelfmark.streaming import lineage
 
 
@@ -156,3 +156,44 @@ def test_lineage_restarts_without_repeating(spark, tmp_path):
     again = [r for r in third if (r["item"], r["event"]) == ("i", "new_item")]
     assert len(again) == 2 and again[1]["supersedes"] == again[0]["event_id"]
     assert len({r["event_id"] for r in third}) == len(third)
+
+
+def test_class_pairs_are_all_pairs_and_score_each_two_values_once(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["x", "y", None, "x|y"]), rng.choice(["red ring", "red rings", "old bolt", "", None])) for i in range(160)] + [(1000 + i, "big", "same") for i in range(60)]
+    asked = []
+
+    def score(values):
+        asked.extend(tuple(r) for r in values.collect())
+        return values.withColumn("s", text.jaro_winkler("v_a", "v_b")).filter("s >= 0.6")
+
+    df = spark.createDataFrame(rows, "id long, k string, v string").repartition(3)
+    for task in (1 << 21, 100):
+        asked.clear()
+        got = sorted((r["a"], r["b"], r["s"]) for r in entities.class_pairs(df, "id", ["k"], "v", score, task=task).collect())
+        want = sorted((i, j, text._jaro_winkler(v, w)) for i, k, v in rows for j, l, w in rows if i < j and k is not None and k == l and v is not None and w is not None and text._jaro_winkler(v, w) >= 0.6)
+        assert got == want
+        assert len(asked) == len(set(asked)) <= 17
+
+
+def test_pairs_that_share_no_early_token_do_not_overlap(spark):
+    rng = random.Random(6)
+    rows = [(i, "k", sorted(rng.sample("abcdefghijklmnopqrstuvwxyz", rng.choice([0, 1, 3, 10, 19, 20, 20, 21])))) for i in range(60)]
+    rows += [(100 + i, "k", [c for c in "abcdefghijklmnopqrstuvwxyz" if c != d]) for i, d in enumerate("abz")]
+    rows += [(200, "k", list("abcdefghijklmnopqrstuvwxyz")), (201, "k", list("abcdefghijklmnopqrstuvwxyz"))]
+    over = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 0.0
+    near = lambda sets: sets.withColumn("s", text.jaccard(F.col("t_a"), F.col("t_b"))).filter("s >= 0.9")
+    got = entities.class_pairs(spark.createDataFrame(rows, "id long, k string, t array<string>"), "id", ["k"], "t", near, entities.shared_start(["k"], "t", 0.9)).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == sorted((i, j) for i, _, t in rows for j, _, u in rows if i < j and over(t, u) >= 0.9)
+
+
+def test_counted_classes_are_counted_pairs(spark):
+    rng = random.Random(7)
+    rows = [(i % 110, rng.choice("xy"), rng.choice(["s", "S", "", None, "t"]), rng.choice(["1", "2", None])) for i in range(120)] + [(None, "x", "s", "1"), (500, None, "s", "1")]
+    df = spark.createDataFrame(rows, "id long, k string, kind string, size string")
+    plain = outlets.compare(entities.blocked_pairs(df.filter("k is not null"), "id", [F.col("k")], ["kind", "size"]), ["kind", "size"]).groupBy("verdict").count()
+    counted = outlets.compare(entities.class_counts(df, "id", ["k"], ["kind", "size"]), ["kind", "size"]).groupBy("verdict").agg(F.sum("n").alias("n"))
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in plain.collect()}
+    many = spark.range(2_000_000).select("id", F.lit("k").alias("k"), (F.col("id") % 2).cast("string").alias("kind"))  # 2 * 10 ** 12 pairs
+    got = {(r["kind_a"], r["kind_b"]): r["n"] for r in entities.class_counts(many, "id", ["k"], ["kind"]).collect()}
+    assert got == {("0", "0"): 499_999_500_000, ("1", "1"): 499_999_500_000, ("0", "1"): 10**12}
