@@ -75,8 +75,9 @@ SELECT a.p_partkey AS a, b.p_partkey AS b, round(len(list_intersect(a.t, b.t)) /
 WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t)))::DOUBLE >= 0.9""")
 def token_overlap_pairs(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", text.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("t"))
-    pairs = ops.blocked_pairs(p, "p_partkey", [F.col("p_brand")], ["t"]).withColumn("jaccard", text.jaccard(F.col("t_a"), F.col("t_b")))
-    return pairs.filter("jaccard >= 0.9").select("a", "b", F.round("jaccard", 4).alias("jaccard"))
+    near = lambda sets: sets.withColumn("jaccard", text.jaccard(F.col("t_a"), F.col("t_b"))).filter("jaccard >= 0.9")
+    pairs = ops.class_pairs(p, "p_partkey", ["p_brand"], "t", near, ops.shared_start(["p_brand"], "t", 0.9))
+    return pairs.select("a", "b", F.round("jaccard", 4).alias("jaccard"))
 
 
 @register("""WITH p AS (SELECT s_suppkey AS id, 25 + (s_suppkey * 37 % 2000) / 100.0::DOUBLE AS lat, -120 + (s_suppkey * 91 % 4000) / 100.0::DOUBLE AS lng FROM supplier)
