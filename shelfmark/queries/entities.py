@@ -28,8 +28,8 @@ def connected_components(spark, sf_dir):
 SELECT a, b, round(s, 4) AS similarity, CASE WHEN s >= 0.95 THEN 'high' WHEN s >= 0.9 THEN 'medium' ELSE 'low' END AS confidence FROM j WHERE s >= 0.6""")
 def blocked_fuzzy_pairs(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    pairs = ops.blocked_pairs(part, "p_partkey", [F.col("p_brand"), F.col("p_type"), F.col("p_size")], ["p_name"])
-    scored = pairs.withColumn("s", text.jaro_winkler("p_name_a", "p_name_b")).filter("s >= 0.6")
+    alike = lambda names: names.withColumn("s", text.jaro_winkler("p_name_a", "p_name_b")).filter("s >= 0.6")
+    scored = ops.class_pairs(part, "p_partkey", ["p_brand", "p_type", "p_size"], "p_name", alike)
     return scored.select("a", "b", F.round("s", 4).alias("similarity"), F.when(F.col("s") >= 0.95, "high").when(F.col("s") >= 0.9, "medium").otherwise("low").alias("confidence"))
 
 
