@@ -15,6 +15,8 @@ from .entities import components
 
 #: Names of a unit, which one task holds against another unit's.
 UNIT = 1024
+#: Tasks to which pairs of units are dealt.
+MOST_TASKS = 4096
 #: Similarity from which two names of a block are one, and from which that is sure.
 MEDIUM, HIGH = 0.86, 0.92
 #: Fixed value: members beyond which a cluster is looked at.
@@ -60,10 +62,14 @@ def _meet(least: float, below: float | None):
         names = x["name"].tolist(), y["name"].tolist()
         sides = _sketch(names[0]), _sketch(names[1])
         ids = x["node"].tolist(), y["node"].tolist()
+        asks = x["_q"].to_numpy(bool), y["_q"].to_numpy(bool)
         out = []
         for at in range(0, len(names[0]), 128):
             part = tuple(s[at : at + 128] for s in sides[0])
-            for i, j in zip(*np.nonzero(_may_reach(part, sides[1], least))):
+            wanted = asks[0][at : at + 128, None] | asks[1][None]
+            if not wanted.any():
+                continue
+            for i, j in zip(*np.nonzero(wanted & _may_reach(part, sides[1], least))):
                 u, v = at + int(i), int(j)
                 if key[1] == key[2] and u >= v:
                     continue
@@ -92,7 +98,8 @@ def alike_names(nodes: DataFrame, least: float = MEDIUM, below: float | None = N
 
     The result is that of all pairs, however large a block is. A block's names are dealt into units by length and hash, and
     two units whose lengths cannot reach the bar do not meet. Two that do are a task's work: bounds from the letters that
-    names have in common leave few pairs to compare. A large block is thus many tasks of one size."""
+    names have in common leave few pairs to compare, and with `asked` only those of names that ask are compared. A large block
+    is thus many tasks of one size."""
     shortest = 3 * max(0.0, (least - 0.4) / 0.6) - 2  # least ratio of two lengths, with the greatest common start
     held = nodes.withColumn("_q", F.lit(False) if asked is None else asked)
     sized = held.withColumn("_len", F.length("name"))
@@ -113,16 +120,16 @@ def alike_names(nodes: DataFrame, least: float = MEDIUM, below: float | None = N
     if asking is not None:  # unit pairs in which somebody asks
         q1, q2 = (asking.select("block", F.col("unit").alias(f"u{k}"), F.lit(True).alias(f"_q{k}")) for k in (1, 2))
         pairs = pairs.join(q1, ["block", "u1"], "left").join(q2, ["block", "u2"], "left").filter("_q1 or _q2").drop("_q1", "_q2")
+    pairs = write_table(pairs, "unit-pairs")
+    # Names are few bytes and their comparison long, so tasks are dealt by unit pairs, not by bytes.
+    tasks = max(nodes.sparkSession.sparkContext.defaultParallelism, min(pairs.count(), MOST_TASKS))
     by = ["block", "u1", "u2"]
     left, right = (pairs.join(dealt.withColumnRenamed("unit", f"u{k}"), ["block", f"u{k}"]).select(*by, "name", "node", "_q") for k in (1, 2))
     kind = nodes.schema["node"].dataType.simpleString()
     # Names of their own for columns, as both sides come from the same table.
-    flat = lambda d: d.select("block", _spelled("u1"), _spelled("u2"), "name", "node").toDF(*by, "name", "node")
-    met = flat(left).groupBy(*by).cogroup(flat(right).groupBy(*by)).applyInPandas(_meet(least, below), f"a {kind}, b {kind}, s double")
-    if asked is None:
-        return met
-    who = dealt.select("node", "_q")
-    return met.join(who.select(F.col("node").alias("a"), F.col("_q").alias("_qa")), "a").join(who.select(F.col("node").alias("b"), F.col("_q").alias("_qb")), "b").filter("_qa or _qb").select("a", "b", "s")
+    flat = lambda d: d.select("block", _spelled("u1"), _spelled("u2"), "name", "node", F.lit(True) if asked is None else F.coalesce("_q", F.lit(False))).toDF(*by, "name", "node", "_q").repartition(tasks, *by)
+    return flat(left).groupBy(*by).cogroup(flat(right).groupBy(*by)).applyInPandas(_meet(least, below), f"a {kind}, b {kind}, s double")
+
 
 
 def name_clusters(rows: DataFrame, id_col: str, block: list[Column], name: str, medium: float = MEDIUM, high: float = HIGH, unit: int = UNIT) -> tuple[DataFrame, DataFrame]:

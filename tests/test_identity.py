@@ -4,11 +4,12 @@ import datetime as dt
 import itertools
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions import products, text
-from shelfmark.operators import alike, entities, identity, joins, outlets
+from shelfmark.operators import alike, entities, identity, joins, matching, outlets
 from shelfmark.streaming import lineage
 
 
@@ -89,6 +90,34 @@ def test_alike_names_are_all_pairs(spark):
             assert len(got) == len(want) and {(r["a"], r["b"], round(r["s"], 9)) for r in got} == want
 
 
+def test_only_names_that_ask_are_compared(spark, monkeypatch):
+    rng = random.Random(8)
+    names = sorted({" ".join(rng.choice(["red", "blue", "old", "new", "ring", "bolt", "rod"]) for _ in range(3)) for _ in range(120)})
+    nodes = spark.createDataFrame([("b", n, i) for i, n in enumerate(names)], "block string, name string, node long")
+    asked = {i for i in range(len(names)) if i % 20 == 0}
+    for unit in (1024, 16):
+        got = alike.alike_names(nodes, 0.6, unit=unit, asked=F.col("node") % 20 == 0).collect()
+        want = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if asked & {i, j} and text._jaro_winkler(names[i], names[j]) >= 0.6}
+        assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
+    compared = []
+    monkeypatch.setattr(alike, "_jaro_winkler", lambda a, b: compared.append(1) or text._jaro_winkler(a, b))
+    frame = pd.DataFrame({"name": names, "node": range(len(names)), "_q": [i in asked for i in range(len(names))]})
+    alike._meet(0.6, None)(("b", "0", "0"), frame, frame)
+    assert len(compared) <= len(asked) * len(names)
+
+
+def test_a_name_that_many_rows_have_is_assigned_alike(spark):
+    fresh = spark.createDataFrame([(i, "x" if i % 2 else "y", ("red ring", "red rng", "old bolt", None)[i % 4]) for i in range(80)] + [(99, None, "red ring")], "id long, k string, n string")
+    members = spark.createDataFrame([(1, "x", "red ring"), (2, "y", "red ring"), (3, "y", "red rings"), (4, "x", None), (5, None, "red ring")], "cluster long, k string, n string")
+    got = {r["id"]: (r["cluster"], r["similarity"]) for r in matching.assign_to_clusters(fresh, members, "k", "n").collect()}
+    best = {}
+    for r in fresh.collect():
+        found = [(text._jaro_winkler(r["n"], m["n"]), -m["cluster"]) for m in members.collect() if None not in (r["n"], m["n"], r["k"]) and r["k"] == m["k"]]
+        s, c = max((f for f in found if f[0] >= 0.9), default=(None, None))
+        best[r["id"]] = (None, None) if s is None else (-c, round(s, 4))
+    assert got == best
+
+
 def test_name_clusters_keep_every_row(spark):
     rows = [(1, "b", "makers mark"), (2, "b", "makers mark"), (3, "b", "makers markk"), (4, "b", "quite other"), (5, "c", "makers mark"), (6, "b", None), (7, "b", "")]
     members, clusters = alike.name_clusters(spark.createDataFrame(rows, "id long, block string, name string"), "id", [F.col("block")], "name")
