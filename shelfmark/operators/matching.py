@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.working import write_table
 
 
 def assign_to_clusters(fresh: DataFrame, members: DataFrame, block: str, name: str, least: float = 0.9) -> DataFrame:
     """Each new row's best cluster in its block by name similarity, or none below the bar. fresh: id, block, name;
     members: cluster, block, name (one row a spelling)."""
     m = members.select(F.col(block), F.col(name).alias("_m"), "cluster").distinct()
+    # Rows of a block that have one name get one answer, and two names that meet in many blocks are compared once.
+    asked = fresh.select(block, name).dropna().distinct()
+    met = write_table(asked.join(m, block).select(block, name, "_m", "cluster"), "met-names")
     # Names of too different lengths cannot reach the bar, whatever they share: Jaro is at most (2 + shorter / longer) / 3,
     # and a common start adds at most four tenths of what is missing.
     shorter, longer = F.least(F.length(name), F.length("_m")), F.greatest(F.length(name), F.length("_m"))
     possible = shorter >= (3 * (least - 0.4) / 0.6 - 2) * longer - 1e-9
-    scored = fresh.join(m, block).filter(possible).withColumn("_s", text.jaro_winkler(name, "_m")).filter(F.col("_s") >= least)
-    best = scored.groupBy("id").agg(F.max(F.struct(F.col("_s"), (-F.col("cluster")).alias("_c"))).alias("b"))
-    return fresh.join(best, "id", "left").select("id", block, name, (-F.col("b._c")).alias("cluster"), F.round("b._s", 4).alias("similarity"))
+    scored = met.select(name, "_m").distinct().filter(possible).withColumn("_s", text.jaro_winkler(name, "_m")).filter(F.col("_s") >= least)
+    best = met.join(scored, [name, "_m"]).groupBy(block, name).agg(F.max(F.struct(F.col("_s"), (-F.col("cluster")).alias("_c"))).alias("b"))
+    return fresh.join(best, [block, name], "left").select("id", block, name, (-F.col("b._c")).alias("cluster"), F.round("b._s", 4).alias("similarity"))
+
 
 
 def spelling_merges(rows: DataFrame, block: list[str], name: str, weight: str, least: float = 0.82) -> DataFrame:
