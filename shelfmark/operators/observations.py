@@ -37,11 +37,12 @@ def quality_cells(obs: DataFrame) -> DataFrame:
     steady = F.coalesce(F.col("price") == F.col("p_price"), F.col("p_price").isNull()) & F.coalesce(F.col("on_promo") == F.col("p_on_promo"), F.col("p_on_promo").isNull())
     jitter = moved & (F.abs(F.col("qty") - F.col("p_qty")) <= JITTER) & steady
     cells = (
-        _lagged(obs, "qty", "price", "on_promo")
+        _lagged(obs, "qty", "price", "on_promo", "d")
         .groupBy(*CELL)
         .agg(
             F.count(F.lit(1)).alias("n_obs"),
-            _distinct("d").alias("n_days"),
+            # Rows are in the order of days, so a day is counted where it begins, and no set of days is kept.
+            F.count_if(F.col("d").isNotNull() & ~F.col("d").eqNullSafe(F.col("p_d"))).alias("n_days"),
             F.min("d").alias("first_date"),
             F.max("d").alias("last_date"),
             F.count("qty").alias("n_qty"),
@@ -56,18 +57,21 @@ def quality_cells(obs: DataFrame) -> DataFrame:
 
 def quality_sources(obs: DataFrame, cells: DataFrame) -> DataFrame:
     """Per source an instrument's card: coverage, distinct levels, recounts, cadence and its tier."""
-    levels = obs.filter("qty is not null").groupBy("source").agg(F.count_distinct("qty").alias("levels"))
-    s = cells.groupBy("source").agg(
+    # Stores, levels and cadences are grouped first, so that no task holds all of a source.
+    levels = obs.filter("qty is not null").select("source", "qty").groupBy("source", "qty").agg(F.lit(1).alias("_")).groupBy("source").agg(F.count(F.lit(1)).alias("levels"))
+    by_store = cells.groupBy("source", "store_id").agg(
         F.sum("n_obs").alias("obs"),
         F.count(F.lit(1)).alias("cells"),
-        F.count_distinct("store_id").alias("stores"),
         F.sum("n_qty").alias("qty_obs"),
         F.sum("qty_moves").alias("moves"),
         F.sum("jitter_moves").alias("jitters"),
-        F.median("cadence_days").alias("cadence"),
         F.count_if(F.col("n_obs") > 1).alias("diffable"),
     )
-    joined = s.join(levels, "source", "left")
+    sums = [F.sum(c).alias(c) for c in ("obs", "cells", "qty_obs", "moves", "jitters", "diffable")]
+    s = by_store.groupBy("source").agg(*sums, F.count("store_id").alias("stores"))
+    steps = cells.filter("cadence_days is not null").groupBy("source", "cadence_days").agg(F.count(F.lit(1)).alias("_n"))
+    cadence = steps.groupBy("source").agg(F.percentile("cadence_days", 0.5, F.col("_n")).alias("cadence"))
+    joined = s.join(F.broadcast(levels), "source", "left").join(F.broadcast(cadence), "source", "left")  # a row a source
     share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), 3)
     card = joined.select(
         "source",
@@ -86,9 +90,9 @@ def quality_sources(obs: DataFrame, cells: DataFrame) -> DataFrame:
 
 def stock_changes(obs: DataFrame, cards: DataFrame) -> DataFrame:
     """Consecutive observations of counting sources, told apart: sale, restock, recount, censored, out of stock."""
-    counted = obs.filter("qty is not null").join(
-        cards.filter("qual_tier = 'count'").select("source", "jitter_frac", F.coalesce("median_cadence_days", F.lit(999.0)).alias("cadence")), "source"
-    )
+    # A card is one row a source; by a join on the source all of a source's observations would come to one task.
+    card = cards.filter("qual_tier = 'count'").select("source", "jitter_frac", F.coalesce("median_cadence_days", F.lit(999.0)).alias("cadence"))
+    counted = obs.filter("qty is not null").join(F.broadcast(card), "source")
     pairs = _lagged(counted, "qty", "price", "on_promo", "d").filter("p_qty is not null")
     dq = F.col("qty") - F.col("p_qty")
     # An unknown price leaves a small move undecided: neither a sale nor a recount.
@@ -159,7 +163,7 @@ def movers(fact: DataFrame, days: DataFrame, min_cells: int = 5, min_previous: f
     weeks = cell.select("week").distinct().withColumn("wn", F.row_number().over(Window.orderBy("week")))
     w = Window.partitionBy("brand", "store_id", "product_id").orderBy("wn")
     before = F.lag(F.struct("wn", F.col("units").alias("prev"), F.col("week").alias("prev_week"))).over(w)
-    matched = cell.join(weeks, "week").withColumn("_b", before).filter(F.col("_b.wn") == F.col("wn") - 1).select("brand", "week", "units", "conf", "_b.prev", "_b.prev_week")
+    matched = cell.join(F.broadcast(weeks), "week").withColumn("_b", before).filter(F.col("_b.wn") == F.col("wn") - 1).select("brand", "week", "units", "conf", "_b.prev", "_b.prev_week")
     agg = (
         matched.groupBy("brand", "week", "prev_week")
         .agg(F.count(F.lit(1)).alias("matched_cells"), F.sum("units").alias("u"), F.sum("prev").alias("p"), F.avg("conf").alias("c"))

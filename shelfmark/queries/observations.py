@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import observations as ops
+from ..sources.working import tasks_for
 from . import Registry, table
 
 register = Registry()
@@ -20,10 +21,14 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source, store_id, product_id, brand, d, qty, price, on_promo: one row a day."""
     items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount")
     brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = items.join(brands, items["l_partkey"] == brands["p_partkey"])
-    return joined.groupBy(
-        F.col("l_returnflag").alias("source"), F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("product_id"), F.col("p_brand").alias("brand"), F.to_date("l_shipdate").alias("d")
-    ).agg(F.sum("l_quantity").alias("qty"), cents(F.max(F.col("l_extendedprice") / F.col("l_quantity"))).alias("price"), F.bool_or(F.col("l_discount") >= 0.08).alias("on_promo"))
+    joined = items.join(brands, items["l_partkey"] == brands["p_partkey"]).select(
+        F.col("l_returnflag").alias("source"), F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("product_id"), F.col("p_brand").alias("brand"), "l_shipdate", "l_quantity", "l_extendedprice", "l_discount"
+    )
+    # Dealt by cell once: days, moves and weeks of a cell are made where it lies.
+    dealt = joined.repartition(tasks_for(items), *ops.CELL)
+    return dealt.groupBy(*ops.CELL, "brand", F.to_date("l_shipdate").alias("d")).agg(
+        F.sum("l_quantity").alias("qty"), cents(F.max(F.col("l_extendedprice") / F.col("l_quantity"))).alias("price"), F.bool_or(F.col("l_discount") >= 0.08).alias("on_promo")
+    )
 
 
 OBS = """obs AS MATERIALIZED (

@@ -171,3 +171,28 @@ def test_capped_pairs_meet_over_ranges(spark):
     want = [(c, a, b) for c, xs in by.items() for k, a in enumerate(sorted(xs)) for b in sorted(xs)[k + 1 : k + 4]]
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert curation.capped_pairs(spark.createDataFrame([], "code string, i int"), "code", 3, ["i"], F.col("i")).count() == 0
+
+
+def test_observations_are_not_dealt_by_source(spark):
+    from shelfmark.operators import observations as ops
+
+    rows = [("s", 1, 1, "b", d, q, 1.0, False) for d, q in ((1, 5.0), (2, 3.0), (2, 4.0), (9, 4.0), (None, 1.0))]
+    obs = spark.createDataFrame(rows, "source string, store_id int, product_id int, brand string, n int, qty double, price double, on_promo boolean").withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n"))).drop("n")
+    cells = ops.quality_cells(obs)
+    assert cells.first()["n_days"] == 3 and cells.first()["cadence_days"] == 4.0
+    cards = ops.quality_sources(obs, cells)
+    assert (cards.first()["stores"], cards.first()["distinct_qty_global"], cards.first()["median_cadence_days"]) == (1, 4, 4.0)
+    changes = ops.stock_changes(obs, spark.createDataFrame([("s", "count", 0.0, 1.0)], "source string, qual_tier string, jitter_frac double, median_cadence_days double"))
+    assert "SortMergeJoin" not in changes._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_file_are_dealt_by_their_number(spark, tmp_path):
+    from shelfmark.operators import quality
+    from shelfmark.sources.working import spread, tasks_for
+
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    assert spread(t, 50).rdd.getNumPartitions() == 20 and spread(t, 50).distinct().count() == 1000
+    assert tasks_for(t, 50) == 20
+    for d in (quality.profile(t), quality.candidate_keys(t, ["id"])):
+        assert "_at#" in d._jdf.queryExecution().executedPlan().toString() and d.count() == 1
