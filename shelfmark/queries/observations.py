@@ -124,7 +124,8 @@ def movers_matched_cell(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     week = F.trunc(F.to_date("l_shipdate"), "week")
     sold = items.join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
-    f = sold.groupBy(F.col("p_brand").alias("brand"), F.col("l_suppkey").alias("store_id"), F.lit(0).alias("product_id"), week.alias("week")).agg(F.sum("l_quantity").alias("implied_units"))
+    dealt = sold.select(F.col("p_brand").alias("brand"), F.col("l_suppkey").alias("store_id"), "l_quantity", "l_shipdate").repartition(tasks_for(items), "brand", "store_id")
+    f = dealt.groupBy("brand", "store_id", F.lit(0).alias("product_id"), week.alias("week")).agg(F.sum("l_quantity").alias("implied_units"))
     days = items.groupBy(week.alias("week")).agg(F.count_distinct(F.to_date("l_shipdate")).alias("obs_days"))
     return ops.movers(f.withColumn("confidence", F.lit(1.0)), days, min_cells=2)
 
