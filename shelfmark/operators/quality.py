@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import gs1, text
+from ..sources.working import spread
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -58,7 +59,7 @@ def candidate_keys(df: DataFrame, columns: list[str], least: float = 0.99) -> Da
     """Single columns and pairs with how nearly they identify rows; one pass, then those at or above the bar."""
     combos = [(c,) for c in columns] + list(itertools.combinations(columns, 2))
     aggs = [F.count_distinct(F.struct(*[F.coalesce(F.col(x).cast("string"), F.lit("\0")) for x in c])).alias(",".join(c)) for c in combos]
-    one = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    one = spread(df.select(*columns)).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
     listed = F.array(*[F.struct(F.lit(",".join(c)).alias("columns"), F.lit(len(c)).alias("width"), F.col(f"`{','.join(c)}`").alias("distinct")) for c in combos])
     keys = one.select("_rows", F.explode(listed).alias("k")).select("k.*", F.round(F.col("k.distinct") / F.col("_rows"), 6).alias("uniqueness"))
     return keys.filter(F.col("uniqueness") >= least)
