@@ -26,7 +26,7 @@ def profile(df: DataFrame) -> DataFrame:
                 F.min(v.cast("double") if number else none.cast("double")).alias("least"), F.max(v.cast("double") if number else none.cast("double")).alias("largest"),
             ).alias(f"_{c}")
         ]
-    one = df.agg(*aggs)
+    one = spread(df).agg(*aggs)  # distinct values are collected by tasks of so many rows
     return one.select("rows", F.explode(F.array(*[f"_{c}" for c in kinds])).alias("p")).select("p.*", F.round(F.col("p.nulls") / F.col("rows"), 4).alias("null_rate"))
 
 
