@@ -9,6 +9,7 @@ from ..functions import products
 from ..functions.keys import bigint_code
 from ..operators import curation as ops
 from ..operators import entities
+from ..sources.working import spread
 from . import Registry, table
 
 register = Registry()
@@ -405,7 +406,7 @@ SELECT * FROM (VALUES ('UPC Code', 'mapped', 'upc', 'values', (SELECT s FROM u))
 ('Alc Pct', 'mapped', 'abv', 'values', 1.0), ('Buyer', 'pii', NULL, NULL, NULL), ('Vend Nm', 'mapped', 'supplier', 'header', 0.9), ('Image', 'derivable', NULL, NULL, NULL), ('Blank', 'empty', NULL, NULL, NULL), ('Brand', 'proprietary', NULL, NULL, NULL),
 ('Cs Pack', 'mapped', 'pack', 'values', 1.0), ('Call', 'pii', NULL, NULL, NULL)) AS t(header, bucket, field, how, share)""")
 def header_mapping(spark, sf_dir):
-    return ops.map_headers(table(spark, sf_dir, "part").select(*[F.expr(x.replace("VARCHAR", "STRING")).alias(c) for c, x in _UPLOAD.items()]))
+    return ops.map_headers(spread(table(spark, sf_dir, "part")).select(*[F.expr(x.replace("VARCHAR", "STRING")).alias(c) for c, x in _UPLOAD.items()]))
 
 
 _PRODUCTS = """SELECT CASE p_partkey % 8 WHEN 0 THEN '10850000194980' WHEN 1 THEN '85000019498' WHEN 2 THEN '085000019499' WHEN 3 THEN '1111111111' WHEN 4 THEN '8.5E+10' WHEN 5 THEN NULL ELSE '085000019498' END AS upc,

@@ -169,3 +169,11 @@ def test_files_are_written_by_tasks(spark, tmp_path):
     assert len(stores.listed(f"file://{tmp_path}/b", ".bin")) == 51
     with stores.opened(f"file://{tmp_path}/b/7.bin") as f:
         assert f.read() == b"\x07"
+
+
+def test_a_value_of_an_upload_is_tested_once(spark):
+    df = spark.range(5000).selectExpr("'750 ml' AS size", "cast(id % 2 as string) AS n", "cast(null as string) AS gone")
+    got = {r["header"]: (r["bucket"], r["share"]) for r in curation.map_headers(df).collect()}
+    assert got["size"] == ("mapped", 1.0) and got["gone"] == ("empty", None)
+    assert {r["bucket"] for r in curation.map_headers(df.limit(0)).collect()} == {"empty"}
+    assert "Generate" in curation.map_headers(df)._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
