@@ -17,7 +17,7 @@ from ..operators import quality, rollups
 from ..plans import compose, console, rules
 from ..sources import footers, places, reference, stores, uploads
 from ..sources.catalog import Catalog, Conflict
-from ..sources.working import shared_dir
+from ..sources.working import shared_dir, spread
 from ..streaming import folds
 from . import Registry, table
 
@@ -302,9 +302,14 @@ def reference_series(spark, sf_dir):
 def blob_round_trip(spark, sf_dir):
     """A document a part, written by tasks and read back."""
     place = f"{shared_dir(spark)}/blobs-{uuid.uuid4().hex}"
-    p = table(spark, sf_dir, "part").select(F.format_string("%d.bin", "p_partkey").alias("name"), F.concat("p_name", "p_type").cast("binary").alias("content"))
+    parts = table(spark, sf_dir, "part")
+    folders = -(-parts.count() // 1000) or 1  # so that no folder is large, and tasks list and read folders
+    p = spread(parts.select("p_partkey", "p_name", "p_type"), 20_000).select(
+        F.format_string("%d/%d.bin", F.pmod(F.xxhash64("p_partkey"), F.lit(folders)), "p_partkey").alias("name"), F.concat("p_name", "p_type").cast("binary").alias("content")
+    )
     stores.put_all(p, place)
-    blobs = spark.read.format("binaryFile").load(f"{place}/*.bin")
+    every = spark.range(0, folders, 1, max(spark.sparkContext.defaultParallelism, -(-folders // 20))).select(F.format_string(f"{place}/%d", "id").alias("folder"))
+    blobs = stores.get_all(every, ".bin")
     return blobs.select(F.regexp_extract("path", r"(\d+)\.bin$", 1).cast("long").alias("key"), F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("digest"))
 
 

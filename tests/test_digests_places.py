@@ -177,3 +177,11 @@ def test_a_value_of_an_upload_is_tested_once(spark):
     assert got["size"] == ("mapped", 1.0) and got["gone"] == ("empty", None)
     assert {r["bucket"] for r in curation.map_headers(df.limit(0)).collect()} == {"empty"}
     assert "Generate" in curation.map_headers(df)._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
+
+
+def test_tasks_list_and_read_folders(spark, tmp_path):
+    rows = spark.range(300).select(F.format_string("%d/%d.bin", F.col("id") % 7, "id").alias("name"), F.col("id").cast("string").cast("binary").alias("content"))
+    assert stores.put_all(rows, f"file://{tmp_path}/b") == 300
+    folders = spark.range(8).select(F.format_string(f"file://{tmp_path}/b/%d", "id").alias("folder"))  # the last is not there
+    got = {r["path"].rsplit("/", 1)[1]: bytes(r["content"]) for r in stores.get_all(folders, ".bin").collect()}
+    assert got == {f"{i}.bin": str(i).encode() for i in range(300)}
