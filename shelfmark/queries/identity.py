@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import products
 from ..operators import alike, identity as ops
-from ..sources.working import shared_dir
+from ..sources.working import shared_dir, spread
 from . import Registry, table
 
 register = Registry()
@@ -88,26 +88,30 @@ e AS (
 h AS (SELECT left(sha1(store || '|' || item || '|' || event || '|' || epoch_ms("at") || '|' || now), 16) AS event_id, * FROM e)
 SELECT *, lag(event_id) OVER (PARTITION BY store, item, event ORDER BY "at") AS supersedes FROM h""")
 def item_lineage(spark, sf_dir):
-    """Three daily sightings of a catalogue and a last row that moves the watermark on, as a stream with timers."""
+    """Three daily sightings of a catalogue and a last row that moves the watermark on, as a stream with timers that is started
+    for each day and goes on from its checkpoint."""
     from ..streaming import lineage
 
     place = f"{shared_dir(spark)}/lineage-{uuid.uuid4().hex}"
-    p = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("d")).filter("(p_partkey + d) % 11 <> 0")
+    part = table(spark, sf_dir, "part").select("p_partkey")
+    items = part.count()
+    buckets = max(1, items // 1000)
+    states = min(buckets, max(spark.sparkContext.defaultParallelism, items // 50_000))  # a task of state costs its start in each batch
     day = F.timestamp_add("DAY", "d", F.lit(dt.datetime(2024, 3, 1, 6)))
     discount = F.when(F.col("p_partkey") % 6 == F.col("d"), "10")
     price = (1000 + F.col("p_partkey") % 900 + F.when(F.col("p_partkey") % 4 == F.col("d"), 50).otherwise(0)).cast("string")
     section = F.when((F.col("p_partkey") % 9 == 4) & (F.col("d") == 2), "b").otherwise("a")
-    seen = p.select(
-        "d", F.concat(F.lit("st"), (F.col("p_partkey") % 7).cast("string")).alias("store"), F.col("p_partkey").cast("string").alias("item"), day.alias("at"), price.alias("price"), F.lit(None).cast("string").alias("list_price"),
+    seen = lambda p: p.select(
+        F.concat(F.lit("st"), (F.col("p_partkey") % 7).cast("string")).alias("store"), F.col("p_partkey").cast("string").alias("item"), day.alias("at"), price.alias("price"), F.lit(None).cast("string").alias("list_price"),
         discount.isNotNull().alias("on_promo"), discount.alias("discount"), F.lit("n").alias("name"), section.alias("section"),
     )
     last = spark.range(1).select(F.lit(dt.datetime(2024, 3, 4, 0)).alias("at"))
-    for d in range(3):
-        seen.filter(F.col("d") == d).drop("d").coalesce(1).write.mode("append").parquet(f"{place}/landed")
-    last.coalesce(1).write.mode("append").parquet(f"{place}/landed")
-    stream = spark.readStream.schema(seen.drop("d").schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/landed")
-    events = lineage.lineage_events(stream, dt.timedelta(hours=36))
-    lineage.write_lineage(events, f"{place}/events", f"{place}/checkpoint").awaitTermination()
+    days = [seen(spread(part).withColumn("d", F.lit(d)).filter("(p_partkey + d) % 11 <> 0")) for d in range(3)]
+    for landed in (*days, last):
+        landed.write.mode("append").parquet(f"{place}/landed")
+        stream = spark.readStream.schema(days[0].schema).parquet(f"{place}/landed")
+        events = lineage.lineage_events(stream, dt.timedelta(hours=36), buckets=buckets)
+        lineage.write_lineage(events, f"{place}/events", f"{place}/checkpoint", states).awaitTermination()
     return spark.read.schema(lineage.EVENT_SCHEMA).parquet(f"{place}/events").withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 

@@ -187,6 +187,72 @@ def test_lineage_restarts_without_repeating(spark, tmp_path):
     assert len({r["event_id"] for r in third}) == len(third)
 
 
+def plain_lineage(rows, patience, until):
+    """Each item by itself, its sightings by time; `until` is what the stream's time has come to."""
+    out, spelled = [], lambda *v: "/".join("" if x is None else str(x).lower() if isinstance(x, bool) else x for x in v)
+    for item in {r[2] for r in rows}:
+        last, listed, ids = None, False, {}
+
+        def tell(kind, at, was, now):
+            made = lineage.event_id("s1", item, kind, (at - dt.datetime(1970, 1, 1)) // dt.timedelta(milliseconds=1), now)
+            out.append((made, at, "s1", item, kind, was, now, ids.get(kind)))
+            ids[kind] = made
+
+        for r in [*sorted((r for r in rows if r[2] == item), key=lambda r: r[0]), None]:
+            if listed and (until if r is None else r[0]) > last["at"] + patience:
+                tell("delist", last["at"] + patience, spelled(last["price"], None), "")
+                listed = False
+            if r is None:
+                break
+            now = dict(zip(("at", "store", "item", "price", "list_price", "promo", "discount", "name", "section"), r))
+            if listed:
+                now |= {c: last[c] for c in ("name", "section") if now[c] is None}
+                if now["price"] != last["price"]:
+                    tell("price", now["at"], spelled(last["price"], None), spelled(now["price"], None))
+                if bool(now["promo"]) != bool(last["promo"]) or now["discount"] != last["discount"]:
+                    tell("discount", now["at"], spelled(last["promo"], last["discount"]), spelled(now["promo"], now["discount"]))
+                if (now["name"], now["section"]) != (last["name"], last["section"]):
+                    changed = [c for c in ("name", "section") if r[7 if c == "name" else 8] is not None]
+                    tell("attr", now["at"], spelled(last["name"], last["section"]), spelled(*[now[c] if c in changed else last[c] for c in ("name", "section")]))
+            else:
+                tell("new_item", now["at"], "", spelled(now["price"], None))
+            last, listed = now, True
+    return sorted(out)
+
+
+def test_lineage_state_lies_by_buckets_of_items(spark, tmp_path):
+    rng = random.Random(8)
+    pick = lambda *v: rng.choice(v)
+    cuts = [
+        [sighting(h, f"i{i}", pick("10", "11", None), pick(True, False, None), pick(None, "5"), pick("n", "m", None), pick("s", None)) for i in range(60) for h in rng.sample(range(first, first + 24), rng.choice((0, 1, 1, 2)))]
+        for first in (0, 24, 48, 72)
+    ]
+    cuts[-1].append(sighting(96, "end"))
+    want = plain_lineage([r for rows in cuts for r in rows], dt.timedelta(hours=30, minutes=30), DAY + dt.timedelta(hours=96))
+    assert {w[4] for w in want} == {"new_item", "price", "discount", "attr", "delist"} and any(w[4] == "delist" and w[-1] for w in want)
+    for buckets, starts in ((1, [sum(cuts, [])]), (5, [cuts[0], cuts[1] + cuts[2], cuts[3]])):
+        place = f"{tmp_path}/{buckets}"
+        for rows in starts:
+            spark.createDataFrame(rows, SIGHTING).repartition(2).write.mode("append").parquet(f"{place}/landed")
+            stream = spark.readStream.schema(SIGHTING).parquet(f"{place}/landed")
+            query = lineage.write_lineage(lineage.lineage_events(stream, dt.timedelta(hours=30, minutes=30), buckets=buckets), f"{place}/out", f"{place}/cp", partitions=2)
+            query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]
+        assert state["numRowsTotal"] == buckets and state["numShufflePartitions"] == 2
+        assert sorted(tuple(r) for r in spark.read.schema(lineage.EVENT_SCHEMA).parquet(f"{place}/out").collect()) == want
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_item_lineage_lands_each_day_by_many_tasks(spark, sf_dir, monkeypatch):
+    from shelfmark.queries import identity as queries
+
+    seen, write = [], lineage.write_lineage
+    monkeypatch.setattr(lineage, "write_lineage", lambda events, path, *rest: seen.append(path.removesuffix("/events")) or write(events, path, *rest))
+    queries.item_lineage(spark, sf_dir)
+    files = spark.read.parquet(f"{seen[0]}/landed").inputFiles()
+    assert len(set(seen)) == 1 and len(files) > 4
+
+
 def test_class_pairs_are_all_pairs_and_score_each_two_values_once(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["x", "y", None, "x|y"]), rng.choice(["red ring", "red rings", "old bolt", "", None])) for i in range(160)] + [(1000 + i, "big", "same") for i in range(60)]
